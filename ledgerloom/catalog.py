@@ -1,11 +1,574 @@
-"""The registered queries over the driver's tables and their SQL."""
+"""The registered queries over the driver's tables and the same results as SQL."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from .functions import scalars
+from .operators import amendments, arcs, checks, clean, derive, figures, links, pivot, submissions, windows
+from .plans import adapter
+from .schemas import VALUES
+from .sources import landed
 
-def oracle_sql():
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None):
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def _days(df: DataFrame) -> DataFrame:
+    """Dates and times as text, so that engines compare alike."""
+    return df.withColumns({c: F.col(c).cast("string") for c, t in df.dtypes if t in ("date", "timestamp_ntz")})
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    """Sums and differences of prices to the cent."""
+    return df.withColumns({c: F.round(c, 2) for c, t in df.dtypes if t == "double"})
+
+
+SUB = """
+sub0 AS (
+  SELECT o_orderkey + 1 AS adsh, o_custkey AS cik,
+         CASE o_orderpriority WHEN '1-URGENT' THEN '10-K' WHEN '2-HIGH' THEN '10-K/A' ELSE '10-Q' END AS form,
+         last_day(CAST(o_orderdate AS DATE)) AS period, o_orderdate AS accepted,
+         CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE CAST(year(o_orderdate) AS INT) END AS version
+  FROM orders),
+sub AS (
+  SELECT *, CASE WHEN last_ <> adsh THEN last_ ELSE 0 END AS amendment_adsh, last_ <> adsh AS is_amended
+  FROM (SELECT *, last_value(adsh) OVER (PARTITION BY cik, period ORDER BY accepted, adsh ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_ FROM sub0))"""
+
+FACTS = """
+facts AS (
+  SELECT l.l_orderkey + 1 AS adsh, p.p_type AS tag,
+         CAST(CASE l.l_linenumber % 5 WHEN 1 THEN date_trunc('year', o.o_orderdate) WHEN 2 THEN date_trunc('quarter', o.o_orderdate)
+              WHEN 3 THEN date_trunc('year', o.o_orderdate) - INTERVAL 1 YEAR WHEN 4 THEN date_trunc('quarter', o.o_orderdate) - INTERVAL 1 YEAR
+              ELSE last_day(CAST(o.o_orderdate AS DATE)) END AS DATE) AS start,
+         CAST(CASE WHEN l.l_linenumber % 5 IN (3, 4) THEN last_day(CAST(o.o_orderdate AS DATE)) - INTERVAL 1 YEAR ELSE last_day(CAST(o.o_orderdate AS DATE)) END AS DATE) AS end_,
+         l.l_extendedprice AS value
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey)"""
+
+MERGED = """
+given AS (SELECT s.amendment_adsh AS adsh, f.tag, f.start, f.end_, f.value, s.accepted, s.adsh AS source FROM facts f JOIN sub s ON f.adsh = s.adsh WHERE s.amendment_adsh <> 0),
+lacking AS (
+  SELECT *, rank() OVER (PARTITION BY adsh, tag, start, end_ ORDER BY accepted, source) AS rk FROM given g
+  WHERE NOT EXISTS (SELECT 1 FROM facts f WHERE f.adsh = g.adsh AND f.tag = g.tag AND f.start = g.start AND f.end_ = g.end_)),
+merged AS (SELECT adsh, tag, start, end_, value FROM facts UNION SELECT adsh, tag, start, end_, value FROM lacking WHERE rk = 1)"""
+
+CLEAN = """
+clean AS (SELECT adsh, tag, start, end_, min(value) AS value FROM merged GROUP BY ALL HAVING count(DISTINCT value) = 1)"""
+
+WINDOWS = """
+ends AS (SELECT f.adsh, f.end_, count(*) AS n, any_value(s.period) AS period FROM {facts} f JOIN sub s ON f.adsh = s.adsh WHERE year(f.end_) <= 2100 GROUP BY f.adsh, f.end_),
+best AS (SELECT adsh, end_ FROM (SELECT *, row_number() OVER (PARTITION BY adsh ORDER BY n DESC, abs(datediff('day', end_, period)), end_ DESC) AS rk FROM ends WHERE abs(datediff('day', end_, period)) < 30) WHERE rk = 1),
+best_py AS (SELECT adsh, end_ FROM (SELECT *, row_number() OVER (PARTITION BY adsh ORDER BY n DESC, abs(datediff('day', CAST(end_ + INTERVAL 1 YEAR AS DATE), period)), end_ DESC) AS rk FROM ends WHERE abs(datediff('day', CAST(end_ + INTERVAL 1 YEAR AS DATE), period)) < 30) WHERE rk = 1),
+ranges AS (SELECT f.adsh, f.end_, f.start, count(*) AS n FROM {facts} f JOIN best b ON f.adsh = b.adsh AND f.end_ = b.end_ WHERE f.start <> f.end_ AND CAST(f.start + INTERVAL 1 YEAR AS DATE) + 10 > f.end_ GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY adsh ORDER BY n DESC, start) AS rk, max(n) OVER (PARTITION BY adsh) AS most FROM ranges),
+two AS (SELECT adsh, start, end_, row_number() OVER (PARTITION BY adsh ORDER BY start) AS enum FROM ranked WHERE rk = 1 OR rk = 2 AND n >= 0.3 * most),
+py AS (SELECT f.adsh, f.end_, f.start, count(*) AS n FROM {facts} f JOIN best_py b ON f.adsh = b.adsh AND f.end_ = b.end_ GROUP BY ALL),
+aligned AS (
+  SELECT p.adsh, p.start, p.end_, t.enum + 2 AS enum, row_number() OVER (PARTITION BY p.adsh, t.enum ORDER BY p.n DESC, p.start) AS rk
+  FROM py p JOIN two t ON p.adsh = t.adsh WHERE abs(datediff('day', p.start, CAST(t.start - INTERVAL 1 YEAR AS DATE))) < 10),
+windows AS (SELECT adsh, start, end_, enum FROM two UNION ALL SELECT adsh, start, end_, enum FROM aligned WHERE rk = 1)"""
+
+
+def _with(*parts: str) -> str:
+    return "WITH " + ",".join(parts)
+
+
+_RAW_WINDOWS = WINDOWS.replace("{facts}", "facts")
+_CLEAN_WINDOWS = WINDOWS.replace("{facts}", "clean")
+_PERIOD = """
+SELECT f.adsh, f.tag, max(CASE WHEN enum = 1 THEN value END) AS value1, max(CASE WHEN enum = 2 THEN value END) AS value2,
+       max(CASE WHEN enum = 3 THEN value END) AS value3, max(CASE WHEN enum = 4 THEN value END) AS value4
+FROM {facts} f JOIN windows w ON f.adsh = w.adsh AND f.start = w.start AND f.end_ = w.end_ {where}
+GROUP BY f.adsh, f.tag HAVING count(CASE WHEN enum = 1 THEN 1 END) > 0"""
+_INSTANT = """
+SELECT f.adsh, f.tag, max(CASE WHEN f.end_ = e1 THEN value END) AS value1, max(CASE WHEN f.end_ = e2 THEN value END) AS value2,
+       max(CASE WHEN f.end_ = e3 THEN value END) AS value3, max(CASE WHEN f.end_ = e4 THEN value END) AS value4
+FROM {facts} f LEFT JOIN (SELECT adsh, max(CASE WHEN enum = 1 THEN end_ END) AS e1, max(CASE WHEN enum = 2 THEN end_ END) AS e2, max(CASE WHEN enum = 3 THEN end_ END) AS e3, max(CASE WHEN enum = 4 THEN end_ END) AS e4 FROM windows GROUP BY adsh) w ON f.adsh = w.adsh
+WHERE f.start = f.end_ GROUP BY f.adsh, f.tag"""
+
+# ---- submissions and amendments
+
+
+@_query(_with(SUB) + " SELECT adsh, amendment_adsh, is_amended FROM sub")
+def amendment_flags(spark, sf_dir):
+    return adapter.submissions(spark, sf_dir).select("adsh", "amendment_adsh", "is_amended")
+
+
+@_query(
+    _with(SUB, "src AS (SELECT amendment_adsh AS adsh, arg_max(version, {'a': accepted, 'b': adsh}) AS v FROM sub WHERE amendment_adsh <> 0 GROUP BY 1)", "rows_ AS (SELECT s.*, coalesce(nullif(s.version, 0), nullif(src.v, 0)) AS v FROM sub s LEFT JOIN src ON s.adsh = src.adsh)")
+    + """ SELECT adsh, CAST(coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY cik ORDER BY accepted, adsh ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                            first_value(v IGNORE NULLS) OVER (PARTITION BY cik ORDER BY accepted, adsh ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS INT) AS version FROM rows_"""
+)
+def repair_version(spark, sf_dir):
+    return submissions.repair_version(adapter.submissions(spark, sf_dir)).select("adsh", "version")
+
+
+@_query(_with(SUB) + " SELECT adsh AS adsh_original, last_ AS adsh_canonical FROM sub")
+def canonical_map(spark, sf_dir):
+    chain = F.lead("adsh", 1, 0).over(Window.partitionBy("cik", "period").orderBy("accepted", "adsh"))
+    return amendments.canonical_adsh_map(adapter.submissions(spark, sf_dir).withColumn("amendment_adsh", chain))
+
+
+@_query(_with(SUB, FACTS) + " SELECT s.last_ AS adsh, f.tag, count(*) AS n, CAST(sum(CAST(f.value AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM facts f JOIN sub s ON f.adsh = s.adsh GROUP BY 1, 2")
+def apply_canonical(spark, sf_dir):
+    rows = amendments.apply_canonical_adsh(adapter.facts(spark, sf_dir), amendments.canonical_adsh_map(adapter.submissions(spark, sf_dir)))
+    return rows.groupBy("adsh", "tag").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"))
+
+
+@_query(_with(SUB, FACTS, "m AS (SELECT s.last_ AS adsh, f.tag, f.start, f.end_, f.value, s.accepted FROM facts f JOIN sub s ON f.adsh = s.adsh)") + " SELECT adsh, tag, CAST(start AS VARCHAR) AS start, CAST(end_ AS VARCHAR) AS end_, value FROM (SELECT *, row_number() OVER (PARTITION BY adsh, tag, start, end_ ORDER BY accepted DESC, value) AS rk FROM m) WHERE rk = 1")
+def dedupe_latest(spark, sf_dir):
+    sub = adapter.submissions(spark, sf_dir)
+    rows = amendments.apply_canonical_adsh(adapter.facts(spark, sf_dir).withColumn("source", F.col("adsh")), amendments.canonical_adsh_map(sub))
+    return _days(amendments.dedupe_latest_by_acceptance(rows, sub, source_col="source").drop("source").withColumnRenamed("end", "end_"))
+
+
+@_query(_with(SUB, FACTS, MERGED) + " SELECT adsh, tag, CAST(start AS VARCHAR) AS start, CAST(end_ AS VARCHAR) AS end_, value FROM merged")
+def merge_amendments(spark, sf_dir):
+    return _days(amendments.merge_amendments(adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir)).withColumnRenamed("end", "end_"))
+
+
+# ---- cleaning
+
+
+@_query(_with(FACTS.replace("facts AS", "merged AS"), CLEAN) + " SELECT adsh, tag, CAST(start AS VARCHAR) AS start, CAST(end_ AS VARCHAR) AS end_, value FROM clean")
+def drop_contradictions(spark, sf_dir):
+    return _days(clean.drop_contradictions(adapter.facts(spark, sf_dir)).withColumnRenamed("end", "end_"))
+
+
+@_query(_with(FACTS) + " SELECT adsh, tag, round(CASE WHEN start = end_ THEN abs(value) ELSE abs(value / greatest(datediff('day', start, end_), 90) * 90) END, 4) AS value_adj FROM facts")
+def value_adj(spark, sf_dir):
+    return adapter.facts(spark, sf_dir).select("adsh", "tag", F.round(scalars.value_adj(F.col("start"), F.col("end"), F.col("value")), 4).alias("value_adj"))
+
+
+@_query(_with(FACTS) + " SELECT adsh, tag, value * 1e8 AS value FROM facts WHERE value * 1e8 <= 5e12 OR tag IN ('NotionalAmountOfDerivatives', 'DerivativeNotionalAmount', 'DerivativeAssetNotionalAmount', 'DerivativeLiabilityNotionalAmount')")
+def remove_huge_values(spark, sf_dir):
+    return clean.remove_huge_values(clean.normalize_fact_types(adapter.facts(spark, sf_dir).withColumn("value", F.col("value") * 1e8))).select("adsh", "tag", "value")
+
+
+@_query(
+    _with(
+        SUB, FACTS,
+        "k AS (SELECT DISTINCT f.adsh, f.tag, f.start, f.end_, CAST(1000 + f.adsh % 20 AS DOUBLE) * CASE WHEN f.adsh % 97 = 0 THEN 1000 ELSE 1 END AS value, s.cik FROM facts f JOIN sub s ON f.adsh = s.adsh)",
+        "a AS (SELECT *, CASE WHEN start = end_ THEN abs(value) ELSE abs(value / greatest(datediff('day', start, end_), 90) * 90) END AS adj FROM k)",
+        "m AS (SELECT cik, tag, median(adj) AS med FROM a GROUP BY 1, 2)",
+        """p AS (SELECT a.adsh, a.tag, a.start, a.end_,
+          min(CASE WHEN a.value > m.med * 100 AND (a.value > y.adj * 965 AND a.value < y.adj * 1036) THEN 1
+                   WHEN a.value > m.med * 10000 AND a.value > y.adj * 750000 AND a.value < y.adj * 1333000 THEN 2
+                   WHEN a.value < m.med / 100 AND a.value > y.adj / 1036 AND a.value < y.adj / 965 THEN 3
+                   WHEN a.value < m.med / 10000 AND a.value > y.adj / 1333000 AND a.value < y.adj / 750000 THEN 4 END) AS c
+          FROM a JOIN m ON a.cik = m.cik AND a.tag = m.tag JOIN a y ON a.cik = y.cik AND a.tag = y.tag AND abs(datediff('day', a.end_, y.end_)) <= 120 GROUP BY ALL)""",
+    )
+    + " SELECT k.adsh, k.tag, CAST(k.start AS VARCHAR) AS start, CAST(k.end_ AS VARCHAR) AS end_, round(k.value * coalesce(CASE c WHEN 1 THEN 1e-3 WHEN 2 THEN 1e-6 WHEN 3 THEN 1e3 WHEN 4 THEN 1e6 END, 1), 2) AS value FROM k LEFT JOIN p ON k.adsh = p.adsh AND k.tag = p.tag AND k.start = p.start AND k.end_ = p.end_"
+)
+def correct_scale_outliers(spark, sf_dir):
+    value = (1000 + F.col("adsh") % 20).cast("double") * F.when(F.col("adsh") % 97 == 0, 1000).otherwise(1)
+    rows, _ = clean.correct_scale_outliers(clean.drop_contradictions(adapter.facts(spark, sf_dir).withColumn("value", value)), adapter.submissions(spark, sf_dir))
+    return _rounded(_days(rows.withColumnRenamed("end", "end_")))
+
+
+# ---- windows and figures
+
+
+@_query(_with(SUB, FACTS, _RAW_WINDOWS) + " SELECT adsh, CAST(start AS VARCHAR) AS start, CAST(end_ AS VARCHAR) AS end_, CAST(enum AS INT) AS enum FROM windows")
+def infer_windows(spark, sf_dir):
+    got = windows.infer_reporting_windows(adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir))
+    return _days(got.withColumnRenamed("end", "end_").withColumn("enum", F.col("enum").cast("int")))
+
+
+@_query(_with(SUB, FACTS, _RAW_WINDOWS) + _PERIOD.format(facts="facts", where=""))
+def period_values(spark, sf_dir):
+    facts, sub = adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir)
+    return windows.compute_period_values(facts, sub, windows.infer_reporting_windows(facts, sub))[0]
+
+
+@_query(_with(SUB, FACTS, _RAW_WINDOWS) + _INSTANT.format(facts="facts"))
+def instant_values(spark, sf_dir):
+    facts, sub = adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir)
+    return windows.compute_instant_values(clean.split_instant_duration(facts)[0], windows.infer_reporting_windows(facts, sub))
+
+
+@_query(
+    _with(SUB, FACTS, _RAW_WINDOWS)
+    + " SELECT s.adsh, "
+    + ", ".join(f"CAST(max(CASE WHEN enum = {k} THEN w.{c} END) AS VARCHAR) AS {c.strip('_')}_{n}" for k, n in ((1, "rep"), (2, "q"), (3, "rep_py"), (4, "q_py")) for c in ("start", "end_"))
+    + " FROM sub s LEFT JOIN windows w ON s.adsh = w.adsh GROUP BY s.adsh"
+)
+def enrich_submissions(spark, sf_dir):
+    facts, sub = adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir)
+    return _days(windows.enrich_sub_with_windows(sub.select("adsh"), windows.infer_reporting_windows(facts, sub)))
+
+
+@_query(
+    _with(SUB, FACTS, MERGED, CLEAN, _CLEAN_WINDOWS, "d AS (" + _PERIOD.format(facts="clean", where="WHERE f.start <> f.end_") + ")", "i AS (" + _INSTANT.format(facts="clean") + ")")
+    + """ SELECT adsh, tag, value1 AS reported_figure, value2 AS quarterly_figure, value3 AS reported_figure_py, value4 AS quarterly_figure_py, false AS is_computed, false AS is_instant FROM d
+        UNION ALL SELECT adsh, tag, value1, value2, value3, value4, false, true FROM i WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.adsh = i.adsh AND d.tag = i.tag)"""
+)
+def base_figures(spark, sf_dir):
+    """Without the outlier loop, which SQL can't express; build_base_figures has it."""
+    facts, sub = adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir)
+    rows = clean.remove_huge_values(clean.drop_contradictions(amendments.merge_amendments(clean.normalize_fact_types(facts), sub)))
+    return figures.figures_from_clean(rows, sub)[0]
+
+
+@_query(None)
+def build_base_figures(spark, sf_dir):
+    """The whole of it, with outliers corrected."""
+    return figures.build_base_figures(adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir))[0]
+
+
+# ---- links
+
+LINKED = """
+sw AS (SELECT *, CAST(date_trunc('year', period) AS DATE) AS start_rep, period AS end_rep, CASE WHEN form LIKE '10-K%' THEN '10-K' ELSE '10-Q' END AS family FROM sub),
+l10k AS (SELECT adsh, c_adsh AS prev_10k_adsh, lag_ AS prev_10k_diff_days FROM (
+  SELECT a.adsh, b.adsh AS c_adsh, datediff('day', b.end_rep, a.end_rep) AS lag_, row_number() OVER (PARTITION BY a.adsh ORDER BY b.end_rep DESC, b.adsh DESC) AS rk
+  FROM sw a JOIN sw b ON a.cik = b.cik WHERE b.form LIKE '10-K%' AND NOT b.is_amended AND datediff('day', b.end_rep, a.end_rep) BETWEEN 1 AND 375) WHERE rk = 1),
+lpy AS (SELECT adsh, c_adsh AS adsh_py, off AS py_diff_days FROM (
+  SELECT a.adsh, b.adsh AS c_adsh, abs(datediff('day', CAST(a.end_rep - INTERVAL 1 YEAR AS DATE), b.end_rep)) AS off,
+         row_number() OVER (PARTITION BY a.adsh ORDER BY abs(datediff('day', CAST(a.end_rep - INTERVAL 1 YEAR AS DATE), b.end_rep)), b.end_rep DESC, b.adsh DESC) AS rk
+  FROM sw a JOIN sw b ON a.cik = b.cik AND a.family = b.family WHERE NOT b.is_amended AND abs(datediff('day', CAST(a.end_rep - INTERVAL 1 YEAR AS DATE), b.end_rep)) <= 10) WHERE rk = 1),
+lprev AS (SELECT adsh, c_adsh AS prev_adsh, c_form AS prev_form FROM (
+  SELECT a.adsh, b.adsh AS c_adsh, b.form AS c_form, row_number() OVER (PARTITION BY a.adsh ORDER BY b.end_rep DESC, b.adsh DESC) AS rk
+  FROM sw a JOIN sw b ON a.cik = b.cik AND a.start_rep = b.start_rep WHERE NOT b.is_amended AND b.end_rep < a.end_rep) WHERE rk = 1)"""
+
+
+@_query(_with(SUB, LINKED) + " SELECT s.adsh, coalesce(prev_10k_adsh, 0) AS prev_10k_adsh, CAST(coalesce(prev_10k_diff_days, 0) AS INT) AS prev_10k_diff_days FROM sub s LEFT JOIN l10k USING (adsh)")
+def prev_10k_link(spark, sf_dir):
+    return links.prev_10k_link(adapter.sub_windows(spark, sf_dir)).withColumn("prev_10k_diff_days", F.col("prev_10k_diff_days").cast("int"))
+
+
+@_query(_with(SUB, LINKED) + " SELECT s.adsh, coalesce(adsh_py, 0) AS adsh_py, CAST(coalesce(py_diff_days, 0) AS INT) AS py_diff_days FROM sub s LEFT JOIN lpy USING (adsh)")
+def prior_year_link(spark, sf_dir):
+    return links.prior_year_link(adapter.sub_windows(spark, sf_dir)).withColumn("py_diff_days", F.col("py_diff_days").cast("int"))
+
+
+@_query(_with(SUB, LINKED) + " SELECT s.adsh, coalesce(prev_adsh, 0) AS prev_adsh, prev_form FROM sub s LEFT JOIN lprev USING (adsh)")
+def prev_filing_link(spark, sf_dir):
+    return links.prev_filing_link(adapter.sub_windows(spark, sf_dir))
+
+
+# ---- derived figures
+
+FIGURES = """
+fig AS (
+  SELECT adsh, tag, r AS reported_figure, CASE WHEN k % 3 = 0 THEN r END AS quarterly_figure, CASE WHEN k % 2 = 0 THEN r END AS reported_figure_py, CASE WHEN k % 4 = 0 THEN r END AS quarterly_figure_py, k = 7 AS is_instant
+  FROM (SELECT l_orderkey + 1 AS adsh, p_type AS tag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS r, max(l_linenumber) AS k FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2))"""
+QUARTERLY = """
+fq AS (
+  SELECT f.* EXCLUDE (quarterly_figure, quarterly_figure_py),
+    CASE WHEN f.is_instant THEN f.quarterly_figure ELSE coalesce(f.quarterly_figure, CASE WHEN l.prev_adsh IS NULL OR l.prev_form LIKE '10-K%' THEN f.reported_figure ELSE f.reported_figure - g.reported_figure END) END AS quarterly_figure,
+    CASE WHEN f.is_instant THEN f.quarterly_figure_py ELSE coalesce(f.quarterly_figure_py, CASE WHEN l.prev_adsh IS NULL OR l.prev_form LIKE '10-K%' THEN f.reported_figure_py ELSE f.reported_figure_py - g.reported_figure_py END) END AS quarterly_figure_py
+  FROM fig f LEFT JOIN lprev l ON f.adsh = l.adsh LEFT JOIN fig g ON g.adsh = l.prev_adsh AND g.tag = f.tag)"""
+PRIOR = """
+fp AS (
+  SELECT f.* EXCLUDE (reported_figure_py, quarterly_figure_py), coalesce(f.reported_figure_py, g.reported_figure) AS reported_figure_py, coalesce(f.quarterly_figure_py, g.quarterly_figure) AS quarterly_figure_py
+  FROM fq f LEFT JOIN lpy l ON f.adsh = l.adsh LEFT JOIN fq g ON g.adsh = l.adsh_py AND g.tag = f.tag)"""
+ANNUAL = """
+fa AS (
+  SELECT f.*, CASE WHEN s.form LIKE '10-K%' THEN f.reported_figure WHEN NOT f.is_instant THEN f.reported_figure + g.reported_figure - f.reported_figure_py END AS annual_figure
+  FROM fp f JOIN sub s ON f.adsh = s.adsh LEFT JOIN l10k l ON f.adsh = l.adsh LEFT JOIN fp g ON g.adsh = l.prev_10k_adsh AND g.tag = f.tag),
+fb AS (SELECT f.*, g.annual_figure AS annual_figure_py FROM fa f LEFT JOIN lpy l ON f.adsh = l.adsh LEFT JOIN fa g ON g.adsh = l.adsh_py AND g.tag = f.tag)"""
+_FOUR = ", ".join(f"round({c}, 2) AS {c}" for c in VALUES)
+
+
+@_query(_with(SUB, LINKED, FIGURES, QUARTERLY) + f" SELECT adsh, tag, {_FOUR} FROM fq")
+def fill_quarterly(spark, sf_dir):
+    return _rounded(derive.fill_quarterly(adapter.link_figures(spark, sf_dir), adapter.sub_windows(spark, sf_dir)).select("adsh", "tag", *VALUES))
+
+
+def _through_prior(spark, sf_dir):
+    sub = adapter.sub_windows(spark, sf_dir)
+    return derive.fill_prior_year(derive.fill_quarterly(adapter.link_figures(spark, sf_dir), sub, check=False), sub), sub
+
+
+@_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR) + f" SELECT adsh, tag, {_FOUR} FROM fp")
+def fill_prior_year(spark, sf_dir):
+    return _rounded(_through_prior(spark, sf_dir)[0].select("adsh", "tag", *VALUES))
+
+
+@_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + " SELECT adsh, tag, round(annual_figure, 2) AS annual_figure FROM fa")
+def annual_current(spark, sf_dir):
+    return _rounded(derive.annual_current(*_through_prior(spark, sf_dir)).select("adsh", "tag", "annual_figure"))
+
+
+@_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + " SELECT adsh, tag, round(annual_figure_py, 2) AS annual_figure_py FROM fb")
+def annual_prior_year(spark, sf_dir):
+    rows, sub = _through_prior(spark, sf_dir)
+    return _rounded(derive.annual_prior_year(derive.annual_current(rows, sub), sub).select("adsh", "tag", "annual_figure_py"))
+
+
+INTERVALS = """
+s1 AS (
+  SELECT s.*, CASE WHEN adsh % 3 = 0 THEN CAST(date_trunc('quarter', period) AS DATE) END AS start_q0, CASE WHEN adsh % 3 = 0 THEN period END AS end_q0, coalesce(CASE WHEN adsh % 3 = 0 THEN period END, end_rep) AS end_q, CAST(end_rep - INTERVAL 1 YEAR AS DATE) AS end_rep_py
+  FROM sw s),
+s2 AS (
+  SELECT s1.adsh, coalesce(p.adsh_py, 0) AS adsh_py, s1.end_rep AS end_a, s1.end_rep_py AS end_a_py, CASE WHEN s1.form LIKE '10-K%' THEN s1.start_rep ELSE k.start_rep END AS start_a, y.start_rep AS start_a_py,
+         coalesce(s1.start_q0, CASE WHEN v.prev_adsh IS NULL THEN s1.start_rep ELSE coalesce(b.end_q, b.end_rep) + 1 END) AS start_q, s1.end_q, s1.end_rep_py AS end_q_py
+  FROM s1 LEFT JOIN l10k t ON s1.adsh = t.adsh LEFT JOIN s1 k ON k.adsh = t.prev_10k_adsh LEFT JOIN lpy p ON s1.adsh = p.adsh LEFT JOIN s1 y ON y.adsh = p.adsh_py LEFT JOIN lprev v ON s1.adsh = v.adsh LEFT JOIN s1 b ON b.adsh = v.prev_adsh)"""
+
+
+def _interval_submissions(spark, sf_dir):
+    third = lambda c: F.when(F.col("adsh") % 3 == 0, c)
+    none = F.lit(None).cast("date")
+    return adapter.sub_windows(spark, sf_dir).withColumns({"start_q": third(F.trunc("period", "quarter")), "end_q": third(F.col("period")), "start_rep_py": F.add_months("start_rep", -12), "end_rep_py": (F.col("end_rep") - F.expr("interval 1 year")).cast("date"), "start_q_py": none, "end_q_py": none})
+
+
+@_query(
+    _with(SUB, LINKED, INTERVALS)
+    + " SELECT a.adsh, "
+    + ", ".join(f"CAST(a.{c} AS VARCHAR) AS {c}" for c in ("start_a", "end_a", "start_a_py", "end_a_py", "start_q", "end_q", "end_q_py"))
+    + ", CAST(b.start_q AS VARCHAR) AS start_q_py FROM s2 a LEFT JOIN s2 b ON b.adsh = a.adsh_py"
+)
+def impute_intervals(spark, sf_dir):
+    got = derive.impute_intervals(_interval_submissions(spark, sf_dir))
+    return _days(got.select("adsh", "start_a", "end_a", "start_a_py", "end_a_py", "start_q", "end_q", "start_q_py", "end_q_py"))
+
+
+# ---- pivot
+
+BY_PART = """
+fpart AS (SELECT l_orderkey + 1 AS adsh, CAST(l_partkey AS VARCHAR) AS tag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS reported_figure FROM lineitem GROUP BY 1, 2),
+kept AS (SELECT tag FROM (SELECT tag, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, tag) - 1 AS rk FROM fpart GROUP BY tag) WHERE n > rk)"""
+
+
+@_query(_with(BY_PART) + " SELECT adsh, tag, reported_figure FROM fpart WHERE tag IN (SELECT tag FROM kept) AND reported_figure IS NOT NULL")
+def remove_infrequent_tags(spark, sf_dir):
+    rows = adapter.table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") + 1).alias("adsh"), F.col("l_partkey").cast("string").alias("tag")).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("reported_figure"))
+    return pivot.remove_infrequent_tags(rows)
+
+
+TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+_WIDE = ", ".join(f"max(CASE WHEN tag = '{t}' THEN round({c}, 2) END) AS {t}{s}" for t in TYPES for c, s in pivot.SUFFIXES.items())
+
+
+@_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + f" SELECT fb.adsh, any_value(s.cik) AS cik, any_value(s.form) AS form, {_WIDE} FROM fb JOIN sub s ON fb.adsh = s.adsh GROUP BY fb.adsh")
+def pivot_figures(spark, sf_dir):
+    rows, sub = _through_prior(spark, sf_dir)
+    rows = derive.annual_prior_year(derive.annual_current(rows, sub), sub)
+    return _rounded(pivot.pivot_figures(rows, sub.select("adsh", "cik", "form"), tags=list(TYPES)))
+
+
+@_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + f" SELECT fb.adsh, any_value(s.cik) AS cik, any_value(CAST(s.period AS VARCHAR)) AS end_a, {_WIDE} FROM fb JOIN sub s ON fb.adsh = s.adsh GROUP BY fb.adsh")
+def transform_and_pivot(spark, sf_dir):
+    got = pivot.transform_and_pivot_figures(adapter.link_figures(spark, sf_dir), _interval_submissions(spark, sf_dir), tags=list(TYPES))
+    return _rounded(_days(got)).select("adsh", "cik", "end_a", *[f"{t}{s}" for t in TYPES for s in pivot.SUFFIXES.values()])
+
+
+# ---- equations
+
+PRICES = """
+price AS (SELECT o_orderkey + 1 AS adsh, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS DOUBLE) AS c FROM orders),
+vals AS (
+  SELECT adsh, 'X' AS tag, c AS v FROM price UNION ALL SELECT adsh, 'Y', c * 2 FROM price UNION ALL SELECT adsh, 'Z', c * 4 FROM price
+  UNION ALL SELECT adsh, 'XY', c * 3 FROM price WHERE adsh % 4 <> 0 UNION ALL SELECT adsh, 'GAP', c * CASE WHEN adsh % 4 = 1 THEN 5 ELSE 3 END FROM price)"""
+
+
+@_query(_with(PRICES) + " SELECT adsh, tag, v AS reported_figure, false AS is_computed FROM vals UNION ALL SELECT adsh, 'XY', c * 3, true FROM price WHERE adsh % 4 = 0 UNION ALL SELECT adsh, 'ALL', c * 7, true FROM price")
+def apply_arcs(spark, sf_dir):
+    return arcs.apply_arcs(adapter.arc_figures(spark, sf_dir), adapter.arcs(spark)).select("adsh", "tag", "reported_figure", "is_computed")
+
+
+@_query(_with(PRICES) + " SELECT adsh, tag, v AS reported_figure, false AS is_computed FROM vals UNION ALL SELECT adsh, 'XY', c * 3, true FROM price WHERE adsh % 4 = 0 UNION ALL SELECT adsh, 'ALL', c * 7, true FROM price")
+def apply_arcs_by_version(spark, sf_dir):
+    return arcs.apply_arcs_by_version(adapter.arc_figures(spark, sf_dir), adapter.arc_submissions(spark, sf_dir), adapter.arcs(spark)).select("adsh", "tag", "reported_figure", "is_computed")
+
+
+@_query(_with(PRICES) + " SELECT 'soi' AS statement, 'XY' AS \"from\", 2 AS n_terms, count(*) AS n_tests, 0 AS n_fail, true AS kept FROM price WHERE adsh % 4 <> 0 UNION ALL SELECT 'sfp', 'GAP', 2, count(*), sum(CASE WHEN adsh % 4 = 1 THEN 1 ELSE 0 END), false FROM price")
+def filter_unreliable_arcs(spark, sf_dir):
+    rows, sub = adapter.arc_figures(spark, sf_dir), adapter.arc_submissions(spark, sf_dir)
+    kept, stats = arcs.filter_unreliable_arcs(rows, sub, adapter.arcs(spark))
+    return stats.join(kept.select("statement", "from").distinct().withColumn("kept", F.lit(True)), ["statement", "from"], "left").select("statement", "from", "n_terms", "n_tests", "n_fail", F.coalesce("kept", F.lit(False)).alias("kept"))
+
+
+@_query(
+    _with(PRICES)
+    + """ SELECT adsh, tag, v AS reported_figure FROM vals UNION ALL SELECT adsh, 'XY', c * 3 FROM price WHERE adsh % 4 = 0"""
+)
+def compute_missing_with_arcs(spark, sf_dir):
+    """Only X + Y = XY is reliable; solved for X and Y it adds nothing that is not there."""
+    return arcs.compute_missing_with_arcs(adapter.arc_figures(spark, sf_dir), adapter.arc_submissions(spark, sf_dir), adapter.arcs(spark)).select("adsh", "tag", "reported_figure")
+
+
+ARCS = """
+arcs AS (SELECT DISTINCT CAST(p_size % 3 AS INT) AS version, 'soi' AS statement, 0 AS seq, p_brand AS f, p_type AS t FROM part WHERE p_size % 7 = 0),
+w AS (SELECT *, CASE WHEN length(f || t) % 3 = 0 THEN -1.0 WHEN length(f || t) % 3 = 1 THEN 1.0 ELSE 2.0 END AS weight FROM arcs)"""
+
+
+def _part_arcs(spark, sf_dir):
+    n = F.length(F.concat("from", "to")) % 3
+    rows = adapter.table(spark, sf_dir, "part").where("p_size % 7 = 0").select((F.col("p_size") % 3).cast("int").alias("version"), F.lit("soi").alias("statement"), F.lit(0).alias("seq"), F.col("p_brand").alias("from"), F.col("p_type").alias("to")).distinct()
+    return rows.withColumn("weight", F.when(n == 0, -1.0).when(n == 1, 1.0).otherwise(2.0))
+
+
+@_query(
+    _with(
+        ARCS,
+        "x AS (SELECT version, statement, 1 AS seq, t AS f, f AS t, weight FROM w WHERE weight IN (1, -1) UNION ALL SELECT a.version, a.statement, 1, a.t, b.t, -b.weight / a.weight FROM w a JOIN w b ON a.version = b.version AND a.f = b.f AND a.t <> b.t WHERE a.weight IN (1, -1))",
+    )
+    + ' SELECT version, statement, seq, f AS "from", t AS "to", weight FROM w UNION ALL SELECT version, statement, seq, f, t, min(weight) FROM x GROUP BY ALL'
+)
+def expand_arcs(spark, sf_dir):
+    return arcs.expand_arcs(_part_arcs(spark, sf_dir), enforce_signature_unique_seq=False)
+
+
+@_query(None)
+def expand_arcs_unique(spark, sf_dir):
+    """With the signatures spread over seqs; the tests compare this with a plain loop."""
+    return arcs.expand_arcs(_part_arcs(spark, sf_dir))
+
+
+def _tree(spark, sf_dir):
+    nation, region, customer = (adapter.table(spark, sf_dir, t) for t in ("nation", "region", "customer"))
+    one = lambda df, a, b: df.select(F.lit(1).alias("version"), F.lit("soi").alias("statement"), a.alias("from"), b.alias("to"), F.lit(1.0).alias("weight")).distinct()
+    name = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    return one(region, F.lit("W"), name("R", "r_regionkey")).union(one(nation, name("R", "n_regionkey"), name("N", "n_nationkey"))).union(one(customer, name("N", "c_nationkey"), name("C", "c_custkey")))
+
+
+@_query("""
+SELECT 'W' AS "from", 'R' || r_regionkey AS "to", 2 AS seq FROM region UNION ALL SELECT 'R' || n_regionkey, 'N' || n_nationkey, 1 FROM nation UNION ALL SELECT 'N' || c_nationkey, 'C' || c_custkey, 0 FROM customer""")
+def arc_sequence(spark, sf_dir):
+    return arcs.assign_arc_sequence(_tree(spark, sf_dir)).select("from", "to", "seq")
+
+
+@_query('SELECT p_brand AS "from", p_type AS "to", count(*) AS n FROM part WHERE p_type IN (SELECT p_type FROM part WHERE p_size > 25) AND p_brand IN (SELECT p_brand FROM part WHERE p_size > 48) GROUP BY 1, 2')
+def filter_arcs_to_universe(spark, sf_dir):
+    part = adapter.table(spark, sf_dir, "part")
+    universe = part.where("p_size > 25").select(F.col("p_type").alias("tag")).union(part.where("p_size > 48").select("p_brand"))
+    return arcs.filter_arcs_to_universe(part.select(F.col("p_brand").alias("from"), F.col("p_type").alias("to")), universe).groupBy("from", "to").agg(F.count("*").alias("n"))
+
+
+# ---- checks
+
+
+@_query(
+    _with(SUB)
+    + """ SELECT count(*) AS n_rows, count_if(adsh >= 10000000000000000) AS adsh_too_large, 0 AS sic_too_large, count_if(year(period) <= 1996 OR year(period) >= 2030) AS period_year, count_if(year(accepted) <= 1996 OR year(accepted) >= 2030) AS accepted_year,
+         count_if(is_amended <> (amendment_adsh <> 0)) AS flag_without_link, count_if(version = 0) AS no_version, count_if(version <> 0 AND (version < 2008 OR version > year(accepted) + 3)) AS version_range, count_if(form NOT IN ('10-Q', '10-K', '10-Q/A', '10-K/A')) AS form, count_if(period > CAST(accepted AS DATE)) AS period_after_acceptance FROM sub"""
+)
+def check_submissions(spark, sf_dir):
+    return checks.submission_violations(adapter.submissions(spark, sf_dir).withColumn("sic", F.lit(0)), first_year=1996)
+
+
+@_query(_with(SUB, FACTS) + " SELECT count(*) AS n_rows, count_if(start > end_) AS start_after_end, 0 AS orphans, (SELECT count(*) FROM sub WHERE adsh NOT IN (SELECT adsh FROM facts)) AS empty_filings FROM facts")
+def check_facts(spark, sf_dir):
+    return checks.fact_violations(adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir))
+
+
+@_query("SELECT o_orderkey AS adsh, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS value FROM orders WHERE o_orderstatus <> 'F'")
+def check_golden_rows(spark, sf_dir):
+    value = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_totalprice"))
+    rows = adapter.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("adsh"), value.alias("value"), "o_orderstatus")
+    return checks.check_golden_rows(rows.where("o_orderstatus = 'F'").select("adsh", "value"), rows.select("adsh", "value"))
+
+
+# ---- landed inputs, made of the driver's tables
+
+_ACCESSION = F.regexp_replace(F.lpad(F.col("adsh").cast("string"), 18, "0"), r"^(\d{10})(\d{2})(\d{6})$", "$1-$2-$3")
+
+
+@_query(_with(SUB, FACTS) + " SELECT f.adsh, f.tag, CAST(f.start AS VARCHAR) AS start, CAST(f.end_ AS VARCHAR) AS end_, f.value FROM facts f JOIN sub s ON f.adsh = s.adsh WHERE s.form IN ('10-Q', '10-K', '10-Q/A', '10-K/A')")
+def company_facts(spark, sf_dir):
+    """Facts written as one JSON document per company, and read back."""
+    rows = adapter.facts(spark, sf_dir).join(adapter.submissions(spark, sf_dir).select("adsh", "cik", "form"), "adsh")
+    item = F.struct(F.col("end").cast("string").alias("end"), _ACCESSION.alias("accn"), F.col("value").alias("val"), "form", F.when(F.col("start") != F.col("end"), F.col("start").cast("string")).alias("start"))
+    unit = rows.groupBy("cik", "tag").agg(F.collect_list(item).alias("items")).select("cik", "tag", F.struct(F.create_map(F.lit("USD"), F.col("items")).alias("units")).alias("body"))
+    docs = unit.groupBy("cik").agg(F.map_from_entries(F.collect_list(F.struct("tag", "body"))).alias("tags")).select(F.to_json(F.struct("cik", F.create_map(F.lit("us-gaap"), F.col("tags")).alias("facts"))).alias("content"))
+    return _days(landed.parse_company_facts(docs).withColumnRenamed("end", "end_"))
+
+
+@_query(_with(SUB) + " SELECT adsh, cik, 0 AS sic, form, CAST(period AS VARCHAR) AS period, strftime(accepted, '%Y-%m-%d %H:%M:%S') AS accepted FROM sub")
+def bulk_submissions(spark, sf_dir):
+    """Filings written as one JSON document of parallel arrays per company, and read back."""
+    rows = adapter.submissions(spark, sf_dir)
+    each = F.struct(_ACCESSION.alias("a"), F.col("form").alias("f"), F.col("period").cast("string").alias("r"), F.date_format("accepted", "yyyy-MM-dd'T'HH:mm:ss'.000Z'").alias("t"))
+    lists = rows.groupBy("cik").agg(F.collect_list(each).alias("e"))
+    recent = F.struct(F.col("e.a").alias("accessionNumber"), F.col("e.f").alias("form"), F.col("e.r").alias("reportDate"), F.col("e.t").alias("acceptanceDateTime"), F.col("e.a").alias("primaryDocument"))
+    docs = lists.select(F.to_json(F.struct(F.col("cik").cast("string").alias("cik"), F.lit("").alias("sic"), F.struct(recent.alias("recent")).alias("filings"))).alias("content"))
+    return landed.parse_bulk_submissions(docs).select("adsh", "cik", "sic", "form", F.col("period").cast("string").alias("period"), F.date_format("accepted", "yyyy-MM-dd HH:mm:ss").alias("accepted"))
+
+
+@_query(_with(SUB) + " SELECT adsh, cik, 0 AS sic, form, CAST(period AS VARCHAR) AS period, version FROM sub")
+def fsd_submissions(spark, sf_dir):
+    sub = adapter.submissions(spark, sf_dir)
+    text = sub.select(_ACCESSION.alias("adsh"), F.col("cik").cast("string").alias("cik"), F.lit(None).cast("string").alias("sic"), "form", F.date_format("period", "yyyyMMdd").alias("period"), F.col("accepted").cast("string").alias("accepted"), F.lit("x.xml").alias("instance"))
+    num = sub.where("version <> 0").select(_ACCESSION.alias("adsh"), F.explode(F.array(F.concat(F.lit("us-gaap/"), F.col("version").cast("string")), F.lit("dei/2001"))).alias("version"))
+    return landed.join_fsd(text, num).select("adsh", "cik", "sic", "form", F.col("period").cast("string").alias("period"), "version")
+
+
+@_query("SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year, CAST(quarter(o_orderdate) AS INT) AS quarter FROM orders")
+def discover_periods(spark, sf_dir):
+    link = F.concat(F.lit('<a href="/files/'), F.year("o_orderdate").cast("string"), F.lit("q"), F.quarter("o_orderdate").cast("string"), F.lit('.zip">'))
+    return landed.discover_periods(adapter.table(spark, sf_dir, "orders").select(link.alias("html")))
+
+
+@_query("SELECT min(c_name) AS ticker, c_nationkey AS cik FROM customer GROUP BY c_nationkey")
+def ticker_map(spark, sf_dir):
+    return landed.first_ticker(adapter.table(spark, sf_dir, "customer").select(F.col("c_name").alias("ticker"), F.col("c_nationkey").alias("cik")))
+
+
+@_query("SELECT DISTINCT p_brand AS tag FROM part WHERE p_size % 2 = 0 UNION SELECT 'EntityCommonStockSharesOutstanding' UNION SELECT 'EntityPublicFloat'")
+def tag_universe(spark, sf_dir):
+    kind = F.when(F.col("p_size") % 2 == 0, "xbrli:monetaryItemType").otherwise("xbrli:stringItemType")
+    return landed.tag_universe_of(adapter.table(spark, sf_dir, "part").select(F.col("p_brand").alias("name"), kind.alias("type"), F.lit(None).cast("string").alias("abstract")))
+
+
+@_query("SELECT o_orderkey + 1 AS adsh, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE CAST(year(o_orderdate) + 10 AS INT) END AS version FROM orders")
+def scan_taxonomy_version(spark, sf_dir):
+    text = F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit("xmlns http://x/us-gaap/"), (F.year("o_orderdate") + 10).cast("string"), F.lit("-01-31 us-gaap/2099"))).otherwise("us-gaap/1999")
+    docs = adapter.table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("adsh"), text.alias("text"))
+    return landed.scan_taxonomy_version(docs.select("adsh"), docs)
+
+
+@_query("""
+SELECT l_orderkey + 1 AS adsh, replace(p_type, ' ', '') AS tag, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS end_, l_extendedprice AS value
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE l_linenumber % 3 <> 2""")
+def xbrl_instances(spark, sf_dir):
+    """Line items written as one instance document per order, and read back; lines in a unit other than money go."""
+    rows = adapter.table(spark, sf_dir, "lineitem").join(adapter.table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(adapter.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    tag = F.concat(F.lit("us-gaap:"), F.replace(F.col("p_type"), F.lit(" "), F.lit("")))
+    fact = F.concat(F.lit("<"), tag, F.lit(' contextRef="c1" unitRef="'), F.when(F.col("l_linenumber") % 3 == 2, "kg").otherwise("usd"), F.lit('">'), F.col("l_extendedprice").cast("string"), F.lit("</"), tag, F.lit(">"))
+    context = F.concat(F.lit('<context id="c1"><entity><identifier scheme="x">'), F.col("o_custkey").cast("string"), F.lit("</identifier></entity><period><instant>"), F.to_date("o_orderdate").cast("string"), F.lit("</instant></period></context>"))
+    units = F.lit('<unit id="usd"><measure>iso4217:USD</measure></unit><unit id="kg"><measure>kg</measure></unit>')
+    docs = rows.groupBy((F.col("l_orderkey") + 1).alias("adsh"), F.col("o_custkey").alias("cik"), context.alias("c")).agg(F.array_join(F.collect_list(fact), "\n").alias("f")).select("adsh", "cik", F.concat(F.lit("<xbrl>"), "c", units, "f", F.lit("</xbrl>")).alias("content"))
+    return landed.parse_xbrl_instances(docs).select("adsh", "tag", F.col("end").cast("string").alias("end_"), "value")
+
+
+@_query(_with(SUB, FACTS) + " SELECT adsh, 'no facts' AS what FROM sub WHERE adsh NOT IN (SELECT adsh FROM facts) UNION ALL SELECT DISTINCT adsh, 'no metadata' FROM facts WHERE adsh NOT IN (SELECT adsh FROM sub WHERE version <> 0)")
+def missing_filings(spark, sf_dir):
+    facts, sub = adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir)
+    return submissions.reports_without_facts(sub, facts).select("adsh", F.lit("no facts").alias("what")).union(submissions.missing_adsh(facts, sub.where("version <> 0")).select("adsh", F.lit("no metadata").alias("what")))
+
+
+@_query(
+    _with(SUB, FACTS, "k AS (SELECT * FROM sub0 WHERE version <> 0 OR adsh IN (SELECT adsh FROM facts))")
+    + """ SELECT adsh, cik, version, CASE WHEN last_ <> adsh THEN last_ ELSE 0 END AS amendment_adsh, c_name AS ticker
+        FROM (SELECT *, last_value(adsh) OVER (PARTITION BY cik, period ORDER BY accepted, adsh ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_ FROM k) JOIN customer ON cik = c_custkey"""
+)
+def combine_sources(spark, sf_dir):
+    sub, facts = adapter.submissions(spark, sf_dir).select("adsh", "cik", "form", "period", "accepted", "version").withColumn("sic", F.lit(0)), adapter.facts(spark, sf_dir)
+    bulk = sub.drop("version")
+    tickers = adapter.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.col("c_name").alias("ticker"))
+    docs = sub.select("adsh", F.lit("no taxonomy").alias("text"))
+    return submissions.combine_submission_sources(sub.where("version <> 0"), bulk.where("adsh % 2 = 0"), bulk, facts, tickers, docs).select("adsh", "cik", "version", "amendment_adsh", "ticker")
