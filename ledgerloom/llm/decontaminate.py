@@ -6,7 +6,8 @@ of the benchmark; around each hit the document and the item are laid side by sid
 and the overlap counts if some stretch of WINDOW tokens (or the whole item, where it is shorter) agrees in at
 least MIN_EQUAL of its positions.
 
-Tokens are the A-Z lower-cased words of whole texts. The benchmark's seeds are sent to the tasks while its texts
+Tokens are the lower-cased words of whole texts, cut at white space and ASCII punctuation, so that marks put between
+or after words don't hide a passage. The benchmark's seeds are sent to the tasks while its texts
 are below BROADCAST_BYTES (measured first); a larger benchmark is joined by shuffling the seeds of both sides.
 Null and empty texts and items meet nothing; an item shorter than a mask is a seed as a whole. Repeated rows
 give repeated results of their own, once per item. Ties between alignments go to the longest agreement, then
@@ -33,6 +34,13 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 RESULT = "doc_id long, item_id long, n_equal long, n_overlap long, doc_start long, item_share double"
 
 
+_CUT = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
+
+
+def tokens_of(text: bytes) -> list[bytes]:
+    return text.decode("utf-8", "replace").lower().encode().translate(_CUT).split()
+
+
 def masks_for(lengths: set[int]) -> list[tuple[int, ...]]:
     """Kept offsets of each mask; a solid mask for each item length that is below the longest mask."""
     shaped = [tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS]
@@ -85,7 +93,7 @@ class _Seeds:
 
     def __init__(self, items: list[tuple[int, bytes]]):
         hashes = WordHashes()
-        self.items = {i: hashes.of(t.lower().split()) for i, t in items}
+        self.items = {i: hashes.of(tokens_of(t)) for i, t in items}
         self.masks = masks_for({len(h) for h in self.items.values()})
         self.found = []
         for mask in self.masks:
@@ -119,7 +127,7 @@ def _scan(items: list[tuple[int, bytes]]):
         index, words = _Seeds(items), WordHashes()
         for batch in rows:
             ids, found = batch.column(0).to_pylist(), []
-            tokens = [words.of(t.lower().split()) for t in utf8(batch, 1)]
+            tokens = [words.of(tokens_of(t)) for t in utf8(batch, 1)]
             starts = np.cumsum([0] + [len(t) for t in tokens])
             if not starts[-1]:
                 continue
@@ -141,6 +149,12 @@ def _batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if n == "item_share" else pa.int64()) for n, c in zip(names, zip(*found, strict=True), strict=True)], names=names)
 
 
+def _lengths(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of each text, up to the longest mask."""
+    for batch in rows:
+        yield pa.RecordBatch.from_arrays([pa.array([min(len(tokens_of(t)), max(map(len, MASKS))) for t in utf8(batch, 0)], pa.int64())], names=["n"])
+
+
 def _emit(lengths: set[int], whole_only: bool):
     """(seed, id, position) of each window; for items, the solid masks only where they are the whole item."""
     masks = masks_for(lengths)
@@ -149,7 +163,7 @@ def _emit(lengths: set[int], whole_only: bool):
         words = WordHashes()
         for batch in rows:
             for key, text in zip(batch.column(0).to_pylist(), utf8(batch, 1), strict=True):
-                h = words.of(text.lower().split())
+                h = words.of(tokens_of(text))
                 for mask in masks:
                     if whole_only and len(mask) == mask[-1] + 1 and len(h) != len(mask):
                         continue
@@ -166,7 +180,7 @@ def _compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, texts = utf8(batch, 1), utf8(batch, 3)
         for doc_id, item_id, d, t in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), docs, texts, strict=True):
             one = _Seeds([(item_id, t)])
-            h = words.of(d.lower().split())
+            h = words.of(tokens_of(d))
             shifts: dict[int, set[int]] = defaultdict(set)
             for p, item, q in one.hits(h):
                 shifts[item].add(p - q)
@@ -183,7 +197,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, broadcast_bytes: int
     if size["n"] <= broadcast_bytes and size["ids"] == size["rows"]:
         known = sorted((r["item_id"], r["text"].encode()) for r in items.collect())
         return texts.mapInArrow(_scan(known), RESULT)
-    lengths = {r["n"] for r in items.select(F.least(F.size(F.filter(F.split("text", r"[ \t-\r]+"), lambda x: x != "")), F.lit(max(map(len, MASKS)))).alias("n")).distinct().collect()}
+    lengths = {r["n"] for r in items.select("text").mapInArrow(_lengths, "n long").distinct().collect()}
     wanted = items.mapInArrow(_emit(lengths, True), "seed long, id long").withColumnRenamed("id", "item_id").distinct()
     met = texts.where("doc_id is not null").mapInArrow(_emit(lengths, False), "seed long, id long").join(wanted, "seed").select(F.col("id").alias("doc_id"), "item_id").distinct()
     pairs = met.join(texts, "doc_id").join(items.withColumnRenamed("text", "item_text"), "item_id").select("doc_id", "text", "item_id", "item_text")
