@@ -1,6 +1,6 @@
 """Toxicity by a weighted lexicon.
 
-Texts are folded (A-Z lower-cased, homoglyphs and digit substitutions to Latin letters, punctuation to spaces)
+Texts are folded (lower-cased, homoglyphs and digit substitutions to Latin letters, punctuation to spaces)
 and matched by Aho-Corasick against entries anchored at the start of a word. Entries are words and word stems
 whose documents are labelled toxic far more often than others; their weights are smoothed log odds. Words that
 start like an entry but are seen in clean documents are the exception phrases: they match at the same place and
@@ -45,7 +45,7 @@ _FOLD = {ord(k): v for k, v in HOMOGLYPHS.items()} | {c: " " for c in range(128)
 
 def folded(text: str | None) -> str:
     """The folded text with a space before each word and at the end."""
-    return f" {(text or '').translate(_FOLD)} "
+    return f" {(text or '').lower().translate(_FOLD)} "
 
 
 def _terms(text: str) -> set[str]:
@@ -126,10 +126,10 @@ def _measured(lexicon: Lexicon, extra: str):
 
 
 def _choose(terms: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> tuple[tuple[tuple[str, float], ...], tuple[str, ...]]:
-    """Entries by falling weight, without those that a chosen stem already covers; then the exceptions."""
+    """Entries by falling evidence (toxic documents times weight), without those that a chosen stem already covers; then the exceptions."""
     odds = lambda a, b: float(np.log((a + 0.5) / (n_toxic + 1)) - np.log((b + 0.5) / (n_clean + 1)))
     entries: dict[str, float] = {}
-    for term, a, b in sorted(terms, key=lambda x: (-odds(x[1], x[2]), len(x[0]), x[0])):
+    for term, a, b in sorted(terms, key=lambda x: (-x[1] * odds(x[1], x[2]), len(x[0]), x[0])):
         w = odds(a, b)
         # the odds must also hold if a few more clean documents had the term
         if a < max(MIN_DOCS, MIN_TOXIC_SHARE * n_toxic) or w < MIN_WEIGHT or odds(a, b + 1.5) < 1.5 or any(term[:k] in entries for k in range(2, len(term))):
