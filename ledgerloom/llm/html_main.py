@@ -2,10 +2,10 @@
 
 Markup is stripped into lines, one per block element; what stands in menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments counts as a line without text, as do lines that are mostly
-links. Text lengths are summed over sliding windows of lines; the text surges where a window reaches SURGE
-characters after one that did not, and dives where a window falls to nothing; of the stretches between surge and
-dive the one with the most text is kept whole, short lines included. Where the page marks its article, the marks
-are the surge and the dive.
+links. Text lengths are summed over sliding windows of lines; a stretch of text dives where a window falls to
+nothing or junk cuts it, and surges if one of its windows reaches SURGE characters. Of the surging stretches the one
+with the most text is kept whole, short lines included. Where the page marks its article, the lines outside count as
+lines without text, and every stretch inside is kept.
 
 Character references are decoded after the markup is gone; white space inside a block becomes one space. Null,
 empty and text-free pages give the empty text. Unclosed and truncated markup is allowed. Repeated rows are
@@ -95,25 +95,22 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
 
 def main_text(page: str | None) -> str:
-    """The text between the surge and the dive of a page."""
+    """The text between surge and dive: of a marked article every stretch, else the one with the most text."""
     lines = lines_of(page or "")
-    if any(inside and text for text, _, inside in lines):
-        return "\n".join(text for text, _, inside in lines if inside and text)
-    size = [0 if linked > LINK_SHARE * len(text) else len(text) for text, linked, _ in lines]
-    best, start, total = (0, 0, 0), None, 0
+    marked = any(inside and text for text, _, inside in lines)
+    size = [0 if (not inside if marked else linked > LINK_SHARE * len(text)) else len(text) for text, linked, inside in lines]
+    sums = [sum(size[i : i + WINDOW]) for i in range(len(size))]
+    stretches, start = [], None
     for i in range(len(size) + 1):
-        window = sum(size[i : i + WINDOW])
-        if start is None and window >= SURGE and size[i]:
-            start, total = i, 0
-        if start is not None:
-            if i == len(size) or not window or lines[i][0] == "":
-                best = max(best, (total, start, i), key=lambda x: (x[0], -x[1]))
-                start = None
-            else:
-                total += size[i]
-    if not best[0]:  # nothing surges: what text there is
-        return "\n".join(text for (text, _, _), n in zip(lines, size, strict=True) if n)
-    return "\n".join(text for (text, _, _), n in zip(lines[best[1] : best[2]], size[best[1] : best[2]], strict=True) if n)
+        if i == len(size) or not sums[i] or not lines[i][0]:
+            if start is not None:
+                stretches.append((start, i))
+            start = None
+        elif start is None and size[i]:
+            start = i
+    surging = [(a, b) for a, b in stretches if max(sums[a:b]) >= SURGE]
+    kept = stretches if marked or not surging else [max(surging, key=lambda x: (sum(size[x[0] : x[1]]), -x[0]))]
+    return "\n".join(text for a, b in kept for (text, _, _), n in zip(lines[a:b], size[a:b], strict=True) if n)
 
 
 def _extract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
