@@ -72,7 +72,7 @@ def mix_sources(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: f
     ordered = Window.partitionBy("source").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, -1)
     last = placed.where("bucket = cut").withColumn("upto", F.col("before") + F.coalesce(F.sum("size").over(ordered), F.lit(0)))
     # the document that crosses the target is taken if that comes nearer to it
-    last = last.withColumn("extra", (F.col("upto") + F.col("size") / 2 <= F.col("part")).cast("long")).drop("upto")
+    last = last.withColumn("extra", ((F.col("part") > 0) & (F.col("upto") + F.col("size") / 2 <= F.col("part"))).cast("long")).drop("upto")
     return whole.unionByName(last).withColumn("repeats", F.col("epochs") + F.col("extra")).select("doc_id", "source", "size", "source_size", "target", "epochs", "repeats", (F.col("size") * F.col("repeats")).alias("taken"), *keep)
 
 
