@@ -157,9 +157,9 @@ def drop_contradictions(spark, sf_dir):
     return _days(clean.drop_contradictions(adapter.facts(spark, sf_dir)).withColumnRenamed("end", "end_"))
 
 
-@_query(_with(FACTS) + " SELECT adsh, tag, round(CASE WHEN start = end_ THEN abs(value) ELSE abs(value / greatest(datediff('day', start, end_), 90) * 90) END, 4) AS value_adj FROM facts")
+@_query(_with(FACTS) + " SELECT adsh, tag, CASE WHEN start = end_ THEN abs(value) ELSE abs(value / greatest(datediff('day', start, end_), 90) * 90) END AS value_adj FROM facts")
 def value_adj(spark, sf_dir):
-    return adapter.facts(spark, sf_dir).select("adsh", "tag", F.round(scalars.value_adj(F.col("start"), F.col("end"), F.col("value")), 4).alias("value_adj"))
+    return adapter.facts(spark, sf_dir).select("adsh", "tag", scalars.value_adj(F.col("start"), F.col("end"), F.col("value")).alias("value_adj"))
 
 
 @_query(_with(FACTS) + " SELECT adsh, tag, value * 1e8 AS value FROM facts WHERE value * 1e8 <= 5e12 OR tag IN ('NotionalAmountOfDerivatives', 'DerivativeNotionalAmount', 'DerivativeAssetNotionalAmount', 'DerivativeLiabilityNotionalAmount')")
@@ -395,7 +395,7 @@ def apply_arcs_by_version(spark, sf_dir):
     return arcs.apply_arcs_by_version(adapter.arc_figures(spark, sf_dir), adapter.arc_submissions(spark, sf_dir), adapter.arcs(spark)).select("adsh", "tag", "reported_figure", "is_computed")
 
 
-@_query(_with(PRICES) + " SELECT 'soi' AS statement, 'XY' AS \"from\", 2 AS n_terms, count(*) AS n_tests, 0 AS n_fail, true AS kept FROM price WHERE adsh % 4 <> 0 UNION ALL SELECT 'sfp', 'GAP', 2, count(*), sum(CASE WHEN adsh % 4 = 1 THEN 1 ELSE 0 END), false FROM price")
+@_query(_with(PRICES) + " SELECT 'soi' AS statement, 'XY' AS \"from\", CAST(2 AS BIGINT) AS n_terms, count(*) AS n_tests, CAST(0 AS BIGINT) AS n_fail, true AS kept FROM price WHERE adsh % 4 <> 0 UNION ALL SELECT 'sfp', 'GAP', 2, count(*), count(CASE WHEN adsh % 4 = 1 THEN 1 END), false FROM price")
 def filter_unreliable_arcs(spark, sf_dir):
     rows, sub = adapter.arc_figures(spark, sf_dir), adapter.arc_submissions(spark, sf_dir)
     kept, stats = arcs.filter_unreliable_arcs(rows, sub, adapter.arcs(spark))
@@ -464,14 +464,14 @@ def filter_arcs_to_universe(spark, sf_dir):
 
 @_query(
     _with(SUB)
-    + """ SELECT count(*) AS n_rows, count_if(adsh >= 10000000000000000) AS adsh_too_large, 0 AS sic_too_large, count_if(year(period) <= 1996 OR year(period) >= 2030) AS period_year, count_if(year(accepted) <= 1996 OR year(accepted) >= 2030) AS accepted_year,
-         count_if(is_amended <> (amendment_adsh <> 0)) AS flag_without_link, count_if(version = 0) AS no_version, count_if(version <> 0 AND (version < 2008 OR version > year(accepted) + 3)) AS version_range, count_if(form NOT IN ('10-Q', '10-K', '10-Q/A', '10-K/A')) AS form, count_if(period > CAST(accepted AS DATE)) AS period_after_acceptance FROM sub"""
+    + """ SELECT count(*) AS n_rows, CAST(count_if(adsh >= 10000000000000000) AS BIGINT) AS adsh_too_large, CAST(0 AS BIGINT) AS sic_too_large, CAST(count_if(year(period) <= 1996 OR year(period) >= 2030) AS BIGINT) AS period_year, CAST(count_if(year(accepted) <= 1996 OR year(accepted) >= 2030) AS BIGINT) AS accepted_year,
+         CAST(count_if(is_amended <> (amendment_adsh <> 0)) AS BIGINT) AS flag_without_link, CAST(count_if(version = 0) AS BIGINT) AS no_version, CAST(count_if(version <> 0 AND (version < 2008 OR version > year(accepted) + 3)) AS BIGINT) AS version_range, CAST(count_if(form NOT IN ('10-Q', '10-K', '10-Q/A', '10-K/A')) AS BIGINT) AS form, CAST(count_if(period > CAST(accepted AS DATE)) AS BIGINT) AS period_after_acceptance FROM sub"""
 )
 def check_submissions(spark, sf_dir):
     return checks.submission_violations(adapter.submissions(spark, sf_dir).withColumn("sic", F.lit(0)), first_year=1996)
 
 
-@_query(_with(SUB, FACTS) + " SELECT count(*) AS n_rows, count_if(start > end_) AS start_after_end, 0 AS orphans, (SELECT count(*) FROM sub WHERE adsh NOT IN (SELECT adsh FROM facts)) AS empty_filings FROM facts")
+@_query(_with(SUB, FACTS) + " SELECT count(*) AS n_rows, CAST(count_if(start > end_) AS BIGINT) AS start_after_end, CAST(0 AS BIGINT) AS orphans, (SELECT count(*) FROM sub WHERE adsh NOT IN (SELECT adsh FROM facts)) AS empty_filings FROM facts")
 def check_facts(spark, sf_dir):
     return checks.fact_violations(adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir))
 
@@ -498,7 +498,7 @@ def company_facts(spark, sf_dir):
     return _days(landed.parse_company_facts(docs).withColumnRenamed("end", "end_"))
 
 
-@_query(_with(SUB) + " SELECT adsh, cik, 0 AS sic, form, CAST(period AS VARCHAR) AS period, strftime(accepted, '%Y-%m-%d %H:%M:%S') AS accepted FROM sub")
+@_query(_with(SUB) + " SELECT adsh, cik, CAST(0 AS BIGINT) AS sic, form, CAST(period AS VARCHAR) AS period, strftime(accepted, '%Y-%m-%d %H:%M:%S') AS accepted FROM sub")
 def bulk_submissions(spark, sf_dir):
     """Filings written as one JSON document of parallel arrays per company, and read back."""
     rows = adapter.submissions(spark, sf_dir)
@@ -509,7 +509,7 @@ def bulk_submissions(spark, sf_dir):
     return landed.parse_bulk_submissions(docs).select("adsh", "cik", "sic", "form", F.col("period").cast("string").alias("period"), F.date_format("accepted", "yyyy-MM-dd HH:mm:ss").alias("accepted"))
 
 
-@_query(_with(SUB) + " SELECT adsh, cik, 0 AS sic, form, CAST(period AS VARCHAR) AS period, version FROM sub")
+@_query(_with(SUB) + " SELECT adsh, cik, CAST(0 AS BIGINT) AS sic, form, CAST(period AS VARCHAR) AS period, version FROM sub")
 def fsd_submissions(spark, sf_dir):
     sub = adapter.submissions(spark, sf_dir)
     text = sub.select(_ACCESSION.alias("adsh"), F.col("cik").cast("string").alias("cik"), F.lit(None).cast("string").alias("sic"), "form", F.date_format("period", "yyyyMMdd").alias("period"), F.col("accepted").cast("string").alias("accepted"), F.lit("x.xml").alias("instance"))
