@@ -114,8 +114,9 @@ def _grow(binned: np.ndarray, target: np.ndarray, rows: np.ndarray, features: np
 def _lasso_logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 400) -> tuple[float, np.ndarray]:
     """Accelerated proximal gradient; the intercept is not penalised."""
     n, m = x.shape
-    x1 = np.hstack([x, np.ones((n, 1), x.dtype)])
-    v = np.ones(m + 1, x.dtype)
+    x1 = np.ones((n, m + 1))
+    x1[:, :m] = x
+    v = np.ones(m + 1)
     for _ in range(20):
         v = x1.T @ (x1 @ v)
         v /= np.linalg.norm(v)
@@ -149,7 +150,7 @@ def fit_rules(x: np.ndarray, y: np.ndarray, *, seed: int = 7, trees: int = TREES
         paths.update(dict.fromkeys(p for p in found if all(at < len(cuts[f]) for f, _, at in p)))
     held = lambda p: np.logical_and.reduce([(binned[:, f] <= at) if side == "<=" else (binned[:, f] > at) for f, side, at in p])
     kept = list(paths)
-    matrix = np.stack([held(p) for p in kept], axis=1).astype(np.float32) if kept else np.zeros((len(y), 0), np.float32)
+    matrix = np.stack([held(p) for p in kept], axis=1) if kept else np.zeros((len(y), 0), bool)
     intercept, weights = _lasso_logistic(matrix, y, penalty)
     rules = tuple((float(w), tuple((STATISTICS[f], side, float(cuts[f][at])) for f, side, at in p)) for w, p in zip(weights, kept, strict=True) if abs(w) > 1e-4)
     return RuleModel(intercept, rules)
