@@ -552,7 +552,7 @@ def xbrl_instances(spark, sf_dir):
     context = F.concat(F.lit('<context id="c1"><entity><identifier scheme="x">'), F.col("o_custkey").cast("string"), F.lit("</identifier></entity><period><instant>"), F.to_date("o_orderdate").cast("string"), F.lit("</instant></period></context>"))
     units = F.lit('<unit id="usd"><measure>iso4217:USD</measure></unit><unit id="kg"><measure>kg</measure></unit>')
     docs = rows.groupBy((F.col("l_orderkey") + 1).alias("adsh"), F.col("o_custkey").alias("cik"), context.alias("c")).agg(F.array_join(F.collect_list(fact), "\n").alias("f")).select("adsh", "cik", F.concat(F.lit("<xbrl>"), "c", units, "f", F.lit("</xbrl>")).alias("content"))
-    return landed.parse_xbrl_instances(docs).select("adsh", "tag", F.col("end").cast("string").alias("end_"), "value")
+    return landed.read_xbrl_instances(docs).select("adsh", "tag", F.col("end").cast("string").alias("end_"), "value")
 
 
 @_query(_with(SUB, FACTS) + " SELECT adsh, 'no facts' AS what FROM sub WHERE adsh NOT IN (SELECT adsh FROM facts) UNION ALL SELECT DISTINCT adsh, 'no metadata' FROM facts WHERE adsh NOT IN (SELECT adsh FROM sub WHERE version <> 0)")

@@ -24,6 +24,11 @@ def remove_infrequent_tags(figures: DataFrame) -> DataFrame:
     return figures.join(kept, "tag", "left_semi").where("reported_figure is not null")
 
 
+def sub_metadata_join(wide: DataFrame, sub: DataFrame) -> DataFrame:
+    """Rows per filing with the typed columns of its submission."""
+    return wide.join(sub, "adsh", "left")
+
+
 def pivot_figures(figures: DataFrame, sub: DataFrame, *, tags: list[str] | None = None) -> DataFrame:
     """One row per filing with figures: {tag}_q, _q_py, _a, _a_py and the columns of its submission.
 
@@ -39,7 +44,7 @@ def pivot_figures(figures: DataFrame, sub: DataFrame, *, tags: list[str] | None
     else:
         wide = figures.groupBy("adsh").pivot("tag", tags).agg(*[F.first(c).alias(c) for c in SUFFIXES]) if tags else figures.select("adsh").distinct()
         wide = wide.withColumnsRenamed({f"{t}_{c}": f"{t}{s}" for t in tags for c, s in SUFFIXES.items()})
-    return wide.join(sub, "adsh", "left")
+    return sub_metadata_join(wide, sub)
 
 
 def transform_and_pivot_figures(figures: DataFrame, sub: DataFrame, *, tol_days: int = POLICY.prior_year_tolerance_days, match_form_family: bool = True, tags: list[str] | None = None) -> DataFrame:

@@ -54,6 +54,11 @@ def semi_known(sub: DataFrame, facts: DataFrame) -> DataFrame:
     return sub.join(facts.select("adsh").distinct(), "adsh", "left_semi")
 
 
+def anti_versioned(sub: DataFrame, versioned: DataFrame) -> DataFrame:
+    """Filings that no versioned source has."""
+    return sub.join(versioned.select("adsh"), "adsh", "left_anti")
+
+
 def reports_without_facts(sub: DataFrame, facts: DataFrame) -> DataFrame:
     return sub.join(facts.select("adsh").distinct(), "adsh", "left_anti")
 
@@ -74,10 +79,8 @@ def combine_submission_sources(quarterly: DataFrame, bulk: DataFrame, looked_up:
     from ..sources.landed import scan_taxonomy_version
 
     versioned = one_row_per_filing(quarterly.where("version <> 0"))
-    rest = one_row_per_filing(bulk.withColumn("version", F.lit(0))).join(versioned, "adsh", "left_anti")
-    rest = semi_known(rest, facts)
-    extra = one_row_per_filing(looked_up.withColumn("version", F.lit(0))).join(versioned.select("adsh").union(rest.select("adsh")), "adsh", "left_anti")
-    extra = semi_known(extra, facts)
+    rest = semi_known(anti_versioned(one_row_per_filing(bulk.withColumn("version", F.lit(0))), versioned), facts)
+    extra = semi_known(anti_versioned(one_row_per_filing(looked_up.withColumn("version", F.lit(0))), versioned.select("adsh").union(rest.select("adsh"))), facts)
     scanned = scan_taxonomy_version(rest.unionByName(extra, allowMissingColumns=True), documents)
     both = filter_forms(versioned.unionByName(scanned, allowMissingColumns=True))
     out = attach_tickers(amendment_flags(both), tickers)

@@ -129,7 +129,7 @@ def _attribute(element: str, name: str) -> Column:
     return F.nullif(F.regexp_extract(element, rf'\b{name}="([^"]*)"', 1), F.lit(""))
 
 
-def parse_xbrl_instances(docs: DataFrame, tags: DataFrame | None = None) -> DataFrame:
+def read_xbrl_instances(docs: DataFrame, tags: DataFrame | None = None) -> DataFrame:
     """Facts from instance documents (adsh, cik, content): contexts of the filing's own company, units of money and shares.
 
     A nil fact is 0, a value that is no number is dropped. Dimensional contexts are not told apart; facts that
@@ -150,7 +150,7 @@ def parse_xbrl_instances(docs: DataFrame, tags: DataFrame | None = None) -> Data
     return facts.where("value is not null").join(units, ["adsh", "unit"]).join(contexts, ["adsh", "context"]).select("adsh", "tag", "start", "end", "value")
 
 
-def parse_filing_summary(docs: DataFrame) -> DataFrame:
+def read_filing_summary(docs: DataFrame) -> DataFrame:
     """(adsh, file, namespaces) from filing summaries (adsh, content): the first input file of an allowed type, and the dei and us-gaap namespaces."""
     files = F.regexp_extract_all("content", F.lit(r"(?s)<File\b[^>]*>[^<]*</File>"), F.lit(0))
     allowed = F.filter(files, lambda e: F.regexp_extract(e, r'\bdoctype="([^"]*)"', 1).isin(*POLICY.forms))
@@ -194,4 +194,4 @@ def backfill_missing_facts(facts: DataFrame, sub: DataFrame, instances: DataFram
     from ..operators.submissions import reports_without_facts
 
     bare = reports_without_facts(sub, facts).select("adsh", "cik").join(instances, "adsh")
-    return facts.unionByName(parse_xbrl_instances(bare, tags))
+    return facts.unionByName(read_xbrl_instances(bare, tags))

@@ -328,12 +328,12 @@ def test_landed_instances(spark):
     <us-gaap:Euro contextRef="c1" unitRef="e">4</us-gaap:Euro><us-gaap:Text contextRef="c1" unitRef="u">words</us-gaap:Text></xbrl>"""
     docs = spark.createDataFrame([(1, 5, doc)], "adsh long, cik long, content string")
     want = [(1, "Cash", D("2023-12-31"), D("2023-12-31"), 0.0), (1, "Revenue", D("2023-01-01"), D("2023-12-31"), 10.0)]
-    assert rows(landed.parse_xbrl_instances(docs)) == want
+    assert rows(landed.read_xbrl_instances(docs)) == want
     sub = spark.createDataFrame([(1, 5), (2, 5)], "adsh long, cik long")
     have = facts(spark, (2, "A", "2023-01-01", "2023-12-31", 1.0))
     assert landed.backfill_missing_facts(have, sub, docs.select("adsh", "content")).count() == 3
     summary = '<R><InputFiles><File doctype="EX">a.htm</File><File doctype="10-K">x.htm.htm</File></InputFiles><BaseTaxonomies><BaseTaxonomy>http://fasb.org/us-gaap/2023</BaseTaxonomy></BaseTaxonomies></R>'
-    got = landed.parse_filing_summary(spark.createDataFrame([(1, summary)], "adsh long, content string")).first()
+    got = landed.read_filing_summary(spark.createDataFrame([(1, summary)], "adsh long, content string")).first()
     assert got["file"] == "x.htm.htm" and got["namespaces"] == ["http://fasb.org/us-gaap/2023"]
     names = spark.createDataFrame([("x.htm.htm",), ("y.xml",)], "f string")
     assert rows(names.select(scalars.instance_file_name(F.col("f")))) == [("x.htm_htm.xml",), ("y.xml",)]
