@@ -485,14 +485,17 @@ def check_golden_rows(spark, sf_dir):
 
 # ---- landed inputs, made of the driver's tables
 
-_ACCESSION = F.regexp_replace(F.lpad(F.col("adsh").cast("string"), 18, "0"), r"^(\d{10})(\d{2})(\d{6})$", "$1-$2-$3")
+
+def _accession():
+    """Accession numbers with dashes."""
+    return F.regexp_replace(scalars.long_to_accession(F.col("adsh")), r"^(\d{10})(\d{2})(\d{6})$", "$1-$2-$3")
 
 
 @_query(_with(SUB, FACTS) + " SELECT f.adsh, f.tag, CAST(f.start AS VARCHAR) AS start, CAST(f.end_ AS VARCHAR) AS end_, f.value FROM facts f JOIN sub s ON f.adsh = s.adsh WHERE s.form IN ('10-Q', '10-K', '10-Q/A', '10-K/A')")
 def company_facts(spark, sf_dir):
     """Facts written as one JSON document per company, and read back."""
     rows = adapter.facts(spark, sf_dir).join(adapter.submissions(spark, sf_dir).select("adsh", "cik", "form"), "adsh")
-    item = F.struct(F.col("end").cast("string").alias("end"), _ACCESSION.alias("accn"), F.col("value").alias("val"), "form", F.when(F.col("start") != F.col("end"), F.col("start").cast("string")).alias("start"))
+    item = F.struct(F.col("end").cast("string").alias("end"), _accession().alias("accn"), F.col("value").alias("val"), "form", F.when(F.col("start") != F.col("end"), F.col("start").cast("string")).alias("start"))
     unit = rows.groupBy("cik", "tag").agg(F.collect_list(item).alias("items")).select("cik", "tag", F.struct(F.create_map(F.lit("USD"), F.col("items")).alias("units")).alias("body"))
     docs = unit.groupBy("cik").agg(F.map_from_entries(F.collect_list(F.struct("tag", "body"))).alias("tags")).select(F.to_json(F.struct("cik", F.create_map(F.lit("us-gaap"), F.col("tags")).alias("facts"))).alias("content"))
     return _days(landed.parse_company_facts(docs).withColumnRenamed("end", "end_"))
@@ -502,7 +505,7 @@ def company_facts(spark, sf_dir):
 def bulk_submissions(spark, sf_dir):
     """Filings written as one JSON document of parallel arrays per company, and read back."""
     rows = adapter.submissions(spark, sf_dir)
-    each = F.struct(_ACCESSION.alias("a"), F.col("form").alias("f"), F.col("period").cast("string").alias("r"), F.date_format("accepted", "yyyy-MM-dd'T'HH:mm:ss'.000Z'").alias("t"))
+    each = F.struct(_accession().alias("a"), F.col("form").alias("f"), F.col("period").cast("string").alias("r"), F.date_format("accepted", "yyyy-MM-dd'T'HH:mm:ss'.000Z'").alias("t"))
     lists = rows.groupBy("cik").agg(F.collect_list(each).alias("e"))
     recent = F.struct(F.col("e.a").alias("accessionNumber"), F.col("e.f").alias("form"), F.col("e.r").alias("reportDate"), F.col("e.t").alias("acceptanceDateTime"), F.col("e.a").alias("primaryDocument"))
     docs = lists.select(F.to_json(F.struct(F.col("cik").cast("string").alias("cik"), F.lit("").alias("sic"), F.struct(recent.alias("recent")).alias("filings"))).alias("content"))
@@ -512,8 +515,8 @@ def bulk_submissions(spark, sf_dir):
 @_query(_with(SUB) + " SELECT adsh, cik, CAST(0 AS BIGINT) AS sic, form, CAST(period AS VARCHAR) AS period, version FROM sub")
 def fsd_submissions(spark, sf_dir):
     sub = adapter.submissions(spark, sf_dir)
-    text = sub.select(_ACCESSION.alias("adsh"), F.col("cik").cast("string").alias("cik"), F.lit(None).cast("string").alias("sic"), "form", F.date_format("period", "yyyyMMdd").alias("period"), F.col("accepted").cast("string").alias("accepted"), F.lit("x.xml").alias("instance"))
-    num = sub.where("version <> 0").select(_ACCESSION.alias("adsh"), F.explode(F.array(F.concat(F.lit("us-gaap/"), F.col("version").cast("string")), F.lit("dei/2001"))).alias("version"))
+    text = sub.select(_accession().alias("adsh"), F.col("cik").cast("string").alias("cik"), F.lit(None).cast("string").alias("sic"), "form", F.date_format("period", "yyyyMMdd").alias("period"), F.col("accepted").cast("string").alias("accepted"), F.lit("x.xml").alias("instance"))
+    num = sub.where("version <> 0").select(_accession().alias("adsh"), F.explode(F.array(F.concat(F.lit("us-gaap/"), F.col("version").cast("string")), F.lit("dei/2001"))).alias("version"))
     return landed.join_fsd(text, num).select("adsh", "cik", "sic", "form", F.col("period").cast("string").alias("period"), "version")
 
 

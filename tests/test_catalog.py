@@ -1,6 +1,8 @@
 """Every registered query with SQL gives DuckDB's rows on the smallest tables; signatures are spread like a plain loop does it."""
 
 import math
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -65,6 +67,13 @@ def test_entry(spark):
     assert not math.isnan(len(__spark_entry__.queries()))
 
 
+@pytest.mark.parametrize("block", ["", "sys.modules['corpus_pipeline'] = None; "])
+def test_import_needs_no_session_nor_the_other_half(block):
+    code = f"import sys; {block}import __spark_entry__ as e; print(len(e.queries()), any(k.startswith('op') for k in e.queries()))"
+    said = subprocess.run([sys.executable, "-B", "-c", code], cwd=Path(__file__).parent.parent, capture_output=True, text=True, check=True).stdout.split()
+    assert int(said[0]) >= len(catalog.queries()) and (said[1] == "False" or not block)
+
+
 def test_no_python_in_plans(spark):
     for name in ("period_values", "transform_and_pivot", "company_facts"):
         plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
