@@ -14,6 +14,8 @@ the largest counts. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -170,9 +172,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", sample:
     stems = [t for t, _ in entries if not t.endswith(" ")]
     exceptions: tuple[str, ...] = ()
     if stems:
-        starts = F.lit(False)
-        for t in stems[:400]:
-            starts = starts | F.col("term").startswith(t)
+        sizes = sorted({len(t) for t in stems})
+        starts = functools.reduce(operator.or_, [F.substring("term", 1, n).isin(*[t for t in stems if len(t) == n]) for n in sizes])
         more = terms.where(F.col("term").endswith(" ") & (F.col("clean") >= 2) & starts).orderBy(F.col("clean").desc(), "term").limit(MAX_ENTRIES).collect()
         _, exceptions = _choose(chosen + [(r["term"], r["toxic"], r["clean"]) for r in more], n_toxic, n_clean)
     lexicon = Lexicon(entries, exceptions)
