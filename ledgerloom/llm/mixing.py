@@ -25,6 +25,8 @@ WEIGHTS = (5, 2, 1)
 SEED = "mix-1"
 #: Hex digits of the seeded hash that name a bucket: 16**BUCKET_DIGITS buckets in a source.
 BUCKET_DIGITS = 4
+#: Sources up to this number are broadcast (some 20 MB); more are joined by shuffling, where Spark splits skewed ones.
+BROADCAST_SOURCES = 200_000
 
 
 def n_words(text: Column) -> Column:
@@ -66,8 +68,9 @@ def mix_sources(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: f
     edges = plan.withColumnRenamed("source", "s2").join(cuts, F.col("s").eqNullSafe(F.col("s2"))).where((F.col("before") <= F.col("part")) & (F.col("part") < F.col("before") + F.col("words")))
     edges = edges.groupBy("s").agg(F.max(F.struct("bucket", "before")).alias("cut"))
     per_source = plan.join(edges, F.col("source").eqNullSafe(F.col("s")), "left").select(F.col("source").alias("of"), "source_size", "target", "epochs", "part", F.col("cut.bucket").alias("cut"), F.col("cut.before").alias("before"))
-    # one row a source: small enough to broadcast unless there are very many, which Spark sees by its own threshold
-    placed = rows.join(per_source, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    # one row a source, so that neither a hot source nor the columns in `keep` are shuffled
+    few = docs.select("source").distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    placed = rows.join(F.broadcast(per_source) if few else per_source, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     whole = placed.where("cut is null or bucket <> cut").withColumn("extra", F.coalesce(F.col("bucket") < F.col("cut"), F.lit(False)).cast("long"))
     ordered = Window.partitionBy("source").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, -1)
     last = placed.where("bucket = cut").withColumn("upto", F.col("before") + F.coalesce(F.sum("size").over(ordered), F.lit(0)))
