@@ -3,9 +3,10 @@
 Markup is stripped into lines, one per block element; what stands in menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments counts as a line without text, as do lines that are mostly
 links. Text lengths are summed over sliding windows of lines; a stretch of text dives where a window falls to
-nothing or junk cuts it, and surges if one of its windows reaches SURGE characters. Of the surging stretches the one
-with the most text is kept whole, short lines included. Where the page marks its article, the lines outside count as
-lines without text, and every stretch inside is kept.
+nothing. Junk inside a stretch cuts it into pieces, and a piece surges if one of its windows reaches SURGE characters.
+Every stretch with a surge is kept from its first surging piece to its last, short lines included; if nothing surges,
+all text is. Where the page marks its article, the lines outside count as lines without text, and every stretch
+inside is kept.
 
 Character references are decoded after the markup is gone; white space inside a block becomes one space. Null,
 empty and text-free pages give the empty text. Unclosed and truncated markup is allowed. Repeated rows are
@@ -94,22 +95,38 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return out
 
 
+def _between(size: list[int]) -> list[tuple[int, int]]:
+    """The stretches between dives: runs of at least WINDOW lines without text, whose windows hold nothing."""
+    out, start, i = [], 0, 0
+    while i < len(size):
+        j = i
+        while j < len(size) and not size[j]:
+            j += 1
+        if j - i >= WINDOW:
+            out.append((start, i))
+            start = j
+        i = j + 1
+    out.append((start, len(size)))
+    return [(a, b) for a, b in out if a < b]
+
+
+def _surges(size: list[int], a: int, b: int) -> bool:
+    return any(sum(size[i : min(i + WINDOW, b)]) >= SURGE for i in range(a, b))
+
+
 def main_text(page: str | None) -> str:
-    """The text between surge and dive: of a marked article every stretch, else the one with the most text."""
+    """The text between surge and dive: of a marked article every stretch, else from the first to the last surge of each."""
     lines = lines_of(page or "")
     marked = any(inside and text for text, _, inside in lines)
     size = [0 if (not inside if marked else linked > LINK_SHARE * len(text)) else len(text) for text, linked, inside in lines]
-    sums = [sum(size[i : i + WINDOW]) for i in range(len(size))]
-    stretches, start = [], None
-    for i in range(len(size) + 1):
-        if i == len(size) or not sums[i] or not lines[i][0]:
-            if start is not None:
-                stretches.append((start, i))
-            start = None
-        elif start is None and size[i]:
-            start = i
-    surging = [(a, b) for a, b in stretches if max(sums[a:b]) >= SURGE]
-    kept = stretches if marked or not surging else [max(surging, key=lambda x: (sum(size[x[0] : x[1]]), -x[0]))]
+    stretches, kept = _between(size), []
+    for a, b in stretches:
+        cuts = [a - 1, *(i for i in range(a, b) if not lines[i][0]), b]
+        surging = [(x + 1, y) for x, y in zip(cuts, cuts[1:], strict=False) if _surges(size, x + 1, y)]
+        if surging:
+            kept.append((surging[0][0], surging[-1][1]))
+    if marked or not kept:
+        kept = stretches
     return "\n".join(text for a, b in kept for (text, _, _), n in zip(lines[a:b], size[a:b], strict=True) if n)
 
 

@@ -412,6 +412,15 @@ def test_main_text():
     assert html_main.main_text("<article><p>cut &am") == "cut &am"
 
 
+def test_main_text_junk_inside_unmarked_article():
+    first, second, third = (f"The {n} part of the article is a sentence long enough to surge all by itself, whatever stands beside it." for n in ("first", "second", "third"))
+    advert, aside = "<div class='ad'>Buy now</div>", "<aside>See also</aside>"
+    page = f"<body><p>Home</p><nav>Menu</nav><div><p>{first}</p>{advert}<p>{second}</p>{aside}<p>Short.</p><form>Mail?</form><p>{third}</p></div><footer>f</footer><p>Imprint</p></body>"
+    assert html_main.main_text(page) == "\n".join([first, second, "Short.", third])
+    links = "".join(f"<li><a href='{k}'>Link {k}</a></li>" for k in range(5))
+    assert html_main.main_text(f"<body><p>{first}</p><ul>{links}</ul><p>{second}</p>{advert * 4}<p>{third}</p></body>") == "\n".join([first, second, third])
+
+
 def test_pages_keep_rows(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<article>a</article>"), (2, "u", "<article>a</article>"), (None, "v", "")], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     got = html_main.extract_pages(pages)
