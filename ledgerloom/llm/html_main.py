@@ -5,8 +5,9 @@ adverts, forms, scripts, styles and reader comments counts as a line without tex
 links. Text lengths are summed over sliding windows of lines; a stretch of text dives where a window falls to
 nothing. Junk inside a stretch cuts it into pieces, and a piece surges if one of its windows reaches SURGE characters.
 Every stretch with a surge is kept from its first surging piece to its last, short lines included; if nothing surges,
-all text is. Where the page marks its article, the lines outside count as lines without text, and every stretch
-inside is kept.
+all text is. Where the page marks its article, only its lines are looked at, and dives cut it too, so runs of link
+lines inside it go, while fewer than WINDOW of them together stay. There the mark stands for a surge: only a stretch
+that lies between two dives must surge. An article of nothing but links is kept whole.
 
 Character references are decoded after the markup is gone; white space inside a block becomes one space. Null,
 empty and text-free pages give the empty text. Unclosed and truncated markup is allowed. Repeated rows are
@@ -95,18 +96,18 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return out
 
 
-def _between(size: list[int]) -> list[tuple[int, int]]:
-    """The stretches between dives: runs of at least WINDOW lines without text, whose windows hold nothing."""
-    out, start, i = [], 0, 0
-    while i < len(size):
+def _between(size: list[int], lo: int, hi: int) -> list[tuple[int, int]]:
+    """The stretches of lines lo to hi between dives: runs of at least WINDOW lines without text, whose windows hold nothing."""
+    out, start, i = [], lo, lo
+    while i < hi:
         j = i
-        while j < len(size) and not size[j]:
+        while j < hi and not size[j]:
             j += 1
         if j - i >= WINDOW:
             out.append((start, i))
             start = j
         i = j + 1
-    out.append((start, len(size)))
+    out.append((start, hi))
     return [(a, b) for a, b in out if a < b]
 
 
@@ -114,20 +115,34 @@ def _surges(size: list[int], a: int, b: int) -> bool:
     return any(sum(size[i : min(i + WINDOW, b)]) >= SURGE for i in range(a, b))
 
 
-def main_text(page: str | None) -> str:
-    """The text between surge and dive: of a marked article every stretch, else from the first to the last surge of each."""
-    lines = lines_of(page or "")
-    marked = any(inside and text for text, _, inside in lines)
-    size = [0 if (not inside if marked else linked > LINK_SHARE * len(text)) else len(text) for text, linked, inside in lines]
-    stretches, kept = _between(size), []
+def _of_article(lines: list[tuple[str, int, bool]], size: list[int]) -> list[tuple[int, int]]:
+    """The stretches of the marked articles; a mark stands for the surge of a stretch that it begins or ends."""
+    ends = [i for i in range(len(lines) + 1) if (0 < i and lines[i - 1][2]) != (i < len(lines) and lines[i][2])]
+    articles = list(zip(ends[::2], ends[1::2], strict=True))
+    stretches = [(a, b, a == lo or b == hi) for lo, hi in articles for a, b in _between(size, lo, hi)]
+    if any(_surges(size, a, b) for a, b, _ in stretches):
+        return [(a, b) for a, b, at_mark in stretches if at_mark or _surges(size, a, b)]
+    return [(a, b) for a, b, _ in stretches] if any(size[i] for a, b, _ in stretches for i in range(a, b)) else articles
+
+
+def _of_page(lines: list[tuple[str, int, bool]], size: list[int]) -> list[tuple[int, int]]:
+    """Each stretch of an unmarked page from its first surging piece to its last; junk cuts pieces."""
+    stretches, kept = _between(size, 0, len(lines)), []
     for a, b in stretches:
         cuts = [a - 1, *(i for i in range(a, b) if not lines[i][0]), b]
         surging = [(x + 1, y) for x, y in zip(cuts, cuts[1:], strict=False) if _surges(size, x + 1, y)]
         if surging:
             kept.append((surging[0][0], surging[-1][1]))
-    if marked or not kept:
-        kept = stretches
-    return "\n".join(text for a, b in kept for (text, _, _), n in zip(lines[a:b], size[a:b], strict=True) if n)
+    return kept or stretches
+
+
+def main_text(page: str | None) -> str:
+    """The text between surge and dive; a marked article's stretches also hold their few lines of links."""
+    lines = lines_of(page or "")
+    size = [0 if linked > LINK_SHARE * len(text) else len(text) for text, linked, _ in lines]
+    if any(inside and text for text, _, inside in lines):
+        return "\n".join(text for a, b in _of_article(lines, size) for text, _, _ in lines[a:b] if text)
+    return "\n".join(text for a, b in _of_page(lines, size) for (text, _, _), n in zip(lines[a:b], size[a:b], strict=True) if n)
 
 
 def _extract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

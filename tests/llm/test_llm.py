@@ -421,6 +421,16 @@ def test_main_text_junk_inside_unmarked_article():
     assert html_main.main_text(f"<body><p>{first}</p><ul>{links}</ul><p>{second}</p>{advert * 4}<p>{third}</p></body>") == "\n".join([first, second, third])
 
 
+def test_main_text_dives_inside_marked_article():
+    first, second = (f"The {n} part of the article is a sentence long enough to surge all by itself, whatever stands beside it." for n in ("first", "second"))
+    links = "<ul>" + "".join(f"<li><a href='{k}'>Link {k}</a></li>" for k in range(5)) + "</ul>"
+    page = f"<main>{links}<p>More of it</p>{links}<h1><a href='/'>Head</a></h1><p>{first}</p><p><a href='s'>Source</a></p><p>{second}</p>{links}<p>End.</p></main>"
+    assert html_main.main_text(page) == "\n".join([first, "Source", second, "End."])
+    assert html_main.main_text(f"<article><h1><a href='/'>Head</a></h1><p>Short.</p>{links}<p>{first}</p></article>") == "\n".join(["Head", "Short.", first])
+    assert html_main.main_text(f"<article>{links}<p>Short.</p>{links}</article>") == "Short."
+    assert html_main.main_text(f"<article>{links}</article>").count("Link") == 5
+
+
 def test_pages_keep_rows(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<article>a</article>"), (2, "u", "<article>a</article>"), (None, "v", "")], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     got = html_main.extract_pages(pages)
