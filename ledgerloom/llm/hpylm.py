@@ -7,11 +7,12 @@ Gibbs: the tables of one dish in one restaurant are drawn from their conditional
 and the other dishes' tables, with the sizes of the tables summed out (generalised Stirling numbers) up to
 EXACT customers; what a dish has beyond that is seated in growing groups, each with its expected share of new
 tables. Restaurants that share a parent are sampled side by side with the parent's last state, and the parent
-between the two rounds. Predictive probabilities are averaged over the samples of the last round.
+before each of the two rounds, each of its words once and from its tables of the round before. Predictive probabilities are averaged over the samples of the last round.
 
 How it runs: tasks turn blocks of documents into the block's distinct (context, word) pairs, with their training
 counts and the documents that hold them, dealt out by context; so a pair costs the shuffle one entry per block
-and not one per occurrence. Each part samples its contexts, exchanging with the parent only sums by word; it
+and not one per occurrence. Each part samples its contexts, exchanging with the parent only sums by word; the
+parts of the parent first tell each other their totals. A part of contexts
 then returns to each block one partial sum per document. Nothing is collected or broadcast.
 
 Null and empty texts consist of the end token. Null ids count as the empty text in the split. Repeated rows are
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ._base import Index, fold, hash64, mix64, numbered, shuffle_parts, utf8
@@ -197,53 +198,79 @@ def _discount(ones: float, twos: float) -> float:
     return float(np.clip(ones / (ones + 2 * twos), 0.1, 0.95)) if ones + twos > 0 else 0.75
 
 
-def _to_root(part: _Part, tables: np.ndarray, parts: int, p: int) -> pd.DataFrame:
-    """What a part tells the parent: for each of its words the tables that serve it and the training count."""
+def _to_root(part: _Part, tables: np.ndarray, parts: int, p: int, parent: _Parent | None = None) -> pd.DataFrame:
+    """What a part tells the parent: for each of its words the tables that serve it, the training count and the parent's last tables, if any."""
     served = np.bincount(part.word, weights=tables, minlength=len(part.words)).astype(np.int64)
     seen = np.bincount(part.word, weights=part.count, minlength=len(part.words)).astype(np.int64)
     to = (mix64(part.words) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(to, kind="stable")
     bounds = np.searchsorted(to[order], np.arange(parts + 1))
     ones, twos = int((part.count == 1).sum()), int((part.count == 2).sum())
-    rows = [(q, p, _packed((part.words[m], _slim(served[m]), _slim(seen[m]), ones, twos))) for q in range(parts) for m in (order[bounds[q] : bounds[q + 1]],)]
+    rows = [(q, p, _packed((part.words[m], _slim(served[m]), _slim(seen[m]), ones, twos, None if parent is None else _slim(parent.tables[m])))) for q in range(parts) for m in (order[bounds[q] : bounds[q + 1]],)]
     return pd.DataFrame(rows, columns=["part", "sender", "content"])
 
 
-def _root(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """The parent's answer to each part: customers, tables and training count of each word, and sums over this part of the parent."""
-    rows = rows.sort_values("sender")
-    got = [_unpacked(x) for x in rows["content"]]
-    words, inverse = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
-    served = np.bincount(inverse, weights=np.concatenate([g[1] for g in got]).astype(float), minlength=len(words)).astype(np.int64)
-    seen = np.bincount(inverse, weights=np.concatenate([g[2] for g in got]).astype(float), minlength=len(words)).astype(np.int64)
-    sums = (int(served.sum()), int((seen > 0).sum()), int(seen.sum()), int((served == 1).sum()), int((served == 2).sum()))
-    pairs = (sum(g[3] for g in got), sum(g[4] for g in got))
-    out = []
-    for sender, (sent, *_), at in zip(rows["sender"], got, np.split(inverse, np.cumsum([len(g[0]) for g in got])[:-1]), strict=True):
-        out.append((int(sender), int(key[0]), _packed((_slim(served[at]), _slim(seen[at]), sums, pairs))))
-    return pd.DataFrame(out, columns=["part", "sender", "content"])
+class _Told:
+    """What all parts told one part of the parent."""
+
+    def __init__(self, rows: pd.DataFrame):
+        rows = rows.sort_values("sender")
+        self.senders = rows["sender"]
+        got = [_unpacked(x) for x in rows["content"]]
+        words, inverse = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
+        self.served, self.seen = (np.bincount(inverse, weights=np.concatenate([g[k] for g in got]).astype(float), minlength=len(words)).astype(np.int64) for k in (1, 2))
+        self.at = np.split(inverse, np.cumsum([len(g[0]) for g in got])[:-1])
+        self.pairs = (sum(g[3] for g in got), sum(g[4] for g in got))
+        #: Tables of the parent before it is seated anew; at first each word has one.
+        self.before = np.minimum(self.served, 1)
+        for at, g in zip(self.at, got, strict=True):
+            if g[5] is not None:
+                self.before[at] = g[5]
+
+
+def _totals(parts: int):
+    """Sums over one part of the parent, for each of its parts: customers, words, training tokens, words with one and two customers, tables."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        told = _Told(rows)
+        sums = _packed(tuple(int(x.sum()) for x in (told.served, told.seen > 0, told.seen, told.served == 1, told.served == 2, told.before)))
+        return pd.DataFrame([(q, int(key[0]), sums) for q in range(parts)], columns=["part", "sender", "content"])
+
+    return run
+
+
+def _root(seed: int, turn: int):
+    """The parent's answer to each part: customers, training count and tables of each word, the tables of this part of the parent, and the totals of all."""
+
+    def run(key: tuple, rows: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
+        told = _Told(rows)
+        sums = [sum(x) for x in zip(*map(_unpacked, totals["content"]), strict=True)]
+        _, types, _, ones, twos, before = sums
+        rng = np.random.default_rng([seed, int(key[0]), 2 + turn])
+        tables = sample_tables(told.served, np.full(len(told.served), 1 / (types + 1)), before - told.before, _discount(ones, twos), STRENGTH, rng)
+        out = [(int(sender), int(key[0]), _packed((_slim(told.served[at]), _slim(told.seen[at]), _slim(tables[at]), int(tables.sum()), sums, told.pairs))) for sender, at in zip(told.senders, told.at, strict=True)]
+        return pd.DataFrame(out, columns=["part", "sender", "content"])
+
+    return run
 
 
 class _Parent:
-    """The parent as one part sees it: probabilities and training counts of its own words, and the totals."""
+    """The parent as one part sees it: probabilities, training counts and tables of its own words, and the totals."""
 
-    def __init__(self, part: _Part, answers: pd.DataFrame, parts: int, rng: np.random.Generator):
-        served, self.seen = np.zeros(len(part.words), np.int64), np.zeros(len(part.words), np.int64)
+    def __init__(self, part: _Part, answers: pd.DataFrame, parts: int):
+        served, self.seen, self.tables = (np.zeros(len(part.words), np.int64) for _ in range(3))
         to = (mix64(part.words) % np.uint64(parts)).astype(np.int64)
-        totals = np.zeros(5)
+        total = 0
         for sender, content in zip(answers["sender"], answers["content"], strict=True):
-            a, b, sums, pairs = _unpacked(content)
-            served[to == sender], self.seen[to == sender] = a, b
-            totals += sums
-        customers, types, self.tokens, ones, twos = totals
-        self.types = int(types)
+            mine = to == sender
+            served[mine], self.seen[mine], self.tables[mine], n, sums, pairs = _unpacked(content)
+            total += n
+        customers, self.types, self.tokens, ones, twos, _ = sums
         self.discount = _discount(*pairs)
         d = _discount(ones, twos)
-        # the parent's own seating, given that nearly every word has one table: drawn by the same sampler
-        base = 1 / (types + 1)
-        tables = sample_tables(served, np.full(len(served), base), np.full(len(served), max(types - 1, 0.0)), d, STRENGTH, rng)
-        self.prior = np.maximum(served - d * tables, 0) + (STRENGTH + d * types) * base
-        self.prior /= STRENGTH + customers
+        #: Of a word that was never learnt from; with it the probabilities of all words sum to one.
+        self.unknown = (STRENGTH + d * total) / (self.types + 1) / (STRENGTH + customers)
+        self.prior = (served - d * self.tables) / (STRENGTH + customers) + self.unknown
 
 
 def _first(parts: int):
@@ -267,10 +294,10 @@ def _second(parts: int, seed: int):
     def run(key: tuple, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         p, part = int(key[0]), _Part(list(rows.sort_values("block")["content"]), False)
         rng = np.random.default_rng([seed, p, 1])
-        parent = _Parent(part, answers, parts, rng)
+        parent = _Parent(part, answers, parts)
         for tables, _ in _gibbs(part, parent, rng, BURN_IN + 1):
             pass
-        return _to_root(part, tables, parts, p)
+        return _to_root(part, tables, parts, p, parent)
 
     return run
 
@@ -282,7 +309,7 @@ def _third(parts: int, seed: int):
         p, rows = int(key[0]), rows.sort_values("block")
         part = _Part(list(rows["content"]), True)
         rng = np.random.default_rng([seed, p, 2])
-        parent = _Parent(part, answers, parts, rng)
+        parent = _Parent(part, answers, parts)
         prior, known = parent.prior[part.word], part.customers[part.context]
         mean = np.zeros(len(prior))
         for k, (tables, total) in enumerate(_gibbs(part, parent, rng, BURN_IN + SAMPLES)):
@@ -320,8 +347,13 @@ def score_documents(docs: DataFrame, *, seed: int = 11, parts: int | None = None
     parts = parts or shuffle_parts(docs.sparkSession)
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id")) == HELD_OUT_FOLD).alias("held"), "text").mapInArrow(_blocks(parts), "part long, block long, content binary").repartition(parts, "part")
     message = "part long, sender long, content binary"
-    ask = lambda told: told.repartition(parts, "part").groupBy("part").applyInPandas(_root, message).repartition(parts, "part").groupBy("part")
-    first = ask(blocks.groupBy("part").applyInPandas(_first(parts), message))
-    second = ask(blocks.groupBy("part").cogroup(first).applyInPandas(_second(parts, seed), message))
+
+    def ask(told: DataFrame, turn: int) -> GroupedData:
+        told = told.repartition(parts, "part")
+        totals = told.groupBy("part").applyInPandas(_totals(parts), message).repartition(parts, "part")
+        return told.groupBy("part").cogroup(totals.groupBy("part")).applyInPandas(_root(seed, turn), message).repartition(parts, "part").groupBy("part")
+
+    first = ask(blocks.groupBy("part").applyInPandas(_first(parts), message), 1)
+    second = ask(blocks.groupBy("part").cogroup(first).applyInPandas(_second(parts, seed), message), 2)
     sums = blocks.groupBy("part").cogroup(second).applyInPandas(_third(parts, seed), "block long, part long, content binary")
     return sums.groupBy("block").applyInPandas(_gather, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,32 @@ def test_lm_probabilities_sum_to_one(spark):
     assert total / (1.0 + count.sum()) == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_lm_parent_sums_to_one(parts):
+    """The parent's probabilities of all learnt words and the unknown one, as the parts see them after each round."""
+    rng = np.random.default_rng(4)
+    index = _base.Index({hpylm._START: 0, hpylm._END: 1})
+    texts = [[f"w{int(k)}".encode() for k in rng.zipf(1.3, 60) % 500] + [hpylm._END] for _ in range(40)]
+    ids = [_base.numbered(t, index) for t in texts]
+    docs = [(i, i % 5 == 1, len(t)) for i, t in enumerate(texts)]
+    blocks = pd.DataFrame(list(hpylm._block(docs, ids, index, parts, 0)), columns=["part", "block", "content"])
+    learnt = set(_base.hash64({w: index[w] for i, t in enumerate(texts) if i % 5 != 1 for w in t}).tolist())
+    told = pd.concat([hpylm._first(parts)((p,), x) for p, x in blocks.groupby("part")])
+    for turn in (1, 2):
+        totals = pd.concat([hpylm._totals(parts)((q,), x) for q, x in told.groupby("part")])
+        answers = pd.concat([hpylm._root(11, turn)((q,), x, totals[totals["part"] == q]) for q, x in told.groupby("part")])
+        seen, unknown = {}, set()
+        for p, x in blocks.groupby("part"):
+            part = hpylm._Part(list(x["content"]), False)
+            parent = hpylm._Parent(part, answers[answers["part"] == p], parts)
+            unknown.add(parent.unknown)
+            assert parent.tables.max() > 1 and parent.types == len(learnt)
+            for w, prior in zip(part.words.tolist(), parent.prior.tolist(), strict=True):
+                assert seen.setdefault(w, prior) == prior
+        assert sum(v for w, v in seen.items() if w in learnt) + unknown.pop() == pytest.approx(1.0) and not unknown
+        told = pd.concat([hpylm._second(parts, 11)((p,), x, answers[answers["part"] == p]) for p, x in blocks.groupby("part")])
+
+
 def test_table_sampler_follows_the_restaurant(spark):
     """The drawn numbers of tables against the exact conditional from a seating enumerated customer by customer."""
     c, d, theta, prior = 5, 0.5, 1.0, 0.3
