@@ -59,6 +59,30 @@ def test_expanded_signatures(spark):
     assert sorted(tuple(r) for r in catalog.queries()["expand_arcs_unique"](spark, SF).collect()) == want
 
 
+def test_whole_table_is_expanded(spark):
+    """Every equation of part is in expand_arcs_whole, and expand_arcs_unique_whole spreads all of them like a plain loop."""
+    part = spark.read.parquet(f"{SF}/part.parquet").selectExpr("cast(p_size % 3 as int)", "p_brand", "p_type").distinct().collect()
+    base = [tuple(r) for r in catalog.queries()["expand_arcs_whole"](spark, SF).collect()]
+    assert {(v, a, b) for v, _, seq, a, b, _ in base if seq == 0} == {tuple(r) for r in part}
+    equations = {}
+    for v, s, seq, a, b, w in base:
+        equations.setdefault((v, s, seq, a), {})[b] = w
+    while True:
+        groups = {}
+        for k, parts in equations.items():
+            groups.setdefault((*k[:3], tuple(sorted(parts))), []).append(k)
+        moves = {k: rank for g in groups.values() for rank, k in enumerate(sorted(g)) if rank}
+        if not moves:
+            break
+        merged = {}
+        for k, parts in equations.items():
+            merged.setdefault((k[0], k[1], k[2] + moves.get(k, 0), k[3]), {}).update(parts)
+        equations = merged
+    order = {v: sorted({k[2] for k in equations if k[0] == v}) for v in {k[0] for k in equations}}
+    want = sorted((v, s, order[v].index(seq), a, b, w) for (v, s, seq, a), parts in equations.items() for b, w in parts.items())
+    assert sorted(tuple(r) for r in catalog.queries()["expand_arcs_unique_whole"](spark, SF).collect()) == want
+
+
 def test_entry(spark):
     import __spark_entry__
 
