@@ -4,7 +4,7 @@ DataFrame operations only. The positions of matches come from the lengths of the
 between them. Every pattern may start only where the run of its characters starts or the last match ended, which
 gives the same matches as without that and keeps the time linear in long runs.
 
-Kinds: email, ip, card (Luhn), phone; the method adds iban (mod 97). A confirmed span has a base score by kind,
+Kinds: email, ip, card (Luhn), phone; the method adds iban (as long as its country's are, mod 97). A confirmed span has a base score by kind,
 raised by CONTEXT_GAIN where a context word of its kind stands in the CONTEXT_CHARS before it.
 
 Null and empty texts have no spans. Repeated rows are scored each by itself. Spans are code points with
@@ -17,12 +17,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone", "iban")
+#: Characters of an IBAN by country; those of no country here have 15 to 34.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_known = "|".join("|".join(c.split()) for c in IBAN_LENGTHS.values())
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b",
+    "iban": r"\b(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(rf"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()) + rf"|(?!{_known})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}})\b",
 }
 #: What a text must hold for its kind to be looked for at all.
 NEEDS = {

@@ -429,6 +429,13 @@ def test_context_raises_the_score(spark):
 # ---- pages
 
 
+def test_iban_ends_where_its_country_says(spark):
+    texts = ["DE89370400440532013000 COBADEFFXXX", "pay DE89 3704 0044 0532 0130 00 EUR 500 or GB82 WEST 1234 5698 7654 32 NOW", "NO9386011117947 2024", "DE8937040044053201300", "DE893704004405320130001"]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    ibans = {i: [x for x in s.split(",") if x.startswith("iban")] for i, s in got.items()}
+    assert ibans == {0: ["iban:0:22"], 1: ["iban:4:31", "iban:43:70"], 2: ["iban:0:15"], 3: [], 4: []}
+
+
 def test_main_text():
     page = "<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href='/'>Home</a></ul></nav><div class=\"ad\">Buy <b>now</b></div><article><h1>Head &amp; line</h1><p><b>First\n  para &lt;x&gt;.<br><p>Second<!-- no --> one.</p><p>Ok.</p><section class='comments'><p>First!</p></section></article><footer>&copy; x</footer>"
     assert html_main.main_text(page) == "Head & line\nFirst para <x>.\nSecond one.\nOk."
