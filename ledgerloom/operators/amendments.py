@@ -55,29 +55,39 @@ def merge_amendments(facts: DataFrame, sub: DataFrame) -> DataFrame:
     """Copy to every amended filing the fact keys (tag, start, end) that it lacks from the filings it amends.
 
     The filing's own rows win, then the earliest accepted source; all rows of the winning source with that key are
-    copied. Originals are kept and exact duplicates dropped. Chains are worked off from their far end, one level a
-    round; flags made by amendment_flags are stars and take one round.
+    copied. Originals are kept and exact duplicates dropped. Chains of any length are worked off from their far end,
+    one level a round; flags made by amendment_flags are stars and take one round. Cycles, and what they lead to, are
+    gone round until nothing is lacking.
     """
     require_columns(facts, [*KEY, "value"], "facts")
     require_columns(sub, ["adsh", "amendment_adsh", "accepted"], "submissions")
     edges = sub.where(F.coalesce("amendment_adsh", F.lit(0)) != 0).groupBy(F.col("adsh").alias("source"), F.col("amendment_adsh").alias("target")).agg(F.max("accepted").alias("at"))
-    # level: how many amendments lead into the source
-    level = edges.select("source", "target", "at", F.lit(0).alias("level"))
-    rounds = 1
-    while True:
-        into = level.groupBy(F.col("target").alias("source")).agg((F.max("level") + 1).alias("up"))
-        higher = cut(level.join(into, "source", "left").select("source", "target", "at", F.greatest("level", F.coalesce("up", F.lit(0))).alias("level")))
-        if rounds > MAX_JUMPS or not higher.where(F.col("level") >= rounds).limit(1).count():
+    # a round takes the edges into whose source no other edge is left; in the end only cycles and what they lead to are left
+    left, steps = cut(edges), []
+    n_left = left.count()
+    while n_left:
+        into = left.select(F.col("target").alias("source")).distinct()
+        rest = cut(left.join(into, "source", "left_semi"))
+        n_rest = rest.count()
+        if n_rest == n_left:
             break
-        level, rounds = higher, rounds + 1
+        steps.append(left.join(into, "source", "left_anti").select("source", "target", "at"))
+        left, n_left = rest, n_rest
     out, columns = facts, facts.columns
-    for k in range(rounds):
-        step = level.where(F.col("level") == k).select("source", "target", "at")
+
+    def copied(step: DataFrame) -> DataFrame:
         given = out.join(step, out["adsh"] == step["source"]).drop("adsh").withColumnRenamed("target", "adsh")
         lacking = given.join(out.select(*KEY).distinct(), list(KEY), "left_anti")
         first = Window.partitionBy(*KEY).orderBy("at", "source")
-        copied = lacking.withColumn("__rank", F.rank().over(first)).where("__rank = 1").select(*columns)
-        out = out.unionByName(copied)
-        if rounds > 1:
+        return lacking.withColumn("__rank", F.rank().over(first)).where("__rank = 1").select(*columns)
+
+    for step in steps:
+        out = out.unionByName(copied(step))
+        if len(steps) > 1 or n_left:
             out = cut(out)
+    while n_left:
+        more = cut(copied(left))
+        if more.isEmpty():
+            break
+        out = cut(out.unionByName(more))
     return out.dropDuplicates([*KEY, "value"])

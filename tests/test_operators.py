@@ -77,6 +77,22 @@ def test_merge_amendments_chain_and_earliest_source(spark):
     assert got[(2, "A")] == 1.0 and got[(3, "B")] == 2.0 and got[(3, "A")] in (1.0, 9.0)
 
 
+def test_merge_amendments_long_chain(spark):
+    k, n = ("2023-01-01", "2023-03-31"), 25
+    f = facts(spark, *[(i, f"T{i}", *k, float(i)) for i in range(1, n + 1)])
+    sub = sub_amend(spark, *[(i, i + 1 if i < n else 0, "2023-04-01") for i in range(1, n + 1)])
+    got = amendments.merge_amendments(f, sub).where(f"adsh = {n}")
+    assert rows(got, "tag", "value") == sorted((f"T{i}", float(i)) for i in range(1, n + 1))
+
+
+def test_merge_amendments_cycle(spark):
+    k = ("2023-01-01", "2023-03-31")
+    f = facts(spark, *[(i, f"T{i}", *k, float(i)) for i in range(1, 6)])
+    sub = sub_amend(spark, (1, 2, "2023-04-01"), (2, 3, "2023-04-01"), (3, 1, "2023-04-01"), (3, 4, "2023-04-01"), (4, 5, "2023-04-01"), (5, 0, "2023-04-01"))
+    got = rows(amendments.merge_amendments(f, sub), "adsh", "tag")
+    assert got == sorted((a, f"T{t}") for a in range(1, 6) for t in range(1, 6) if t <= max(a, 3))
+
+
 def test_flags_and_version_repair(spark):
     data = [(1, 7, "10-K", D("2022-12-31"), "2023-02-01", 2022), (2, 7, "10-K/A", D("2022-12-31"), "2023-03-01", 0), (3, 7, "10-Q", D("2023-03-31"), "2023-04-01", 0), (4, 8, "10-Q", D("2023-03-31"), "2023-04-01", 0), (5, 8, "10-Q", D("2023-06-30"), "2023-07-01", 2023), (6, 9, "10-Q", D("2023-06-30"), "2023-07-01", 0)]
     sub = spark.createDataFrame([(a, c, f, p, datetime.fromisoformat(t), v) for a, c, f, p, t, v in data], "adsh long, cik long, form string, period date, accepted timestamp_ntz, version int")
