@@ -14,8 +14,8 @@ from ledgerloom.llm import decontaminate, mixing, near_dup, rule_quality, secret
 from ledgerloom.llm._base import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A document goes if a benchmark item is in it with at least this share of the item's tokens, or this many.
-ITEM_SHARE, EQUAL_TOKENS = 0.5, 13
+#: A document goes if a benchmark item is in it with at least this share of the item's tokens, or side by side for this many, of which a few may differ.
+ITEM_SHARE, OVERLAP_TOKENS = 0.5, 13
 #: Ids up to this number are broadcast (16 MB); more are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 
@@ -48,7 +48,7 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item."""
     met = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, met.where((F.col("item_share") >= ITEM_SHARE) | (F.col("n_equal") >= EQUAL_TOKENS)).select("doc_id"))
+    return _without(docs, met.where((F.col("item_share") >= ITEM_SHARE) | (F.col("n_overlap") >= OVERLAP_TOKENS)).select("doc_id"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -499,6 +499,18 @@ def test_substitutions_are_tolerated_and_both_ways_agree(spark):
 # ---- pipeline
 
 
+def test_pipeline_drops_substituted_passages(spark, tmp_path):
+    import corpus_pipeline
+
+    item = [f"v{k}" for k in range(40)]
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    around, passage = [f"a{k}" for k in range(30)], item[10:23]
+    twice = ["sub" if k in (4, 8) else w for k, w in enumerate(passage)]
+    texts = {1: around + passage + around, 2: around + twice + around, 3: around + passage[:6] + around}
+    docs = spark.createDataFrame([(i, " ".join(t), None, None, None) for i, t in texts.items()], DOCS)
+    assert [r["doc_id"] for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()] == [3]
+
+
 @needs_data
 def test_pipeline_against_brute_force(spark):
     """Every stage on its own input: documents kept, copies, benchmark passages, redactions, and words taken."""
