@@ -2,23 +2,24 @@
 
 Two small collections of band hashes, A and B, are computed per document, each band from two minhashes; a
 table key is made of every pair (A_i, B_j), so 2*m band hashes give m*m tables and only a square root of the
-minhashes that independent tables need. Pairs that meet in a table are compared by a 256-bit one-bit-minhash
-sketch inside the join and then verified on their full shingle sets, so that every link returned is exact.
-
-Equal sets collapse into one class first. In each table every class is compared with the table's head, its most
-central class (a star, linear in the table's size). No link that joins two components is lost to the star: of two
-classes compared with one head, let D be the symmetric difference of each with the head. They are similar only if
-their D share at least (|D_x| + |D_y| - c (|x| + |y|)) / 2 elements, c = (100 - percent) / (100 + percent); where
-nothing need be shared, both are linked to the head already. So a class that its head doesn't link can gain a link
-only if it shares enough of D with a class of another component. Counts per class and a prefix filter over the
-elements of D, rare ones first, find such pairs; the few that they leave, and the pairs of classes too far from their head to be compared with it, are
-verified like the others. Of the pairs at exactly the threshold 0.8, about 1 in 2,000 meets in no table; nearly all
-others meet.
+minhashes that independent tables need. Candidates are verified on their full shingle sets, so every link is exact.
+
+Equal sets collapse into one class first. In each table every class is compared with the table's head only, its most
+central class (a star, linear in the table's size): the symmetric difference D of the two sets is computed, and they
+are linked if it is small enough. No link that joins two components is lost to the star. Two sets x and y that were
+compared with one head are similar only if their D share at least (|D_x| + |D_y| - c (|x| + |y|)) / 2 elements,
+c = (100 - percent) / (100 + percent), and they can only join components if one of them isn't linked to the head. Sizes
+of D rule out nearly all pairs; a prefix filter over the elements that several components share, rare ones first, finds
+those that are left; and their overlap in D, which gives their similarity exactly, decides. So a large group of near
+copies costs its members and not its pairs.
+
+Of the pairs at exactly the threshold 0.8, about 1 in 2,000 meets in no table; nearly all others meet.
 
 Nulls, empty texts and texts without words have no shingles, link with nothing and are their own component.
 A text with fewer words than a shingle is one shingle. Repeated rows are exact copies of each other. A null id
-is never the smallest of a component that has another; a component of null ids only has a null id. Other
-columns of the input, whatever their names, are not read.
+is never the smallest of a component that has another; a component of null ids only has a null id. Ties between heads
+go to the larger class hash and change no result. An empty table gives an empty result. Other columns of the input,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -29,19 +30,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ._base import WordHashes, mix64, utf8, written
 
 #: Bands in each of the two collections, minhashes in a band.
 BANDS, ROWS = 8, 2
-SKETCH_BITS = 256
-#: Candidate ids up to this number are broadcast (16 MB); more are joined by shuffling.
+#: Ids or classes up to this number are broadcast (16 MB); more are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 
 _rng = np.random.default_rng(20240607)
 _MINHASH = _rng.integers(1, 2**63, 2 * BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
-_SKETCH = _rng.integers(1, 2**63, SKETCH_BITS, dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,44 +74,31 @@ def _bands(shingles: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _sketch(shingles: np.ndarray) -> np.ndarray:
-    bits = ((_minima(shingles, _SKETCH) >> np.uint64(17)) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bits).view(np.int64)
-
-
 def _class_of(shingles: np.ndarray) -> int:
     import xxhash
 
     return np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes()))) if len(shingles) else None
 
 
-_FEATURES = "doc_id long, n_shingles long, cid long, bands array<long>, sketch array<long>"
+_FEATURES = "doc_id long, n_shingles long, cid long, bands array<long>"
 
 
 def _features(n: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, known = WordHashes(), {}
         for batch in rows:
-            ids, sizes, cids, bands, sketches = batch.column(0).to_pylist(), [], [], [], []
+            sizes, cids, bands = [], [], []
             for text in utf8(batch, 1):
                 s = shingle_set(text, n, hashes)
-                sizes.append(len(s))
                 cid = _class_of(s)
-                cids.append(cid)
-                if cid is None:
-                    bands.append(None)
-                    sketches.append(None)
-                    continue
-                if cid not in known:
+                if cid is not None and cid not in known:
                     if len(known) > 20_000:
                         known.clear()
-                    known[cid] = (_bands(s), _sketch(s))
-                bands.append(known[cid][0])
-                sketches.append(known[cid][1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(cids, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "cid", "bands", "sketch"],
-            )
+                    known[cid] = _bands(s)
+                sizes.append(len(s))
+                cids.append(cid)
+                bands.append(known.get(cid))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(cids, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "cid", "bands"])
 
     return run
 
@@ -132,65 +117,61 @@ def _sets(n: int):
     return run
 
 
-def _linked(percent: int):
-    """Keeps the pairs whose full sets have 100 * intersection >= percent * union."""
+def _differences(percent: int):
+    """Of (head, cid, shared, set of the head, set): the size of the set, of the symmetric difference D, whether both are similar, and D itself where others share the table."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                sizes, apart, linked = [], [], []
+                for x, y in zip(part.column(3), part.column(4), strict=True):
+                    a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                    d = np.setxor1d(a, b, assume_unique=True).view(np.int64)
+                    sizes.append(len(b))
+                    apart.append(d)
+                    linked.append((100 + percent) * len(d) <= (100 - percent) * (len(a) + len(b)))
+                shared = part.column(2).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array(sizes, pa.int64()), pa.array([len(d) for d in apart], pa.int64()), pa.array(linked, pa.bool_()), pa.array([d if s else None for d, s in zip(apart, shared, strict=True)], pa.list_(pa.int64()))],
+                    names=["head", "cid", "shared", "n", "nd", "linked", "d"],
+                )
 
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    of = lambda name: sets.select(F.col("cid").alias(name), F.col("shingles").alias(f"set_{name}"))
-    return pairs.select("x", "y").join(of("x"), "x").join(of("y"), "y").select("x", "y", "set_x", "set_y").mapInArrow(_linked(percent), "x long, y long")
+def _past_the_star(apart: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """(x, y) components that hold similar sets of one head, although no link to a head joins them.
 
-
-def _differences(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (head, cid, comp, set of head, set): the size of the set and the symmetric difference of both."""
-    for batch in rows:
-        sizes, apart = [], []
-        for x, y in zip(batch.column(3), batch.column(4), strict=True):
-            a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            sizes.append(len(b))
-            apart.append(np.setxor1d(a, b, assume_unique=True).view(np.int64))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(apart, pa.list_(pa.int64()))], names=["head", "cid", "comp", "n", "d"])
-
-
-def _past_the_star(stars: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(x, y) of one head that may be similar although the links leave them in different components."""
-    members = stars.select(F.col("x").alias("head"), F.col("y").alias("cid")).union(stars.select("x", "x").distinct()).join(parts.select(F.col("node").alias("cid"), "comp"), "cid", "left").select("head", "cid", F.coalesce("comp", "cid").alias("comp"))
-    split = members.groupBy("head").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("head")
+    Tables by head are written before they are joined, so that Spark can split the join at a head of many classes.
+    """
+    far, near = 100 + percent, 100 - percent
+    of = lambda name, comp: parts.select(F.col("node").alias(name), F.col("comp").alias(comp))
+    members = apart.where("shared").join(of("cid", "c"), "cid", "left").join(of("head", "h"), "head", "left")
+    members = written(members.select("head", "cid", F.coalesce("c", "cid").alias("comp"), F.coalesce("h", "head").alias("head_comp"), "n", "nd", "d"), "members")
+    split = written(members.groupBy("head").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("head"), "split")
     loose = members.join(split, "head")
-    both = loose.join(sets.withColumnsRenamed({"cid": "head", "shingles": "set_head"}), "head").join(sets, "cid").select("head", "cid", "comp", "set_head", "shingles")
-    apart = written(both.mapInArrow(_differences, "head long, cid long, comp long, n long, d array<long>"), "apart")
-    each = apart.select("head", "cid", "comp", F.explode("d").alias("e"))
-    across = each.groupBy("head", "e").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("df")).where("a <> b").select("head", "e", "df")
+    each = loose.select("head", "cid", "comp", F.explode("d").alias("e"))
+    across = written(each.groupBy("head", "e").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("df")).where("a <> b").select("head", "e", "df"), "across")
     rarest = Window.partitionBy("head", "cid").orderBy("df", "e")
     shared = written(each.join(across, ["head", "e"]).select("head", "cid", "e", F.row_number().over(rarest).alias("rank")), "shared")
     # in units of 1 / (100 + percent): similar needs (cost(x) + cost(y)) / 2 shared elements, so cost(x) <= room(y)
-    far, near = 100 + percent, 100 - percent
     counts = shared.groupBy("head", "cid").agg(F.max("rank").cast("long").alias("u"))
-    u = F.coalesce("u", F.lit(0))
-    stats = apart.select("head", "cid", "comp", "n", F.size("d").cast("long").alias("nd")).join(counts, ["head", "cid"], "left")
-    stats = written(stats.select("head", "cid", "comp", u.alias("u"), (far * F.col("nd") - near * F.col("n")).alias("cost"), (near * F.col("n") - far * (F.col("nd") - 2 * u)).alias("room")), "stats")
-    own = stats.where("cid = head").select("head", F.col("comp").alias("head_comp"))
-    others = stats.where("cid <> head").join(own, "head")
-    bounds = others.groupBy("head").agg(F.max("room").alias("most"), F.min("cost").alias("least"), F.min(F.when(F.col("comp") != F.col("head_comp"), F.col("cost"))).alias("least_stray"))
-    known = others.join(bounds, "head").where("cost <= most and least <= room")
+    stats = loose.drop("d").join(counts, ["head", "cid"])
+    stats = written(stats.select("head", "cid", "comp", "head_comp", "u", (far * F.col("nd") - near * F.col("n")).alias("cost"), (near * F.col("n") - far * (F.col("nd") - 2 * F.col("u"))).alias("room")), "stats")
+    bounds = written(stats.groupBy("head").agg(F.max("room").alias("most"), F.min("cost").alias("least"), F.min(F.when(F.col("comp") != F.col("head_comp"), F.col("cost"))).alias("least_stray")), "bounds")
+    known = stats.join(bounds, "head").where("cost <= most and least <= room")
     # two sets that share k elements meet within the first size - k + 1 of each in any common order: rare elements first
     first = lambda least: F.col("rank") <= F.col("u") - F.greatest(F.lit(1), F.ceil((F.col("cost") + F.col(least)) / (2 * far))) + 1
     as_ = lambda df, k: df.select("head", "e", F.col("cid").alias(k), F.col("comp").alias(f"c_{k}"), F.col("cost").alias(f"cost_{k}"), F.col("room").alias(f"room_{k}"))
-    strays = known.where("comp <> head_comp").join(shared, ["head", "cid"]).where(first("least"))
-    members = known.join(shared, ["head", "cid"]).where(first("least_stray"))
-    met = as_(strays, "x").join(as_(members, "y"), ["head", "e"]).where("c_x <> c_y and cost_x <= room_y and cost_y <= room_x")
-    return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    strays = written(as_(known.where("comp <> head_comp").join(shared, ["head", "cid"]).where(first("least")), "x"), "strays")
+    others = written(as_(known.join(shared, ["head", "cid"]).where(first("least_stray")), "y"), "others")
+    met = strays.join(others, ["head", "e"]).where("c_x <> c_y and cost_x <= room_y and cost_y <= room_x")
+    met = written(met.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.min("head").alias("head")), "candidates")
+    side = lambda k: members.select("head", F.col("cid").alias(k), F.col("comp").alias(f"c_{k}"), F.col("n").alias(f"n_{k}"), F.col("d").alias(f"d_{k}"))
+    pairs = met.join(side("x"), ["head", "x"]).join(side("y"), ["head", "y"])
+    apart_by = F.size("d_x") + F.size("d_y") - 2 * F.size(F.array_intersect("d_x", "d_y"))
+    return pairs.where(far * apart_by <= near * (F.col("n_x") + F.col("n_y"))).select(F.least("c_x", "c_y").alias("x"), F.greatest("c_x", "c_y").alias("y")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -204,7 +185,8 @@ def components(links: DataFrame) -> DataFrame:
     last = None
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that Spark can split the join at a node of many links
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = edges.select(F.col("v").alias("u"), F.col("u").alias("w")).join(least, "u").select(F.col("w").alias("u"), F.col("m").alias("v")).union(least.where("m != u").select("u", F.col("m").alias("v")))
         large = large.where("u != v").distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
@@ -220,55 +202,40 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text)."""
     rows = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_features(shingle), _FEATURES), "features")
-    classes = rows.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("low"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    keys = classes.select(
-        "cid",
-        F.explode(
-            F.flatten(F.transform(F.slice("bands", 1, BANDS), lambda a, i: F.transform(F.slice("bands", BANDS + 1, BANDS), lambda b, j: F.xxhash64(a, b, i, j))))
-        ).alias("key"),
-    )
-    tables = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    met = written(keys.join(tables, "key"), "tables")
+    classes = written(rows.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "classes")
+    tensor = F.flatten(F.transform(F.slice("bands", 1, BANDS), lambda a, i: F.transform(F.slice("bands", BANDS + 1, BANDS), lambda b, j: F.xxhash64(a, b, i, j))))
+    keys = classes.select("cid", F.explode(tensor).alias("key"))
+    met = written(keys.join(keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key"), "tables")
     # the class that meets most others, counted over its tables, is the most central of a table
     central = met.groupBy("cid").agg(F.sum("size").alias("score"))
-    heads = met.join(central, "cid").groupBy("key").agg(F.max(F.struct("score", "cid")).alias("h")).select("key", F.col("h.cid").alias("head"))
-    placed = written(met.join(heads, "key").where("cid <> head").select("key", "cid", "head"), "placed")
-
-    side = lambda name: classes.select(F.col("cid").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
-    # 1-bit minhashes of sets with similarity s agree with probability (1 + s) / 2: five deviations below it at most
-    agree = (1 + percent / 100) / 2
-    most = int(SKETCH_BITS * (1 - agree) + 5 * (SKETCH_BITS * agree * (1 - agree)) ** 0.5) + 1
-    apart = sum((F.bit_count(F.col("s_x")[i].bitwiseXOR(F.col("s_y")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    alike = (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (apart <= most)
-
-    pairs = placed.select(F.col("head").alias("x"), F.col("cid").alias("y")).distinct()
-    stars = written(pairs.join(side("x"), "x").join(side("y"), "y").where(alike).select("x", "y"), "stars")
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """The sets of the classes in `pairs`, read again from the text of the class's first document."""
-        no_id = F.lit(-(2**63))
-        ids = pairs.select(F.col("x").alias("cid")).union(pairs.select(F.col("y").alias("cid"))).distinct().join(classes.select("cid", "low"), "cid").select(F.coalesce("low", no_id).alias("doc_id")).distinct()
-        ids = written(ids, "ids")
-        small = ids.count() <= BROADCAST_IDS
-        some = docs.select(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("doc_id"), "text").join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-        return written(some.select("text").mapInArrow(_sets(shingle), "cid long, shingles binary").where("cid is not null").dropDuplicates(["cid"]), "sets")
-
-    sets = sets_of(stars)
-    links = written(_verified(stars, sets, percent), "links")
-    parts = components(links)
-    # classes too far from the head of their table to be compared with it
-    spread = placed.join(parts.select(F.col("node").alias("cid"), "comp"), "cid", "left").join(classes.select("cid", "n", "sketch"), "cid").select("key", "head", "cid", F.coalesce("comp", "cid").alias("comp"), "n", "sketch")
-    outside = spread.join(stars.select(F.col("x").alias("head"), F.col("y").alias("cid")), ["head", "cid"], "left_anti")
-    as_ = lambda df, k: df.select("key", F.col("cid").alias(k), F.col("comp").alias(f"c_{k}"), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"s_{k}"))
-    beside = as_(outside, "x").join(as_(spread, "y"), "key").where((F.col("c_x") != F.col("c_y")) & alike).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    compared = stars.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    rest = _past_the_star(stars, parts, sets, percent).union(beside).distinct().join(compared, ["x", "y"], "left_anti")
-    rest = written(rest, "rest")
-    if not rest.isEmpty():
-        parts = components(links.union(_verified(rest, sets_of(rest), percent)))
-
-    lows = classes.select("cid", "low").join(parts.select(F.col("node").alias("cid"), "comp"), "cid").select("cid", "low", "comp")
-    least = lows.groupBy("comp").agg(F.min("low").alias("comp_low"))
-    named = classes.select("cid", "low").join(lows.join(least, "comp").select("cid", "comp_low"), "cid", "left").select("cid", F.coalesce("comp_low", "low").alias("comp_low"))
-    out = rows.select("doc_id", "n_shingles", "cid").join(named, "cid", "left").select("doc_id", "n_shingles", F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("comp_low")).alias("component_id"))
+    heads = written(met.join(central, "cid").groupBy("key").agg(F.max(F.struct("score", "cid")).alias("h")).select("key", F.col("h.cid").alias("head")), "heads")
+    pairs = written(met.join(heads, "key").where("cid <> head").groupBy("head", "cid").agg(F.max(F.col("size") > 2).alias("shared")), "pairs")
+
+    # the sets of the classes in `pairs`, read again from the text of the class's first document
+    no_id = F.lit(-(2**63))
+    ids = pairs.select("cid").union(pairs.select("head")).distinct().join(classes.select("cid", "low"), "cid").select(F.coalesce("low", no_id).alias("doc_id")).distinct()
+    ids = written(ids, "ids")
+    some = docs.select(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("doc_id"), "text").join(_small(ids), "doc_id", "left_semi")
+    sets = written(some.select("text").mapInArrow(_sets(shingle), "cid long, shingles binary").where("cid is not null").dropDuplicates(["cid"]), "sets")
+
+    both = pairs.join(sets.select(F.col("cid").alias("head"), F.col("shingles").alias("set_head")), "head").join(sets, "cid").select("head", "cid", "shared", "set_head", "shingles")
+    apart = written(both.mapInArrow(_differences(percent), "head long, cid long, shared boolean, n long, nd long, linked boolean, d array<long>"), "apart")
+    parts = written(components(apart.where("linked").select(F.col("head").alias("x"), F.col("cid").alias("y"))), "parts")
+    more = written(_past_the_star(apart, parts, percent), "more")
+    if not more.isEmpty():
+        joined = components(more).select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
+        every = parts.unionByName(more.select(F.col("x").alias("node")).union(more.select("y")).distinct().join(parts, "node", "left_anti").withColumn("comp", F.col("node")))
+        parts = written(every.join(joined, "comp", "left").select("node", F.coalesce("whole", "comp").alias("comp")), "parts")
+
+    lows = parts.select(F.col("node").alias("cid"), "comp").join(classes.select("cid", "low"), "cid")
+    least = written(lows.groupBy("comp").agg(F.min("low").alias("first")), "firsts")
+    linked = written(lows.join(least, "comp").select("cid", "first"), "linked")
+    # of all other classes only those with copies need a name
+    named = written(linked.union(classes.where("copies > 1").join(linked, "cid", "left_anti").select("cid", "low")), "named")
+    out = rows.select("doc_id", "n_shingles", "cid").join(_small(named), "cid", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull()))
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """Marked for broadcasting if it has at most BROADCAST_IDS rows."""
+    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
