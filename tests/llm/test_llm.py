@@ -465,6 +465,114 @@ def test_main_text_dives_inside_marked_article():
     assert html_main.main_text(f"<article>{links}</article>").count("Link") == 5
 
 
+SENTENCE = "The {} part of the article is a sentence long enough to surge all by itself, whatever stands beside it."
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<article><h1>H</h1><p>{1}</p></article><section class='comments'><article class='comment'><p>{9}</p></article></section>", "H|{1}"),
+        ("<article><p>{1}</p></article><aside><article><p>{9}</p></article></aside>", "{1}"),
+        ("<article><p title=don't>{1}</p><p>{2}</p></article>", "{1}|{2}"),
+        ("<article><p>See <a href=\"x>this</a> <b class=\"y\">bold</b> {1}</p></article>", "See this bold {1}"),
+        ("<body><nav><ul><li><a href=x>A</a></li></ul><article><p>{1}</p></article><footer>f</footer></body>", "{1}"),
+        ("<body><div><aside>See also</div><div><p>{1}</p></div></body>", "{1}"),
+        ("<article><p class=alert>Beware of it.</p><p>{1}</p></article>", "Beware of it.|{1}"),
+        ("<div><p>{1}</p><p><a href=x>{2}</a></p><p>{3}</p></div>", "{1}|{2}|{3}"),
+        ("<div class='sidebar-layout'><main><p>{1}</p></main></div>", "{1}"),
+        ("<p>Home</p><article><p>Short.</p></article><p>Imprint</p>", "Short."),
+        ("<div><p>Short.</p><div class='ad'>Buy</div><p>{1}</p><div class='ad'>Buy</div><p>End.</p></div><footer>f</footer><p>Imprint</p>", "Short.|{1}|End."),
+        ("<p>{1}</p><p>{1}</p>", "{1}|{1}"),
+    ],
+)
+def test_main_text_of_odd_markup(page, want):
+    fill = lambda s: re.sub(r"\{(\d)\}", lambda m: SENTENCE.format(m[1]), s)
+    assert html_main.main_text(fill(page)) == fill(want).replace("|", "\n")
+
+
+def plain_lines(page):
+    """(text, characters in links) of each block and None for each junk element, by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.out, self.text, self.linked, self.skip, self.link = [], "", 0, [], False
+
+        def end(self):
+            if " ".join(self.text.split()):
+                self.out.append((" ".join(self.text.split()), self.linked))
+            self.text, self.linked = "", 0
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("a", "b"):
+                self.link = self.link or tag == "a"
+                return
+            self.end()
+            if tag in ("nav", "footer", "head", "script", "style") or dict(attrs).get("class") == "ad":
+                self.skip.append(tag)
+                if len(self.skip) == 1:
+                    self.out.append(None)
+
+        def handle_endtag(self, tag):
+            if tag in ("a", "b"):
+                self.link = self.link and tag != "a"
+                return
+            self.end()
+            if self.skip and self.skip[-1] == tag:
+                self.skip.pop()
+
+        def handle_data(self, data):
+            if not self.skip:
+                self.text += data
+                self.linked += len(data.strip()) if self.link else 0
+
+    r = Reader()
+    r.feed(page)
+    r.end()
+    return r.out
+
+
+@needs_data
+def test_main_text_against_plain_windows(spark):
+    """Pages without their marks: every window summed anew, over the lines of another parser."""
+    n_links = 0
+    for row in _base.table(spark, SF.replace("0.001", "0.01"), "pages").collect():
+        links = "".join(f"<li><a href='{k}'>Link {k}</a></li>" for k in range(row["page_id"] % 7))
+        page = row["html"].replace("<article>", "<div>").replace("</article>", f"</div><ul>{links}</ul><p>{SENTENCE}</p>")
+        n_links += bool(links)
+        zones, zone = [], []
+        for line in [*plain_lines(page), None]:
+            if line is None:
+                zones, zone = [*zones, zone], []
+            else:
+                zone.append((line[0], 0 if line[1] > 0.6 * len(line[0]) else len(line[0])))
+        want = []
+        for zone in zones:
+            dead = {i + k for i in range(len(zone) - 2) if not sum(n for _, n in zone[i : i + 3]) for k in range(3)}
+            for _, run in pd.Series(range(len(zone))).groupby(pd.Series([sum(j in dead for j in range(i + 1)) for i in range(len(zone))])) if zone else ():
+                run = [i for i in run if i not in dead]
+                if any(sum(zone[j][1] for j in run[k : k + 3]) >= 80 for k in range(len(run))):
+                    heavy = [i for i in run if zone[i][1]]
+                    want += [zone[i][0] for i in run if heavy[0] <= i <= heavy[-1]]
+        assert html_main.main_text(page) == "\n".join(want)
+    assert n_links > 100
+
+
+@needs_data
+def test_marked_articles_come_out_whole(spark):
+    """The blocks inside the article of each page as it is, by the other parser."""
+    for row in _base.table(spark, SF.replace("0.001", "0.01"), "pages").collect():
+        inside = row["html"].split("<article>")[1].split("</article>")[0]
+        assert html_main.main_text(row["html"]) == "\n".join(t for t, _ in plain_lines(inside))
+
+
+def test_long_and_unclosed_pages():
+    many = "".join(f"<p>{SENTENCE.format(k)}" for k in range(20_000))
+    assert html_main.main_text(f"<body><div>{many}").count("\n") == 19_999
+    assert html_main.main_text("<div>" * 20_000 + SENTENCE + "</div>" * 20_000) == SENTENCE and html_main.main_text("<" * 50_000) == "<" * 50_000
+
+
 def test_pages_keep_rows(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<article>a</article>"), (2, "u", "<article>a</article>"), (None, "v", "")], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     got = html_main.extract_pages(pages)
