@@ -7,16 +7,20 @@ and the overlap counts if some stretch of WINDOW tokens (or the whole item, wher
 least MIN_EQUAL of its positions.
 
 Tokens are the lower-cased words of whole texts, cut at white space and ASCII punctuation, so that marks put between
-or after words don't hide a passage. The benchmark's seeds are sent to the tasks while its texts
-are below BROADCAST_BYTES (measured first); a larger benchmark is joined by shuffling the seeds of both sides.
-Null and empty texts and items meet nothing; an item shorter than a mask is a seed as a whole. Repeated rows
-give repeated results of their own, once per item. Ties between alignments go to the longest agreement, then
-the earliest. Other columns are not read.
+or after words don't hide a passage. The benchmark is dealt by a hash into blocks of about BLOCK_BYTES; the seeds of one
+block at a time are sent to the tasks, where a sorted table of them (about 10 bytes a byte of text) meets every window of
+every document. A benchmark of several blocks scans the documents as often; no text and no seed is shuffled.
+
+Null and empty texts and items meet nothing, items without an id neither; an item shorter than a mask is a seed as a
+whole. Documents with null or repeated ids give results of their own, each once per item; an item id with several texts
+is several items. Ties between alignments go to the longest agreement, then the earliest. Empty tables give an empty
+result. Other columns are not read.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import functools
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._base import WordHashes, mix64, utf8
+from ._base import WordHashes, batches, mix64, utf8
 
 MASKS = ("11010110011", "1100101011", "1011001101")
 WINDOW, MIN_EQUAL = 13, 0.8
-BROADCAST_BYTES = 32_000_000
+BLOCK_BYTES = 8_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 RESULT = "doc_id long, item_id long, n_equal long, n_overlap long, doc_start long, item_share double"
@@ -70,74 +74,79 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, in
     good = np.flatnonzero(equal[window:] - equal[:-window] >= MIN_EQUAL * window)
     if not len(good):
         return 0, 0, 0
-    covered = np.zeros(b - a, bool)
-    for g in good:
-        covered[g : g + window] = True
+    edges = np.zeros(b - a + 1, np.int64)
+    np.add.at(edges, good, 1)
+    np.add.at(edges, good + window, -1)
+    covered = np.cumsum(edges[:-1]) > 0
     same = (doc[a + shift : b + shift] == item[a:b]) & covered
     return int(same.sum()), int(covered.sum()), int(a + shift + good[0])
 
 
-def _verdicts(doc: np.ndarray, shifts: dict[int, set[int]], items: dict[int, np.ndarray]) -> list[tuple[int, int, int, int, float]]:
-    out = []
-    for item, at in sorted(shifts.items()):
-        best = max((overlap(doc, items[item], s) for s in sorted(at)), key=lambda x: (x[0], -x[2]))
-        if best[0]:
-            out.append((item, *best, best[0] / len(items[item])))
-    return out
-
-
-class _Seeds:
-    """The benchmark's seeds in the tasks: sorted, behind a bitmap."""
+class Seeds:
+    """The seeds of a block of items (id, text), sorted, behind a bitmap of their first bits."""
 
-    BITS = 22
+    BITS = 20
 
     def __init__(self, items: list[tuple[int, bytes]]):
         hashes = WordHashes()
-        self.items = {i: hashes.of(tokens_of(t)) for i, t in items}
-        self.masks = masks_for({len(h) for h in self.items.values()})
-        self.found = []
-        for mask in self.masks:
+        self.ids = [i for i, _ in items]
+        self.items = [hashes.of(tokens_of(t)) for _, t in items]
+        self.tables = []
+        for mask in masks_for({len(h) for h in self.items}):
             whole = len(mask) == mask[-1] + 1
-            rows = [(s, i, p) for i, h in self.items.items() if not whole or len(h) == len(mask) for p, s in enumerate(seeds(h, mask).tolist())]
-            table = defaultdict(list)
-            for s, i, p in rows:
-                table[s].append((i, p))
-            sorted_ = np.array(sorted(table), np.uint64)
-            bitmap = np.zeros(2**self.BITS, bool)
-            bitmap[sorted_ >> np.uint64(64 - self.BITS)] = True
-            self.found.append((mask, sorted_, bitmap, table))
-
-    def hits(self, hashes: np.ndarray) -> list[tuple[int, int, int]]:
-        """(position, item, position in the item) of every seed that is met."""
-        out = []
-        for mask, known, bitmap, table in self.found:
-            if not len(known):
+            found = [seeds(h, mask) if not whole or len(h) == len(mask) else np.empty(0, np.uint64) for h in self.items]
+            sizes = [len(f) for f in found]
+            seed = np.concatenate(found) if found else np.empty(0, np.uint64)
+            if not len(seed):
                 continue
-            s = seeds(hashes, mask)
-            at = np.flatnonzero(bitmap[s >> np.uint64(64 - self.BITS)])
-            if len(at):
-                place = np.minimum(np.searchsorted(known, s[at]), len(known) - 1)
-                for p in at[known[place] == s[at]].tolist():
-                    out += [(p, i, q) for i, q in table[int(s[p])]]
-        return out
+            item = np.repeat(np.arange(len(found), dtype=np.int32), sizes)
+            place = np.arange(len(seed), dtype=np.int32) - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.int32)
+            order = np.argsort(seed, kind="stable")
+            seed = seed[order]
+            bitmap = np.zeros(2**self.BITS, bool)
+            bitmap[seed >> np.uint64(64 - self.BITS)] = True
+            self.tables.append((mask, seed, item[order], place[order], bitmap))
 
+    def hits(self, hashes: np.ndarray) -> np.ndarray:
+        """(position, item, position in the item) of every seed that is met, as rows."""
+        out = [np.empty((0, 3), np.int64)]
+        for mask, seed, item, place, bitmap in self.tables:
+            own = seeds(hashes, mask)
+            at = np.flatnonzero(bitmap[own >> np.uint64(64 - self.BITS)])
+            lo, hi = np.searchsorted(seed, own[at], "left"), np.searchsorted(seed, own[at], "right")
+            n = hi - lo
+            k = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out.append(np.stack([np.repeat(at, n), item[k], place[k]], axis=1))
+        return np.concatenate(out)
+
+
+_built: dict[str, Seeds] = {}
+
+
+def _scan(name: str, block):
+    """Looks for one block of items (a broadcast variable) in each document; a worker keeps the table it built last."""
 
-def _scan(items: list[tuple[int, bytes]]):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, words = _Seeds(items), WordHashes()
-        for batch in rows:
+        if name not in _built:
+            _built.clear()
+            _built[name] = Seeds(block.value)
+        index, words = _built[name], WordHashes()
+        for batch in batches(rows, 2000):
             ids, found = batch.column(0).to_pylist(), []
             tokens = [words.of(tokens_of(t)) for t in utf8(batch, 1)]
             starts = np.cumsum([0] + [len(t) for t in tokens])
             if not starts[-1]:
                 continue
-            shifts: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
+            hits = index.hits(np.concatenate(tokens))
+            doc = np.searchsorted(starts, hits[:, 0], side="right") - 1
             # windows that reach into the next document are harmless: the comparison stays inside one document
-            for p, item, q in index.hits(np.concatenate(tokens)):
-                d = int(np.searchsorted(starts, p, side="right")) - 1
-                shifts[d][item].add(int(p - starts[d]) - q)
-            for d in sorted(shifts):
-                found += [(ids[d], *v) for v in _verdicts(tokens[d], shifts[d], index.items)]
+            shifts = np.unique(np.stack([doc, hits[:, 1], hits[:, 0] - starts[doc] - hits[:, 2]], axis=1), axis=0)
+            pair = np.flatnonzero(np.any(shifts[1:, :2] != shifts[:-1, :2], axis=1)) + 1
+            for group in np.split(shifts, pair) if len(shifts) else ():
+                d, i = int(group[0, 0]), int(group[0, 1])
+                best = max((overlap(tokens[d], index.items[i], int(s)) for s in group[:, 2]), key=lambda x: (x[0], -x[2]))
+                if best[0]:
+                    found.append((ids[d], index.ids[i], *best, best[0] / len(index.items[i])))
             if found:
                 yield _batch(found)
 
@@ -149,56 +158,15 @@ def _batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if n == "item_share" else pa.int64()) for n, c in zip(names, zip(*found, strict=True), strict=True)], names=names)
 
 
-def _lengths(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of each text, up to the longest mask."""
-    for batch in rows:
-        yield pa.RecordBatch.from_arrays([pa.array([min(len(tokens_of(t)), max(map(len, MASKS))) for t in utf8(batch, 0)], pa.int64())], names=["n"])
-
-
-def _emit(lengths: set[int], whole_only: bool):
-    """(seed, id, position) of each window; for items, the solid masks only where they are the whole item."""
-    masks = masks_for(lengths)
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for batch in rows:
-            for key, text in zip(batch.column(0).to_pylist(), utf8(batch, 1), strict=True):
-                h = words.of(tokens_of(text))
-                for mask in masks:
-                    if whole_only and len(mask) == mask[-1] + 1 and len(h) != len(mask):
-                        continue
-                    s = np.unique(seeds(h, mask) + np.uint64(len(mask)))
-                    yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array([key] * len(s), pa.int64())], names=["seed", "id"])
-
-    return run
-
-
-def _compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = WordHashes()
-    for batch in rows:
-        found = []
-        docs, texts = utf8(batch, 1), utf8(batch, 3)
-        for doc_id, item_id, d, t in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), docs, texts, strict=True):
-            one = _Seeds([(item_id, t)])
-            h = words.of(tokens_of(d))
-            shifts: dict[int, set[int]] = defaultdict(set)
-            for p, item, q in one.hits(h):
-                shifts[item].add(p - q)
-            found += [(doc_id, *v) for v in _verdicts(h, shifts, one.items)]
-        if found:
-            yield _batch(found)
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document and benchmark item that overlap: doc_id, item_id, n_equal (equal tokens), n_overlap (tokens side by side), doc_start (token), item_share (of the item's tokens)."""
-    items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).where("item_id is not null").dropDuplicates(["item_id", "text"])
+    spark = docs.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n"), F.count_distinct("item_id").alias("ids"), F.count("*").alias("rows")).first()
-    if size["n"] <= broadcast_bytes and size["ids"] == size["rows"]:
-        known = sorted((r["item_id"], r["text"].encode()) for r in items.collect())
-        return texts.mapInArrow(_scan(known), RESULT)
-    lengths = {r["n"] for r in items.select("text").mapInArrow(_lengths, "n long").distinct().collect()}
-    wanted = items.mapInArrow(_emit(lengths, True), "seed long, id long").withColumnRenamed("id", "item_id").distinct()
-    met = texts.where("doc_id is not null").mapInArrow(_emit(lengths, False), "seed long, id long").join(wanted, "seed").select(F.col("id").alias("doc_id"), "item_id").distinct()
-    pairs = met.join(texts, "doc_id").join(items.withColumnRenamed("text", "item_text"), "item_id").select("doc_id", "text", "item_id", "item_text")
-    return pairs.mapInArrow(_compare, RESULT)
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n"), F.count("*").alias("rows")).first()
+    blocks = max(1, min(size["rows"], -(-size["n"] // max(1, block_bytes))))
+    out = []
+    for k in range(blocks):
+        known = sorted((r["item_id"], r["text"].encode()) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect())
+        out.append(texts.mapInArrow(_scan(uuid.uuid4().hex, spark.sparkContext.broadcast(known)), RESULT))
+    return functools.reduce(DataFrame.unionAll, out)

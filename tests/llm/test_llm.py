@@ -600,10 +600,67 @@ def test_substitutions_are_tolerated_and_both_ways_agree(spark):
     got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(docs, bench).collect()}
     assert set(got) == {(10 + k, k) for k in items} | {(20 + k, k) for k in (0, 1, 2, 4)} | ({(23, 3)} & set(got))
     assert got[(10, 0)]["n_equal"] == 40 and got[(10, 0)]["doc_start"] == 50 and got[(10, 0)]["item_share"] == 1.0
-    other = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(docs, bench, broadcast_bytes=0).collect()}
+    other = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(docs, bench, block_bytes=0).collect()}
     assert other == got
 
 
+def plain_overlaps(doc, item):
+    """(equal, overlap, start) of the best alignment that a seed hits, laid side by side position by position."""
+    best = (0, 0, 0)
+    shaped = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS]
+    masks = shaped + ([list(range(len(item)))] if 0 < len(item) < 11 else [])
+    window = min(13, len(item))
+    for shift in range(-len(item) + 1, len(doc)):
+        equal = {j for j in range(len(item)) if 0 <= j + shift < len(doc) and doc[j + shift] == item[j]}
+        if not any(all(j + k in equal for k in m) for m in masks for j in range(len(item) - m[-1])):
+            continue
+        covered = set()
+        for j in range(max(0, -shift), min(len(item), len(doc) - shift) - window + 1):
+            if len(equal & set(range(j, j + window))) >= 0.8 * window:
+                covered |= set(range(j, j + window))
+        got = (len(equal & covered), len(covered), min(covered) + shift if covered else 0)
+        best = max(best, got, key=lambda x: (x[0], -x[2]))
+    return best
+
+
+def test_overlaps_against_plain_alignment(spark):
+    """Passages with substitutions at random places, null and repeated ids, and items of one id, in one block and in several."""
+    rng = np.random.default_rng(6)
+    new = lambda n: [f"v{rng.integers(40)}" for _ in range(n)]
+    items = [(k, new(int(rng.integers(1, 40)))) for k in range(12)] + [(3, new(20)), (3, new(14))]
+    data = []
+    for i in range(60):
+        passage = list(items[int(rng.integers(len(items)))][1])
+        for _ in range(int(rng.integers(0, 5))):
+            passage[int(rng.integers(len(passage)))] = "sub"
+        data.append((None if i % 10 == 0 else i // 2, new(int(rng.integers(0, 30))) + passage + new(int(rng.integers(0, 30)))))
+    data += data[:3] + [(77, [])]
+    docs = spark.createDataFrame([(i, " ".join(t), None, None, None) for i, t in data] + [(78, None, None, None, None)], DOCS)
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in items] + [(1, " ".join(items[1][1])), (None, "x y z"), (90, None), (91, "")], "item_id long, text string")
+    want = Counter()
+    for i, d in data:
+        for k, t in items:
+            best = plain_overlaps(d, t)
+            if best[0]:
+                want[(i, k, *best, best[0] / len(t))] += 1
+    for size in (decontaminate.BLOCK_BYTES, 300):
+        assert Counter(tuple(r) for r in decontaminate.contaminated(docs, bench, block_bytes=size).collect()) == want
+    assert len(want) > 40 and any(w[0] is None for w in want)
+
+
+def test_seed_table_is_small():
+    import tracemalloc
+
+    rng = np.random.default_rng(7)
+    texts = [(k, " ".join(f"word{x}" for x in rng.integers(0, 50_000, 1000)).encode()) for k in range(250)]
+    tracemalloc.start()
+    table = decontaminate.Seeds(texts)
+    now, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    size = sum(len(t) for _, t in texts)
+    assert len(table.tables) == len(decontaminate.MASKS) and now - 3 * 2**20 < 12 * size and peak < 40 * size
+
+
 # ---- pipeline
 
 
