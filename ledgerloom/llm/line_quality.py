@@ -24,6 +24,8 @@ MIN_DOCS, MAX_SHARE = 20, 0.01
 #: A document that keeps less than this share of its words is depleted.
 MIN_KEPT_PERCENT = 30
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+#: Common lines up to this number are broadcast (8 MB); more are joined by shuffling, where Spark splits hot ones.
+BROADCAST_LINES = 1_000_000
 _SPACE, _SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -94,8 +96,9 @@ def line_frequency_filter(docs: DataFrame, *, host: str = "source", min_docs: in
     each = rows.select("row", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select("row", "host", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
     hosts = rows.groupBy("host").agg(F.greatest(F.lit(float(min_docs)), F.count("*") * max_share).alias("most"))
     counts = each.groupBy("line").agg(F.count("*").alias("n"), F.first("host").alias("host")).where(F.col("n") > min_docs)
-    common = counts.join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).where("n > most").select("line")
-    lost = each.join(common, "line").groupBy("row").agg(F.sum("words").alias("n_common_words"))
+    common = written(counts.join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).where("n > most").select("line"), "common")
+    # a common line is in more than min_docs documents, so there are few; they are the hot keys of a shuffled join
+    lost = each.join(F.broadcast(common) if common.count() <= BROADCAST_LINES else common, "line").groupBy("row").agg(F.sum("words").alias("n_common_words"))
     out = rows.drop("lines", "line_words", "host").join(lost, "row", "left").drop("row").withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     depleted = 100 * (F.col("n_words") - F.col("n_common_words")) < min_kept_percent * F.col("n_words")
