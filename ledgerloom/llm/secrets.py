@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,8 +43,13 @@ def find(text: str) -> list[tuple[str, int, int, str]]:
     if "AKIA" in text:
         out += [("access", *m.span(), m[0]) for m in _ACCESS.finditer(text)]
     out += [("hex", *m.span(), m[0]) for m in _HEX.finditer(text)]
-    taken = [(a, b) for _, a, b, _ in out]
-    out += [("opaque", *m.span(), m[0]) for m in _OPAQUE.finditer(text) if all(m.end() <= a or b <= m.start() for a, b in taken)]
+    # of the spans by start, the furthest end so far: a token is free if no span that starts before its end reaches into it
+    taken = sorted((a, b) for _, a, b, _ in out)
+    starts, ends = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
+    for m in _OPAQUE.finditer(text):
+        k = bisect_left(starts, m.end())
+        if k == 0 or ends[k - 1] <= m.start():
+            out.append(("opaque", *m.span(), m[0]))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
@@ -62,13 +69,18 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 
 
 def _judged(docs: DataFrame, owner: str, max_repositories: int, scan, schema: str) -> tuple[DataFrame, DataFrame]:
-    """The scanned rows, numbered, and one row per reported span with its verdict."""
+    """The scanned rows, numbered, and one row per reported span with its verdict.
+
+    Only the live hashes, each in a few documents, are joined; a widely copied secret is in none of them.
+    """
     rows = docs.select("doc_id", F.col(owner).alias("owner"), "text").mapInArrow(scan, schema)
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "secrets")
     each = rows.where(F.size("found") > 0).select("row", "doc_id", "owner", F.explode("found").alias("s")).select("row", "doc_id", "owner", "s.*")
     seen = each.select("hash", "owner", "doc_id").distinct().groupBy("hash", "owner").agg(F.count("*").alias("n")).groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
-    live = (F.col("owners") == 1) & (F.col("repositories") <= max_repositories)
-    return rows, each.join(seen.select("hash", live.alias("live")), "hash").where((F.col("kind") != "opaque") | F.col("live"))
+    live = written(seen.where((F.col("owners") == 1) & (F.col("repositories") <= max_repositories)).select("hash", F.lit(True).alias("is_live")), "live")
+    small = live.count() <= BROADCAST_ROWS
+    judged = each.join(F.broadcast(live) if small else live, "hash", "left").withColumn("live", F.coalesce("is_live", F.lit(False))).drop("is_live")
+    return rows, judged.where((F.col("kind") != "opaque") | F.col("live"))
 
 
 def scan_secrets(docs: DataFrame, *, owner: str = "source", max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
