@@ -5,7 +5,8 @@ conjunctive rule; a lasso logistic regression keeps few of them; and what it kee
 column expression over the statistics, which scores every document inside the JVM.
 
 The statistics cover whole texts. Null and empty texts have statistics of 0. Labels of ids that are null or not
-in the documents are not used; of several labels of one id the largest counts. Without labels of both kinds in
+in the documents are not used; of several labels of one id the largest counts, and of its rows the least by its
+statistics. Without labels of both kinds in
 the learning folds the score is the share of good labels (0.5 without any). Ties between splits go to the first
 feature and the lowest threshold. Other columns are not read.
 """
@@ -162,7 +163,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, target: str = "quality", sample
     known = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "labelled")
     # at most `sample` rows of 12 bytes
     labelled = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    got = text_statistics(labelled, keep=("y",)).limit(2 * sample).toPandas().sort_values(["doc_id", *STATISTICS], kind="stable")
+    one = text_statistics(labelled, keep=("y",)).groupBy("doc_id", "y").agg(F.min(F.struct(*STATISTICS)).alias("x"))
+    got = one.select("doc_id", "y", "x.*").toPandas().sort_values("doc_id")
     return fit_rules(got[list(STATISTICS)].to_numpy(float), (got["y"].to_numpy() > 0).astype(float))
 
 
