@@ -5,7 +5,7 @@ between them. Every pattern may start only where the run of its characters start
 gives the same matches as without that and keeps the time linear in long runs.
 
 Kinds: email, ip, card (Luhn), phone; the method adds iban (as long as its country's are, mod 97). A confirmed span has a base score by kind,
-raised by CONTEXT_GAIN where a context word of its kind stands in the CONTEXT_CHARS before it.
+raised by CONTEXT_GAIN where a context word of its kind stands in the CONTEXT_CHARS before or after it.
 
 Null and empty texts have no spans. Repeated rows are scored each by itself. Spans are code points with
 exclusive ends. Other columns are not read.
@@ -48,6 +48,8 @@ CONTEXT_WORDS = {
     "iban": "(?i)iban|bank|account|transfer",
 }
 CONTEXT_CHARS, CONTEXT_GAIN = 40, 0.1
+#: Matches of a text whose places are found together.
+BLOCK = 128
 
 _digits = lambda s: F.regexp_replace(s, r"[^0-9]", "")
 
@@ -79,22 +81,40 @@ def _valid(kind: str, s: Column) -> Column:
     }[kind]()
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+_SPAN = "struct<start: int, end: int, value: string, near: string>"
+
+
 def spans_of(kind: str, text: Column) -> Column:
-    """array<struct<kind, start, end, value>> of the confirmed spans of one kind in a text."""
-    pattern = F.lit(PATTERNS[kind])
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, PATTERNS[kind], -1)
-    pairs = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, gap: F.struct(m.alias("value"), F.length(gap).alias("gap")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start: int, end: int, value: string>>)").alias("spans"))
-    placed = F.aggregate(
-        pairs, start,
-        lambda acc, p: F.struct(
-            (acc["at"] + p["gap"] + F.length(p["value"])).alias("at"),
-            F.concat(acc["spans"], F.array(F.struct((acc["at"] + p["gap"]).alias("start"), (acc["at"] + p["gap"] + F.length(p["value"])).alias("end"), p["value"].alias("value")))).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
-    return F.when(NEEDS[kind](text), F.filter(placed, lambda s: _valid(kind, s["value"])))
+    """array<struct<start, end, value, near>> of the confirmed spans of one kind in a text; near: the CONTEXT_CHARS before and after."""
+    found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
+    cut = F.struct(found.alias("found"), F.split(text, PATTERNS[kind], -1).alias("between"))
+    last, first = lambda s: F.right(s, F.lit(CONTEXT_CHARS)), lambda s: F.left(s, F.lit(CONTEXT_CHARS))
+
+    def match(z: Column, m: Column, i: Column) -> Column:
+        piece = lambda name, k: F.get(z[name], k)
+        before = last(F.concat_ws("", last(piece("between", i - 1)), last(piece("found", i - 1)), last(piece("between", i))))
+        after = first(F.concat_ws("", first(piece("between", i + 1)), first(piece("found", i + 1)), first(piece("between", i + 2))))
+        return F.struct(m.alias("value"), F.length(piece("between", i)).alias("gap"), F.concat_ws("\n", before, after).alias("near"))
+
+    none = lambda at, of: F.struct(at.alias("at"), F.expr(f"cast(array() as {of})").alias("spans"))
+    begin = lambda acc, p: acc["at"] + p["gap"]
+    end = lambda acc, p: begin(acc, p) + F.length(p["value"])
+    put = lambda acc, p: F.struct(end(acc, p).alias("at"), F.concat(acc["spans"], F.array(F.struct(begin(acc, p).alias("start"), end(acc, p).alias("end"), p["value"], p["near"]))).alias("spans"))
+
+    def placed(matches: Column) -> Column:
+        # arrays are copied when they grow, so matches are placed in blocks and the blocks gathered
+        block = lambda acc, k: F.aggregate(F.slice(matches, k * BLOCK + 1, BLOCK), none(acc["at"], f"array<{_SPAN}>"), put)
+        add = lambda acc, k: _let(block(acc, k), lambda r: F.struct(r["at"].alias("at"), F.concat(acc["spans"], F.array(r["spans"])).alias("spans")))
+        blocks = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / BLOCK).cast("int"))
+        return F.when(F.size(matches) > 0, F.aggregate(blocks, none(F.lit(0), f"array<array<{_SPAN}>>"), add, lambda acc: F.flatten(acc["spans"])))
+
+    every = _let(_let(cut, lambda z: F.transform(z["found"], lambda m, i: match(z, m, i))), placed)
+    return F.when(NEEDS[kind](text), F.filter(every, lambda s: _valid(kind, s["value"])))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
@@ -103,12 +123,11 @@ def find_pii(docs: DataFrame) -> DataFrame:
     `scores` holds one score per span, in the order of `spans`.
     """
     text = F.coalesce("text", F.lit(""))
-    empty = F.expr("cast(array() as array<struct<start: int, end: int, value: string>>)")
+    empty = F.expr(f"cast(array() as array<{_SPAN}>)")
     rows = docs.select("doc_id", text.alias("text")).select("doc_id", "text", *[F.coalesce(spans_of(k, F.col("text")), empty).alias(k) for k in KINDS])
     shown = lambda k: F.transform(k, lambda s: F.concat_ws(":", F.lit(k), s["start"], s["end"]))
     base = F.concat(*[shown(k) for k in KINDS[:4]])
-    near = lambda s: F.substr(F.col("text"), F.greatest(s["start"] - CONTEXT_CHARS + 1, F.lit(1)), F.least(s["start"], F.lit(CONTEXT_CHARS)))
-    score = lambda k: F.transform(k, lambda s: F.round(F.lit(BASE_SCORE[k]) + F.when(near(s).rlike(CONTEXT_WORDS[k]), F.lit(CONTEXT_GAIN)).otherwise(F.lit(0.0)), 3))
+    score = lambda k: F.transform(k, lambda s: F.round(F.lit(BASE_SCORE[k]) + F.when(s["near"].rlike(CONTEXT_WORDS[k]), F.lit(CONTEXT_GAIN)).otherwise(F.lit(0.0)), 3))
     return rows.select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:4]],
         F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"), F.array_join(F.concat(base, shown("iban")), ",").alias("spans"),
