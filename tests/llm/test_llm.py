@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -255,13 +256,35 @@ def test_common_lines_deplete(spark):
 
 
 def test_folding_and_exceptions():
-    auto = toxicity.Lexicon(((" idiot", 3.0), (" scum ", 2.0)), (" idiothek ",)).automaton()
+    auto = toxicity.Lexicon(((" idiot", 3.0), (" scum ", 2.0)), (" idiothek ", " pond scum ", " scum of earth ")).automaton()
     hits = lambda t: toxicity._inputs(toxicity.folded(t), auto)[0]
+    assert hits("pond scum") == 0 and hits("pond scum scum") == 1 and hits("the scum-of-earth idiot") == 1 and hits("a pond; ïdíot ＳＣＵＭ s\u00adcum") == 3
     assert hits("You IDIOT!") == 1 and hits("1d10t idiоts") == 2 and hits("scummy") == 0 and hits("(scum)") == 1 and hits("die Idiothek") == 0 and hits("vidiot") == 0
     short, long = (toxicity._inputs(toxicity.folded("idiot " + "a " * n), auto)[2] for n in (30, 3000))
     assert short > long
 
 
+def test_phrases_of_clean_documents_are_exceptions(spark):
+    """An entry counts alone, but not in a phrase that clean documents have."""
+    learn = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 != 0][:600]
+    data, lab = [], []
+    for k, i in enumerate(learn):
+        text = f"lorem w{k} ipsum v{k}"
+        if k % 3 == 0:
+            text += f" you zork u{k}"
+        elif k % 60 == 1:
+            text += " the river zork flows"
+        data.append((i, text, None, None, None))
+        lab.append((i, 1, int(k % 3 == 0)))
+    got = toxicity.learn(spark.createDataFrame(data, DOCS), labels(spark, *lab))
+    assert " zork" in dict(got.weights) or " zork " in dict(got.weights)
+    assert {" river zork ", " zork flows ", " river zork flows "} <= set(got.exceptions) and not any("you" in x for x in got.exceptions)
+    probe = spark.createDataFrame([(1, "a zork b", None, None, None), (2, "the river zork flows", None, None, None)], DOCS)
+    both = toxicity.toxicity_scores(spark.createDataFrame(data, DOCS).union(probe), labels(spark, *lab)).where("doc_id in (1, 2)").collect()
+    scores = {r["doc_id"]: r["score"] for r in both if r["n_hits"] or r["doc_id"] == 2}
+    assert scores[1] > 0.5 > scores[2]
+
+
 def auc(score, y):
     order = np.argsort(np.argsort(score))
     y = np.asarray(y, bool)
@@ -421,6 +444,19 @@ def test_pii_spans(spark, texts):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_many_matches_are_placed(spark):
+    text = " ".join(f"é{k} a{k}@b{k % 7}.org" for k in range(30_000))
+    began = time.time()
+    got = pii.find_pii(spark.createDataFrame([(1, text, None, None, None)], DOCS)).first()
+    assert got["n_email"] == 30_000 and got["spans"] == ",".join(f"email:{m.start()}:{m.end()}" for m in re.finditer(r"a\d+@b\d\.org", text))
+    assert time.time() - began < 60
+
+
+def test_context_after_the_span(spark):
+    got = pii.find_pii(spark.createDataFrame([(1, "+1 555 123 4567 (mobile)", None, None, None)], DOCS)).first()
+    assert got["scores"] == [0.8]
+
+
 def test_context_raises_the_score(spark):
     got = pii.find_pii(spark.createDataFrame([(1, "call +1 555 123 4567", None, None, None), (2, "nnnn +1 555 123 4567", None, None, None)], DOCS)).orderBy("doc_id").collect()
     assert got[0]["scores"] == [0.8] and got[1]["scores"] == [0.7]
