@@ -10,8 +10,8 @@ first in a seeded order until the source's target is met as closely as whole doc
 two steps: sums over hash buckets find the bucket in which the target falls, and only the documents of that
 bucket are ordered.
 
-Null texts have size 0, null sources are a source of their own and come last. Rows with equal id and text are
-interchangeable; each row is mixed by itself. An empty table gives an empty result. Sizes of zero take nothing.
+Null texts have size 0, null sources are a source of their own and come last. Rows without an id are ordered by their
+text instead. Rows with equal id and text are interchangeable; each row is mixed by itself. An empty table gives an empty result. Sizes of zero take nothing.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._base import written
+
 WEIGHTS = (5, 2, 1)
 SEED = "mix-1"
 #: Hex digits of the seeded hash that name a bucket: 16**BUCKET_DIGITS buckets in a source.
@@ -57,9 +59,13 @@ def mix_sources(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: f
     `repeats` is how often the mix takes the document, `taken` the words it takes so. Columns named in `keep`
     come along under their own names; they must differ from the names above.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    id_ = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), id_).cast("binary"))
     rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), digest.alias("place"), *keep).withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS))
-    buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+    # words are counted once; only columns in `keep` are read again
+    counted = written(rows.drop(*keep), "sizes")
+    rows = rows if keep else counted
+    buckets = counted.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     targets = source_targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights=weights, share=share, max_epochs=max_epochs)
     size = F.col("source_size")
     plan = targets.withColumn("epochs", F.when(size > 0, F.floor(F.col("target") / size)).otherwise(F.lit(0)).cast("long")).withColumn("part", F.when(size > 0, F.col("target") - F.col("epochs") * size).otherwise(F.lit(0.0)))
@@ -69,7 +75,7 @@ def mix_sources(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: f
     edges = edges.groupBy("s").agg(F.max(F.struct("bucket", "before")).alias("cut"))
     per_source = plan.join(edges, F.col("source").eqNullSafe(F.col("s")), "left").select(F.col("source").alias("of"), "source_size", "target", "epochs", "part", F.col("cut.bucket").alias("cut"), F.col("cut.before").alias("before"))
     # one row a source, so that neither a hot source nor the columns in `keep` are shuffled
-    few = docs.select("source").distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    few = counted.select("source").distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     placed = rows.join(F.broadcast(per_source) if few else per_source, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     whole = placed.where("cut is null or bucket <> cut").withColumn("extra", F.coalesce(F.col("bucket") < F.col("cut"), F.lit(False)).cast("long"))
     ordered = Window.partitionBy("source").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, -1)
@@ -82,7 +88,7 @@ def mix_sources(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: f
 ORACLE = r"""
 WITH RECURSIVE rows_ AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'text ' || md5(coalesce(text, '')))) AS place
   FROM documents),
 sizes AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM rows_ GROUP BY source),
