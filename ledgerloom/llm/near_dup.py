@@ -24,7 +24,7 @@ whatever their names, are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -98,7 +98,10 @@ def _features(n: int):
                 sizes.append(len(s))
                 cids.append(cid)
                 bands.append(known.get(cid))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(cids, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "cid", "bands"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(cids, pa.int64()), pa.array(bands, pa.list_(pa.int64())), *batch.columns[2:]],
+                names=["doc_id", "n_shingles", "cid", "bands", *batch.schema.names[2:]],
+            )
 
     return run
 
@@ -199,9 +202,13 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(roots)
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text)."""
-    rows = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_features(shingle), _FEATURES), "features")
+def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) and the columns named in `keep` for each row of docs (doc_id, text).
+
+    Columns in `keep` must differ from the names above and from cid and bands.
+    """
+    schema = ", ".join([_FEATURES, *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)])
+    rows = written(docs.select(F.col("doc_id").cast("long"), "text", *keep).mapInArrow(_features(shingle), schema), "features")
     classes = written(rows.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "classes")
     tensor = F.flatten(F.transform(F.slice("bands", 1, BANDS), lambda a, i: F.transform(F.slice("bands", BANDS + 1, BANDS), lambda b, j: F.xxhash64(a, b, i, j))))
     keys = classes.select("cid", F.explode(tensor).alias("key"))
@@ -232,8 +239,9 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     linked = written(lows.join(least, "comp").select("cid", "first"), "linked")
     # of all other classes only those with copies need a name
     named = written(linked.union(classes.where("copies > 1").join(linked, "cid", "left_anti").select("cid", "low")), "named")
-    out = rows.select("doc_id", "n_shingles", "cid").join(_small(named), "cid", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull()))
+    out = rows.drop("bands").join(_small(named), "cid", "left").withColumn("component_id", F.coalesce("first", "doc_id"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull())
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), *keep)
 
 
 def _small(table: DataFrame) -> DataFrame:

@@ -753,3 +753,32 @@ def test_one_of_repeated_rows_stays(spark):
     rows = [(1, "a b c d e f g h", "en", "s", 1), (1, "a b c d e f g h", "en", "s", 1), (2, "a b c d e f g h", "en", "s", 1), (3, None, "en", "s", 1), (4, "", "en", "s", 1)]
     got = cp.minhash_near_dedup(spark, spark.createDataFrame(rows, DOCS), SF)
     assert sorted(r["doc_id"] for r in got.collect()) == [1, 3, 4]
+
+
+def test_stages_have_defined_results_for_odd_rows(spark, odd, none, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, shared ids, clashing columns and empty tables, stage by stage."""
+    import corpus_pipeline as cp
+
+    item = " ".join(f"item{k}" for k in range(20))
+    more = spark.createDataFrame([(20, item, "en", "a", 1), (20, "a clean text of id twenty", "en", "a", 1), (None, item, "en", "b", 1), (21, "token = 'q1w2e3r4t5y6u7i8'", "en", "c", 1)], DOCS)
+    rows = odd.unionByName(more.withColumns({c: F.lit("clash") for c in odd.columns if c not in more.columns}))
+    spark.createDataFrame([(1, item), (None, "one"), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    ids = [x[0] for x in ODD] + [20, 20, None, 21]
+    sort = lambda xs: sorted(xs, key=lambda x: (x is None, x))
+    of = lambda df: sort(r["doc_id"] for r in df.collect())
+    left = lambda *gone: sort([i for k, i in enumerate(ids) if k not in gone])
+
+    labels(spark, (6, 1, 0), (7, 0, 0)).write.parquet(str(tmp_path / "labels.parquet"))
+    kept = cp.quality_classifier(spark, rows, str(tmp_path))
+    assert kept.columns == list(cp.COLUMNS) and set(of(kept)) <= set(ids) and of(cp.quality_classifier(spark, none, str(tmp_path))) == []
+    # the repeated row of id 5 goes, and the copy without an id
+    assert of(cp.minhash_near_dedup(spark, rows, str(tmp_path))) == left(5, len(ids) - 2) and of(cp.minhash_near_dedup(spark, none, str(tmp_path))) == []
+    # only the rows that hold the item go: not the clean one of the same id, but the one without an id
+    clean = cp.benchmark_decontamination(spark, rows, str(tmp_path))
+    assert of(clean) == left(len(ids) - 4, len(ids) - 2) and [r["text"] for r in clean.where("doc_id = 20").collect()] == ["a clean text of id twenty"]
+    assert of(cp.benchmark_decontamination(spark, none, str(tmp_path))) == []
+    bare = cp.secret_scan(spark, rows, str(tmp_path))
+    texts = {r["doc_id"]: r["text"] for r in bare.collect()}
+    assert of(bare) == left() and texts[21] == "token = '[secret]'" and texts[1] is None and texts[2] == "" and of(cp.secret_scan(spark, none, str(tmp_path))) == []
+    mixed = cp.source_mixing(spark, rows, str(tmp_path))
+    assert all(r["taken"] == r["size"] * r["repeats"] and 0 < r["repeats"] <= 2 for r in mixed.collect()) and of(cp.source_mixing(spark, none, str(tmp_path))) == []
