@@ -479,7 +479,7 @@ def filter_arcs_to_universe(spark, sf_dir):
 @_query(
     _with(SUB)
     + """ SELECT count(*) AS n_rows, CAST(count_if(adsh >= 10000000000000000) AS BIGINT) AS adsh_too_large, CAST(0 AS BIGINT) AS sic_too_large, CAST(count_if(year(period) <= 1996 OR year(period) >= 2030) AS BIGINT) AS period_year, CAST(count_if(year(accepted) <= 1996 OR year(accepted) >= 2030) AS BIGINT) AS accepted_year,
-         CAST(count_if(is_amended <> (amendment_adsh <> 0)) AS BIGINT) AS flag_without_link, CAST(count_if(version = 0) AS BIGINT) AS no_version, CAST(count_if(version <> 0 AND (version < 2008 OR version > year(accepted) + 3)) AS BIGINT) AS version_range, CAST(count_if(form NOT IN ('10-Q', '10-K', '10-Q/A', '10-K/A')) AS BIGINT) AS form, CAST(count_if(period > CAST(accepted AS DATE)) AS BIGINT) AS period_after_acceptance FROM sub"""
+         CAST(count_if(is_amended <> (amendment_adsh <> 0)) AS BIGINT) AS flag_without_link, CAST(count_if(version = 0) AS BIGINT) AS no_version, CAST(count_if(version <> 0 AND (version < 2008 OR version > year(accepted) + 3)) AS BIGINT) AS version_range, CAST(max(version) > greatest(max(year(accepted)), max(year(period))) + 2 AS BIGINT) AS version_ahead, CAST(count_if(form NOT IN ('10-Q', '10-K', '10-Q/A', '10-K/A')) AS BIGINT) AS form, CAST(count_if(period > CAST(accepted AS DATE)) AS BIGINT) AS period_after_acceptance FROM sub"""
 )
 def check_submissions(spark, sf_dir):
     return checks.submission_violations(adapter.submissions(spark, sf_dir).withColumn("sic", F.lit(0)), first_year=1996)

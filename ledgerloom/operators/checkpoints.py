@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in spark.checkpoint.dir; a local folder only where that is unset, as in tests."""
+    """A reliable checkpoint in spark.checkpoint.dir; a folder of this machine only where that is unset and no other takes part."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="spark-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()

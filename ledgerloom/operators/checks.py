@@ -26,7 +26,9 @@ def submission_violations(sub: DataFrame, *, first_year: int = 2003, last_year:
         "version_range": (F.col("version") != 0) & ((F.col("version") < 2008) | (F.col("version") > year("accepted") + 3)), "form": ~F.col("form").isin(*POLICY.forms),
         "period_after_acceptance": (F.col("period") > F.to_date("accepted")) & ~F.col("adsh").isin(*(list(late_periods) or [-1])),
     }
-    return sub.agg(F.count("*").alias("n_rows"), *[F.count_if(F.coalesce(r, F.lit(True))).alias(n) for n, r in rules.items()])
+    counts = sub.agg(F.count("*").alias("n_rows"), *[F.count_if(F.coalesce(r, F.lit(True))).alias(n) for n, r in rules.items()], F.greatest(F.max(year("accepted")), F.max(year("period"))).alias("__year"), F.max("version").alias("__version"))
+    # no version is more than two years ahead of the latest filing
+    return counts.withColumn("version_ahead", F.coalesce(F.col("__version") > F.col("__year") + 2, F.lit(False)).cast("long")).drop("__year", "__version")
 
 
 def check_submissions(sub: DataFrame, *, min_rows: int = 200_000, **limits) -> list[str]:

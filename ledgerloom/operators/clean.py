@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from ..functions.scalars import nan_to_null, value_adj
 from ..schemas import KEY, POLICY, require_columns
 from .checkpoints import cut
 
+_log = logging.getLogger(__name__)
+
 
 def normalize_fact_types(facts: DataFrame) -> DataFrame:
     """adsh must be a number; a value that is none becomes null, and so does NaN."""
@@ -69,19 +73,21 @@ def outlier_pairs(facts: DataFrame) -> DataFrame:
 def correct_scale_outliers(facts: DataFrame, sub: DataFrame) -> tuple[DataFrame, int]:
     """Facts with values that are off by a factor of 1e3 or 1e6 set right, and the number of corrections.
 
-    Repeats until nothing is found (at most POLICY.max_outlier_rounds); only (cik, tag) groups with a correction
+    Repeats until nothing is found, POLICY.max_outlier_rounds times at most; a last round that still corrects is logged as a warning. Only (cik, tag) groups with a correction
     go into the next round. Facts must be unique by (adsh, tag, start, end), as drop_contradictions leaves them.
     """
     columns = facts.columns
     rows = cut(attach_cik(facts, sub).withColumn("value_adj", value_adj(F.col("start"), F.col("end"), F.col("value"))))
     done, total = None, 0
-    for _ in range(POLICY.max_outlier_rounds):
+    for k in range(POLICY.max_outlier_rounds):
         hit = outlier_pairs(rows).withColumn("c", _scaled(F.abs("value"), F.abs("median"), F.abs("y"))).where("c is not null")
         hit = cut(hit.groupBy(*KEY, "cik").agg(F.element_at(F.array(*[F.lit(x) for x in (1e-3, 1e-6, 1e3, 1e6)]), F.min("c")).alias("mult")))
         n = hit.count()
         if not n:
             break
         total += n
+        if k == POLICY.max_outlier_rounds - 1:
+            _log.warning("%d values were still corrected in round %d, the last", n, k + 1)
         groups = hit.select("cik", "tag").distinct()
         settled = rows.join(groups, ["cik", "tag"], "left_anti").select(*columns)
         done = settled if done is None else done.unionByName(settled)

@@ -1,4 +1,7 @@
-"""Quarterly, prior-year and annual figures, and the intervals that belong to them."""
+"""Quarterly, prior-year and annual figures, and the intervals that belong to them.
+
+Every function finds the links it needs itself, or takes them from `links` (links.all_links, computed once).
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import POLICY, require_columns
-from .links import lookup_by_link, prev_10k_link, prev_filing_link, prior_year_link
+from .links import all_links, lookup_by_link, prev_10k_link, prev_filing_link, prior_year_link
 
 _FIGURES = ("adsh", "tag", "reported_figure", "quarterly_figure", "reported_figure_py", "quarterly_figure_py", "is_instant")
 _TOL = POLICY.prior_year_tolerance_days
@@ -19,12 +22,12 @@ def assert_known(figures: DataFrame, sub: DataFrame) -> None:
         raise ValueError(f"figures of unknown filings: {sorted(r['adsh'] for r in unknown)}")
 
 
-def fill_quarterly(figures: DataFrame, sub: DataFrame, *, keep_existing: bool = True, check: bool = True) -> DataFrame:
+def fill_quarterly(figures: DataFrame, sub: DataFrame, *, keep_existing: bool = True, check: bool = True, links: DataFrame | None = None) -> DataFrame:
     """Quarterly figures of durations: the reported one if there is no earlier filing of the same start or that is annual, else the difference. Instants stay."""
     require_columns(figures, _FIGURES, "figures")
     if check:
         assert_known(figures, sub)
-    rows = lookup_by_link(figures, prev_filing_link(sub), "prev_adsh", {"reported_figure": "__r", "reported_figure_py": "__r_py"})
+    rows = lookup_by_link(figures, prev_filing_link(sub) if links is None else links.select("adsh", "prev_adsh", "prev_form"), "prev_adsh", {"reported_figure": "__r", "reported_figure_py": "__r_py"})
     first = (F.coalesce("prev_adsh", F.lit(0)) == 0) | F.coalesce(F.col("prev_form").startswith("10-K"), F.lit(False))
     new = {}
     for now, whole, before in (("quarterly_figure", "reported_figure", "__r"), ("quarterly_figure_py", "reported_figure_py", "__r_py")):
@@ -33,36 +36,37 @@ def fill_quarterly(figures: DataFrame, sub: DataFrame, *, keep_existing: bool =
     return rows.withColumns(new).select(*figures.columns)
 
 
-def fill_prior_year(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True) -> DataFrame:
+def fill_prior_year(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True, links: DataFrame | None = None) -> DataFrame:
     """Missing prior-year figures from the filing a year earlier."""
     require_columns(figures, _FIGURES, "figures")
-    link = prior_year_link(sub, tol_days=tol_days, match_form_family=match_form_family)
+    link = prior_year_link(sub, tol_days=tol_days, match_form_family=match_form_family) if links is None else links.select("adsh", "adsh_py", "py_diff_days")
     rows = lookup_by_link(figures, link, "adsh_py", {"reported_figure": "__r", "quarterly_figure": "__q"})
     return rows.withColumns({"reported_figure_py": F.coalesce("reported_figure_py", "__r"), "quarterly_figure_py": F.coalesce("quarterly_figure_py", "__q")}).select(*figures.columns)
 
 
-def annual_current(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL) -> DataFrame:
+def annual_current(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL, links: DataFrame | None = None) -> DataFrame:
     """annual_figure: the reported one of annual reports; of other durations reported + last annual - reported a year earlier; null for other instants."""
     require_columns(figures, _FIGURES, "figures")
-    rows = lookup_by_link(figures, prev_10k_link(sub, tol_days=tol_days), "prev_10k_adsh", {"reported_figure": "__k"})
-    rows = rows.join(sub.select("adsh", F.col("form").alias("__form")), "adsh", "left")
+    link = prev_10k_link(sub, tol_days=tol_days) if links is None else links.select("adsh", "prev_10k_adsh", "prev_10k_diff_days")
+    forms = sub.groupBy("adsh").agg(F.max("form").alias("__form"))
+    rows = lookup_by_link(figures, link.join(forms, "adsh", "left"), "prev_10k_adsh", {"reported_figure": "__k"})
     made = F.when(F.col("__form").startswith("10-K"), F.col("reported_figure")).when(~F.col("is_instant"), F.col("reported_figure") + F.col("__k") - F.col("reported_figure_py"))
     return rows.withColumn("annual_figure", made).select(*figures.columns, "annual_figure")
 
 
-def annual_prior_year(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True) -> DataFrame:
+def annual_prior_year(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True, links: DataFrame | None = None) -> DataFrame:
     """annual_figure_py: the annual figure of the filing a year earlier."""
     require_columns(figures, ["adsh", "tag", "annual_figure"], "figures")
-    link = prior_year_link(sub, tol_days=tol_days, match_form_family=match_form_family)
+    link = prior_year_link(sub, tol_days=tol_days, match_form_family=match_form_family) if links is None else links.select("adsh", "adsh_py", "py_diff_days")
     return lookup_by_link(figures, link, "adsh_py", {"annual_figure": "annual_figure_py"}).select(*figures.columns, "annual_figure_py")
 
 
-def impute_intervals(sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True) -> DataFrame:
+def impute_intervals(sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True, links: DataFrame | None = None) -> DataFrame:
     """Submissions with annual and quarterly intervals, current and prior year, instead of the four reported anchors."""
     require_columns(sub, ["adsh", "cik", "form", "start_rep", "end_rep", "start_rep_py", "end_rep_py", "start_q", "end_q", "start_q_py", "end_q_py", "is_amended"], "submissions")
     of = lambda df, name, **cols: df.select(F.col("adsh").alias(name), *[F.col(c).alias(n) for n, c in cols.items()])
     rows = sub.withColumns({"end_a": F.col("end_rep"), "end_a_py": F.col("end_rep_py"), "end_q": F.coalesce("end_q", "end_rep"), "end_q_py": F.coalesce("end_q_py", "end_rep_py")})
-    rows = rows.join(prev_10k_link(sub, tol_days=tol_days).drop("prev_10k_diff_days"), "adsh").join(prior_year_link(sub, tol_days=tol_days, match_form_family=match_form_family).drop("py_diff_days"), "adsh").join(prev_filing_link(sub).drop("prev_form"), "adsh")
+    rows = rows.join((all_links(sub, tol_days=tol_days, match_form_family=match_form_family) if links is None else links).select("adsh", "prev_10k_adsh", "adsh_py", "prev_adsh"), "adsh")
     rows = rows.join(of(sub, "prev_10k_adsh", __start_k="start_rep"), "prev_10k_adsh", "left").join(of(sub, "adsh_py", __start_py="start_rep"), "adsh_py", "left")
     rows = rows.join(of(rows, "prev_adsh", __prev_q="end_q", __prev_rep="end_rep"), "prev_adsh", "left")
     made = F.when(F.col("prev_adsh") == 0, F.col("start_rep")).otherwise(F.date_add(F.coalesce("__prev_q", "__prev_rep"), 1))

@@ -1,48 +1,74 @@
-"""As-of links between the filings of a company. 0 stands for no link."""
+"""As-of links between the filings of a company. 0 stands for no link.
+
+Each link is a running maximum over the filings of a company in order of their ends, so that a company with many filings
+costs its filings and not its pairs. Links have one row per filing, whatever number of rows it has.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import add_years, form_family
 from ..schemas import POLICY, require_columns
 
 
-def _candidates(sub: DataFrame, columns: dict[str, str], exclude_amended: bool) -> DataFrame:
-    rows = sub.where(~F.coalesce("is_amended", F.lit(False))) if exclude_amended else sub
-    return rows.select("cik", *[F.col(c).alias(n) for c, n in columns.items()])
+def _days(day: Column) -> Column:
+    return F.datediff(day, F.lit("1970-01-01").cast("date"))
+
+
+def _usable(exclude_amended: bool) -> Column:
+    return ~F.coalesce("is_amended", F.lit(False)) if exclude_amended else F.lit(True)
 
 
 def prev_10k_link(sub: DataFrame, *, tol_days: int = POLICY.prior_year_tolerance_days, end_col: str = "end_rep", exclude_amended: bool = True) -> DataFrame:
     """(adsh, prev_10k_adsh, prev_10k_diff_days): the latest annual report that ended 1 to 365 + tol_days days earlier; ties to the larger adsh."""
     require_columns(sub, ["adsh", "cik", "form", end_col, "is_amended"], "submissions")
-    right = _candidates(sub.where(F.col("form").startswith("10-K")), {"adsh": "c_adsh", end_col: "c_end"}, exclude_amended)
-    lag = F.datediff(end_col, "c_end")
-    met = sub.select("adsh", "cik", end_col).join(right, "cik").where((lag > 0) & (lag <= 365 + tol_days))
-    best = met.groupBy("adsh").agg(F.max(F.struct("c_end", "c_adsh", lag.alias("lag"))).alias("b"))
-    return sub.select("adsh").join(best, "adsh", "left").select("adsh", F.coalesce("b.c_adsh", F.lit(0)).alias("prev_10k_adsh"), F.coalesce("b.lag", F.lit(0)).cast("smallint").alias("prev_10k_diff_days"))
+    rows = sub.select("adsh", "cik", _days(F.col(end_col)).alias("day"), (_usable(exclude_amended) & F.col("form").startswith("10-K")).alias("usable"))
+    earlier = Window.partitionBy("cik").orderBy("day").rangeBetween(Window.unboundedPreceding, -1)
+    last = F.max(F.when(F.col("usable") & F.col("day").isNotNull(), F.struct("day", "adsh"))).over(earlier)
+    lag = F.col("day") - F.col("last.day")
+    met = rows.withColumn("last", last).select("adsh", F.when(F.col("cik").isNotNull() & (lag <= 365 + tol_days), F.struct("last.day", "last.adsh", lag.alias("lag"))).alias("b"))
+    best = met.groupBy("adsh").agg(F.max("b").alias("b"))
+    return best.select("adsh", F.coalesce("b.adsh", F.lit(0)).alias("prev_10k_adsh"), F.coalesce("b.lag", F.lit(0)).cast("smallint").alias("prev_10k_diff_days"))
 
 
 def prior_year_link(sub: DataFrame, *, tol_days: int = POLICY.prior_year_tolerance_days, match_form_family: bool = True, end_col: str = "end_rep", exclude_amended: bool = True) -> DataFrame:
-    """(adsh, adsh_py, py_diff_days): the filing that ended nearest to a year earlier, within tol_days; ties to the later end, then the larger adsh."""
+    """(adsh, adsh_py, py_diff_days): the filing that ended nearest to a year earlier, within tol_days; ties to the later end, then the larger adsh.
+
+    The nearest is the last that ended up to the wanted day or the first after it: one running maximum for each side.
+    """
     require_columns(sub, ["adsh", "cik", "form", end_col, "is_amended"], "submissions")
-    right = _candidates(sub.withColumn("c_family", form_family(F.col("form"))), {"adsh": "c_adsh", end_col: "c_end", "c_family": "c_family"}, exclude_amended)
-    left = sub.select("adsh", "cik", add_years(F.col(end_col), -1).alias("wanted"), form_family(F.col("form")).alias("family"))
-    on = (left["cik"] == right["cik"]) & (left["family"] == right["c_family"]) if match_form_family else left["cik"] == right["cik"]
-    off = F.datediff("c_end", "wanted")
-    met = left.join(right, on).where(F.abs(off) <= tol_days)
-    best = met.groupBy("adsh").agg(F.max(F.struct((-F.abs(off)).alias("near"), "c_end", "c_adsh", off.alias("off"))).alias("b"))
-    return sub.select("adsh").join(best, "adsh", "left").select("adsh", F.coalesce("b.c_adsh", F.lit(0)).alias("adsh_py"), F.coalesce(F.abs("b.off"), F.lit(0)).cast("smallint").alias("py_diff_days"))
+    family = form_family(F.col("form")) if match_form_family else F.lit("")
+    place = lambda day: _days(day).alias("day")
+    asked = sub.select("adsh", "cik", family.alias("family"), place(add_years(F.col(end_col), -1)), F.lit(False).alias("given"))
+    given = sub.where(_usable(exclude_amended)).select("adsh", "cik", family.alias("family"), place(F.col(end_col)), F.lit(True).alias("given"))
+    both = asked.unionByName(given).where(F.col("cik").isNotNull() & F.col("day").isNotNull())
+    upto = Window.partitionBy("cik", "family").orderBy("day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy("cik", "family").orderBy(F.col("day").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    before = F.max(F.when(F.col("given"), F.struct("day", "adsh"))).over(upto)
+    behind = F.max(F.when(F.col("given"), F.struct((-F.col("day")).alias("minus"), "adsh"))).over(after)
+    found = both.withColumns({"x": before, "y": behind}).where(~F.col("given"))
+    off = lambda day: F.abs(day - F.col("day"))
+    option = lambda day, adsh: F.when(off(day) <= tol_days, F.struct((-off(day)).alias("near"), day.alias("end"), adsh.alias("adsh")))
+    best = found.groupBy("adsh").agg(F.max(F.greatest(option(F.col("x.day"), F.col("x.adsh")), option(-F.col("y.minus"), F.col("y.adsh")))).alias("b"))
+    return sub.select("adsh").distinct().join(best, "adsh", "left").select("adsh", F.coalesce("b.adsh", F.lit(0)).alias("adsh_py"), F.coalesce(-F.col("b.near"), F.lit(0)).cast("smallint").alias("py_diff_days"))
 
 
 def prev_filing_link(sub: DataFrame, *, start_col: str = "start_rep", end_col: str = "end_rep", exclude_amended: bool = True) -> DataFrame:
     """(adsh, prev_adsh, prev_form): the filing with the same start that ended last before this one; ties to the larger adsh."""
     require_columns(sub, ["adsh", "cik", "form", start_col, end_col, "is_amended"], "submissions")
-    right = _candidates(sub, {"adsh": "c_adsh", start_col: start_col, end_col: "c_end", "form": "c_form"}, exclude_amended)
-    met = sub.select("adsh", "cik", start_col, end_col).join(right, ["cik", start_col]).where(F.col("c_end") < F.col(end_col))
-    best = met.groupBy("adsh").agg(F.max(F.struct("c_end", "c_adsh", "c_form")).alias("b"))
-    return sub.select("adsh").join(best, "adsh", "left").select("adsh", F.coalesce("b.c_adsh", F.lit(0)).alias("prev_adsh"), F.col("b.c_form").alias("prev_form"))
+    rows = sub.select("adsh", "cik", F.col(start_col).alias("start"), _days(F.col(end_col)).alias("day"), "form", _usable(exclude_amended).alias("usable"))
+    earlier = Window.partitionBy("cik", "start").orderBy("day").rangeBetween(Window.unboundedPreceding, -1)
+    last = F.max(F.when(F.col("usable") & F.col("day").isNotNull() & F.col("cik").isNotNull() & F.col("start").isNotNull(), F.struct("day", "adsh", "form"))).over(earlier)
+    best = rows.withColumn("last", last).groupBy("adsh").agg(F.max("last").alias("b"))
+    return best.select("adsh", F.coalesce("b.adsh", F.lit(0)).alias("prev_adsh"), F.col("b.form").alias("prev_form"))
+
+
+def all_links(sub: DataFrame, *, tol_days: int = POLICY.prior_year_tolerance_days, match_form_family: bool = True) -> DataFrame:
+    """(adsh, prev_10k_adsh, prev_10k_diff_days, adsh_py, py_diff_days, prev_adsh, prev_form): the three links of each filing, to be computed once and passed on."""
+    py = prior_year_link(sub, tol_days=tol_days, match_form_family=match_form_family)
+    return prev_10k_link(sub, tol_days=tol_days).join(py, "adsh").join(prev_filing_link(sub), "adsh")
 
 
 def lookup_by_link(figures: DataFrame, link: DataFrame, link_col: str, columns: dict[str, str]) -> DataFrame:

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import POLICY, require_columns
+from .checkpoints import cut
 from .derive import annual_current, annual_prior_year, fill_prior_year, fill_quarterly, impute_intervals
+from .links import all_links
+from .submissions import one_row_per_filing
 
 SUFFIXES = {"quarterly_figure": "_q", "quarterly_figure_py": "_q_py", "annual_figure": "_a", "annual_figure_py": "_a_py"}
-#: Above so many tags the wide table is a map column per filing instead of four columns per tag.
-MAX_WIDE_TAGS = 500
 
 
 def tag_frequency(figures: DataFrame) -> DataFrame:
@@ -29,28 +30,27 @@ def sub_metadata_join(wide: DataFrame, sub: DataFrame) -> DataFrame:
     return wide.join(sub, "adsh", "left")
 
 
-def pivot_figures(figures: DataFrame, sub: DataFrame, *, tags: list[str] | None = None) -> DataFrame:
+def pivot_figures(figures: DataFrame, sub: DataFrame, *, tags: list[str] | None = None, as_map: bool = False) -> DataFrame:
     """One row per filing with figures: {tag}_q, _q_py, _a, _a_py and the columns of its submission.
 
-    The tags are the distinct ones unless given; above MAX_WIDE_TAGS of them the values come in one map column,
-    figures: tag -> (q, q_py, a, a_py), so that the plan stays small.
+    The tags are the distinct ones unless given. With as_map the values come in one map column instead,
+    figures: tag -> (q, q_py, a, a_py), which keeps the plan small where there are thousands of tags.
     """
     require_columns(figures, ["adsh", "tag", *SUFFIXES], "figures")
-    if tags is None:
-        tags = sorted(r["tag"] for r in figures.select("tag").distinct().limit(MAX_WIDE_TAGS + 1).collect() if r["tag"] is not None)
-    if len(tags) > MAX_WIDE_TAGS:
+    if as_map:
         values = F.struct(*[F.col(c).alias(s[1:]) for c, s in SUFFIXES.items()])
-        wide = figures.groupBy("adsh").agg(F.map_from_entries(F.collect_list(F.struct("tag", values))).alias("figures"))
-    else:
-        wide = figures.groupBy("adsh").pivot("tag", tags).agg(*[F.first(c).alias(c) for c in SUFFIXES]) if tags else figures.select("adsh").distinct()
-        wide = wide.withColumnsRenamed({f"{t}_{c}": f"{t}{s}" for t in tags for c, s in SUFFIXES.items()})
-    return sub_metadata_join(wide, sub)
-
-
-def transform_and_pivot_figures(figures: DataFrame, sub: DataFrame, *, tol_days: int = POLICY.prior_year_tolerance_days, match_form_family: bool = True, tags: list[str] | None = None) -> DataFrame:
-    """Quarterly, prior-year and annual figures of the frequent tags, one row per filing."""
-    sub = sub.dropDuplicates(["adsh"])
-    rows = fill_quarterly(remove_infrequent_tags(figures), sub)
-    rows = fill_prior_year(rows, sub, tol_days=tol_days, match_form_family=match_form_family)
-    rows = annual_prior_year(annual_current(rows, sub, tol_days=tol_days), sub, tol_days=tol_days, match_form_family=match_form_family)
-    return pivot_figures(rows, impute_intervals(sub, tol_days=tol_days, match_form_family=match_form_family), tags=tags)
+        some = figures if tags is None else figures.where(F.col("tag").isin(*tags))
+        return sub_metadata_join(some.groupBy("adsh").agg(F.map_from_entries(F.collect_list(F.struct("tag", values))).alias("figures")), sub)
+    if tags is None:
+        tags = sorted(r["tag"] for r in figures.select("tag").distinct().collect() if r["tag"] is not None)
+    wide = figures.groupBy("adsh").pivot("tag", tags).agg(*[F.first(c).alias(c) for c in SUFFIXES]) if tags else figures.select("adsh").distinct()
+    return sub_metadata_join(wide.withColumnsRenamed({f"{t}_{c}": f"{t}{s}" for t in tags for c, s in SUFFIXES.items()}), sub)
+
+
+def transform_and_pivot_figures(figures: DataFrame, sub: DataFrame, *, tol_days: int = POLICY.prior_year_tolerance_days, match_form_family: bool = True, tags: list[str] | None = None, as_map: bool = False) -> DataFrame:
+    """Quarterly, prior-year and annual figures of the frequent tags, one row per filing. Of several rows of a filing the highest version counts."""
+    sub = cut(one_row_per_filing(sub))
+    links = cut(all_links(sub, tol_days=tol_days, match_form_family=match_form_family))
+    rows = fill_quarterly(remove_infrequent_tags(figures), sub, links=links)
+    rows = annual_current(fill_prior_year(rows, sub, links=links), sub, links=links)
+    return pivot_figures(annual_prior_year(rows, sub, links=links), impute_intervals(sub, links=links), tags=tags, as_map=as_map)

@@ -40,8 +40,8 @@ def repair_version(sub: DataFrame) -> DataFrame:
 
 
 def one_row_per_filing(sub: DataFrame) -> DataFrame:
-    """One row per adsh, the one with the highest version (then the first in the order of all columns)."""
-    order = Window.partitionBy("adsh").orderBy(F.col("version").desc_nulls_last(), *[F.col(c) for c in sub.columns if c not in ("adsh", "version")])
+    """One row per adsh, the one with the highest version, if there is one (then the first in the order of all columns)."""
+    order = Window.partitionBy("adsh").orderBy(*[F.col(c).desc_nulls_last() for c in ("version",) if c in sub.columns], *[F.col(c) for c in sub.columns if c not in ("adsh", "version")])
     return sub.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
 
 

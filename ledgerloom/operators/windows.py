@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import add_years
@@ -50,11 +50,41 @@ def align_prior_year_ranges(facts: DataFrame, ends_py: DataFrame, ranges: DataFr
 
 
 def infer_reporting_windows(facts: DataFrame, sub: DataFrame) -> DataFrame:
-    """(adsh, start, end, enum): 1 reported or year to date, 2 quarter, 3 and 4 the same a year earlier."""
+    """(adsh, start, end, enum): 1 reported or year to date, 2 quarter, 3 and 4 the same a year earlier.
+
+    The rules of best_end_per_filing, rank_ranges and align_prior_year_ranges on one count of rows per range: the few
+    ranges of a filing are gathered, and all else is done within the filing, without another look at the facts.
+    A filing of several rows has the latest of its periods.
+    """
     require_columns(facts, ["adsh", "start", "end"], "facts")
     require_columns(sub, ["adsh", "period"], "submissions")
-    ranges = rank_ranges(facts, best_end_per_filing(facts, sub))
-    return ranges.unionByName(align_prior_year_ranges(facts, best_end_per_filing(facts, sub, years_back=1), ranges))
+    ranges = facts.groupBy("adsh", "start", "end").agg(F.count("*").alias("n")).groupBy("adsh").agg(F.collect_list(F.struct("start", "end", "n")).alias("r"))
+    rows = ranges.join(sub.groupBy("adsh").agg(F.max("period").alias("period")), "adsh")
+    ends = F.array_distinct(F.transform(F.filter("r", lambda x: F.year(x["end"]) <= 2100), lambda x: x["end"]))
+    of_end = lambda e: F.aggregate(F.filter("r", lambda x: x["end"] == e), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    rows = rows.withColumn("ends", F.transform(ends, lambda e: F.struct(e.alias("end"), of_end(e).alias("n"))))
+
+    def best(years: int) -> Column:
+        off = lambda x: F.abs(F.datediff("period", add_years(x["end"], years)))
+        near = F.filter("ends", lambda x: off(x) < POLICY.period_tolerance_days)
+        return F.array_max(F.transform(near, lambda x: F.struct(x["n"].alias("n"), (-off(x)).alias("off"), x["end"].alias("end"))))["end"]
+
+    rows = rows.select("adsh", "r", best(0).alias("now"), best(1).alias("then"))
+    long_enough = lambda x: (x["start"] != x["end"]) & (F.date_add(add_years(x["start"], 1), 10) > x["end"])
+    ranked = F.array_sort(F.transform(F.filter("r", lambda x: (x["end"] == F.col("now")) & long_enough(x)), lambda x: F.struct((-x["n"]).alias("less"), x["start"].alias("start"))))
+    rows = rows.withColumn("two", F.slice(ranked, 1, 2))
+    enough = F.filter("two", lambda x: -x["less"] >= POLICY.second_range_share * -F.col("two")[0]["less"])
+    rows = rows.withColumn("starts", F.array_sort(F.transform(enough, lambda x: x["start"])))
+    before = F.filter("r", lambda x: x["end"] == F.col("then"))
+
+    def prior(ref: Column) -> Column:
+        near = F.filter(before, lambda x: F.abs(F.datediff(x["start"], add_years(ref, -1))) < POLICY.prior_year_tolerance_days)
+        return F.array_min(F.transform(near, lambda x: F.struct((-x["n"]).alias("less"), x["start"].alias("start"))))["start"]
+
+    window = lambda start, end, k: F.struct(start.alias("start"), end.alias("end"), k.cast("tinyint").alias("enum"))
+    current = F.transform("starts", lambda s, i: window(s, F.col("now"), i + 1))
+    earlier = F.filter(F.transform("starts", lambda s, i: window(prior(s), F.col("then"), i + 3)), lambda w: w["start"].isNotNull())
+    return rows.select("adsh", F.inline(F.concat(current, earlier)))
 
 
 def _by_enum(columns: dict[str, int], value: str) -> list:

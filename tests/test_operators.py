@@ -206,13 +206,12 @@ def test_intervals(spark):
     assert "start_rep" not in got[2].asDict()
 
 
-def test_pivot_whole_and_as_map(spark, monkeypatch):
+def test_pivot_whole_and_as_map(spark):
     f = figs(spark, (1, "Revenue", (100.0, None, None, None), False), (2, "Revenue", (40.0, None, 20.0, None), False), (3, "Revenue", (70.0, None, None, None), False))
     wide = pivot.transform_and_pivot_figures(f, full_sub(spark))
     assert {"Revenue_q", "Revenue_q_py", "Revenue_a", "Revenue_a_py", "form", "start_a"} <= set(wide.columns) and "start_rep" not in wide.columns
     assert rows(wide, "adsh", "Revenue_q", "Revenue_a")[1] == (2, 40.0, 120.0)
-    monkeypatch.setattr(pivot, "MAX_WIDE_TAGS", 0)
-    as_map = pivot.transform_and_pivot_figures(f, full_sub(spark))
+    as_map = pivot.transform_and_pivot_figures(f, full_sub(spark), as_map=True)
     assert {r["adsh"]: r["figures"]["Revenue"]["a"] for r in as_map.collect()}[2] == 120.0
 
 
