@@ -149,6 +149,12 @@ def merge_amendments(spark, sf_dir):
     return _days(amendments.merge_amendments(adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir)).withColumnRenamed("end", "end_"))
 
 
+@_query(_with(SUB) + " SELECT last_ AS adsh, strftime(max(accepted), '%Y-%m-%d %H:%M:%S') AS accepted FROM sub GROUP BY last_")
+def accepted_by_canonical(spark, sf_dir):
+    sub = adapter.submissions(spark, sf_dir)
+    return amendments.accepted_by_canonical(sub, amendments.canonical_adsh_map(sub)).select("adsh", F.date_format("accepted", "yyyy-MM-dd HH:mm:ss").alias("accepted"))
+
+
 # ---- cleaning
 
 
@@ -238,6 +244,27 @@ def build_base_figures(spark, sf_dir):
     return figures.build_base_figures(adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir))[0]
 
 
+PLANTED = FACTS.replace("l.l_extendedprice AS value", "CAST(1000 + (l.l_orderkey + 1) % 20 AS DOUBLE) * CASE WHEN (l.l_orderkey + 1) % 97 = 0 THEN 1000 ELSE 1 END AS value")
+RESCALED = """
+k AS (SELECT f.*, s.cik, CASE WHEN f.start = f.end_ THEN abs(f.value) ELSE abs(f.value / greatest(datediff('day', f.start, f.end_), 90) * 90) END AS adj FROM clean f JOIN sub s ON f.adsh = s.adsh),
+m AS (SELECT cik, tag, median(adj) AS med FROM k GROUP BY 1, 2),
+p AS (
+  SELECT a.adsh, a.tag, a.start, a.end_, min(CASE WHEN a.value > m.med * 100 AND a.value > y.adj * 965 AND a.value < y.adj * 1036 THEN 1 WHEN a.value < m.med / 100 AND a.value > y.adj / 1036 AND a.value < y.adj / 965 THEN 3 END) AS c
+  FROM k a JOIN m ON a.cik = m.cik AND a.tag = m.tag JOIN k y ON a.cik = y.cik AND a.tag = y.tag AND abs(datediff('day', a.end_, y.end_)) <= 120 GROUP BY ALL),
+fixed AS (SELECT k.adsh, k.tag, k.start, k.end_, round(k.value * CASE c WHEN 1 THEN 1e-3 WHEN 3 THEN 1e3 ELSE 1 END, 2) AS value FROM k LEFT JOIN p ON k.adsh = p.adsh AND k.tag = p.tag AND k.start = p.start AND k.end_ = p.end_)"""
+
+
+@_query(
+    _with(SUB, PLANTED, MERGED, CLEAN, RESCALED, WINDOWS.replace("{facts}", "fixed"), "d AS (" + _PERIOD.format(facts="fixed", where="WHERE f.start <> f.end_") + ")", "i AS (" + _INSTANT.format(facts="fixed") + ")")
+    + """ SELECT adsh, tag, value1 AS reported_figure, value2 AS quarterly_figure, value3 AS reported_figure_py, value4 AS quarterly_figure_py, false AS is_computed, false AS is_instant FROM d
+        UNION ALL SELECT adsh, tag, value1, value2, value3, value4, false, true FROM i WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.adsh = i.adsh AND d.tag = i.tag)"""
+)
+def build_base_figures_rescaled(spark, sf_dir):
+    """The whole of it on facts of which 1 filing in 97 reports in thousands; one round puts right what has neighbours."""
+    value = (1000 + F.col("adsh") % 20).cast("double") * F.when(F.col("adsh") % 97 == 0, 1000).otherwise(1)
+    return _rounded(figures.build_base_figures(adapter.facts(spark, sf_dir).withColumn("value", value), adapter.submissions(spark, sf_dir))[0])
+
+
 # ---- links
 
 LINKED = """
@@ -411,6 +438,27 @@ def compute_missing_with_arcs(spark, sf_dir):
     return arcs.compute_missing_with_arcs(adapter.arc_figures(spark, sf_dir), adapter.arc_submissions(spark, sf_dir), adapter.arcs(spark)).select("adsh", "tag", "reported_figure")
 
 
+@_query(
+    _with(PRICES)
+    + """ SELECT adsh, tag, v AS reported_figure, false AS is_computed FROM vals
+        UNION ALL SELECT adsh, 'XY', c * 3, true FROM price WHERE adsh % 4 = 0 AND adsh % 3 <> 2 UNION ALL SELECT adsh, 'ALL', c * 7, true FROM price WHERE adsh % 3 = 1
+        UNION ALL SELECT adsh, 'PAIR', c * 5, true FROM price WHERE adsh % 3 = 0"""
+)
+def apply_arcs_by_two_versions(spark, sf_dir):
+    """Filings of three years: two with equations of their own, one without any."""
+    year = lambda v, **names: adapter.arcs(spark).withColumn("version", F.lit(v))
+    pair = spark.createDataFrame([(2, "soi", 0, "XY", "X", 1.0), (2, "soi", 0, "XY", "Y", 1.0), (2, "soi", 0, "PAIR", "X", 1.0), (2, "soi", 0, "PAIR", "Z", 1.0)], "version int, statement string, seq int, `from` string, `to` string, weight double")
+    sub = adapter.arc_submissions(spark, sf_dir).withColumn("version", F.when(F.col("adsh") % 3 == 1, 1).when(F.col("adsh") % 3 == 0, 2).otherwise(3))
+    return arcs.apply_arcs_by_version(adapter.arc_figures(spark, sf_dir), sub, year(1).union(pair)).select("adsh", "tag", "reported_figure", "is_computed")
+
+
+@_query(_with(PRICES) + """ SELECT adsh, tag, v AS reported_figure, tag = 'X' AND adsh % 9 = 0 AND adsh % 4 <> 0 AS is_computed FROM vals UNION ALL SELECT adsh, 'XY', c * 3, true FROM price WHERE adsh % 4 = 0""")
+def compute_missing_solved(spark, sf_dir):
+    """X is missing where X + Y = XY can be solved for it."""
+    rows = adapter.arc_figures(spark, sf_dir).where(~((F.col("tag") == "X") & (F.col("adsh") % 9 == 0) & (F.col("adsh") % 4 != 0)))
+    return arcs.compute_missing_with_arcs(rows, adapter.arc_submissions(spark, sf_dir), adapter.arcs(spark)).select("adsh", "tag", "reported_figure", "is_computed")
+
+
 ARCS = """
 arcs AS (SELECT DISTINCT CAST(p_size % 3 AS INT) AS version, 'soi' AS statement, 0 AS seq, p_brand AS f, p_type AS t FROM part WHERE p_size % 7 = 0),
 w AS (SELECT *, CASE WHEN length(f || t) % 3 = 0 THEN -1.0 WHEN length(f || t) % 3 = 1 THEN 1.0 ELSE 2.0 END AS weight FROM arcs)"""
@@ -453,6 +501,17 @@ def expand_arcs_unique_whole(spark, sf_dir):
     return arcs.expand_arcs(_part_arcs(spark, sf_dir, "true"))
 
 
+@_query("SELECT CAST(p_size % 3 AS INT) AS version, 'soi' AS statement, 0 AS seq, p_brand AS \"from\", array_to_string(list_sort(list(DISTINCT p_type)), '|') AS signature FROM part GROUP BY ALL")
+def component_signature(spark, sf_dir):
+    return arcs.component_signature(_part_arcs(spark, sf_dir, "true")).withColumn("signature", F.array_join("signature", "|"))
+
+
+@_query("SELECT CAST(p_size % 3 AS INT) AS version, p_brand AS \"from\", p_type AS \"to\", CAST(dense_rank() OVER (PARTITION BY p_size % 3 ORDER BY p_size) - 1 AS INT) AS seq FROM part")
+def dense_renumber_seq(spark, sf_dir):
+    rows = adapter.table(spark, sf_dir, "part").select((F.col("p_size") % 3).cast("int").alias("version"), F.col("p_brand").alias("from"), F.col("p_type").alias("to"), F.col("p_size").alias("seq"))
+    return arcs.dense_renumber_seq(rows).select("version", "from", "to", "seq")
+
+
 def _tree(spark, sf_dir):
     nation, region, customer = (adapter.table(spark, sf_dir, t) for t in ("nation", "region", "customer"))
     one = lambda df, a, b: df.select(F.lit(1).alias("version"), F.lit("soi").alias("statement"), a.alias("from"), b.alias("to"), F.lit(1.0).alias("weight")).distinct()
@@ -558,17 +617,23 @@ def scan_taxonomy_version(spark, sf_dir):
     return landed.scan_taxonomy_version(docs.select("adsh"), docs)
 
 
-@_query("""
-SELECT l_orderkey + 1 AS adsh, replace(p_type, ' ', '') AS tag, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS end_, l_extendedprice AS value
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE l_linenumber % 3 <> 2""")
-def xbrl_instances(spark, sf_dir):
-    """Line items written as one instance document per order, and read back; lines in a unit other than money go."""
+def _instances(spark, sf_dir):
+    """(adsh, cik, content): line items written as one instance document per order, every third in a unit other than money."""
     rows = adapter.table(spark, sf_dir, "lineitem").join(adapter.table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(adapter.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     tag = F.concat(F.lit("us-gaap:"), F.replace(F.col("p_type"), F.lit(" "), F.lit("")))
     fact = F.concat(F.lit("<"), tag, F.lit(' contextRef="c1" unitRef="'), F.when(F.col("l_linenumber") % 3 == 2, "kg").otherwise("usd"), F.lit('">'), F.col("l_extendedprice").cast("string"), F.lit("</"), tag, F.lit(">"))
     context = F.concat(F.lit('<context id="c1"><entity><identifier scheme="x">'), F.col("o_custkey").cast("string"), F.lit("</identifier></entity><period><instant>"), F.to_date("o_orderdate").cast("string"), F.lit("</instant></period></context>"))
     units = F.lit('<unit id="usd"><measure>iso4217:USD</measure></unit><unit id="kg"><measure>kg</measure></unit>')
-    docs = rows.groupBy((F.col("l_orderkey") + 1).alias("adsh"), F.col("o_custkey").alias("cik"), context.alias("c")).agg(F.array_join(F.collect_list(fact), "\n").alias("f")).select("adsh", "cik", F.concat(F.lit("<xbrl>"), "c", units, "f", F.lit("</xbrl>")).alias("content"))
+    docs = rows.groupBy((F.col("l_orderkey") + 1).alias("adsh"), F.col("o_custkey").alias("cik"), context.alias("c")).agg(F.array_join(F.collect_list(fact), "\n").alias("f"))
+    return docs.select("adsh", "cik", F.concat(F.lit("<xbrl>"), "c", units, "f", F.lit("</xbrl>")).alias("content"))
+
+
+@_query("""
+SELECT l_orderkey + 1 AS adsh, replace(p_type, ' ', '') AS tag, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS end_, l_extendedprice AS value
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE l_linenumber % 3 <> 2""")
+def xbrl_instances(spark, sf_dir):
+    """Line items written as one instance document per order, and read back; lines in a unit other than money go."""
+    docs = _instances(spark, sf_dir)
     return landed.read_xbrl_instances(docs).select("adsh", "tag", F.col("end").cast("string").alias("end_"), "value")
 
 
@@ -589,3 +654,35 @@ def combine_sources(spark, sf_dir):
     tickers = adapter.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.col("c_name").alias("ticker"))
     docs = sub.select("adsh", F.lit("no taxonomy").alias("text"))
     return submissions.combine_submission_sources(sub.where("version <> 0"), bulk.where("adsh % 2 = 0"), bulk, facts, tickers, docs).select("adsh", "cik", "version", "amendment_adsh", "ticker")
+
+
+@_query("""
+SELECT o_orderkey AS adsh, o_orderkey * 7 // 100000000 AS filer,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'd' || o_orderkey || '.xml' WHEN o_orderkey % 3 = 1 THEN 'd' || o_orderkey || '_htm.xml' ELSE 'd.htm' || o_orderkey || '_htm.xml' END AS file
+FROM orders""")
+def instance_names(spark, sf_dir):
+    """Filer prefixes and instance documents of primary documents."""
+    key = F.col("o_orderkey").cast("string")
+    name = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("d"), key, F.lit(".xml"))).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("d"), key, F.lit(".htm"))).otherwise(F.concat(F.lit("d.htm"), key, F.lit(".htm")))
+    return adapter.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("adsh"), scalars.filer_of(F.col("o_orderkey") * 7).alias("filer"), scalars.instance_file_name(name).alias("file"))
+
+
+@_query("SELECT o_custkey * 100000000 + o_orderkey AS adsh, o_custkey AS cik FROM orders WHERE o_orderkey % 7 = 0")
+def lookup_missing_submissions(spark, sf_dir):
+    """Every seventh filing is missing and is found at the filer that its number names; one in two of the others is filed under another company."""
+    rows = adapter.table(spark, sf_dir, "orders").select((F.col("o_custkey") * 100_000_000 + F.col("o_orderkey")).alias("adsh"), "o_custkey", "o_orderkey")
+    metadata = rows.select("adsh", F.when((F.col("o_orderkey") % 7 != 0) & (F.col("o_orderkey") % 2 == 0), 0).otherwise(F.col("o_custkey")).alias("cik"))
+    return landed.lookup_missing_submissions(rows.where("o_orderkey % 7 = 0").select("adsh"), metadata)
+
+
+@_query("""
+SELECT l_orderkey + 1 AS adsh, CASE WHEN l_orderkey % 2 = 0 THEN p_type ELSE replace(p_type, ' ', '') END AS tag, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS end_, l_extendedprice AS value
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 2 = 0 OR l_linenumber % 3 <> 2""")
+def backfill_missing_facts(spark, sf_dir):
+    """Facts of every second filing; those of the others come from their instance documents."""
+    docs = _instances(spark, sf_dir)
+    rows = adapter.table(spark, sf_dir, "lineitem").where("l_orderkey % 2 = 0").join(adapter.table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(adapter.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    day = F.to_date("o_orderdate")
+    have = rows.select((F.col("l_orderkey") + 1).alias("adsh"), F.col("p_type").alias("tag"), day.alias("start"), day.alias("end"), F.col("l_extendedprice").alias("value"))
+    got = landed.backfill_missing_facts(have, docs.select("adsh", "cik"), docs.select("adsh", "content"))
+    return got.select("adsh", "tag", F.col("end").cast("string").alias("end_"), "value")

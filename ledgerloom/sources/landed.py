@@ -125,8 +125,16 @@ def read_fsd_many(spark: SparkSession, folders: list[str], ciks: DataFrame | Non
     return join_fsd(sub, num, ciks).join(quarters, "adsh", "left")
 
 
-def _attribute(element: str, name: str) -> Column:
-    return F.nullif(F.regexp_extract(element, rf'\b{name}="([^"]*)"', 1), F.lit(""))
+def _attribute(element: str | Column, name: str) -> Column:
+    """An attribute in either kind of quotes; null where there is none or it is empty."""
+    pattern = rf"""\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+    return F.nullif(F.concat(F.regexp_extract(element, pattern, 1), F.regexp_extract(element, pattern, 2)), F.lit(""))
+
+
+def _plain_xml(docs: DataFrame) -> DataFrame:
+    """Documents (content) without comments, and what stands in CDATA sections as text."""
+    bare = F.regexp_replace("content", r"(?s)<!--.*?-->", "")
+    return docs.withColumn("content", F.regexp_replace(bare, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1"))
 
 
 def read_xbrl_instances(docs: DataFrame, tags: DataFrame | None = None) -> DataFrame:
@@ -135,13 +143,14 @@ def read_xbrl_instances(docs: DataFrame, tags: DataFrame | None = None) -> DataF
     A nil fact is 0, a value that is no number is dropped. Dimensional contexts are not told apart; facts that
     differ only by dimension contradict each other and are removed later.
     """
+    docs = _plain_xml(docs)
     inside = lambda element, name: F.nullif(F.trim(F.regexp_extract(element, rf"(?s)<(?:\w+:)?{name}\b[^>]*>\s*([^<]*?)\s*</", 1)), F.lit(""))
     contexts = docs.select("adsh", "cik", F.explode(F.regexp_extract_all("content", F.lit(r"(?s)<((?:\w+:)?)context\b.*?</\1context>"), F.lit(0))).alias("e"))
     contexts = contexts.select("adsh", "cik", _attribute("e", "id").alias("context"), inside("e", "identifier").try_cast("long").alias("entity"), F.coalesce(inside("e", "startDate"), inside("e", "instant")).try_cast("date").alias("start"), F.coalesce(inside("e", "endDate"), inside("e", "instant")).try_cast("date").alias("end"))
     contexts = contexts.where("entity = cik").drop("cik", "entity").dropDuplicates(["adsh", "context"])
     units = docs.select("adsh", F.explode(F.regexp_extract_all("content", F.lit(r"(?s)<((?:\w+:)?)unit\b.*?</\1unit>"), F.lit(0))).alias("e"))
     units = units.where(inside("e", "measure").rlike("^(.*:)?(USD|shares)$")).select("adsh", _attribute("e", "id").alias("unit")).distinct()
-    fact = r'(?s)<(us-gaap|dei):[A-Za-z0-9_]+\s[^>]*\bcontextRef="[^>]*?(?:/>|>[^<]*</\1:[A-Za-z0-9_]+>)'
+    fact = r"""(?s)<(us-gaap|dei):[A-Za-z0-9_]+\s[^>]*\bcontextRef\s*=\s*["'][^>]*?(?:/>|>[^<]*</\1:[A-Za-z0-9_]+\s*>)"""
     facts = docs.select("adsh", F.explode(F.regexp_extract_all("content", F.lit(fact), F.lit(0))).alias("e"))
     text = F.nullif(F.trim(F.regexp_extract("e", r">([^<]*)</", 1)), F.lit(""))
     facts = facts.select("adsh", F.regexp_extract("e", r"^<[\w-]+:(\w+)", 1).alias("tag"), _attribute("e", "contextRef").alias("context"), _attribute("e", "unitRef").alias("unit"), F.coalesce(to_number(text), F.when(text.isNull(), F.lit(0.0))).alias("value"))
@@ -152,8 +161,9 @@ def read_xbrl_instances(docs: DataFrame, tags: DataFrame | None = None) -> DataF
 
 def read_filing_summary(docs: DataFrame) -> DataFrame:
     """(adsh, file, namespaces) from filing summaries (adsh, content): the first input file of an allowed type, and the dei and us-gaap namespaces."""
+    docs = _plain_xml(docs)
     files = F.regexp_extract_all("content", F.lit(r"(?s)<File\b[^>]*>[^<]*</File>"), F.lit(0))
-    allowed = F.filter(files, lambda e: F.regexp_extract(e, r'\bdoctype="([^"]*)"', 1).isin(*POLICY.forms))
+    allowed = F.filter(files, lambda e: _attribute(e, "doctype").isin(*POLICY.forms))
     spaces = F.filter(F.regexp_extract_all("content", F.lit(r"<BaseTaxonomy>\s*([^<\s]*)\s*</BaseTaxonomy>|<string>\s*([^<\s]*)\s*</string>"), F.lit(0)), lambda e: e.contains("/us-gaap/") | e.contains("/dei/"))
     return docs.select("adsh", F.trim(F.regexp_extract(F.get(allowed, F.lit(0)), r">([^<]*)<", 1)).alias("file"), F.transform(spaces, lambda e: F.trim(F.regexp_extract(e, r">([^<]*)<", 1))).alias("namespaces"))
 
@@ -173,6 +183,7 @@ def lookup_missing_submissions(missing: DataFrame, metadata: DataFrame) -> DataF
 def clean_arcs(raw: DataFrame) -> DataFrame:
     """Arcs (path, from, to, weight as text) with bare names, number weights, and statement and year from the path."""
     bare = lambda c: F.regexp_replace(c, "loc_|http://fasb.org/us-gaap/role/statement/|http://xbrl.us/us-gaap/role/statement/", "")
+    # the two role prefixes are fixed values of the inputs
     statement = F.regexp_extract("path", rf"-({'|'.join(STATEMENTS)})-", 1)
     return raw.select(F.regexp_extract("path", r"(20\d{2})", 1).try_cast("int").alias("version"), statement.alias("statement"), bare("from").alias("from"), bare("to").alias("to"), F.col("weight").cast("double").alias("weight"))
 

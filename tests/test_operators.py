@@ -1,6 +1,6 @@
 """Small fixtures with exact expected cells."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -354,3 +354,60 @@ def test_landed_instances(spark):
     assert rows(names.select(scalars.instance_file_name(F.col("f")))) == [("x.htm_htm.xml",), ("y.xml",)]
     missing = landed.lookup_missing_submissions(spark.createDataFrame([(524000001,)], "adsh long"), spark.createDataFrame([(524000001, 5), (524000002, 5), (7, 0)], "adsh long, cik long"))
     assert rows(missing) == [(524000001, 5)]
+
+
+def test_landed_instances_in_other_writing(spark):
+    """Single quotes, spaces around =, comments and CDATA sections."""
+    doc = """<xbrl><!-- <context id="c1"><entity><identifier>6</identifier></entity></context> --><context id='c1'><entity><identifier>5</identifier></entity><period><instant>2023-12-31</instant></period></context>
+    <unit id='u'><measure>iso4217:USD</measure></unit><us-gaap:Cash contextRef = 'c1' unitRef='u'><![CDATA[12]]></us-gaap:Cash><!-- <us-gaap:Old contextRef="c1" unitRef="u">4</us-gaap:Old> --></xbrl>"""
+    got = landed.read_xbrl_instances(spark.createDataFrame([(1, 5, doc)], "adsh long, cik long, content string"))
+    assert rows(got) == [(1, "Cash", D("2023-12-31"), D("2023-12-31"), 12.0)]
+    summary = "<R><InputFiles><!-- <File doctype='10-K'>no.htm</File> --><File doctype = '10-Q'>x.htm</File></InputFiles></R>"
+    assert landed.read_filing_summary(spark.createDataFrame([(1, summary)], "adsh long, content string")).first()["file"] == "x.htm"
+
+
+def test_links_against_pairs(spark):
+    """Every pair of filings looked at: random ends, forms, amendments, nulls, and filings of several rows."""
+    import random
+
+    rnd = random.Random(5)
+    day = lambda: D("2020-01-31") + timedelta(days=rnd.choice([0, 1, 5, 90, 91, 181, 272, 365, 366, 370, 375, 376, 380, 731]))
+    data = [(k, rnd.choice([1, 1, 1, 2, None]), rnd.choice(["10-K", "10-K/A", "10-Q", "10-Q/A"]), rnd.choice([D("2020-01-01"), D("2020-04-01"), None]), rnd.choice([day(), day(), day(), None]), rnd.choice([True, False, False, None])) for k in range(1, 120)]
+    data += data[:5]
+    sub = spark.createDataFrame(data, "adsh long, cik long, form string, start_rep date, end_rep date, is_amended boolean")
+    fam = lambda f: f[:4]
+    year = lambda d: d.replace(year=d.year - 1, day=28 if (d.month, d.day) == (2, 29) else d.day)
+    ten_k, py, prev = {}, {}, {}
+    for a, cik, form, start, end, _ in data:
+        other = [x for x in data if cik is not None and x[1] == cik and x[4] is not None and end is not None and not x[5]]
+        ten_k[a] = max(((x[4], x[0]) for x in other if x[2].startswith("10-K") and 1 <= (end - x[4]).days <= 375), default=None)
+        py[a] = max(((-abs((x[4] - year(end)).days), x[4], x[0]) for x in other if fam(x[2]) == fam(form) and abs((x[4] - year(end)).days) <= 10), default=None)
+        prev[a] = max(((x[4], x[0], x[2]) for x in other if x[3] is not None and x[3] == start and x[4] < end), default=None)
+    ends = {x[0]: x[4] for x in data}
+    got = {r["adsh"]: r for r in links.all_links(sub).collect()}
+    assert len(got) == 119 and links.all_links(sub).count() == 119
+    for a, r in got.items():
+        assert (r["prev_10k_adsh"], r["prev_10k_diff_days"]) == ((ten_k[a][1], (ends[a] - ten_k[a][0]).days) if ten_k[a] else (0, 0))
+        assert (r["adsh_py"], r["py_diff_days"]) == ((py[a][2], -py[a][0]) if py[a] else (0, 0))
+        assert (r["prev_adsh"], r["prev_form"]) == (prev[a][1:] if prev[a] else (0, None))
+
+
+def test_windows_by_either_way(spark):
+    """The one-pass windows are what the single operators give."""
+    import random
+
+    rnd = random.Random(6)
+    first = D("2022-12-31")
+    data = []
+    for k in range(150):
+        end = first + timedelta(days=rnd.randrange(0, 40))
+        for _ in range(rnd.randrange(0, 25)):
+            e = rnd.choice([end, end, end + timedelta(days=rnd.randrange(-5, 40)), end.replace(year=end.year - 1), None])
+            s = rnd.choice([None, e, e - timedelta(days=rnd.choice([89, 90, 91, 364, 365, 372, 380]))]) if e else None
+            data.append((k, rnd.choice("ABC"), s, e, 1.0))
+    f = spark.createDataFrame(data, "adsh long, tag string, start date, end date, value double")
+    sub = spark.createDataFrame([(k, first + timedelta(days=rnd.randrange(0, 40))) for k in range(150)], "adsh long, period date")
+    ranges = windows.rank_ranges(f, windows.best_end_per_filing(f, sub))
+    want = ranges.unionByName(windows.align_prior_year_ranges(f, windows.best_end_per_filing(f, sub, years_back=1), ranges))
+    got = windows.infer_reporting_windows(f, sub)
+    assert got.dtypes == want.dtypes and rows(got) == rows(want) and got.where("enum = 4").count() > 3
