@@ -135,6 +135,104 @@ def test_lm_parent_sums_to_one(parts):
         told = pd.concat([hpylm._second(parts, 11)((p,), x, answers[answers["part"] == p]) for p, x in blocks.groupby("part")])
 
 
+def lm_tables(spark, words_of, n_train, texts):
+    """Training documents of the learning folds and held-out probes of the given texts."""
+    of = lambda held: (i for i in range(100_000) if (zlib.crc32(str(i).encode()) % 5 == 1) == held)
+    train = {i: words_of() for i, _ in zip(of(False), range(n_train), strict=False)}
+    probes = dict(zip(of(True), texts, strict=False))
+    return train, probes, spark.createDataFrame([(i, " ".join(t), None, None, None) for i, t in [*train.items(), *((i, t.split()) for i, t in probes.items())]], DOCS)
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_lm_scores_sum_to_one(spark, parts):
+    """The probabilities behind the operator's own scores: after every word and at the start, all words, the unknown one and the end have 1 in all."""
+    rng = np.random.default_rng(0)
+    words_ = ["a", "b", "c", "d", "unseen"]
+    first = words_[0]
+    texts = ["", *words_, *(f"{first} {w}" for w in words_), *(f"{first} {v} {w}" for v in words_ for w in words_)]
+    _, probes, docs = lm_tables(spark, lambda: list(rng.choice(words_[:4], 12, p=[0.6, 0.2, 0.1, 0.1])), 40, texts)
+    score = {r["doc_id"]: 10.0 ** r["score"] for r in hpylm.score_documents(docs, parts=parts).collect()}
+    p = {t: score[i] for i, t in probes.items()}
+    # q[v, w] = P(w | v) P(end | w) / P(end | v); with x = 1 / P(end | .) the sums to one read x = q x + 1
+    q = np.array([[p[f"{first} {v} {w}"] / p[f"{first} {v}"] for w in words_] for v in words_])
+    x = np.linalg.solve(np.eye(5) - q, np.ones(5))
+    at_start = np.array([p[w] for w in words_]) * x
+    assert at_start.sum() + p[""] == pytest.approx(1.0, abs=1e-9)
+    for k, w in enumerate(words_):
+        assert p[f"{first} {w}"] == pytest.approx(at_start[0] * q[0, k] * x[k] / x[0] / x[k])
+
+
+def plain_restaurants(docs, sweeps, rng):
+    """Averaged P(word | context) by seating customers one by one: tables as lists, parent customers one a table."""
+    pairs = [(u, w) for t in docs for u, w in zip([" start", *t], [*t, " end"], strict=True)]
+    vocab = sorted({w for _, w in pairs})
+    count = Counter(pairs)
+    d = hpylm._discount(sum(n == 1 for n in count.values()), sum(n == 2 for n in count.values()))
+    rest, root, seated = defaultdict(lambda: defaultdict(list)), defaultdict(list), [None] * len(pairs)
+
+    def seat(tables, prior, n_tables, dd):
+        weights = [n - dd for n in tables] + [(1.0 + dd * n_tables) * prior]
+        k = int(rng.choice(len(weights), p=np.array(weights) / sum(weights)))
+        if k == len(tables):
+            tables.append(0)
+        tables[k] += 1
+        return tables[k] == 1
+
+    def leave(tables):
+        k = int(rng.choice(len(tables), p=np.array(tables) / sum(tables)))
+        tables[k] -= 1
+        if not tables[k]:
+            tables.pop(k)
+            return True
+        return False
+
+    def p_root(w, d0):
+        n, t = sum(map(sum, root.values())), sum(map(len, root.values()))
+        own = root.get(w, [])
+        return (sum(own) - d0 * len(own) + (1.0 + d0 * t) / (len(vocab) + 1)) / (1.0 + n)
+
+    def d_root():
+        served = [sum(x) for x in root.values()]
+        return hpylm._discount(sum(n == 1 for n in served), sum(n == 2 for n in served))
+
+    mean = defaultdict(float)
+    for sweep in range(sweeps):
+        d0 = d_root()
+        for i in rng.permutation(len(pairs)):
+            u, w = pairs[i]
+            if seated[i] and leave(rest[u][w]):
+                leave(root[w])
+            if seat(rest[u][w], p_root(w, d0), sum(map(len, rest[u].values())), d):
+                seat(root[w], 1 / (len(vocab) + 1), sum(map(len, root.values())), d0)
+            seated[i] = True
+        if sweep >= sweeps // 3:
+            d0 = d_root()
+            for u in {u for u, _ in pairs}:
+                n, t = sum(map(sum, rest[u].values())), sum(map(len, rest[u].values()))
+                for w in vocab:
+                    own = rest[u].get(w, [])
+                    mean[u, w] += (sum(own) - d * len(own) + (1.0 + d * t) * p_root(w, d0)) / (1.0 + n) / (sweeps - sweeps // 3)
+    return mean
+
+
+def test_lm_scores_against_plain_restaurants(spark):
+    rng = np.random.default_rng(3)
+    share = 1 / np.arange(1, 31) ** 1.2
+    new = lambda: [f"w{k}" for k in rng.choice(30, 10, p=share / share.sum())]
+    texts = [" ".join(new()) for _ in range(40)]
+    train, probes, docs = lm_tables(spark, new, 40, texts)
+    mean = plain_restaurants(list(train.values()), 40, rng)
+    runs = [{r["doc_id"]: r["score"] for r in hpylm.score_documents(docs, parts=2, seed=k).collect()} for k in range(4)]
+    got = {i: np.mean([r[i] for r in runs]) for i in probes}
+    mine, plain = [], []
+    for i, t in probes.items():
+        steps = list(zip([" start", *t.split()], [*t.split(), " end"], strict=True))
+        if all(x in mean for x in steps):
+            mine.append(got[i] / len(steps))
+            plain.append(sum(np.log10(mean[x]) for x in steps) / len(steps))
+    assert len(mine) > 20 and np.abs(np.array(mine) - plain).max() < 0.05 and abs(np.mean(mine) - np.mean(plain)) < 0.01
+
+
 def test_table_sampler_follows_the_restaurant(spark):
     """The drawn numbers of tables against the exact conditional from a seating enumerated customer by customer."""
     c, d, theta, prior = 5, 0.5, 1.0, 0.3
