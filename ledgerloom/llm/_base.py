@@ -85,7 +85,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """word -> 64-bit hash, remembered up to a bound so that a worker's memory stays small."""
 
-    LIMIT = 1_000_000
+    LIMIT = 300_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
