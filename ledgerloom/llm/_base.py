@@ -25,23 +25,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of this machine where that is unset and no other takes part."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not f"{spark.sparkContext.master}[".startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not getattr(shared_dir, "own", None):
         shared_dir.own = "file://" + tempfile.mkdtemp(prefix="spark-")
     return shared_dir.own
 
 
+_paths: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_written(spark: SparkSession) -> int:
+    """Deletes the tables that `written` has made in this process, and returns their number. Results that rest on them must have been stored before."""
+    jvm, n = spark.sparkContext._jvm, len(_paths)
+    while _paths:
+        path = jvm.org.apache.hadoop.fs.Path(_paths.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -66,11 +66,44 @@ def test_odd_inputs_have_defined_results(spark, odd, none):
         assert got.count() == len(ODD), name
         assert {r["doc_id"] for r in got.select("doc_id").collect()} == {x[0] for x in ODD}, name
         assert run(none).count() == 0, name
+    by = lambda df, *cols: {r["doc_id"]: tuple(r[c] for c in cols) for r in df.collect()}
+    n_words = {1: 0, 2: 0, 3: 0, None: 3, 5: 1, 6: 27_000, 7: 4, 8: 1, 9: 1, 10: 2000}
+    lm = by(hpylm.score_documents(odd), "held_out", "n_tokens", "train_tokens", "score")
+    held = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i in n_words}
+    assert {i: x[:3] for i, x in lm.items()} == {i: (held[i], n + 1, sum((n_words[x[0]] + 1) * (not held[x[0]]) for x in ODD)) for i, n in n_words.items()} and lm[1] == lm[2] == lm[3] or held[1] != held[2] or held[1] != held[3]
+    mix = by(mixing.mix_sources(odd), "size", "source_size", "repeats")
+    assert {i: x[0] for i, x in mix.items()} == n_words and {mix[i][1] for i in (1, 2, None, 6, 7)} == {27_007} and mix[3][1] == 0 and all(x[2] <= 2 for x in mix.values())
+    lines = by(line_quality.line_frequency_filter(odd), "n_words", "word_chars", "n_repeat_words", "kept")
+    assert lines == {i: (n, {None: 8, 5: 3, 6: 108_000, 7: 12, 8: 300_000, 9: 60_000, 10: 2000}.get(i, 0), {6: 27_000, 7: 0, 10: 2000}.get(i, 0), False) for i, n in n_words.items()}
+    toxic, good = by(toxicity.toxicity_scores(odd, lab), "score", "n_hits"), by(rule_quality.quality_scores(odd, lab), "score")
+    assert len(set(toxic.values())) == 1 and 0 < toxic[1][0] < 1 and good[1] == good[2] == good[3] and all(0 <= x <= 1 for (x,) in good.values())
+    near = by(near_dup.near_duplicates(odd), "n_shingles", "component_id", "kept")
+    assert near == {i: ({1: 0, 2: 0, 3: 0, 6: 9}.get(i, 1), i, True) for i in n_words}
+    found = by(secrets.scan_secrets(odd), "n_hex", "spans")
+    assert found == {i: ((1, "hex:0:60000") if i == 9 else (0, "")) for i in n_words}
+    assert by(pii.find_pii(odd), "n_email", "n_ip", "n_card", "n_phone", "n_iban", "spans") == {i: (0, 0, 0, 0, 0, "") for i in n_words}
     met = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(odd, bench).collect()}
     assert met == {(6, 1), (5, 4)}
     assert decontaminate.contaminated(none, bench).count() == 0 and decontaminate.contaminated(odd, bench.limit(0)).count() == 0
 
 
+def test_written_tables_are_shared_and_cleared(spark):
+    df = _base.written(spark.range(3).toDF("x"), "three")
+    path = Path(_base._paths[-1].removeprefix("file:"))
+    assert df.count() == 3 and path.exists() and _base._paths[-1].startswith(_base.shared_dir(spark))
+    assert _base.clear_written(spark) > 0 and not path.exists() and not _base._paths
+
+    class Conf:
+        get = staticmethod(lambda *a: None)
+
+    class Session:
+        conf = Conf
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "getConf": staticmethod(lambda: Conf)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        _base.shared_dir(Session)
+
+
 # ---- language model
 
 
