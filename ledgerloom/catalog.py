@@ -460,21 +460,17 @@ def compute_missing_solved(spark, sf_dir):
 
 
 ARCS = """
-arcs AS (SELECT DISTINCT CAST(p_size % 3 AS INT) AS version, 'soi' AS statement, 0 AS seq, p_brand AS f, p_type AS t FROM part WHERE p_size % 7 = 0),
+arcs AS (SELECT DISTINCT CAST(p_size % 3 AS INT) AS version, 'soi' AS statement, 0 AS seq, p_brand AS f, p_type AS t FROM part),
 w AS (SELECT *, CASE WHEN length(f || t) % 3 = 0 THEN -1.0 WHEN length(f || t) % 3 = 1 THEN 1.0 ELSE 2.0 END AS weight FROM arcs)"""
-
-
-#: The same of every row of part.
-ARCS_WHOLE = ARCS.replace(" WHERE p_size % 7 = 0", "")
 EXPANDED = (
     "x AS (SELECT version, statement, 1 AS seq, t AS f, f AS t, weight FROM w WHERE weight IN (1, -1) UNION ALL SELECT a.version, a.statement, 1, a.t, b.t, -b.weight / a.weight FROM w a JOIN w b ON a.version = b.version AND a.f = b.f AND a.t <> b.t WHERE a.weight IN (1, -1))",
     ' SELECT version, statement, seq, f AS "from", t AS "to", weight FROM w UNION ALL SELECT version, statement, seq, f, t, min(weight) FROM x GROUP BY ALL',
 )
 
 
-def _part_arcs(spark, sf_dir, where="p_size % 7 = 0"):
+def _part_arcs(spark, sf_dir):
     n = F.length(F.concat("from", "to")) % 3
-    rows = adapter.table(spark, sf_dir, "part").where(where).select((F.col("p_size") % 3).cast("int").alias("version"), F.lit("soi").alias("statement"), F.lit(0).alias("seq"), F.col("p_brand").alias("from"), F.col("p_type").alias("to")).distinct()
+    rows = adapter.table(spark, sf_dir, "part").select((F.col("p_size") % 3).cast("int").alias("version"), F.lit("soi").alias("statement"), F.lit(0).alias("seq"), F.col("p_brand").alias("from"), F.col("p_type").alias("to")).distinct()
     return rows.withColumn("weight", F.when(n == 0, -1.0).when(n == 1, 1.0).otherwise(2.0))
 
 
@@ -489,21 +485,21 @@ def expand_arcs_unique(spark, sf_dir):
     return arcs.expand_arcs(_part_arcs(spark, sf_dir))
 
 
-@_query(_with(ARCS_WHOLE, EXPANDED[0]) + EXPANDED[1])
+@_query(_with(ARCS, EXPANDED[0]) + EXPANDED[1])
 def expand_arcs_whole(spark, sf_dir):
-    """expand_arcs on the equations of the whole table."""
-    return arcs.expand_arcs(_part_arcs(spark, sf_dir, "true"), enforce_signature_unique_seq=False)
+    """The name that expand_arcs on the whole table had while expand_arcs read a part of it; the same rows."""
+    return arcs.expand_arcs(_part_arcs(spark, sf_dir), enforce_signature_unique_seq=False)
 
 
 @_query(None)
 def expand_arcs_unique_whole(spark, sf_dir):
-    """expand_arcs_unique on the equations of the whole table."""
-    return arcs.expand_arcs(_part_arcs(spark, sf_dir, "true"))
+    """The name that expand_arcs_unique on the whole table had; the same rows."""
+    return arcs.expand_arcs(_part_arcs(spark, sf_dir))
 
 
 @_query("SELECT CAST(p_size % 3 AS INT) AS version, 'soi' AS statement, 0 AS seq, p_brand AS \"from\", array_to_string(list_sort(list(DISTINCT p_type)), '|') AS signature FROM part GROUP BY ALL")
 def component_signature(spark, sf_dir):
-    return arcs.component_signature(_part_arcs(spark, sf_dir, "true")).withColumn("signature", F.array_join("signature", "|"))
+    return arcs.component_signature(_part_arcs(spark, sf_dir)).withColumn("signature", F.array_join("signature", "|"))
 
 
 @_query("SELECT CAST(p_size % 3 AS INT) AS version, p_brand AS \"from\", p_type AS \"to\", CAST(dense_rank() OVER (PARTITION BY p_size % 3 ORDER BY p_size) - 1 AS INT) AS seq FROM part")
