@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hpylm, html_main, line_quality, mixing, near_dup, pii, rule_quality, secrets, toxicity
+from . import decontaminate, hpylm, html_main, line_quality, merkle, mixing, near_dup, pii, rule_quality, secrets, toxicity
 from ._base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,9 +53,13 @@ def op10_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest_rows(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_lm_score, op2_mixing, op3_line_quality, op4_toxicity, op5_near_dup, op6_secrets, op7_pii, op8_html_main, op9_decontaminate, op10_rule_quality)}
+    return {f.__name__: f for f in (op1_lm_score, op2_mixing, op3_line_quality, op4_toxicity, op5_near_dup, op6_secrets, op7_pii, op8_html_main, op9_decontaminate, op10_rule_quality, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE}
+    return {"op2_mixing": mixing.ORACLE, "op13_merkle": merkle.ORACLE}
