@@ -217,7 +217,14 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, kee
     central = met.groupBy("cid").agg(F.sum("size").alias("score"))
     heads = written(met.join(central, "cid").groupBy("key").agg(F.max(F.struct("score", "cid")).alias("h")).select("key", F.col("h.cid").alias("head")), "heads")
     pairs = written(met.join(heads, "key").where("cid <> head").groupBy("head", "cid").agg(F.max(F.col("size") > 2).alias("shared")), "pairs")
+    return component_rows(rows.drop("bands"), classes, linked_classes(docs, classes, pairs, shingle, percent), keep)
 
+
+def linked_classes(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(node, comp) of the classes (cid, low) that are linked, of groups given as pairs (head, cid, shared); shared: the group has other members.
+
+    Every link between members of a group that joins components is found, whether or not a head has part in it.
+    """
     # the sets of the classes in `pairs`, read again from the text of the class's first document
     no_id = F.lit(-(2**63))
     ids = pairs.select("cid").union(pairs.select("head")).distinct().join(classes.select("cid", "low"), "cid").select(F.coalesce("low", no_id).alias("doc_id")).distinct()
@@ -233,13 +240,17 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, kee
         joined = components(more).select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
         every = parts.unionByName(more.select(F.col("x").alias("node")).union(more.select("y")).distinct().join(parts, "node", "left_anti").withColumn("comp", F.col("node")))
         parts = written(every.join(joined, "comp", "left").select("node", F.coalesce("whole", "comp").alias("comp")), "parts")
+    return parts
+
 
+def component_rows(rows: DataFrame, classes: DataFrame, parts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) and `keep` of rows (doc_id, n_shingles, cid), from classes (cid, low, copies) and linked_classes."""
     lows = parts.select(F.col("node").alias("cid"), "comp").join(classes.select("cid", "low"), "cid")
     least = written(lows.groupBy("comp").agg(F.min("low").alias("first")), "firsts")
     linked = written(lows.join(least, "comp").select("cid", "first"), "linked")
     # of all other classes only those with copies need a name
     named = written(linked.union(classes.where("copies > 1").join(linked, "cid", "left_anti").select("cid", "low")), "named")
-    out = rows.drop("bands").join(_small(named), "cid", "left").withColumn("component_id", F.coalesce("first", "doc_id"))
+    out = rows.join(_small(named), "cid", "left").withColumn("component_id", F.coalesce("first", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull())
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), *keep)
 
