@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hpylm, html_main, line_quality, merkle, mixing, near_dup, ngram_join, pii, rule_quality, secrets, toxicity
+from . import decontaminate, hpylm, html_main, line_quality, merkle, mixing, near_dup, ngram_join, phrases, pii, rule_quality, secrets, toxicity
 from ._base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,13 +57,17 @@ def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_sets(table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest_rows(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_lm_score, op2_mixing, op3_line_quality, op4_toxicity, op5_near_dup, op6_secrets, op7_pii, op8_html_main, op9_decontaminate, op10_rule_quality, op11_ngram_join, op13_merkle)}
+    return {f.__name__: f for f in (op1_lm_score, op2_mixing, op3_line_quality, op4_toxicity, op5_near_dup, op6_secrets, op7_pii, op8_html_main, op9_decontaminate, op10_rule_quality, op11_ngram_join, op12_phrases, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op11_ngram_join": ngram_join.ORACLE, "op13_merkle": merkle.ORACLE}
+    return {"op2_mixing": mixing.ORACLE, "op11_ngram_join": ngram_join.ORACLE, "op12_phrases": phrases.ORACLE, "op13_merkle": merkle.ORACLE}
