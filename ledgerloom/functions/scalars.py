@@ -20,7 +20,7 @@ def long_to_accession(adsh: Column) -> Column:
 
 def filer_of(adsh: Column) -> Column:
     """The filer prefix of an accession number; not always the issuer."""
-    return F.floor(adsh / F.lit(100_000_000)).cast("long")
+    return F.call_function("div", adsh, F.lit(100_000_000))
 
 
 def nan_to_null(value: Column) -> Column:

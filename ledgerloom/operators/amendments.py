@@ -2,31 +2,54 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import KEY, require_columns
 from .checkpoints import cut
 
-MAX_JUMPS = 20
+_log = logging.getLogger(__name__)
+
+
+def _jumped(ptr: DataFrame, rounds: int) -> DataFrame:
+    """Pointers (adsh, to, low) after jumping until nothing moves, or for a number of rounds; low: the smallest id passed."""
+    for _ in range(rounds):
+        following = ptr.select(F.col("adsh").alias("__at"), F.col("to").alias("__next"), F.col("low").alias("__low"))
+        ptr = cut(ptr.join(following, F.col("to") == F.col("__at"), "left").select("adsh", F.coalesce("__next", "to").alias("to"), F.least("low", F.coalesce("__low", "low")).alias("low"), (F.coalesce("__next", "to") != F.col("to")).alias("moved")))
+        if ptr.where("moved").isEmpty():
+            break
+    return ptr.drop("moved")
 
 
 def canonical_adsh_map(sub: DataFrame) -> DataFrame:
-    """(adsh_original, adsh_canonical): A -> B -> C resolves to C; a cycle ends at one of its members.
+    """(adsh_original, adsh_canonical): A -> B -> C resolves to C, however long the chain.
 
-    Pointer jumping: every round doubles the distance covered, so chains of a million filings take 20 rounds.
+    Pointer jumping: every round doubles the distance covered, so after as many rounds as the number of filings has binary digits
+    only pointers into a circle still move. Those are logged and resolve to the smallest id of their circle (circular_amendments names them).
     """
     require_columns(sub, ["adsh", "amendment_adsh"], "submissions")
     ptr = sub.groupBy("adsh").agg(F.max(F.coalesce("amendment_adsh", F.lit(0))).alias("to"))
-    ptr = cut(ptr.select("adsh", F.when(F.col("to") == 0, F.col("adsh")).otherwise(F.col("to")).alias("to")))
-    for _ in range(MAX_JUMPS):
-        following = ptr.select(F.col("adsh").alias("__at"), F.col("to").alias("__next"))
-        jumped = cut(ptr.join(following, F.col("to") == F.col("__at"), "left").select("adsh", "to", F.coalesce("__next", "to").alias("__new")))
-        moved = jumped.where("__new <> `to`").limit(1).count()
-        ptr = jumped.select("adsh", F.col("__new").alias("to"))
-        if not moved:
-            break
-    return ptr.select(F.col("adsh").alias("adsh_original"), F.col("to").alias("adsh_canonical"))
+    ptr = cut(ptr.select("adsh", F.when(F.col("to") == 0, F.col("adsh")).otherwise(F.col("to")).alias("to"), F.col("adsh").alias("low")))
+    out = _jumped(ptr, ptr.count().bit_length() + 1)
+    # whoever has not arrived at a filing that amends nothing is in a circle or on the way to one, and has arrived there
+    amends = ptr.where("`to` <> adsh").select(F.col("adsh").alias("__x")).join(out.select(F.col("adsh").alias("__x"), F.col("low").alias("__low")), "__x")
+    circles = cut(out.select(F.col("to").alias("__x")).distinct().join(amends, "__x"))
+    if circles.isEmpty():
+        return out.select(F.col("adsh").alias("adsh_original"), F.col("to").alias("adsh_canonical"))
+    _log.warning("amendments go in a circle")
+    return out.join(circles, F.col("to") == F.col("__x"), "left").select(F.col("adsh").alias("adsh_original"), F.coalesce("__low", "to").alias("adsh_canonical"))
+
+
+def circular_amendments(sub: DataFrame) -> DataFrame:
+    """(adsh) of the filings that amend each other in a circle: what is left when filings that nothing left points to, or that point to nothing left, go again and again."""
+    edges = sub.where(F.coalesce("amendment_adsh", F.lit(0)) != 0).groupBy("adsh").agg(F.max("amendment_adsh").alias("to")).where("adsh <> `to`")
+    left, n = cut(edges), None
+    while n != (now := left.count()):
+        n = now
+        left = cut(left.join(left.select(F.col("adsh").alias("to")), "to", "left_semi").join(left.select(F.col("to").alias("adsh")).distinct(), "adsh", "left_semi").select("adsh", "to"))
+    return left.select("adsh")
 
 
 def apply_canonical_adsh(facts: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import VALUES, require_columns
-from .checkpoints import cut
+from .checkpoints import cut, unlimited_recursion
 
 EQUATION = ("version", "statement", "seq", "from")
-MAX_LEVELS, MAX_BUMPS = 100, 50
+MAX_BUMPS = 50
+#: Levels of equations in one plan.
+CUT_LEVELS = 16
 #: Arcs up to this number of rows are broadcast; some 50 MB.
 BROADCAST_ARCS = 500_000
 
@@ -28,28 +30,68 @@ def filter_arcs_to_universe(arcs: DataFrame, universe: DataFrame) -> DataFrame:
 
 
 def assign_arc_sequence(arcs: DataFrame, *, by: tuple[str, ...] = ("version", "statement")) -> DataFrame:
-    """seq: height of `from` in the dependency order, totals of leaves 0; at most MAX_LEVELS rounds, which also ends cycles."""
+    """seq: height of `from` in the dependency order, totals of leaves 0, by a recursive query.
+
+    Every step of the recursion goes from totals to the totals that they are part of; a path has no more steps than its group has
+    totals, unless it goes in a circle. ValueError naming the totals of circles.
+    """
     keys = [c for c in by if c in arcs.columns]
-    out = cut(arcs.drop("seq").withColumn("seq", F.lit(0)))
-    for level in range(MAX_LEVELS):
-        below = out.where(F.col("seq") >= level).select(*keys, F.col("from").alias("to")).distinct()
-        rise = out.join(below, [*keys, "to"], "left_semi").select(*keys, "from").distinct().withColumn("__up", F.lit(1))
-        if rise.isEmpty():
-            break
-        out = cut(out.join(rise, [*keys, "from"], "left").withColumn("seq", F.col("seq") + F.coalesce("__up", F.lit(0))).drop("__up"))
-    return out.select(*[c for c in arcs.columns if c != "seq"], "seq")
+    rows = cut(arcs.drop("seq"))
+    edges = cut(rows.select(*keys, "from", "to").dropna().distinct())
+    most = edges.groupBy(*keys).agg(F.countDistinct("from").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    named = lambda prefix: "".join(f"{prefix}`{k}`, " for k in keys)
+    query = f"""
+        WITH RECURSIVE climb({named('')}total, height) MAX RECURSION LEVEL {most + 1} AS (
+          SELECT DISTINCT {named('')}`from`, 0 FROM {{edges}}
+          UNION ALL
+          SELECT DISTINCT {named('e.')}e.`from`, c.height + 1 FROM climb c JOIN {{edges}} e ON c.total = e.`to`{"".join(f" AND c.`{k}` = e.`{k}`" for k in keys)})
+        SELECT {named('')}total AS `from`, max(height) AS seq FROM climb GROUP BY {named('')}total"""
+    try:
+        with unlimited_recursion(edges.sparkSession):
+            heights = cut(edges.sparkSession.sql(query, edges=edges))
+    except Exception as e:
+        if "RECURSION_LEVEL_LIMIT_EXCEEDED" in str(e):
+            raise ValueError(f"arcs go in a circle: {_circles(edges, keys)}") from e
+        raise
+    return rows.join(_small(heights), [*keys, "from"], "left").select(*[c for c in arcs.columns if c != "seq"], F.coalesce("seq", F.lit(0)).alias("seq"))
+
+
+def _circles(edges: DataFrame, keys: list[str]) -> list[tuple]:
+    """Up to ten totals that are on circles or between two of them: what is left when arcs from no total or to no total are taken off again and again."""
+    n = edges.count()
+    while True:
+        down, up = edges.select(*keys, F.col("from").alias("to")).distinct(), edges.select(*keys, F.col("to").alias("from")).distinct()
+        edges = cut(edges.join(down, [*keys, "to"], "left_semi").join(up, [*keys, "from"], "left_semi"))
+        left = edges.count()
+        if left == n:
+            return sorted((tuple(r) for r in edges.select(*keys, "from").distinct().limit(10).collect()), key=str)
+        n = left
 
 
 def arc_join(figures: DataFrame, arcs: DataFrame, keys: list[str]) -> DataFrame:
-    """Figures as components of the equations they are in."""
-    a = arcs.select(*keys, F.col("from").alias("__from"), F.col("to").alias("tag"), "weight")
-    return figures.join(_small(a), [*keys, "tag"])
+    """Figures with `equations`: (from, weight) of the equations that they are components of, or null."""
+    a = arcs.groupBy(*keys, F.col("to").alias("tag")).agg(F.collect_list(F.struct("from", "weight")).alias("equations"))
+    return figures.join(_small(a), [*keys, "tag"], "left")
 
 
-def arc_weighted_sum(components: DataFrame, keys: list[str]) -> DataFrame:
-    """Computed rows: the sums of weight * value of what components there are, 0 where all are null; instant if all are."""
-    sums = [F.coalesce(F.sum(F.col(c) * F.col("weight")), F.lit(0.0)).alias(c) for c in VALUES]
-    return components.groupBy("adsh", *keys, F.col("__from").alias("tag")).agg(*sums, F.bool_and("is_instant").alias("is_instant")).withColumn("is_computed", F.lit(True))
+def arc_weighted_sum(components: DataFrame, keys: list[str], *, keep_original_first: bool = True) -> DataFrame:
+    """Components (arc_join) and their computed totals, one row per (adsh, tag).
+
+    A total is the sum of weight * value of what components there are, 0 where all are null, and instant if all are. Where it is
+    there already, the original or the computed row stays. Rows are grouped by adsh at least, so this shuffles nothing
+    that is partitioned by adsh.
+    """
+    held = [*VALUES, "is_computed", "is_instant"]
+    itself = F.struct(F.lit(True).alias("own"), F.lit(None).cast("string").alias("from"), F.lit(None).cast("double").alias("weight"))
+    parts = F.transform("equations", lambda x: F.struct(F.lit(False).alias("own"), x["from"].alias("from"), x["weight"].cast("double").alias("weight")))
+    each = components.withColumn("__e", F.explode(F.coalesce(F.concat(F.array(itself), parts), F.array(itself))))
+    own = F.col("__e.own")
+    each = each.withColumns({"__own": F.when(own, F.struct(*held)), "__tag": F.when(own, F.col("tag")).otherwise(F.col("__e.from"))})
+    sums = [F.coalesce(F.sum(F.when(~own, F.col(c) * F.col("__e.weight"))), F.lit(0.0)).alias(c) for c in VALUES]
+    totals = each.groupBy("adsh", *keys, F.col("__tag").alias("tag")).agg(F.min("__own").alias("__own"), F.count_if(~own).alias("__n"), *sums, F.coalesce(F.bool_and(F.when(~own, F.col("is_instant"))), F.lit(False)).alias("is_instant"))
+    made = F.struct(*VALUES, F.lit(True).alias("is_computed"), "is_instant")
+    best = F.coalesce("__own", made) if keep_original_first else F.when(F.col("__n") > 0, made).otherwise(F.col("__own"))
+    return totals.select("adsh", *keys, "tag", best.alias("__b")).select("adsh", *keys, "tag", *[F.col(f"__b.{c}").alias(c) for c in held])
 
 
 def keep_first_by_priority(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -65,12 +107,11 @@ def _apply(figures: DataFrame, arcs: DataFrame, keys: list[str], keep_original_f
     if across:
         arcs = cut(arcs.dropDuplicates([*keys, "seq", "from", "to"]))
     levels = [r["seq"] for r in arcs.select("seq").distinct().orderBy("seq").collect()]
-    out = cut(figures.select(*columns).repartition("adsh"))
+    out = figures.select(*columns).repartition("adsh")
     for k in range(max_passes * len(levels)):
-        computed = arc_weighted_sum(arc_join(out, arcs.where(F.col("seq") == levels[k % len(levels)]), keys), keys).select(*columns)
-        out = keep_first_by_priority(out, computed) if keep_original_first else keep_first_by_priority(computed, out)
-        if k % 4 == 3:
-            out = cut(out)
+        out = arc_weighted_sum(arc_join(out, arcs.where(F.col("seq") == levels[k % len(levels)]), keys), keys, keep_original_first=keep_original_first).select(*columns)
+        if k % CUT_LEVELS == CUT_LEVELS - 1:
+            out = cut(out).repartition("adsh")
     return out
 
 

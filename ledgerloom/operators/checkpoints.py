@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -16,3 +18,15 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
+
+
+@contextmanager
+def unlimited_recursion(spark: SparkSession) -> Iterator[None]:
+    """Recursive queries that run inside have no limit of rows; a query must end by itself or by its limit of levels."""
+    name = "spark.sql.cteRecursionRowLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..functions.scalars import nan_to_null, value_adj
 from ..schemas import KEY, POLICY, require_columns
@@ -17,7 +18,8 @@ _log = logging.getLogger(__name__)
 def normalize_fact_types(facts: DataFrame) -> DataFrame:
     """adsh must be a number; a value that is none becomes null, and so does NaN."""
     require_columns(facts, [*KEY, "value"], "facts")
-    return facts.withColumns({"adsh": F.col("adsh").cast("long"), "value": nan_to_null(F.col("value").cast("string").try_cast("double")), "start": F.col("start").cast("date"), "end": F.col("end").cast("date")})
+    value = F.col("value").cast("double") if isinstance(facts.schema["value"].dataType, NumericType) else F.col("value").cast("string").try_cast("double")
+    return facts.withColumns({"adsh": F.col("adsh").cast("long"), "value": nan_to_null(value), "start": F.col("start").cast("date"), "end": F.col("end").cast("date")})
 
 
 def drop_contradictions(facts: DataFrame) -> DataFrame:
@@ -70,29 +72,45 @@ def outlier_pairs(facts: DataFrame) -> DataFrame:
     return suspects.join(near, ["cik", "tag", "bucket"]).where(F.abs(F.datediff("end_y", "end")) <= width)
 
 
-def correct_scale_outliers(facts: DataFrame, sub: DataFrame) -> tuple[DataFrame, int]:
+class Corrections(int):
+    """The number of corrected values; `rounds` is how many rounds found some, and `settled` whether the last round that was allowed found none."""
+
+    rounds: int
+    settled: bool
+
+    @classmethod
+    def of(cls, n: int, rounds: int, settled: bool) -> Corrections:
+        out = cls(n)
+        out.rounds, out.settled = rounds, settled
+        return out
+
+
+def correct_scale_outliers(facts: DataFrame, sub: DataFrame) -> tuple[DataFrame, Corrections]:
     """Facts with values that are off by a factor of 1e3 or 1e6 set right, and the number of corrections.
 
-    Repeats until nothing is found, POLICY.max_outlier_rounds times at most; a last round that still corrects is logged as a warning. Only (cik, tag) groups with a correction
-    go into the next round. Facts must be unique by (adsh, tag, start, end), as drop_contradictions leaves them.
+    Repeats until nothing is found, POLICY.max_outlier_rounds times at most; if values are still out of scale after that, the corrections
+    are not `settled`. Only (cik, tag) groups with a correction go into the next round. Facts must be unique by (adsh, tag, start, end), as
+    drop_contradictions leaves them. Corrections are counted while they are written, without a job of their own.
     """
     columns = facts.columns
     rows = cut(attach_cik(facts, sub).withColumn("value_adj", value_adj(F.col("start"), F.col("end"), F.col("value"))))
-    done, total = None, 0
-    for k in range(POLICY.max_outlier_rounds):
+    done, total, found = None, 0, 0
+    while True:
         hit = outlier_pairs(rows).withColumn("c", _scaled(F.abs("value"), F.abs("median"), F.abs("y"))).where("c is not null")
-        hit = cut(hit.groupBy(*KEY, "cik").agg(F.element_at(F.array(*[F.lit(x) for x in (1e-3, 1e-6, 1e3, 1e6)]), F.min("c")).alias("mult")))
-        n = hit.count()
-        if not n:
+        hit = hit.groupBy(*KEY, "cik").agg(F.element_at(F.array(*[F.lit(x) for x in (1e-3, 1e-6, 1e3, 1e6)]), F.min("c")).alias("mult"))
+        count_corrections = Observation()
+        hit = cut(hit.observe(count_corrections, F.count("*").alias("n")))
+        n = count_corrections.get["n"]
+        if not n or found == POLICY.max_outlier_rounds:
             break
-        total += n
-        if k == POLICY.max_outlier_rounds - 1:
-            _log.warning("%d values were still corrected in round %d, the last", n, k + 1)
+        total, found = total + n, found + 1
         groups = hit.select("cik", "tag").distinct()
         settled = rows.join(groups, ["cik", "tag"], "left_anti").select(*columns)
         done = settled if done is None else done.unionByName(settled)
         mult = F.coalesce("mult", F.lit(1.0))
         rows = rows.join(groups, ["cik", "tag"], "left_semi").join(hit, [*KEY, "cik"], "left")
         rows = cut(rows.withColumns({"value": F.col("value") * mult, "value_adj": F.col("value_adj") * mult}).select(*columns, "cik", "value_adj"))
+    if n:
+        _log.warning("%d values are out of scale after %d rounds", n, found)
     last = rows.select(*columns)
-    return (last if done is None else done.unionByName(last)), total
+    return (last if done is None else done.unionByName(last)), Corrections.of(total, found, not n)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ..schemas import VALUES, require_columns
 from .amendments import merge_amendments
 from .arcs import apply_arcs_by_version, keep_first_by_priority
 from .checkpoints import cut
-from .clean import correct_scale_outliers, drop_contradictions, normalize_fact_types, remove_huge_values, split_instant_duration
+from .clean import Corrections, correct_scale_outliers, drop_contradictions, normalize_fact_types, remove_huge_values, split_instant_duration
 from .windows import compute_instant_values, compute_period_values, infer_reporting_windows
 
 
@@ -26,10 +28,20 @@ def figures_from_clean(facts: DataFrame, sub: DataFrame, *, arcs: DataFrame | No
     return (apply_arcs_by_version(figures, sub, arcs) if arcs is not None else figures), enriched
 
 
-def build_base_figures(facts: DataFrame, sub: DataFrame, *, arcs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Types, amendments, contradictions, scale outliers and huge values, then figures_from_clean."""
+class BaseFigures(NamedTuple):
+    figures: DataFrame
+    submissions: DataFrame
+    corrections: Corrections
+
+
+def report_base_figures(facts: DataFrame, sub: DataFrame, *, arcs: DataFrame | None = None) -> BaseFigures:
+    """Types, amendments, contradictions, scale outliers and huge values, then figures_from_clean; and how many values were rescaled."""
     require_columns(facts, ["adsh", "tag", "start", "end", "value"], "facts")
     require_columns(sub, ["adsh", "cik", "period", "accepted", "amendment_adsh", "version"], "submissions")
-    rows = drop_contradictions(merge_amendments(normalize_fact_types(facts), sub))
-    rows, _ = correct_scale_outliers(rows, sub)
-    return figures_from_clean(remove_huge_values(rows), sub, arcs=arcs)
+    rows, corrections = correct_scale_outliers(drop_contradictions(merge_amendments(cut(normalize_fact_types(facts)), sub)), sub)
+    return BaseFigures(*figures_from_clean(remove_huge_values(rows), sub, arcs=arcs), corrections)
+
+
+def build_base_figures(facts: DataFrame, sub: DataFrame, *, arcs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """report_base_figures without the report."""
+    return report_base_figures(facts, sub, arcs=arcs)[:2]

@@ -6,6 +6,8 @@ costs its filings and not its pairs. Links have one row per filing, whatever num
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,15 +23,20 @@ def _usable(exclude_amended: bool) -> Column:
     return ~F.coalesce("is_amended", F.lit(False)) if exclude_amended else F.lit(True)
 
 
+def _with_unlinked(found: DataFrame, sub: DataFrame) -> DataFrame:
+    """Links (adsh, b) and a row without a link for every filing."""
+    return found.unionByName(sub.select("adsh"), allowMissingColumns=True)
+
+
 def prev_10k_link(sub: DataFrame, *, tol_days: int = POLICY.prior_year_tolerance_days, end_col: str = "end_rep", exclude_amended: bool = True) -> DataFrame:
     """(adsh, prev_10k_adsh, prev_10k_diff_days): the latest annual report that ended 1 to 365 + tol_days days earlier; ties to the larger adsh."""
     require_columns(sub, ["adsh", "cik", "form", end_col, "is_amended"], "submissions")
-    rows = sub.select("adsh", "cik", _days(F.col(end_col)).alias("day"), (_usable(exclude_amended) & F.col("form").startswith("10-K")).alias("usable"))
+    rows = sub.where(F.col("cik").isNotNull() & F.col(end_col).isNotNull()).select("adsh", "cik", _days(F.col(end_col)).alias("day"), (_usable(exclude_amended) & F.col("form").startswith("10-K")).alias("usable"))
     earlier = Window.partitionBy("cik").orderBy("day").rangeBetween(Window.unboundedPreceding, -1)
-    last = F.max(F.when(F.col("usable") & F.col("day").isNotNull(), F.struct("day", "adsh"))).over(earlier)
+    last = F.max(F.when(F.col("usable"), F.struct("day", "adsh"))).over(earlier)
     lag = F.col("day") - F.col("last.day")
-    met = rows.withColumn("last", last).select("adsh", F.when(F.col("cik").isNotNull() & (lag <= 365 + tol_days), F.struct("last.day", "last.adsh", lag.alias("lag"))).alias("b"))
-    best = met.groupBy("adsh").agg(F.max("b").alias("b"))
+    met = rows.withColumn("last", last).select("adsh", F.when(lag <= 365 + tol_days, F.struct("last.day", "last.adsh", lag.alias("lag"))).alias("b"))
+    best = _with_unlinked(met, sub).groupBy("adsh").agg(F.max("b").alias("b"))
     return best.select("adsh", F.coalesce("b.adsh", F.lit(0)).alias("prev_10k_adsh"), F.coalesce("b.lag", F.lit(0)).cast("smallint").alias("prev_10k_diff_days"))
 
 
@@ -58,10 +65,10 @@ def prior_year_link(sub: DataFrame, *, tol_days: int = POLICY.prior_year_toleran
 def prev_filing_link(sub: DataFrame, *, start_col: str = "start_rep", end_col: str = "end_rep", exclude_amended: bool = True) -> DataFrame:
     """(adsh, prev_adsh, prev_form): the filing with the same start that ended last before this one; ties to the larger adsh."""
     require_columns(sub, ["adsh", "cik", "form", start_col, end_col, "is_amended"], "submissions")
-    rows = sub.select("adsh", "cik", F.col(start_col).alias("start"), _days(F.col(end_col)).alias("day"), "form", _usable(exclude_amended).alias("usable"))
+    rows = sub.where(F.col("cik").isNotNull() & F.col(start_col).isNotNull() & F.col(end_col).isNotNull()).select("adsh", "cik", F.col(start_col).alias("start"), _days(F.col(end_col)).alias("day"), "form", _usable(exclude_amended).alias("usable"))
     earlier = Window.partitionBy("cik", "start").orderBy("day").rangeBetween(Window.unboundedPreceding, -1)
-    last = F.max(F.when(F.col("usable") & F.col("day").isNotNull() & F.col("cik").isNotNull() & F.col("start").isNotNull(), F.struct("day", "adsh", "form"))).over(earlier)
-    best = rows.withColumn("last", last).groupBy("adsh").agg(F.max("last").alias("b"))
+    last = F.max(F.when(F.col("usable"), F.struct("day", "adsh", "form"))).over(earlier)
+    best = _with_unlinked(rows.select("adsh", last.alias("b")), sub).groupBy("adsh").agg(F.max("b").alias("b"))
     return best.select("adsh", F.coalesce("b.adsh", F.lit(0)).alias("prev_adsh"), F.col("b.form").alias("prev_form"))
 
 
@@ -71,7 +78,14 @@ def all_links(sub: DataFrame, *, tol_days: int = POLICY.prior_year_tolerance_day
     return prev_10k_link(sub, tol_days=tol_days).join(py, "adsh").join(prev_filing_link(sub), "adsh")
 
 
+def unique_figures(figures: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """(adsh, tag) and `columns` of figures; a run fails with the (adsh, tag) that has several rows. Needs the shuffle of a join on (adsh, tag) and no other."""
+    one = figures.where("adsh is not null and tag is not null").groupBy("adsh", "tag").agg(F.count("*").alias("__n"), *[F.first(c).alias(c) for c in columns])
+    what = F.concat(F.lit("several figures of filing "), F.col("adsh").cast("string"), F.lit(" and tag "), F.col("tag").cast("string"))
+    return one.select("adsh", "tag", *[F.when(F.col("__n") > 1, F.raise_error(what)).otherwise(F.col(c)).alias(c) for c in columns])
+
+
 def lookup_by_link(figures: DataFrame, link: DataFrame, link_col: str, columns: dict[str, str]) -> DataFrame:
-    """Figures with values of the same tag in the linked filing: columns maps a figures column to its new name. (adsh, tag) must be unique."""
-    linked = figures.select(F.col("adsh").alias(link_col), "tag", *[F.col(c).alias(n) for c, n in columns.items()])
+    """Figures with values of the same tag in the linked filing: columns maps a figures column to its new name. (adsh, tag) must be unique, or a run fails."""
+    linked = unique_figures(figures, columns).select(F.col("adsh").alias(link_col), "tag", *[F.col(c).alias(n) for c, n in columns.items()])
     return figures.join(link, "adsh", "left").join(linked, [link_col, "tag"], "left")
