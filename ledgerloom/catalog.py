@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import scalars
 from .operators import amendments, arcs, checks, clean, derive, figures, links, pivot, submissions, windows
+from .operators.checkpoints import cut
 from .plans import adapter
 from .schemas import VALUES
 from .sources import landed
@@ -325,9 +326,16 @@ def fill_quarterly(spark, sf_dir):
     return _rounded(derive.fill_quarterly(adapter.link_figures(spark, sf_dir), adapter.sub_windows(spark, sf_dir)).select("adsh", "tag", *VALUES))
 
 
-def _through_prior(spark, sf_dir):
+def _linked(spark, sf_dir):
     sub = adapter.sub_windows(spark, sf_dir)
-    return derive.fill_prior_year(derive.fill_quarterly(adapter.link_figures(spark, sf_dir), sub, check=False), sub), sub
+    return cut(adapter.link_figures(spark, sf_dir)), sub, cut(links.all_links(sub))
+
+
+def _through_prior(spark, sf_dir):
+    """Figures, cut, with quarterly and prior-year figures filled; submissions; links."""
+    rows, sub, found = _linked(spark, sf_dir)
+    rows = cut(derive.fill_quarterly(rows, sub, check=False, links=found))
+    return derive.fill_prior_year(rows, sub, links=found), sub, found
 
 
 @_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR) + f" SELECT adsh, tag, {_FOUR} FROM fp")
@@ -337,13 +345,22 @@ def fill_prior_year(spark, sf_dir):
 
 @_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + " SELECT adsh, tag, round(annual_figure, 2) AS annual_figure FROM fa")
 def annual_current(spark, sf_dir):
-    return _rounded(derive.annual_current(*_through_prior(spark, sf_dir)).select("adsh", "tag", "annual_figure"))
+    rows, sub, found = _through_prior(spark, sf_dir)
+    return _rounded(derive.annual_current(cut(rows), sub, links=found).select("adsh", "tag", "annual_figure"))
 
 
 @_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + " SELECT adsh, tag, round(annual_figure_py, 2) AS annual_figure_py FROM fb")
 def annual_prior_year(spark, sf_dir):
-    rows, sub = _through_prior(spark, sf_dir)
-    return _rounded(derive.annual_prior_year(derive.annual_current(rows, sub), sub).select("adsh", "tag", "annual_figure_py"))
+    rows, sub, found = _linked(spark, sf_dir)
+    return _rounded(derive.derive_figures(rows, sub, check=False, links=found).select("adsh", "tag", "annual_figure_py"))
+
+
+@_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + " SELECT adsh, tag, round(annual_figure_py, 2) AS annual_figure_py FROM fb")
+def annual_prior_year_step(spark, sf_dir):
+    """The same by the four functions, one after another."""
+    rows, sub, found = _through_prior(spark, sf_dir)
+    rows = cut(derive.annual_current(cut(rows), sub, links=found))
+    return _rounded(derive.annual_prior_year(rows, sub, links=found).select("adsh", "tag", "annual_figure_py"))
 
 
 INTERVALS = """
@@ -392,8 +409,8 @@ _WIDE = ", ".join(f"max(CASE WHEN tag = '{t}' THEN round({c}, 2) END) AS {t}{s}"
 
 @_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + f" SELECT fb.adsh, any_value(s.cik) AS cik, any_value(s.form) AS form, {_WIDE} FROM fb JOIN sub s ON fb.adsh = s.adsh GROUP BY fb.adsh")
 def pivot_figures(spark, sf_dir):
-    rows, sub = _through_prior(spark, sf_dir)
-    rows = derive.annual_prior_year(derive.annual_current(rows, sub), sub)
+    rows, sub, found = _linked(spark, sf_dir)
+    rows = derive.derive_figures(rows, sub, check=False, links=found)
     return _rounded(pivot.pivot_figures(rows, sub.select("adsh", "cik", "form"), tags=list(TYPES)))
 
 

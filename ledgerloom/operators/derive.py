@@ -5,11 +5,12 @@ Every function finds the links it needs itself, or takes them from `links` (link
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import POLICY, require_columns
-from .links import all_links, lookup_by_link, prev_10k_link, prev_filing_link, prior_year_link
+from .checkpoints import cut
+from .links import all_links, follow_link, lookup_by_link, prev_10k_link, prev_filing_link, prior_year_link, unique_figures
 
 _FIGURES = ("adsh", "tag", "reported_figure", "quarterly_figure", "reported_figure_py", "quarterly_figure_py", "is_instant")
 _TOL = POLICY.prior_year_tolerance_days
@@ -22,18 +23,32 @@ def assert_known(figures: DataFrame, sub: DataFrame) -> None:
         raise ValueError(f"figures of unknown filings: {sorted(r['adsh'] for r in unknown)}")
 
 
+def _quarterly(keep_existing: bool) -> dict[str, Column]:
+    """Both quarterly figures from prev_adsh, prev_form, and the reported figures there (__r, __r_py)."""
+    first = (F.coalesce("prev_adsh", F.lit(0)) == 0) | F.coalesce(F.col("prev_form").startswith("10-K"), F.lit(False))
+    new = {}
+    for now, whole, before in (("quarterly_figure", "reported_figure", "__r"), ("quarterly_figure_py", "reported_figure_py", "__r_py")):
+        made = F.when(first, F.col(whole)).otherwise(F.col(whole) - F.col(before))
+        new[now] = F.when(F.col("is_instant"), F.col(now)).otherwise(F.coalesce(now, made) if keep_existing else made)
+    return new
+
+
+def _annual() -> Column:
+    """The annual figure from the form (__form), the last annual report's figure (__k) and the figure a year earlier."""
+    return F.when(F.col("__form").startswith("10-K"), F.col("reported_figure")).when(~F.col("is_instant"), F.col("reported_figure") + F.col("__k") - F.col("reported_figure_py"))
+
+
+def _forms(sub: DataFrame) -> DataFrame:
+    return sub.groupBy("adsh").agg(F.max("form").alias("__form"))
+
+
 def fill_quarterly(figures: DataFrame, sub: DataFrame, *, keep_existing: bool = True, check: bool = True, links: DataFrame | None = None) -> DataFrame:
     """Quarterly figures of durations: the reported one if there is no earlier filing of the same start or that is annual, else the difference. Instants stay."""
     require_columns(figures, _FIGURES, "figures")
     if check:
         assert_known(figures, sub)
     rows = lookup_by_link(figures, prev_filing_link(sub) if links is None else links.select("adsh", "prev_adsh", "prev_form"), "prev_adsh", {"reported_figure": "__r", "reported_figure_py": "__r_py"})
-    first = (F.coalesce("prev_adsh", F.lit(0)) == 0) | F.coalesce(F.col("prev_form").startswith("10-K"), F.lit(False))
-    new = {}
-    for now, whole, before in (("quarterly_figure", "reported_figure", "__r"), ("quarterly_figure_py", "reported_figure_py", "__r_py")):
-        made = F.when(first, F.col(whole)).otherwise(F.col(whole) - F.col(before))
-        new[now] = F.when(F.col("is_instant"), F.col(now)).otherwise(F.coalesce(now, made) if keep_existing else made)
-    return rows.withColumns(new).select(*figures.columns)
+    return rows.withColumns(_quarterly(keep_existing)).select(*figures.columns)
 
 
 def fill_prior_year(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True, links: DataFrame | None = None) -> DataFrame:
@@ -48,10 +63,8 @@ def annual_current(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL,
     """annual_figure: the reported one of annual reports; of other durations reported + last annual - reported a year earlier; null for other instants."""
     require_columns(figures, _FIGURES, "figures")
     link = prev_10k_link(sub, tol_days=tol_days) if links is None else links.select("adsh", "prev_10k_adsh", "prev_10k_diff_days")
-    forms = sub.groupBy("adsh").agg(F.max("form").alias("__form"))
-    rows = lookup_by_link(figures, link.join(forms, "adsh", "left"), "prev_10k_adsh", {"reported_figure": "__k"})
-    made = F.when(F.col("__form").startswith("10-K"), F.col("reported_figure")).when(~F.col("is_instant"), F.col("reported_figure") + F.col("__k") - F.col("reported_figure_py"))
-    return rows.withColumn("annual_figure", made).select(*figures.columns, "annual_figure")
+    rows = lookup_by_link(figures, link.join(_forms(sub), "adsh", "left"), "prev_10k_adsh", {"reported_figure": "__k"})
+    return rows.withColumn("annual_figure", _annual()).select(*figures.columns, "annual_figure")
 
 
 def annual_prior_year(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True, links: DataFrame | None = None) -> DataFrame:
@@ -61,6 +74,26 @@ def annual_prior_year(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TO
     return lookup_by_link(figures, link, "adsh_py", {"annual_figure": "annual_figure_py"}).select(*figures.columns, "annual_figure_py")
 
 
+def derive_figures(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True, keep_existing: bool = True, check: bool = True, links: DataFrame | None = None) -> DataFrame:
+    """fill_quarterly, fill_prior_year, annual_current and annual_prior_year, with two rounds of look-ups instead of four.
+
+    What is looked up in the figures as they came (the previous filing's, last year's and the last annual report's reported figures) is
+    looked up in one round; what is derived itself (last year's quarterly and annual figures) in a second one, after a cut.
+    """
+    require_columns(figures, _FIGURES, "figures")
+    if check:
+        assert_known(figures, sub)
+    links = all_links(sub, tol_days=tol_days, match_form_family=match_form_family) if links is None else links
+    linked = figures.join(links.join(_forms(sub), "adsh", "left").select("adsh", "prev_adsh", "prev_form", "adsh_py", "prev_10k_adsh", "__form"), "adsh", "left")
+    given = unique_figures(figures, ["reported_figure", "reported_figure_py"])
+    for link, columns in (("prev_adsh", {"reported_figure": "__r", "reported_figure_py": "__r_py"}), ("adsh_py", {"reported_figure": "__last"}), ("prev_10k_adsh", {"reported_figure": "__k"})):
+        linked = follow_link(linked, given, link, columns)
+    rows = linked.withColumns(_quarterly(keep_existing)).withColumn("reported_figure_py", F.coalesce("reported_figure_py", "__last"))
+    rows = cut(rows.withColumn("annual_figure", _annual()).select(*figures.columns, "annual_figure", "adsh_py"))
+    out = follow_link(rows, rows.select("adsh", "tag", "quarterly_figure", "annual_figure"), "adsh_py", {"quarterly_figure": "__q", "annual_figure": "annual_figure_py"})
+    return out.withColumn("quarterly_figure_py", F.coalesce("quarterly_figure_py", "__q")).select(*figures.columns, "annual_figure", "annual_figure_py")
+
+
 def impute_intervals(sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True, links: DataFrame | None = None) -> DataFrame:
     """Submissions with annual and quarterly intervals, current and prior year, instead of the four reported anchors."""
     require_columns(sub, ["adsh", "cik", "form", "start_rep", "end_rep", "start_rep_py", "end_rep_py", "start_q", "end_q", "start_q_py", "end_q_py", "is_amended"], "submissions")

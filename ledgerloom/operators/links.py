@@ -85,7 +85,17 @@ def unique_figures(figures: DataFrame, columns: Iterable[str]) -> DataFrame:
     return one.select("adsh", "tag", *[F.when(F.col("__n") > 1, F.raise_error(what)).otherwise(F.col(c)).alias(c) for c in columns])
 
 
+def follow_link(rows: DataFrame, figures: DataFrame, link_col: str, columns: dict[str, str]) -> DataFrame:
+    """Rows with values of the same tag in the filing that `link_col` names; figures have one row per (adsh, tag).
+
+    Rows without a link look for an id of their own that no filing has, so that they don't meet in one task.
+    """
+    target = F.when(F.coalesce(link_col, F.lit(0)) == 0, -1 - F.abs(F.coalesce("adsh", F.lit(0)))).otherwise(F.col(link_col))
+    there = figures.select(F.col("adsh").alias("__at"), F.col("tag").alias("__tag"), *[F.col(c).alias(n) for c, n in columns.items()])
+    rows = rows.withColumn("__to", target)
+    return rows.join(there, (rows["__to"] == there["__at"]) & (rows["tag"] == there["__tag"]), "left").drop("__to", "__at", "__tag")
+
+
 def lookup_by_link(figures: DataFrame, link: DataFrame, link_col: str, columns: dict[str, str]) -> DataFrame:
     """Figures with values of the same tag in the linked filing: columns maps a figures column to its new name. (adsh, tag) must be unique, or a run fails."""
-    linked = unique_figures(figures, columns).select(F.col("adsh").alias(link_col), "tag", *[F.col(c).alias(n) for c, n in columns.items()])
-    return figures.join(link, "adsh", "left").join(linked, [link_col, "tag"], "left")
+    return follow_link(figures.join(link, "adsh", "left"), unique_figures(figures, columns), link_col, columns)

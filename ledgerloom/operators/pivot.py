@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import POLICY, require_columns
 from .checkpoints import cut
-from .derive import annual_current, annual_prior_year, fill_prior_year, fill_quarterly, impute_intervals
+from .derive import derive_figures, impute_intervals
 from .links import all_links
 from .submissions import one_row_per_filing
 
@@ -51,6 +51,5 @@ def transform_and_pivot_figures(figures: DataFrame, sub: DataFrame, *, tol_days:
     """Quarterly, prior-year and annual figures of the frequent tags, one row per filing. Of several rows of a filing the highest version counts."""
     sub = cut(one_row_per_filing(sub))
     links = cut(all_links(sub, tol_days=tol_days, match_form_family=match_form_family))
-    rows = fill_quarterly(remove_infrequent_tags(figures), sub, links=links)
-    rows = annual_current(fill_prior_year(rows, sub, links=links), sub, links=links)
-    return pivot_figures(annual_prior_year(rows, sub, links=links), impute_intervals(sub, links=links), tags=tags, as_map=as_map)
+    rows = derive_figures(cut(remove_infrequent_tags(figures)), sub, links=links)
+    return pivot_figures(rows, impute_intervals(sub, links=links), tags=tags, as_map=as_map)
