@@ -195,6 +195,18 @@ def correct_scale_outliers(spark, sf_dir):
     return _rounded(_days(rows.withColumnRenamed("end", "end_")))
 
 
+_SCALED = """
+CASE WHEN a.value > m.med * 100 AND a.value > y.adj * 965 AND a.value < y.adj * 1036 THEN 1 WHEN a.value > m.med * 10000 AND a.value > y.adj * 750000 AND a.value < y.adj * 1333000 THEN 2
+     WHEN a.value < m.med / 100 AND a.value > y.adj / 1036 AND a.value < y.adj / 965 THEN 3 WHEN a.value < m.med / 10000 AND a.value > y.adj / 1333000 AND a.value < y.adj / 750000 THEN 4 END"""
+RESCALED_ALL = f"""
+k AS (SELECT f.*, s.cik, CASE WHEN f.start = f.end_ THEN abs(f.value) ELSE abs(f.value / greatest(datediff('day', f.start, f.end_), 90) * 90) END AS adj FROM clean f JOIN sub s ON f.adsh = s.adsh),
+m AS (SELECT cik, tag, median(adj) AS med FROM k GROUP BY 1, 2),
+p AS (SELECT a.adsh, a.tag, a.start, a.end_, min({_SCALED}) AS c FROM k a JOIN m ON a.cik = m.cik AND a.tag = m.tag JOIN k y ON a.cik = y.cik AND a.tag = y.tag AND abs(datediff('day', a.end_, y.end_)) <= 120 GROUP BY ALL),
+fixed AS (SELECT k.adsh, k.tag, k.start, k.end_, k.value * CASE c WHEN 1 THEN 1e-3 WHEN 2 THEN 1e-6 WHEN 3 THEN 1e3 WHEN 4 THEN 1e6 ELSE 1 END AS value FROM k LEFT JOIN p ON k.adsh = p.adsh AND k.tag = p.tag AND k.start = p.start AND k.end_ = p.end_)"""
+_BASE = """ SELECT adsh, tag, round(value1, 2) AS reported_figure, round(value2, 2) AS quarterly_figure, round(value3, 2) AS reported_figure_py, round(value4, 2) AS quarterly_figure_py, false AS is_computed, false AS is_instant FROM d
+        UNION ALL SELECT adsh, tag, round(value1, 2), round(value2, 2), round(value3, 2), round(value4, 2), false, true FROM i WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.adsh = i.adsh AND d.tag = i.tag)"""
+
+
 # ---- windows and figures
 
 
@@ -239,10 +251,10 @@ def base_figures(spark, sf_dir):
     return figures.figures_from_clean(rows, sub)[0]
 
 
-@_query(None)
+@_query(_with(SUB, FACTS, MERGED, CLEAN, RESCALED_ALL, WINDOWS.replace("{facts}", "fixed"), "d AS (" + _PERIOD.format(facts="fixed", where="WHERE f.start <> f.end_") + ")", "i AS (" + _INSTANT.format(facts="fixed") + ")") + _BASE)
 def build_base_figures(spark, sf_dir):
-    """The whole of it, with outliers corrected."""
-    return figures.build_base_figures(adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir))[0]
+    """The whole of it, with outliers corrected; these facts need one round, and the SQL has one."""
+    return _rounded(figures.build_base_figures(adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir))[0])
 
 
 PLANTED = FACTS.replace("l.l_extendedprice AS value", "CAST(1000 + (l.l_orderkey + 1) % 20 AS DOUBLE) * CASE WHEN (l.l_orderkey + 1) % 97 = 0 THEN 1000 ELSE 1 END AS value")
@@ -496,9 +508,23 @@ def expand_arcs(spark, sf_dir):
     return arcs.expand_arcs(_part_arcs(spark, sf_dir), enforce_signature_unique_seq=False)
 
 
-@_query(None)
+SPREAD = """
+g AS (SELECT version, statement, seq, f, t, weight FROM w UNION ALL SELECT version, statement, seq, f, t, min(weight) FROM x GROUP BY ALL),
+eq AS (
+  SELECT 0 AS round, version, statement, seq, f, array_to_string(list_sort(list(t)), '|') AS signature, seq AS spot FROM g GROUP BY version, statement, seq, f
+  UNION ALL
+  SELECT round + 1, version, statement, seq, f, signature, spot + bump FROM (
+    SELECT *, max(bump) OVER () AS moved FROM (SELECT *, row_number() OVER (PARTITION BY version, statement, spot, signature ORDER BY f) - 1 AS bump FROM eq)) WHERE moved > 0),
+last_ AS (SELECT * FROM eq WHERE round = (SELECT max(round) FROM eq)),
+ranked AS (SELECT *, dense_rank() OVER (PARTITION BY version ORDER BY spot) - 1 AS rank FROM last_)"""
+
+
+SPREAD_ARCS = "WITH RECURSIVE " + ",".join((ARCS, EXPANDED[0], SPREAD)).lstrip() + ' SELECT g.version, g.statement, CAST(r.rank AS INT) AS seq, g.f AS "from", g.t AS "to", g.weight FROM g JOIN ranked r USING (version, statement, seq, f)'
+
+
+@_query(SPREAD_ARCS)
 def expand_arcs_unique(spark, sf_dir):
-    """With the signatures spread over seqs; the tests compare this with a plain loop."""
+    """With the signatures spread over seqs; the tests compare this with a plain loop, too."""
     return arcs.expand_arcs(_part_arcs(spark, sf_dir))
 
 
@@ -508,7 +534,7 @@ def expand_arcs_whole(spark, sf_dir):
     return arcs.expand_arcs(_part_arcs(spark, sf_dir), enforce_signature_unique_seq=False)
 
 
-@_query(None)
+@_query(SPREAD_ARCS)
 def expand_arcs_unique_whole(spark, sf_dir):
     """The name that expand_arcs_unique on the whole table had; the same rows."""
     return arcs.expand_arcs(_part_arcs(spark, sf_dir))
@@ -699,3 +725,222 @@ def backfill_missing_facts(spark, sf_dir):
     have = rows.select((F.col("l_orderkey") + 1).alias("adsh"), F.col("p_type").alias("tag"), day.alias("start"), day.alias("end"), F.col("l_extendedprice").alias("value"))
     got = landed.backfill_missing_facts(have, docs.select("adsh", "cik"), docs.select("adsh", "content"))
     return got.select("adsh", "tag", F.col("end").cast("string").alias("end_"), "value")
+
+
+# ---- landed documents in other writing
+
+
+def _summaries(spark, sf_dir):
+    """(adsh, content): filing summaries whose first input file is an exhibit; every fifth names another year's namespace than its instance document uses."""
+    year = F.when(F.col("o_orderkey") % 5 == 0, "2022").otherwise("2023")
+    content = F.concat(
+        F.lit('<?xml version="1.0"?><FilingSummary><!-- <File doctype="10-K">no.htm</File> --><InputFiles><File doctype="EX-101">e.htm</File><File original="a &gt; b" doctype=\'10-K\'>d&amp;'), F.col("o_orderkey").cast("string"),
+        F.lit('.htm</File><File doctype="10-Q">z.htm</File></InputFiles><BaseTaxonomies><BaseTaxonomy>http://fasb.org/us-gaap/'), year, F.lit("</BaseTaxonomy><BaseTaxonomy>http://fasb.org/srt/2023</BaseTaxonomy><BaseTaxonomy>http://xbrl.sec.gov/dei/2023</BaseTaxonomy></BaseTaxonomies></FilingSummary>"),
+    )
+    return adapter.table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("adsh"), content.alias("content"))
+
+
+@_query("SELECT o_orderkey + 1 AS adsh, 'd&' || o_orderkey || '.htm' AS file, 'http://fasb.org/us-gaap/' || CASE WHEN o_orderkey % 5 = 0 THEN '2022' ELSE '2023' END || '|http://xbrl.sec.gov/dei/2023' AS namespaces FROM orders")
+def filing_summaries(spark, sf_dir):
+    return landed.read_filing_summary(_summaries(spark, sf_dir)).withColumn("namespaces", F.array_join("namespaces", "|"))
+
+
+def _foreign_instances(spark, sf_dir):
+    """(adsh, cik, content): one instance document per order, under one of three prefixes.
+
+    Of a document's lines, by their number modulo 4: 1 is a price in dollars, written as text, with a character reference or in a CDATA
+    section; 2 a price per share, whose unit is a quotient; 3 is nil; 0 is another company's or in a namespace of the filer's own.
+    """
+    rows = adapter.table(spark, sf_dir, "lineitem").join(adapter.table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(adapter.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    kind, price = F.col("l_linenumber") % 4, F.col("l_extendedprice").cast("string")
+    prefix = F.element_at(F.array(F.lit("us-gaap"), F.lit("g"), F.lit("fin")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    name = F.concat(F.when((kind == 0) & (F.col("l_partkey") % 2 == 0), "own").otherwise(prefix), F.lit(":"), F.replace("p_type", F.lit(" "), F.lit("")))
+    attributes = F.concat(F.lit(' decimals="-3" contextRef="'), F.when((kind == 0) & (F.col("l_partkey") % 2 == 1), "c2").otherwise("c1"), F.lit("\" unitRef = '"), F.when(kind == 2, "ps").otherwise("usd"), F.lit("'"))
+    text = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("&#32;"), price)).when(F.col("l_linenumber") == 5, F.concat(F.lit("<![CDATA["), price, F.lit("]]>"))).otherwise(price)
+    fact = F.when(kind == 3, F.concat(F.lit("<"), name, attributes, F.lit(' xsi:nil="true"/>'))).otherwise(F.concat(F.lit("<"), name, attributes, F.lit(">"), text, F.lit("</"), name, F.lit(" >")))
+    context = lambda id_, cik: F.concat(F.lit(f'<xbrli:context id="{id_}"><xbrli:entity><xbrli:identifier scheme="http://www.sec.gov/CIK">'), F.lpad(cik.cast("string"), 10, "0"), F.lit("</xbrli:identifier></xbrli:entity><xbrli:period><xbrli:startDate>2020-01-01</xbrli:startDate><xbrli:endDate>"), F.to_date("o_orderdate").cast("string"), F.lit("</xbrli:endDate></xbrli:period></xbrli:context>"))
+    head = F.concat(
+        F.lit('<?xml version="1.0" encoding="UTF-8"?><xbrli:xbrl xmlns:xbrli="http://www.xbrl.org/2003/instance" xmlns:own="http://company.example/2023" xmlns:'), prefix, F.lit("='http://fasb.org/us-gaap/2023'>"), context("c1", F.col("o_custkey")), context("c2", F.col("o_custkey") + 1),
+        F.lit('<xbrli:unit id="ps"><xbrli:divide><xbrli:unitNumerator><xbrli:measure>iso4217:USD</xbrli:measure></xbrli:unitNumerator><xbrli:unitDenominator><xbrli:measure>xbrli:shares</xbrli:measure></xbrli:unitDenominator></xbrli:divide></xbrli:unit><xbrli:unit id="usd"><xbrli:measure>iso4217:USD</xbrli:measure></xbrli:unit><!-- <'),
+        prefix, F.lit(':Old contextRef="c1" unitRef="usd">1</x> -->'),
+    )
+    docs = rows.groupBy((F.col("l_orderkey") + 1).alias("adsh"), F.col("o_custkey").alias("cik"), head.alias("h")).agg(F.array_join(F.collect_list(fact), "\n").alias("f"))
+    return docs.select("adsh", "cik", F.concat("h", "f", F.lit("</xbrli:xbrl>")).alias("content"))
+
+
+@_query("""
+SELECT l_orderkey + 1 AS adsh, replace(p_type, ' ', '') AS tag, '2020-01-01' AS start, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS end_, CASE WHEN l_linenumber % 4 = 1 THEN l_extendedprice ELSE 0.0 END AS value
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE l_linenumber % 4 IN (1, 3) AND o_orderkey % 5 <> 0""")
+def xbrl_instances_foreign(spark, sf_dir):
+    """Instance documents with prefixes of their own, quotients of units, nil facts and other companies' contexts, read by the namespaces of their filing summaries."""
+    summaries = landed.read_filing_summary(_summaries(spark, sf_dir))
+    return _days(landed.read_xbrl_instances(_foreign_instances(spark, sf_dir), summaries=summaries).withColumnRenamed("end", "end_"))
+
+
+@_query("""
+SELECT l_orderkey + 1 AS adsh, replace(p_type, ' ', '') AS tag, '2020-01-01' AS start, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS end_, CASE WHEN l_linenumber % 4 = 1 THEN l_extendedprice ELSE 0.0 END AS value
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE l_linenumber % 4 IN (1, 3)""")
+def xbrl_instances_declared(spark, sf_dir):
+    """The same without summaries: by the namespaces that the documents declare."""
+    return _days(landed.read_xbrl_instances(_foreign_instances(spark, sf_dir)).withColumnRenamed("end", "end_"))
+
+
+def _linkbases(spark, sf_dir):
+    """(path, content): parts as calculation linkbases of three years and five statements: TOP over ALL and a brand, ALL over brands, brands over types."""
+    part = adapter.table(spark, sf_dir, "part")
+    statement = F.element_at(F.array(*[F.lit(x) for x in landed.STATEMENTS]), (F.col("p_size") % 5 + 1).cast("int"))
+    year = (F.col("p_size") % 3 + 2021).cast("string")
+    brand, kind = F.replace("p_brand", F.lit("#"), F.lit("")), F.replace("p_type", F.lit(" "), F.lit(""))
+    arcs_ = F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in ((F.lit("TOP"), F.lit("ALL")), (F.lit("TOP"), brand), (F.lit("ALL"), brand), (brand, kind))])
+    rows = part.select(year.alias("year"), statement.alias("statement"), F.inline(arcs_)).distinct()
+    weight = F.when(F.length(F.concat("a", "b")) % 2 == 0, "-1").otherwise("1.0")
+    tag = F.when(F.col("year") == "2022", "link").otherwise("lb")
+    arc = F.concat(F.lit("<"), tag, F.lit(':calculationArc xlink:type="arc" order="1" xlink:from="loc_'), F.col("a"), F.lit("\" weight='"), weight, F.lit("' xlink:to=\"http://fasb.org/us-gaap/role/statement/"), F.col("b"), F.lit('"/>'))
+    docs = rows.groupBy("year", "statement").agg(F.array_join(F.collect_list(arc), "\n").alias("arcs"))
+    nested = F.concat(F.lit('<lb:linkbase xmlns:lb="http://www.xbrl.org/2003/linkbase" xmlns:xlink="http://www.w3.org/1999/xlink"><lb:roleRef roleURI="r"/><lb:calculationLink xlink:role="r"><lb:loc xlink:label="x"/>'), "arcs", F.lit("</lb:calculationLink></lb:linkbase>"))
+    flat = F.concat(F.lit('<link:linkbase xmlns:link="http://www.xbrl.org/2003/linkbase" xmlns:xlink="http://www.w3.org/1999/xlink">'), "arcs", F.lit("</link:linkbase>"))
+    return docs.select(F.concat(F.lit("/landed/us-gaap-"), "year", F.lit("/stm/us-gaap-stm-"), "statement", F.lit("-cal-"), "year", F.lit(".xml")).alias("path"), F.when(F.col("year") == "2022", flat).otherwise(nested).alias("content"))
+
+
+@_query("""
+WITH p AS (SELECT DISTINCT CAST(p_size % 3 + 2021 AS INT) AS version, ['scf-indir', 'sfp-cls', 'soi', 'sheci', 'soc'][p_size % 5 + 1] AS statement, replace(p_brand, '#', '') AS b, replace(p_type, ' ', '') AS t FROM part),
+a AS (SELECT version, statement, 2 AS seq, 'TOP' AS f, 'ALL' AS t FROM p UNION SELECT version, statement, 2, 'TOP', b FROM p UNION SELECT version, statement, 1, 'ALL', b FROM p UNION SELECT version, statement, 0, b, t FROM p)
+SELECT version, statement, seq, f AS "from", t AS "to", CASE WHEN length(f || t) % 2 = 0 THEN -1.0 ELSE 1.0 END AS weight FROM a""")
+def calculation_linkbases(spark, sf_dir):
+    """Parts written as linkbases of three years and five statements, and read back in one plan, with seq."""
+    return landed.calculation_arcs(_linkbases(spark, sf_dir))
+
+
+HEIGHTS = """
+e AS (SELECT DISTINCT CAST(p_partkey % 3 AS INT) AS version, 'S' || p_size AS f, 'S' || (p_size // 2) AS t FROM part UNION SELECT DISTINCT CAST(p_partkey % 3 AS INT), 'S' || p_size, 'S' || (p_size - 7) FROM part WHERE p_size > 7),
+r AS (SELECT version, f AS node, 0 AS h FROM e UNION SELECT e.version, e.f, r.h + 1 FROM r JOIN e ON e.t = r.node AND e.version = r.version)"""
+
+
+@_query("WITH RECURSIVE " + HEIGHTS.lstrip() + ' SELECT e.version, e.f AS "from", e.t AS "to", max(r.h) AS seq FROM e JOIN r ON r.version = e.version AND r.node = e.f GROUP BY ALL')
+def arc_heights(spark, sf_dir):
+    """Sequence of a graph with paths of unequal length: every size over its half and over the size seven below."""
+    part = adapter.table(spark, sf_dir, "part")
+    size = lambda c: F.concat(F.lit("S"), c.cast("string"))
+    edge = lambda df, c: df.select((F.col("p_partkey") % 3).cast("int").alias("version"), size(F.col("p_size")).alias("from"), size(c).alias("to"))
+    rows = edge(part, F.floor(F.col("p_size") / 2)).union(edge(part.where("p_size > 7"), F.col("p_size") - 7)).distinct()
+    return arcs.assign_arc_sequence(rows)
+
+
+def _quarter_lines(spark, sf_dir):
+    """Lines (path, line) of the sub.txt and num.txt of all quarters; every eleventh filing is in the next quarter too, with another sic and year. Quarters differ in the order of columns."""
+    sub = adapter.submissions(spark, sf_dir)
+    twice = F.explode(F.when(F.col("adsh") % 11 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("late")
+    rows = sub.select("*", twice).withColumn("day", F.add_months(F.to_date("accepted"), 3 * F.col("late")))
+    rows = rows.withColumns({"q": F.concat(F.year("day").cast("string"), F.lit("q"), F.quarter("day").cast("string")), "swapped": F.quarter("day") % 2 == 0})
+    tab = lambda *cols: F.concat_ws("\t", *cols)
+    text = lambda c: F.col(c).cast("string")
+    sic = F.when(F.col("late") == 1, "7").otherwise("")
+    first = tab(_accession(), text("cik"), sic, F.col("form"), F.date_format("period", "yyyyMMdd"), text("accepted"), F.lit("x.xml"), F.lit("more"))
+    second = tab(F.lit("more"), F.col("form"), _accession(), sic, text("cik"), F.date_format("period", "yyyyMMdd"), F.lit("x.xml"), text("accepted"))
+    head = F.when(F.col("swapped"), "name\tform\tadsh\tsic\tcik\tperiod\tinstance\taccepted").otherwise("adsh\tcik\tsic\tform\tperiod\taccepted\tinstance\tname")
+    at = lambda name: F.concat(F.lit("/landed/"), "q", F.lit(f"/{name}.txt")).alias("path")
+    subs = rows.select(at("sub"), F.when(F.col("swapped"), second).otherwise(first).alias("line")).union(rows.select(at("sub"), head).distinct())
+    version = F.concat(F.lit("us-gaap/"), (F.year("accepted") + 10 + F.col("late")).cast("string"))
+    nums = rows.select(at("num"), F.explode(F.array(tab(_accession(), F.lit("Cash"), version), tab(_accession(), F.lit("Cash"), F.lit("dei/2001")))).alias("line")).union(rows.select(at("num"), F.lit("adsh\ttag\tversion")).distinct())
+    return subs, nums
+
+
+@_query(_with(SUB, "d AS (SELECT *, CASE WHEN adsh % 11 = 0 THEN 1 ELSE 0 END AS late, CAST(CAST(accepted AS DATE) + INTERVAL 3 MONTH AS DATE) AS later FROM sub)")
+        + " SELECT adsh, cik, CASE WHEN late = 1 THEN CAST(7 AS BIGINT) ELSE 0 END AS sic, form, CAST(period AS VARCHAR) AS period, strftime(accepted, '%Y-%m-%d %H:%M:%S') AS accepted, CAST(year(accepted) + 10 + late AS INT) AS version, CASE WHEN late = 1 THEN year(later) || 'q' || quarter(later) ELSE year(accepted) || 'q' || quarter(accepted) END AS quarter FROM d")
+def fsd_quarters(spark, sf_dir):
+    """All quarters' files as one table of lines each; a filing in two quarters has the rows of the later one."""
+    subs, nums = _quarter_lines(spark, sf_dir)
+    got = landed.combine_quarters(landed.tsv_lines(subs, landed.SUB_TXT), landed.tsv_lines(nums, ("adsh", "version")))
+    return got.select("adsh", "cik", "sic", "form", F.col("period").cast("string").alias("period"), F.date_format("accepted", "yyyy-MM-dd HH:mm:ss").alias("accepted"), "version", "quarter")
+
+
+@_query("SELECT DISTINCT p_brand || '-' || p_type AS tag FROM part WHERE p_size % 4 IN (0, 1) UNION SELECT 'EntityCommonStockSharesOutstanding' UNION SELECT 'EntityPublicFloat'")
+def schema_elements(spark, sf_dir):
+    """Parts written as schema documents of three years, with abstract elements, elements of text and of shares, and read back."""
+    kind = F.when(F.col("p_size") % 4 == 1, "xbrli:sharesItemType").when(F.col("p_size") % 4 == 2, "xbrli:stringItemType").otherwise("xbrli:monetaryItemType")
+    element = F.concat(F.lit('<xsd:element id="x" name="'), "p_brand", F.lit("-"), "p_type", F.lit('" type="'), kind, F.lit('"'), F.when(F.col("p_size") % 4 == 3, " abstract='true'").otherwise(""), F.lit(' nillable="true"/>'))
+    rows = adapter.table(spark, sf_dir, "part").select((F.col("p_partkey") % 3).alias("year"), element.alias("e")).distinct()
+    docs = rows.groupBy("year").agg(F.array_join(F.collect_list("e"), "").alias("e")).select(F.concat(F.lit('<xsd:schema xmlns:xsd="http://www.w3.org/2001/XMLSchema"><xsd:import namespace="x"/>'), "e", F.lit("</xsd:schema>")).alias("content"))
+    return landed.parse_tag_universe(docs)
+
+
+# ---- reports and assertions
+
+@_query(
+    _with(
+        SUB, PLANTED, CLEAN.replace("FROM merged", "FROM facts"),
+        "k AS (SELECT f.*, s.cik, CASE WHEN f.start = f.end_ THEN abs(f.value) ELSE abs(f.value / greatest(datediff('day', f.start, f.end_), 90) * 90) END AS adj FROM clean f JOIN sub s ON f.adsh = s.adsh)",
+        "m AS (SELECT cik, tag, median(adj) AS med FROM k GROUP BY 1, 2)",
+        f"p AS (SELECT a.adsh, a.tag, a.start, a.end_, min({_SCALED}) AS c FROM k a JOIN m ON a.cik = m.cik AND a.tag = m.tag JOIN k y ON a.cik = y.cik AND a.tag = y.tag AND abs(datediff('day', a.end_, y.end_)) <= 120 GROUP BY ALL)",
+    )
+    + " SELECT count(c) AS corrections, CASE WHEN count(c) > 0 THEN 1 ELSE 0 END AS rounds, true AS settled FROM p"
+)
+def scale_corrections(spark, sf_dir):
+    """How many values of facts of which 1 filing in 97 reports in thousands are rescaled, in how many rounds, and whether none was left."""
+    value = (1000 + F.col("adsh") % 20).cast("double") * F.when(F.col("adsh") % 97 == 0, 1000).otherwise(1)
+    _, n = clean.correct_scale_outliers(clean.drop_contradictions(adapter.facts(spark, sf_dir).withColumn("value", value)), adapter.submissions(spark, sf_dir))
+    return spark.createDataFrame([(int(n), n.rounds, n.settled)], "corrections long, rounds int, settled boolean")
+
+
+@_query(_with(SUB, LINKED, FIGURES) + " SELECT f.adsh, f.tag, f.reported_figure, coalesce(l.adsh_py, 0) AS adsh_py, g.reported_figure AS a_year_earlier FROM fig f LEFT JOIN lpy l ON f.adsh = l.adsh LEFT JOIN fig g ON g.adsh = l.adsh_py AND g.tag = f.tag")
+def lookup_by_link(spark, sf_dir):
+    """Each figure with that of the same tag in the filing a year earlier; a repeated (adsh, tag) would fail."""
+    found = links.lookup_by_link(adapter.link_figures(spark, sf_dir), links.prior_year_link(adapter.sub_windows(spark, sf_dir)), "adsh_py", {"reported_figure": "a_year_earlier"})
+    return found.select("adsh", "tag", "reported_figure", "adsh_py", "a_year_earlier")
+
+
+@_query(
+    _with(
+        SUB, FACTS,
+        """c AS (SELECT count(*) AS n, count_if(version = 0) AS none, count_if(version <> 0 AND (version < 2008 OR version > year(accepted) + 3)) AS range_, count_if(period > CAST(accepted AS DATE)) AS late,
+               count_if(year(period) <= 1996 OR year(period) >= 2030) AS py, count_if(year(accepted) <= 1996 OR year(accepted) >= 2030) AS ay FROM sub)""",
+        "f AS (SELECT count(*) AS n, count_if(start > end_) AS turned, (SELECT count(*) FROM sub WHERE adsh NOT IN (SELECT adsh FROM facts)) AS empty FROM facts)",
+    )
+    + """ SELECT none || ' rows: no_version' AS failure FROM c WHERE none > 0 UNION ALL SELECT range_ || ' rows: version_range' FROM c WHERE range_ > 0 UNION ALL SELECT late || ' rows: period_after_acceptance' FROM c WHERE late > 0
+        UNION ALL SELECT py || ' rows: period_year' FROM c WHERE py > 0 UNION ALL SELECT ay || ' rows: accepted_year' FROM c WHERE ay > 0
+        UNION ALL SELECT n || ' rows, more than 1000000000 expected' FROM f UNION ALL SELECT turned || ' rows start after their end' FROM f WHERE turned > 0 UNION ALL SELECT empty || ' filings have no facts' FROM f WHERE empty > 17"""
+)
+def check_all(spark, sf_dir):
+    """Every rule that submissions and facts break, as check_all would raise them."""
+    sub = adapter.submissions(spark, sf_dir).withColumns({"sic": F.lit(0).cast("long"), "ticker": F.lit("T")})
+    failed = checks.all_failures(adapter.facts(spark, sf_dir), sub, submission_limits={"min_rows": 0, "first_year": 1996}, fact_limits={"min_rows": 10**9})
+    return spark.createDataFrame([(x,) for x in failed], "failure string")
+
+
+@_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + " SELECT adsh, tag || '_a' AS \"column\", round(annual_figure, 2) + 1 AS value FROM fb WHERE adsh % 2 = 0 AND annual_figure IS NOT NULL")
+def check_pivot_values(spark, sf_dir):
+    """Cells of the wide table that are not as expected: those of even filings are looked for with another value."""
+    rows, sub, found = _linked(spark, sf_dir)
+    rows = cut(derive.derive_figures(rows, sub, check=False, links=found))
+    wide = _rounded(pivot.pivot_figures(rows, sub.select("adsh"), tags=list(TYPES)))
+    value = F.round("annual_figure", 2)
+    cells = rows.where("annual_figure is not null").select("adsh", F.concat("tag", F.lit("_a")).alias("column"), F.when(F.col("adsh") % 2 == 0, value + 1).otherwise(value).alias("value"))
+    return checks.missing_pivot_cells(wide, cells)
+
+
+@_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + f" SELECT fb.adsh, any_value(s.cik) AS cik, {_WIDE} FROM fb JOIN sub s ON fb.adsh = s.adsh GROUP BY fb.adsh")
+def pivot_discovered(spark, sf_dir):
+    """The wide table with the tags that there are."""
+    rows, sub, found = _linked(spark, sf_dir)
+    return _rounded(pivot.pivot_figures(derive.derive_figures(rows, sub, check=False, links=found), sub.select("adsh", "cik")))
+
+
+@_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + " SELECT fb.adsh, s.form, fb.tag, round(quarterly_figure, 2) AS q, round(quarterly_figure_py, 2) AS q_py, round(annual_figure, 2) AS a, round(annual_figure_py, 2) AS a_py FROM fb JOIN sub s ON fb.adsh = s.adsh")
+def pivot_as_map(spark, sf_dir):
+    """The wide table as one map per filing, and its entries."""
+    rows, sub, found = _linked(spark, sf_dir)
+    got = pivot.pivot_figures(derive.derive_figures(rows, sub, check=False, links=found), sub.select("adsh", "form"), as_map=True)
+    return _rounded(got.select("adsh", "form", F.explode("figures").alias("tag", "f")).select("adsh", "form", "tag", "f.q", "f.q_py", "f.a", "f.a_py"))
+
+
+@_query(
+    _with(PRICES)
+    + """ SELECT adsh, tag, v AS reported_figure, v + 1 AS reported_figure_py, false AS is_computed, false AS twice FROM vals UNION ALL SELECT adsh, 'SUM', c * 3, c * 3 + 2, true, false FROM price
+        UNION ALL SELECT adsh, tag, v, v + 1, false, true FROM vals UNION ALL SELECT adsh, 'SUM', c * 6, c * 6 + 4, true, true FROM price"""
+)
+def apply_arcs_prior_year(spark, sf_dir):
+    """Prior-year columns are summed too; an equation in two statements counts once or twice."""
+    rows = adapter.arc_figures(spark, sf_dir).withColumn("reported_figure_py", F.col("reported_figure") + 1)
+    both = spark.createDataFrame([(s, 0, "SUM", t, 1.0) for s in ("soi", "sfp") for t in ("X", "Y")], "statement string, seq int, `from` string, `to` string, weight double")
+    run = lambda once: arcs.apply_arcs(rows, both, dedupe_across_statements=once).select("adsh", "tag", "reported_figure", "reported_figure_py", "is_computed", F.lit(not once).alias("twice"))
+    return run(True).union(run(False))

@@ -74,6 +74,16 @@ def check_golden_rows(actual: DataFrame, expected: DataFrame) -> DataFrame:
     return expected.join(right, on, "left_anti")
 
 
+def missing_pivot_cells(wide: DataFrame, cells: DataFrame) -> DataFrame:
+    """The rows of cells (adsh, column, value) that the wide table doesn't hold; null matches null. A column that the table doesn't have holds nothing."""
+    names = [c for c in wide.columns if c != "adsh" and dict(wide.dtypes)[c] == "double"]
+    if not names:
+        return cells
+    wanted = cells.select(F.col("adsh").alias("__a"), F.col("column").alias("__c"), F.col("value").alias("__v")).distinct()
+    held = wide.join(wanted.select(F.col("__a").alias("adsh")).distinct(), "adsh", "left_semi").unpivot("adsh", names, "column", "value")
+    return wanted.join(held, (F.col("__a") == F.col("adsh")) & (F.col("__c") == F.col("column")) & F.col("__v").eqNullSafe(F.col("value")), "left_anti").toDF("adsh", "column", "value")
+
+
 def check_pivot_values(wide: DataFrame, cells: Sequence[tuple[int, str, float]]) -> list[str]:
     """cells: (adsh, column, value) that the wide table must hold."""
     out = []
@@ -83,8 +93,13 @@ def check_pivot_values(wide: DataFrame, cells: Sequence[tuple[int, str, float]])
     return out
 
 
-def check_all(facts: DataFrame, sub: DataFrame, *, submission_limits: dict | None = None, fact_limits: dict | None = None) -> None:
-    """AssertionError with every failure."""
-    failed = check_submissions(sub, **(submission_limits or {})) + check_facts(facts, sub, **(fact_limits or {}))
+def all_failures(facts: DataFrame, sub: DataFrame, *, submission_limits: dict | None = None, fact_limits: dict | None = None) -> list[str]:
+    """Every rule that is broken."""
+    return check_submissions(sub, **(submission_limits or {})) + check_facts(facts, sub, **(fact_limits or {}))
+
+
+def check_all(facts: DataFrame, sub: DataFrame, **limits) -> None:
+    """AssertionError with every failure (limits as in all_failures)."""
+    failed = all_failures(facts, sub, **limits)
     if failed:
         raise AssertionError("; ".join(failed))

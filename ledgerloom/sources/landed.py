@@ -93,8 +93,8 @@ def tag_universe_of(elements: DataFrame) -> DataFrame:
 
 def parse_tag_universe(docs: DataFrame) -> DataFrame:
     """tag_universe_of the elements that schema documents (content) declare, of any number of years."""
-    e = F.explode(markup.elements(F.col("content"), 1, ("name", "type", "abstract")))
-    return tag_universe_of(docs.select(e.alias("e")).where("e._n = 'element'").select(F.col("e._name").alias("name"), F.col("e._type").alias("type"), F.col("e._abstract").alias("abstract")))
+    each = markup.parsed(docs, 1, ("name", "type", "abstract")).select(F.explode("e").alias("e"))
+    return tag_universe_of(each.where("e._n = 'element'").select(F.col("e._name").alias("name"), F.col("e._type").alias("type"), F.col("e._abstract").alias("abstract")))
 
 
 def read_tag_universe(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -192,7 +192,7 @@ def read_xbrl_instances(docs: DataFrame, tags: DataFrame | None = None, summarie
     own = docs.select("adsh", "cik", "content")
     if summaries is not None:
         own = own.join(summaries.groupBy("adsh").agg(F.flatten(F.collect_list("namespaces")).alias("known")), "adsh")
-    parsed = own.select("adsh", F.col("cik").cast("long").alias("cik"), markup.declared_namespaces(F.col("content")).alias("spaces"), *(["known"] if summaries is not None else []), markup.elements(F.col("content"), 3, ("id", "contextRef", "unitRef")).alias("e"))
+    parsed = markup.parsed(own, 3, ("id", "contextRef", "unitRef"), "adsh", F.col("cik").cast("long").alias("cik"), markup.declared_namespaces(F.col("content")).alias("spaces"), *(["known"] if summaries is not None else []))
     declared = F.transform("spaces", lambda x: x["prefix"])
     usual = F.filter(F.array(F.lit("us-gaap"), F.lit("dei")), lambda p: ~F.array_contains(declared, p))
     if summaries is None:
@@ -224,7 +224,7 @@ def read_xbrl_instances(docs: DataFrame, tags: DataFrame | None = None, summarie
 
 def read_filing_summary(docs: DataFrame) -> DataFrame:
     """(adsh, file, namespaces) from filing summaries (adsh, content): the first input file of an allowed type, and the dei and us-gaap namespaces."""
-    parsed = docs.select("adsh", markup.elements(F.col("content"), 2, ("doctype",)).alias("e"))
+    parsed = markup.parsed(docs, 2, ("doctype",), "adsh")
     inside = lambda holder, name: F.filter(F.flatten(F.transform(F.filter("e", lambda x: x["_n"] == holder), lambda x: F.coalesce(x["e"], F.array()))), lambda x: x["_n"] == name)
     allowed = F.filter(inside("InputFiles", "File"), lambda f: f["_doctype"].isin(*POLICY.forms))
     spaces = F.filter(F.transform(inside("BaseTaxonomies", "BaseTaxonomy"), lambda x: F.trim(x["_VALUE"])), lambda uri: uri.contains("/us-gaap/") | uri.contains("/dei/"))
@@ -254,7 +254,7 @@ def clean_arcs(raw: DataFrame) -> DataFrame:
 def parse_calculation_arcs(docs: DataFrame) -> DataFrame:
     """Arcs (version, statement, from, to, weight) from calculation linkbases (path, content), below the root or in its links."""
     arc = lambda found: F.transform(F.filter(found, lambda x: x["_n"] == "calculationArc"), lambda x: F.struct(x["_from"].alias("from"), x["_to"].alias("to"), x["_weight"].alias("weight")))
-    parsed = docs.select("path", markup.elements(F.col("content"), 2, ("from", "to", "weight")).alias("e"))
+    parsed = markup.parsed(docs, 2, ("from", "to", "weight"), "path")
     inner = F.flatten(F.transform("e", lambda x: F.coalesce(x["e"], F.array())))
     return clean_arcs(parsed.select("path", F.inline(F.concat(arc(F.col("e")), arc(inner)))))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The namespaces of instance documents, linkbases and schemas.
@@ -34,6 +34,14 @@ def elements(content: Column, depth: int, attributes: Sequence[str]) -> Column:
     return F.from_xml(closed, f"e array<{element_schema(depth, attributes)}>", {"ignoreNamespace": "true"})["e"]
 
 
+def parsed(docs: DataFrame, depth: int, attributes: Sequence[str], *columns: str | Column) -> DataFrame:
+    """`columns` of docs (content) and `e`, the elements of each document.
+
+    The array of one keeps Spark from writing the parse into every filter and column that uses `e`, each of which would parse the document again.
+    """
+    return docs.select(*columns, F.explode(F.array(elements(F.col("content"), depth, attributes))).alias("e"))
+
+
 def declared_namespaces(content: Column) -> Column:
     """(prefix, uri) of every namespace declaration; the default namespace has the empty prefix."""
     found = F.regexp_extract_all(content, F.lit(rf"""\sxmlns(?::{_NAME})?\s*=\s*(?:"[^"]*"|'[^']*')"""), F.lit(0))
