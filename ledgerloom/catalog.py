@@ -228,6 +228,33 @@ def instant_values(spark, sf_dir):
     return windows.compute_instant_values(clean.split_instant_duration(facts)[0], windows.infer_reporting_windows(facts, sub))
 
 
+@_query(_with(FACTS) + " SELECT adsh, CAST(end_ AS VARCHAR) AS end_, count(*) AS n FROM facts WHERE year(end_) <= 2100 GROUP BY 1, 2")
+def count_facts_per_end(spark, sf_dir):
+    return _days(windows.count_facts_per_end(adapter.facts(spark, sf_dir)).withColumnRenamed("end", "end_"))
+
+
+@_query(_with(SUB, FACTS, _RAW_WINDOWS) + " SELECT adsh, CAST(end_ AS VARCHAR) AS end_, 0 AS years_back FROM best UNION ALL SELECT adsh, CAST(end_ AS VARCHAR), 1 FROM best_py")
+def best_end_per_filing(spark, sf_dir):
+    facts, sub = adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir)
+    both = [windows.best_end_per_filing(facts, sub, years_back=k).withColumn("years_back", F.lit(k)) for k in (0, 1)]
+    return _days(both[0].union(both[1]).withColumnRenamed("end", "end_"))
+
+
+@_query(_with(SUB, FACTS, _RAW_WINDOWS) + " SELECT f.adsh, CAST(f.start AS VARCHAR) AS start, CAST(f.end_ AS VARCHAR) AS end_, count(*) AS n FROM facts f JOIN best b ON f.adsh = b.adsh AND f.end_ = b.end_ GROUP BY ALL")
+def count_facts_per_range(spark, sf_dir):
+    facts, sub = adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir)
+    return _days(windows.count_facts_per_range(facts, windows.best_end_per_filing(facts, sub)).withColumnRenamed("end", "end_"))
+
+
+@_query(_with(SUB, FACTS, _RAW_WINDOWS) + " SELECT adsh, CAST(start AS VARCHAR) AS start, CAST(end_ AS VARCHAR) AS end_, CAST(enum AS INT) AS enum FROM windows")
+def windows_step_by_step(spark, sf_dir):
+    """infer_windows by rank_ranges and align_prior_year_ranges, which count the facts anew for each step."""
+    facts, sub = cut(adapter.facts(spark, sf_dir)), adapter.submissions(spark, sf_dir)
+    ranges = cut(windows.rank_ranges(facts, windows.best_end_per_filing(facts, sub)))
+    both = ranges.unionByName(windows.align_prior_year_ranges(facts, windows.best_end_per_filing(facts, sub, years_back=1), ranges))
+    return _days(both.withColumnRenamed("end", "end_").withColumn("enum", F.col("enum").cast("int")))
+
+
 @_query(
     _with(SUB, FACTS, _RAW_WINDOWS)
     + " SELECT s.adsh, "
