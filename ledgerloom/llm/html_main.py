@@ -3,7 +3,8 @@
 Markup is stripped into lines, one per block element. What stands in menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments leaves only a cut between two lines, and an advert not even that. A line weighs as many
 characters as it has, but nothing if most of them are links (whole sentences apart), and a quarter outside a page's
-marked article. Weights are summed over sliding windows of lines. Text dives where windows fall to nothing, which takes
+marked article. On a page without a mark whose text is nearly all in paragraphs, headings, items and cells, text that
+stands loose in other blocks (a slogan, an imprint) weighs nothing. Weights are summed over sliding windows of lines. Text dives where windows fall to nothing, which takes
 WINDOW lines without weight; it surges where a window reaches SURGE. On every page, what lies between two dives is kept
 from its first surge to its last: cuts divide it into pieces, and the pieces from the first that surges to the last that
 surges stay, short lines between them included. A mark (`article`, `main`) adds weight: SURGE for the text that it
@@ -59,11 +60,18 @@ _CONTENT = frozenset(("p", "span", "article"))
 _BODY = re.compile(r"[^\s]+")
 
 
+#: Elements whose text is a paragraph, a heading, an item or a cell; text in other blocks is loose.
+_FIRM = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th figcaption caption summary article main".split())
+#: On a page whose firm text is this many times its loose text, loose text weighs nothing.
+FIRM_TIMES = 3
+
+
 class Line(NamedTuple):
     text: str
     linked: int  # characters in links
     inside: bool  # of a marked article
     cut: bool  # junk other than an advert stands before it
+    loose: bool = False  # not in a paragraph, a heading, an item or a cell
 
 
 def _junk(name: str, attributes: str) -> str:
@@ -107,7 +115,7 @@ def lines_of(page: str) -> list[Line]:
         nonlocal linked, cut
         text = " ".join(_BODY.findall(html.unescape("".join(parts)))) if parts else ""
         if text:
-            out.append(Line(text, linked, article > 0, cut))
+            out.append(Line(text, linked, article > 0, cut, next((x for x, _ in reversed(open_) if x != "span"), "") not in _FIRM))
             cut = False
         parts.clear()
         linked = 0
@@ -174,10 +182,13 @@ def lines_of(page: str) -> list[Line]:
 
 
 def weights(lines: list[Line]) -> list[float]:
-    """Characters that are no links; a quarter of them outside a marked article."""
+    """Characters that are no links; a quarter of them outside a marked article, none of loose text where nearly all text is firm."""
     marked = any(x.inside for x in lines)
     size = [0 if x.linked > LINK_SHARE * len(x.text) and not (len(x.text) >= SURGE and x.text.endswith((".", "!", "?"))) else len(x.text) for x in lines]
-    return [n * OUTSIDE if marked and not x.inside else n for x, n in zip(lines, size, strict=True)]
+    if marked:
+        return [n if x.inside else n * OUTSIDE for x, n in zip(lines, size, strict=True)]
+    loose = sum(n for x, n in zip(lines, size, strict=True) if x.loose)
+    return [0 if x.loose else n for x, n in zip(lines, size, strict=True)] if sum(size) - loose >= FIRM_TIMES * loose else size
 
 
 def _between(size: list[float], lo: int, hi: int) -> list[tuple[int, int]]:
@@ -195,8 +206,8 @@ def _between(size: list[float], lo: int, hi: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out if a < b]
 
 
-def _surges(size: list[float], a: int, b: int, least: float = SURGE) -> bool:
-    return any(sum(size[i : min(i + WINDOW, b)]) >= least for i in range(a, b))
+def _surges(size: list[float], a: int, b: int, least: float | None = None) -> bool:
+    return any(sum(size[i : min(i + WINDOW, b)]) >= (SURGE if least is None else least) for i in range(a, b))
 
 
 def _of_article(size: list[float], lo: int, hi: int) -> list[tuple[int, int]]:

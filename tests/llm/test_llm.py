@@ -734,6 +734,30 @@ def test_marked_articles_come_out_whole(spark):
         assert html_main.main_text(row["html"]) == "\n".join(t for t, _ in plain_lines(inside))
 
 
+@needs_data
+def test_weights_and_windows_need_neither_marks_nor_names(spark, monkeypatch):
+    """The given pages with their marks renamed and without class names, then without junk elements too; a second stretch stays or goes by SURGE and WINDOW."""
+    pages = [r["html"] for r in _base.table(spark, SF.replace("0.001", "0.01"), "pages").collect()]
+    want = [html_main.main_text(p) for p in pages]
+    for names in ("_COMMENT_NAMES", "_ADVERT_NAMES", "_LAYOUT_NAMES"):
+        monkeypatch.setattr(html_main, names, re.compile("(?!)"))
+    share = lambda change: sum(html_main.main_text(change(p)) == t for p, t in zip(pages, want, strict=True)) / len(pages)
+    assert share(lambda p: re.sub("<(/?)article>", r"<\1div>", p)) > 0.95
+    bare = lambda p: re.sub("<(/?)(article|nav|footer)>", r"<\1div>", p)
+    assert share(bare) > 0.9
+    links = "".join(f"<li><a href='{k}'>Link {k}</a></li>" for k in range(5))
+    more = [bare(p).replace("</body>", f"<ul>{links}</ul><p>{SENTENCE}</p></body>") for p in pages]
+    texts = {}
+    for window, surge in ((3, 80), (3, 150), (7, 80)):
+        monkeypatch.setattr(html_main, "WINDOW", window)
+        monkeypatch.setattr(html_main, "SURGE", surge)
+        texts[window, surge] = [html_main.main_text(p) for p in more]
+    holds = lambda key, what: sum(what in t for t in texts[key]) / len(pages)
+    assert holds((3, 80), SENTENCE) > 0.9 and holds((3, 80), "Link 3") < 0.1
+    assert holds((3, 150), SENTENCE) < 0.1  # no surge
+    assert holds((7, 80), "Link 3") > 0.9  # no dive
+
+
 def test_long_and_unclosed_pages():
     many = "".join(f"<p>{SENTENCE.format(k)}" for k in range(20_000))
     assert html_main.main_text(f"<body><div>{many}").count("\n") == 19_999
@@ -771,6 +795,37 @@ def test_substitutions_are_tolerated_and_both_ways_agree(spark):
     assert other == got
 
 
+def test_repeated_words_are_bounded():
+    """100,000 equal words against 5,000, and words in turns: within seconds and 300 MB, though every place meets every other."""
+    import resource
+
+    before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    for turn in ("la ", "la lo "):
+        doc, item = (decontaminate.tokens_of((turn * n).encode()) for n in (100_000, 5_000))
+        index = decontaminate.Seeds([(1, (turn * 5_000).encode())])
+        found = list(decontaminate._met(index, [_base.WordHashes().of(doc)]))
+        assert found == [(0, 0, (len(item), len(item), 0))]
+    assert time.time() - began < 10 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
+
+
+def test_hits_are_listed_or_not(monkeypatch):
+    """Random texts of few words give the same alignments whether hits are listed or shifts are found without them."""
+    import random
+
+    rng = random.Random(3)
+    for k in range(150):
+        few = "ab" if k % 2 else "abcdefgh"
+        texts = [" ".join(rng.choice(few) for _ in range(rng.randrange(0, 120))).encode() for _ in range(3)]
+        index = decontaminate.Seeds([(i, " ".join(rng.choice(few) for _ in range(rng.randrange(1, 60))).encode()) for i in range(2)])
+        tokens = [_base.WordHashes().of(decontaminate.tokens_of(t)) for t in texts]
+        if any(map(len, tokens)):
+            both = []
+            for slice_ in (10**7, 40):
+                monkeypatch.setattr(decontaminate, "SLICE", slice_)
+                both.append(sorted(x for x in decontaminate._met(index, tokens) if x[2][0]))
+            assert both[0] == both[1]
+
+
 def plain_overlaps(doc, item):
     """(equal, overlap, start) of the best alignment that a seed hits, laid side by side position by position."""
     best = (0, 0, 0)
