@@ -48,13 +48,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_written(spark: SparkSession) -> int:
-    """Deletes the tables that `written` has made in this process, and returns their number. Results that rest on them must have been stored before."""
-    jvm, n = spark.sparkContext._jvm, len(_paths)
-    while _paths:
-        path = jvm.org.apache.hadoop.fs.Path(_paths.pop())
+def written_so_far() -> int:
+    """How many tables `written` has made and nobody has cleared."""
+    return len(_paths)
+
+
+def clear_written(spark: SparkSession, *, since: int = 0, but_last: bool = False) -> int:
+    """Deletes the tables that `written` has made in this process (after the first `since`; all but the last one), and returns their number.
+
+    Results that rest on them must have been stored before.
+    """
+    jvm, gone = spark.sparkContext._jvm, _paths[since : -1 if but_last else None]
+    _paths[since:] = _paths[-1:] if but_last and len(_paths) > since else []
+    for name in gone:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return n
+    return len(gone)
 
 
 def shuffle_parts(spark: SparkSession) -> int:

@@ -82,12 +82,15 @@ def _block(docs: list[tuple], ids: list[np.ndarray], index: Index, parts: int, n
     held = np.array([x[1] for x in docs], bool)
     hashes = hash64(index)
     part = (mix64(hashes + np.uint64(1)) % np.uint64(parts)).astype(np.int64)
-    packed = np.sort(((context * size + word) << 16) | doc)
+    pair, names = context * size + word, None
+    if len(index) ** 2 >= 2**47:  # a pair and a document don't fit in 63 bits: number the pairs, in their order
+        names, pair = np.unique(pair, return_inverse=True)
+    packed = np.sort((pair << 16) | doc)
     at, times = _runs(packed)
     packed = packed[at]
     pair_doc, pair_key = packed & 0xFFFF, packed >> 16
     key_at, n_pairs = _runs(pair_key)
-    key = pair_key[key_at]
+    key = pair_key[key_at] if names is None else names[pair_key[key_at]]
     train = np.add.reduceat(np.where(held[pair_doc], 0, times), key_at) if len(key_at) else np.empty(0, np.int64)
     of = part[key // size]
     order = np.argsort(of, kind="stable")

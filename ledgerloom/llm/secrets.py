@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._base import written
@@ -62,20 +62,21 @@ def _scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = find(t.as_py() or "")
             found.append([{"kind": k, "start": a, "end": b, "hash": xxhash.xxh3_64_intdigest(s.encode()) - 2**63} for k, a, b, s in spans])
             digests.append(hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b, _ in spans if k != "opaque").encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(digests, pa.string()), pa.array(found, _SPANS)], names=["doc_id", "owner", "base_sha256", "found"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(digests, pa.string()), pa.array(found, _SPANS), *batch.columns[3:]], names=["doc_id", "owner", "base_sha256", "found", *batch.schema.names[3:]])
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("hash", pa.int64())]))
 
 
-def _judged(docs: DataFrame, owner: str, max_repositories: int, scan, schema: str) -> tuple[DataFrame, DataFrame]:
-    """The scanned rows, numbered, and one row per reported span with its verdict.
+def _judged(docs: DataFrame, owner: str, max_repositories: int, scan, schema: str, key: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The scanned rows, numbered, and one row per reported span with its verdict and the row's key, if given.
 
     Only the live hashes, each in a few documents, are joined; a widely copied secret is in none of them.
     """
-    rows = docs.select("doc_id", F.col(owner).alias("owner"), "text").mapInArrow(scan, schema)
+    more = [] if key is None else [key.alias("key")]
+    rows = docs.select("doc_id", F.col(owner).alias("owner"), "text", *more).mapInArrow(scan, schema + ", key long" * len(more))
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "secrets")
-    each = rows.where(F.size("found") > 0).select("row", "doc_id", "owner", F.explode("found").alias("s")).select("row", "doc_id", "owner", "s.*")
+    each = rows.where(F.size("found") > 0).select("row", "doc_id", "owner", *["key"] * len(more), F.explode("found").alias("s")).select("row", "doc_id", "owner", *["key"] * len(more), "s.*")
     seen = each.select("hash", "owner", "doc_id").distinct().groupBy("hash", "owner").agg(F.count("*").alias("n")).groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
     live = written(seen.where((F.col("owners") == 1) & (F.col("repositories") <= max_repositories)).select("hash", F.lit(True).alias("is_live")), "live")
     small = live.count() <= BROADCAST_ROWS
@@ -119,14 +120,23 @@ def _masked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def redact(docs: DataFrame, *, owner: str = "source", max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """The same rows with MASK in the place of every live-looking secret.
 
-    Verdicts are found first; the texts are then read once more and joined with the live hashes of their id.
+    Verdicts are found first; the texts are then read once more and joined with the live hashes of their own id and text, so that rows
+    without an id, or of one id, are told apart, and a row's list is as long as its text allows.
     """
-    _, judged = _judged(docs, owner, max_repositories, _scan, f"doc_id long, owner string, base_sha256 string, {_FOUND}")
-    live = written(judged.where("live").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("hash").alias("__live")), "live")
-    # a live secret has at most max_repositories documents, so a document's own list is as long as its text allows
-    small = live.count() <= BROADCAST_ROWS and (live.agg(F.sum(F.size("__live"))).first()[0] or 0) <= BROADCAST_ROWS
-    joined = docs.join(F.broadcast(live) if small else live, docs["doc_id"].eqNullSafe(F.col("__id")), "left").drop("__id")
+    own = _free_name(docs, "key")
+    key = F.xxhash64("doc_id", "text")
+    _, judged = _judged(docs, owner, max_repositories, _scan, f"doc_id long, owner string, base_sha256 string, {_FOUND}", key)
+    hashes = _free_name(docs, "live")
+    live = written(judged.where("live").groupBy(F.col("key").alias(own)).agg(F.collect_set("hash").alias(hashes)), "live")
+    small = live.count() <= BROADCAST_ROWS and (live.agg(F.sum(F.size(hashes))).first()[0] or 0) <= BROADCAST_ROWS
+    joined = docs.withColumn(own, key).join(F.broadcast(live) if small else live, own, "left").select(*docs.columns, hashes)
     return joined.mapInArrow(_masked, docs.schema)
 
 
+def _free_name(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 _FOUND = "found array<struct<kind: string, start: long, end: long, hash: long>>"

@@ -87,6 +87,50 @@ def test_odd_inputs_have_defined_results(spark, odd, none):
     assert decontaminate.contaminated(none, bench).count() == 0 and decontaminate.contaminated(odd, bench.limit(0)).count() == 0
 
 
+def test_blocks_of_very_many_words(monkeypatch):
+    """Pairs that don't fit beside their document are numbered; the block is the same."""
+    rng = np.random.default_rng(7)
+    ids = [rng.integers(0, 40, n) for n in (30, 1, 200)]
+    docs = [(i, i == 1, len(x)) for i, x in enumerate(ids)]
+
+    def index():
+        out = _base.Index()
+        for w in range(40):
+            out[b"w%d" % w]
+        out[hpylm._START]
+        return out
+
+    class Many(_base.Index):
+        """Says that it has twelve million words."""
+
+        def __len__(self):
+            return 12_000_000
+
+    plain = list(hpylm._block(docs, ids, index(), 3, 1))
+    many = Many(index())
+    monkeypatch.setattr(hpylm, "hash64", lambda words: _base.hash64(list(words)))
+    assert [r[:2] for r in hpylm._block(docs, ids, many, 3, 1)] == [r[:2] for r in plain] and [r[2] for r in hpylm._block(docs, ids, many, 3, 1)] == [r[2] for r in plain]
+
+
+def test_stages_leave_one_table(spark):
+    before = _base.written_so_far()
+    for k in range(3):
+        _base.written(spark.range(k), f"t{k}")
+    paths = [Path(p.removeprefix("file:")) for p in _base._paths[before:]]
+    assert _base.clear_written(spark, since=before, but_last=True) == 2 and [p.exists() for p in paths] == [False, False, True]
+    assert _base.clear_written(spark, since=before, but_last=True) == 0 and paths[2].exists() and _base.clear_written(spark, since=before) == 1
+
+
+def test_secrets_of_rows_without_ids_are_told_apart(spark):
+    key = lambda k: f"password = {k * 16}"
+    rows = [(None, f"my {key('q7')} here", "a"), (None, f"your {key('z9')} there", "b"), (None, "nothing", "b"), (1, key("k3"), "c"), (1, "other text", "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit("x") for c in ("key", "live", "__live", "__id")})
+    got = secrets.redact(df)
+    assert got.columns == df.columns
+    texts = sorted((r["doc_id"] is None, r["text"]) for r in got.collect())
+    assert [t for _, t in texts if "[secret]" in t] and not [t for _, t in texts if "q7q7" in t or "z9z9" in t or "k3k3" in t] and len(texts) == 5
+
+
 def test_written_tables_are_shared_and_cleared(spark):
     df = _base.written(spark.range(3).toDF("x"), "three")
     path = Path(_base._paths[-1].removeprefix("file:"))
