@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, mixing, near_dup, rule_quality, secrets
-from ledgerloom.llm._base import table, written
+from ledgerloom.llm._base import clear_written, table, written, written_so_far
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A document goes if a benchmark item is in it with at least this share of the item's tokens, or side by side for this many, of which a few may differ.
@@ -101,7 +101,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. What a stage has written for itself, and its input, goes once its own result is written."""
+    docs, before = table(spark, sf_dir, "documents"), written_so_far()
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        clear_written(spark, since=before, but_last=True)
     return STAGES[-1][1](spark, docs, sf_dir)
