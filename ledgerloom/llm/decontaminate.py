@@ -168,8 +168,10 @@ class Seeds:
         """(item, distinct shifts) of one document, item by item, without listing its hits; memory for one item's shifts."""
         places: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for (at, lo, hi), (_, _, item, place, _) in zip(met, self.tables, strict=True):
+            if not len(at):
+                continue
             order = np.argsort(lo, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, lo[order][1:] != lo[order][:-1]]) if len(order) else []
+            cuts = np.flatnonzero(np.r_[True, lo[order][1:] != lo[order][:-1]])
             for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
                 p, rows = at[order[a:b]], slice(lo[order[a]], hi[order[a]])
                 own = item[rows]
