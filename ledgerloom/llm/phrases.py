@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._base import Index, WordHashes, hash64, mix64, numbered, utf8, written
+from ._base import Index, hash64, mix64, numbered, utf8, written
 from .transducers import Transducer, split, union
 
 MOST, LEAST, TOP = 4, 30, 2000
@@ -51,7 +51,7 @@ _GRAMS = "lang string, range long, n long, data binary"
 
 def words_of(text: bytes) -> list[bytes]:
     """A-Z lower-cased words; a full stop between pieces, which no word can be."""
-    return text.lower().translate(_CUT).replace(_MARK, b" . ").split(b" ")
+    return text.lower().translate(_CUT).replace(_MARK, b" . ").split()
 
 
 class Ranges:
@@ -108,7 +108,7 @@ class Shard:
         self.index[_MARK]  # number 0
 
     def add(self, text: bytes, order: int) -> None:
-        ids = np.fromiter((self.index[w] for w in words_of(text) if w), np.int64).astype(np.int32)
+        ids = numbered(words_of(text), self.index).astype(np.int32)
         self.parts += [ids, np.zeros(1, np.int32)]
         self.size += len(ids) + 1
 
@@ -132,8 +132,10 @@ class Shard:
         starts = self.frequent(ids, order, hash64(names), bitmap)
         if not len(starts):
             return
-        used = np.unique(ids[(starts[:, None] + np.arange(order)).ravel()])
-        words = sorted(names[i] for i in used)
+        used = np.zeros(len(names), bool)
+        for k in range(order):
+            used[ids[starts + k]] = True
+        words = sorted(names[i] for i in np.flatnonzero(used))
         rank = np.zeros(len(names), np.int64)
         rank[[self.index[w] for w in words]] = np.arange(len(words))
         grams, counts = _distinct(rank[ids], starts, order, len(words))
@@ -160,7 +162,6 @@ def _word_counts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
         for lang, text in zip(utf8(batch, 0), utf8(batch, 1), strict=True):
             own = Counter(words_of(text))
-            own.pop(b"", None)
             own.pop(_MARK, None)
             for w, n in own.items():
                 counts[lang, w] = counts.get((lang, w), 0) + n

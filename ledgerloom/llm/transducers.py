@@ -175,9 +175,14 @@ def union(some: Sequence[Transducer]) -> Transducer:
 
 def split(words: Sequence[bytes], rows: np.ndarray, weights: np.ndarray, where: np.ndarray) -> Iterator[tuple[int, Transducer]]:
     """A transducer for each range: n-grams in sorted order with the range of each."""
+    if not len(where):
+        return
     order = np.argsort(where, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, where[order][1:] != where[order][:-1]]) if len(order) else []
+    cuts = np.flatnonzero(np.r_[True, where[order][1:] != where[order][:-1]])
     for lo, hi in zip(cuts, [*cuts[1:], len(order)], strict=True):
         own = order[lo:hi]
-        used, labels = np.unique(rows[own], return_inverse=True)
-        yield int(where[own[0]]), Transducer.of([words[i] for i in used], labels.reshape(rows[own].shape), weights[own])
+        mine = rows[own]
+        used = np.zeros(len(words), bool)
+        used[mine.ravel()] = True
+        number = np.cumsum(used) - 1
+        yield int(where[own[0]]), Transducer.of([words[i] for i in np.flatnonzero(used)], number[mine], weights[own])
