@@ -189,17 +189,18 @@ def read_xbrl_instances(docs: DataFrame, tags: DataFrame | None = None, summarie
     dropped. Dimensional contexts are not told apart; facts that differ only by dimension contradict each other and are removed later.
     A document that is no XML or null has no facts. Of contexts with one id the smallest counts. One scan, without shuffles.
     """
-    own = docs.select("adsh", "cik", "content")
+    own, kept = docs.select("adsh", F.col("cik").cast("long").alias("cik"), "content"), []
     if summaries is not None:
-        own = own.join(summaries.groupBy("adsh").agg(F.flatten(F.collect_list("namespaces")).alias("known")), "adsh")
-    parsed = markup.parsed(own, 3, ("id", "contextRef", "unitRef"), "adsh", F.col("cik").cast("long").alias("cik"), markup.declared_namespaces(F.col("content")).alias("spaces"), *(["known"] if summaries is not None else []))
+        own, kept = own.join(summaries.groupBy("adsh").agg(F.flatten(F.collect_list("namespaces")).alias("known")), "adsh"), ["known"]
+    own = markup.once(own, "adsh", "cik", "content", *kept, spaces=markup.declared_namespaces(F.col("content")))
     declared = F.transform("spaces", lambda x: x["prefix"])
     usual = F.filter(F.array(F.lit("us-gaap"), F.lit("dei")), lambda p: ~F.array_contains(declared, p))
     if summaries is None:
         facts = F.concat(markup.bound_to(F.col("spaces"), lambda uri: uri.contains("/us-gaap/") | uri.contains("/dei/")), usual)
     else:
         facts = markup.bound_to(F.col("spaces"), lambda uri: F.array_contains("known", uri))
-    prefixed = parsed.select("adsh", "cik", "e", declared.alias("declared"), facts.alias("facts"), markup.bound_to(F.col("spaces"), lambda uri: uri == markup.INSTANCE).alias("instance"))
+    parsed = markup.elements(F.col("content"), 3, ("id", "contextRef", "unitRef"))
+    prefixed = markup.once(own, "adsh", "cik", e=parsed, declared=declared, facts=facts, instance=markup.bound_to(F.col("spaces"), lambda uri: uri == markup.INSTANCE))
 
     named = lambda x, name: markup.is_named(x, name, F.col("instance"), F.col("declared"))
     text = lambda x: F.nullif(F.trim(x["_VALUE"]), F.lit(""))
@@ -212,10 +213,11 @@ def read_xbrl_instances(docs: DataFrame, tags: DataFrame | None = None, summarie
     contexts = F.transform(F.filter("e", lambda x: named(x, "context") & (entity(x) == F.col("cik"))), lambda x: F.struct(x["_id"].alias("id"), day(x, "startDate").alias("start"), day(x, "endDate").alias("end")))
     measure = lambda u: text(markup.first_named(u["e"], "measure"))
     units = F.transform(F.filter("e", lambda x: named(x, "unit") & measure(x).rlike("^(.*:)?(USD|shares)$")), lambda x: x["_id"])
-    held = prefixed.select("adsh", "facts", "e", units.alias("units"), F.array_sort(F.filter(contexts, lambda c: c["id"].isNotNull())).alias("sorted"))
+    reported = F.filter("e", lambda x: F.array_contains(F.col("facts"), F.coalesce(x["_p"], F.lit(""))))
+    held = markup.once(prefixed, "adsh", units=units, sorted=F.array_sort(F.filter(contexts, lambda c: c["id"].isNotNull())), e=reported)
     first = F.filter("sorted", lambda c, i: (i == 0) | (F.get(F.col("sorted"), i - 1)["id"] != c["id"]))
     by_id = F.map_from_entries(F.transform(first, lambda c: F.struct(c["id"], F.struct(c["start"].alias("start"), c["end"].alias("end")).alias("days"))))
-    held = held.select("adsh", "units", by_id.alias("contexts"), F.filter("e", lambda x: F.array_contains(F.col("facts"), F.coalesce(x["_p"], F.lit("")))).alias("e"))
+    held = markup.once(held, "adsh", "units", "e", contexts=by_id)
     each = held.select("adsh", "units", "contexts", F.explode("e").alias("f")).where(F.array_contains("units", F.col("f._unitRef")))
     each = each.select("adsh", F.col("f._n").alias("tag"), F.try_element_at("contexts", F.col("f._contextRef")).alias("c"), text(F.col("f")).alias("text")).where("c is not null")
     out = each.select("adsh", "tag", "c.start", "c.end", F.coalesce(to_number(F.col("text")), F.when(F.col("text").isNull(), F.lit(0.0))).alias("value")).where("value is not null")

@@ -17,7 +17,7 @@ INSTANCE = "http://www.xbrl.org/2003/instance"
 LINKBASE = "http://www.xbrl.org/2003/linkbase"
 SCHEMA = "http://www.w3.org/2001/XMLSchema"
 
-_NAME = r"[\w.-]+"
+_NAME = r"[\w.-]++"
 
 
 def element_schema(depth: int, attributes: Sequence[str]) -> str:
@@ -34,11 +34,18 @@ def elements(content: Column, depth: int, attributes: Sequence[str]) -> Column:
     return F.from_xml(closed, f"e array<{element_schema(depth, attributes)}>", {"ignoreNamespace": "true"})["e"]
 
 
-def parsed(docs: DataFrame, depth: int, attributes: Sequence[str], *columns: str | Column) -> DataFrame:
-    """`columns` of docs (content) and `e`, the elements of each document.
+def once(df: DataFrame, *kept: str, **columns: Column) -> DataFrame:
+    """The columns `kept` of df and new ones that are computed once a row.
 
-    The array of one keeps Spark from writing the parse into every filter and column that uses `e`, each of which would parse the document again.
+    The explosion of an array of one keeps Spark from writing them into every filter, column and lambda that uses them, each of which
+    would compute them again, within a lambda for every element.
     """
+    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("__once")
+    return df.select(*kept, made).select(*kept, *[F.col(f"__once.{n}").alias(n) for n in columns])
+
+
+def parsed(docs: DataFrame, depth: int, attributes: Sequence[str], *columns: str | Column) -> DataFrame:
+    """`columns` of docs (content) and `e`, the elements of each document, parsed once."""
     return docs.select(*columns, F.explode(F.array(elements(F.col("content"), depth, attributes))).alias("e"))
 
 

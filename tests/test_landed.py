@@ -207,3 +207,12 @@ def test_missing_cells(spark):
     wide = spark.createDataFrame([(1, 2.0, None), (2, 3.0, 4.0)], "adsh long, a double, b double")
     cells = spark.createDataFrame([(1, "a", 2.0), (1, "b", None), (2, "a", 9.0), (3, "a", 1.0), (2, "c", 1.0)], "adsh long, `column` string, value double")
     assert rows(checks.missing_pivot_cells(wide, cells)) == [(2, "a", 9.0), (2, "c", 1.0), (3, "a", 1.0)]
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_namespaces_are_looked_for_once_a_document(spark, named):
+    """Neither in pushed filters nor, for every element, in lambdas; units and contexts aren't either."""
+    docs = spark.createDataFrame([(1, 7, "<xbrl/>")], "adsh long, cik long, content string")
+    summaries = spark.createDataFrame([(1, ["http://fasb.org/us-gaap/2023"])], "adsh long, namespaces array<string>") if named else None
+    plan = landed.read_xbrl_instances(docs, summaries=summaries)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 1 and plan.count("regexp_extract_all") == 1 and plan.count("array_sort") == 1 and plan.count("= measure)") <= 2
