@@ -17,6 +17,8 @@ MAX_BUMPS = 50
 CUT_LEVELS = 16
 #: Arcs up to this number of rows are broadcast; some 50 MB.
 BROADCAST_ARCS = 500_000
+#: Figures that one task holds while equations are applied, by a count of them; some 600 MB with the sorts of two levels.
+FIGURES_A_TASK = 500_000
 
 
 def _small(arcs: DataFrame) -> DataFrame:
@@ -101,17 +103,29 @@ def keep_first_by_priority(first: DataFrame, second: DataFrame) -> DataFrame:
     return both.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n", "__prio")
 
 
-def _apply(figures: DataFrame, arcs: DataFrame, keys: list[str], keep_original_first: bool, max_passes: int, across: bool) -> DataFrame:
+def _by_filing(figures: DataFrame) -> tuple[DataFrame, int | None]:
+    """Figures partitioned by filing, and into how many partitions: as many as keep to FIGURES_A_TASK, or as Spark chooses where those would be few."""
+    n = -(-figures.count() // FIGURES_A_TASK)
+    n = n if n > figures.sparkSession.sparkContext.defaultParallelism else None
+    return _spread(figures, n), n
+
+
+def _spread(figures: DataFrame, n: int | None) -> DataFrame:
+    return figures.repartition(n, "adsh") if n else figures.repartition("adsh")
+
+
+def _apply(figures: DataFrame, n: int | None, arcs: DataFrame, keys: list[str], keep_original_first: bool, max_passes: int, across: bool) -> DataFrame:
+    """Levels over figures that are partitioned by filing (_by_filing)."""
     columns = [*keys, "adsh", "tag", *VALUES, "is_computed", "is_instant"]
     arcs = cut(arcs.select(*keys, "seq", "from", "to", "weight"))
     if across:
         arcs = cut(arcs.dropDuplicates([*keys, "seq", "from", "to"]))
     levels = [r["seq"] for r in arcs.select("seq").distinct().orderBy("seq").collect()]
-    out = figures.select(*columns).repartition("adsh")
+    out = figures.select(*columns)
     for k in range(max_passes * len(levels)):
         out = arc_weighted_sum(arc_join(out, arcs.where(F.col("seq") == levels[k % len(levels)]), keys), keys, keep_original_first=keep_original_first).select(*columns)
         if k % CUT_LEVELS == CUT_LEVELS - 1:
-            out = cut(out).repartition("adsh")
+            out = _spread(cut(out), n)
     return out
 
 
@@ -122,7 +136,8 @@ def apply_arcs(figures: DataFrame, arcs: DataFrame, *, keep_original_first: bool
     """
     require_columns(figures, ["adsh", "tag", *VALUES], "figures")
     require_columns(arcs, ["seq", "from", "to", "weight"], "arcs")
-    return _apply(_with_flags(figures), arcs, [], keep_original_first, max_passes, dedupe_across_statements)
+    rows, n = _by_filing(_with_flags(figures))
+    return _apply(rows, n, arcs, [], keep_original_first, max_passes, dedupe_across_statements)
 
 
 def _with_flags(figures: DataFrame) -> DataFrame:
@@ -140,8 +155,9 @@ def apply_arcs_by_version(figures: DataFrame, sub: DataFrame, arcs: DataFrame, *
     """apply_arcs with the arcs of each filing's taxonomy year. Filings without metadata are dropped, years without arcs pass through."""
     require_columns(sub, ["adsh", "version"], "submissions")
     require_columns(arcs, ["version", "seq", "from", "to", "weight"], "arcs")
-    rows = attach_version(_with_flags(figures), sub)
-    return _apply(rows, arcs.withColumn("version", F.col("version").cast("int")), ["version"], keep_original_first, max_passes, dedupe_across_statements).drop("version")
+    rows, n = _by_filing(_with_flags(figures))
+    versions = sub.select("adsh", "version")
+    return _apply(attach_version(rows, _spread(versions, n) if n else versions), n, arcs.withColumn("version", F.col("version").cast("int")), ["version"], keep_original_first, max_passes, dedupe_across_statements).drop("version")
 
 
 def equation_terms(arcs: DataFrame) -> DataFrame:

@@ -244,6 +244,19 @@ def test_apply_arcs_by_version(spark):
     assert rows(got, "adsh", "tag", "reported_figure", "is_instant") == [(1, "A", 3.0, True), (2, "D", 3.0, False)]
 
 
+def test_tasks_of_equations_are_bounded(spark, monkeypatch):
+    """More figures, more partitions; versions join them there; the same rows."""
+    a = spark.createDataFrame([(2022, "soi", 0, "A", "B", 1.0), (2022, "soi", 1, "T", "A", 1.0), (2022, "soi", 1, "T", "B", 1.0)], ARCS)
+    f = figs(spark, *[(i, "B", (float(i), None, None, None), False) for i in range(100)])
+    sub = f.select("adsh").withColumn("version", F.lit(2022))
+    run = lambda: (arcs.apply_arcs(f, a), arcs.apply_arcs_by_version(f, sub, a))
+    whole = [rows(x) for x in run()]
+    assert [len(x) for x in whole] == [300, 300]
+    monkeypatch.setattr(arcs, "FIGURES_A_TASK", 10)
+    assert [x.rdd.getNumPartitions() for x in run()] == [10, 10]
+    assert [rows(x) for x in run()] == whole
+
+
 def test_reliability(spark):
     a = spark.createDataFrame([(1, "soi", 0, "A", "B", 1.0), (1, "soi", 0, "A", "C", 1.0), (1, "soi", 0, "X", "B", 1.0), (1, "soi", 0, "X", "Gone", 1.0)], ARCS)
     none = (None, None, None)
