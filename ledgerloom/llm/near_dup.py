@@ -10,8 +10,11 @@ are linked if it is small enough. No link that joins two components is lost to t
 compared with one head are similar only if their D share at least (|D_x| + |D_y| - c (|x| + |y|)) / 2 elements,
 c = (100 - percent) / (100 + percent), and they can only join components if one of them isn't linked to the head. Sizes
 of D rule out nearly all pairs; a prefix filter over the elements that several components share, rare ones first, finds
-those that are left; and their overlap in D, which gives their similarity exactly, decides. So a large group of near
-copies costs its members and not its pairs.
+those that are left: classes are told apart by levels of cost, so that a prefix is as short as the level of the other
+side allows, and pairs that meet must still have enough elements behind the place of meeting and in their bit
+signatures. Their overlap in D, which gives their similarity exactly, decides. Near copies of the head cost their number
+and not their pairs. Among those that are just too far from the head, pairs that share a rare element are still looked
+at; nearly none of them is kept.
 
 Of the pairs at exactly the threshold 0.8, about 1 in 2,000 meets in no table; nearly all others meet.
 
@@ -35,6 +38,8 @@ from ._base import WordHashes, mix64, utf8, written
 
 #: Bands in each of the two collections, minhashes in a band.
 BANDS, ROWS = 8, 2
+#: 64-bit words of the signature of the elements of D that a class shares with others; a power of two.
+WORDS = 8
 #: Ids or classes up to this number are broadcast (16 MB); more are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 
@@ -159,17 +164,31 @@ def _past_the_star(apart: DataFrame, parts: DataFrame, percent: int) -> DataFram
     rarest = Window.partitionBy("head", "cid").orderBy("df", "e")
     shared = written(each.join(across, ["head", "e"]).select("head", "cid", "e", F.row_number().over(rarest).alias("rank")), "shared")
     # in units of 1 / (100 + percent): similar needs (cost(x) + cost(y)) / 2 shared elements, so cost(x) <= room(y)
-    counts = shared.groupBy("head", "cid").agg(F.max("rank").cast("long").alias("u"))
+    signature = [F.expr(f"bit_xor(if((shiftright(e, 6) & {WORDS - 1}) = {i}, shiftleft(1L, cast(e & 63 as int)), 0L)) as s{i}") for i in range(WORDS)]
+    signed = [f"s{i}" for i in range(WORDS)]
+    counts = shared.groupBy("head", "cid").agg(F.max("rank").cast("long").alias("u"), *signature)
     stats = loose.drop("d").join(counts, ["head", "cid"])
-    stats = written(stats.select("head", "cid", "comp", "head_comp", "u", (far * F.col("nd") - near * F.col("n")).alias("cost"), (near * F.col("n") - far * (F.col("nd") - 2 * F.col("u"))).alias("room")), "stats")
-    bounds = written(stats.groupBy("head").agg(F.max("room").alias("most"), F.min("cost").alias("least"), F.min(F.when(F.col("comp") != F.col("head_comp"), F.col("cost"))).alias("least_stray")), "bounds")
-    known = stats.join(bounds, "head").where("cost <= most and least <= room")
-    # two sets that share k elements meet within the first size - k + 1 of each in any common order: rare elements first
-    first = lambda least: F.col("rank") <= F.col("u") - F.greatest(F.lit(1), F.ceil((F.col("cost") + F.col(least)) / (2 * far))) + 1
-    as_ = lambda df, k: df.select("head", "e", F.col("cid").alias(k), F.col("comp").alias(f"c_{k}"), F.col("cost").alias(f"cost_{k}"), F.col("room").alias(f"room_{k}"))
-    strays = written(as_(known.where("comp <> head_comp").join(shared, ["head", "cid"]).where(first("least")), "x"), "strays")
-    others = written(as_(known.join(shared, ["head", "cid"]).where(first("least_stray")), "y"), "others")
-    met = strays.join(others, ["head", "e"]).where("c_x <> c_y and cost_x <= room_y and cost_y <= room_x")
+    stats = written(stats.select("head", "cid", (F.col("comp") != F.col("head_comp")).alias("stray"), "comp", "u", *signed, (far * F.col("nd") - near * F.col("n")).alias("cost"), (near * F.col("n") - far * (F.col("nd") - 2 * F.col("u"))).alias("room")), "stats")
+    bounds = written(stats.groupBy("head").agg(F.max("room").alias("most"), F.min("cost").alias("least")), "bounds")
+    level = F.floor(F.log2(1 + (F.col("cost") - F.col("least")) / (2 * far))).cast("int")
+    known = written(stats.join(bounds, "head").where("cost <= most and least <= room").withColumn("level", level).drop("most", "least"), "known")
+    # two sets that share k elements meet within the first size - k + 1 of each in any common order: rare elements first; k is the least that a level asks for
+    first = F.col("rank") <= F.col("u") - F.greatest(F.lit(1), F.ceil((F.col("cost") + F.col("least")) / (2 * far))) + 1
+
+    def placed(rows: DataFrame, partners: DataFrame, k: str, own: str, theirs: str) -> DataFrame:
+        levels = partners.groupBy("head", F.col("level").alias("theirs")).agg(F.max("room").alias("most"), F.min("cost").alias("least"))
+        met = rows.join(levels, "head").where("cost <= most and least <= room").join(shared, ["head", "cid"]).where(first)
+        named = [F.col(c).alias(f"{c}_{k}") for c in ("stray", "comp", "u", "rank", "cost", "room", *signed)]
+        return written(met.select("head", "e", F.col("level").alias(own), F.col("theirs").alias(theirs), F.col("cid").alias(k), *named), "placed")
+
+    strays = known.where("stray")
+    both = placed(strays, known, "x", "a", "b").join(placed(known, strays, "y", "b", "a"), ["head", "e", "a", "b"])
+    cost = F.col("cost_x") + F.col("cost_y")
+    # what is left from the place of meeting on must do, and so must what the signatures allow: each bit that differs is an element of one set only
+    rest = F.least(F.col("u_x") - F.col("rank_x"), F.col("u_y") - F.col("rank_y")) + 1
+    differ = sum((F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in signed), F.lit(0))
+    enough = (2 * far * rest >= cost) & (far * (F.col("u_x") + F.col("u_y") - differ) >= cost)
+    met = both.where("comp_x <> comp_y and cost_x <= room_y and cost_y <= room_x and (not stray_y or x < y)").where(enough)
     met = written(met.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.min("head").alias("head")), "candidates")
     side = lambda k: members.select("head", F.col("cid").alias(k), F.col("comp").alias(f"c_{k}"), F.col("n").alias(f"n_{k}"), F.col("d").alias(f"d_{k}"))
     pairs = met.join(side("x"), ["head", "x"]).join(side("y"), ["head", "y"])

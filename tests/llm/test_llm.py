@@ -540,6 +540,23 @@ def test_chains_and_large_groups(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(dict(data), 5, 80)
 
 
+def test_near_copies_just_too_far_from_the_head(spark, monkeypatch):
+    """Copies with several changes each, around the threshold: the components of all pairs compared, and few pairs kept for that."""
+    rng = np.random.default_rng(5)
+    base = [f"t{rng.integers(10**9)}" for _ in range(150)]
+    data = {}
+    for i in range(240):
+        t = list(base)
+        for at in rng.choice(150, int(rng.integers(1, 9)), replace=False):
+            t[at] = f"c{rng.integers(4)}"
+        data[i] = " ".join(t)
+    kept, plain = {}, near_dup.written
+    monkeypatch.setattr(near_dup, "written", lambda df, name: kept.setdefault(name, plain(df, name)) if name == "candidates" else plain(df, name))
+    got = near_dup.near_duplicates(spark.createDataFrame([(i, t, None, None, None) for i, t in data.items()], DOCS), shingle=4).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(data, 4, 80)
+    assert len({r["component_id"] for r in got}) > 10 and kept["candidates"].count() < 500
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101)]
     got = {r["node"]: r["comp"] for r in near_dup.components(spark.createDataFrame(edges, "x long, y long")).collect()}
