@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import POLICY, require_columns
 from .checkpoints import cut
-from .links import all_links, follow_link, lookup_by_link, prev_10k_link, prev_filing_link, prior_year_link, unique_figures
+from .links import all_links, lookup_by_links, prev_10k_link, prev_filing_link, prior_year_link
 
 _FIGURES = ("adsh", "tag", "reported_figure", "quarterly_figure", "reported_figure_py", "quarterly_figure_py", "is_instant")
 _TOL = POLICY.prior_year_tolerance_days
@@ -24,8 +24,8 @@ def assert_known(figures: DataFrame, sub: DataFrame) -> None:
 
 
 def _quarterly(keep_existing: bool) -> dict[str, Column]:
-    """Both quarterly figures from prev_adsh, prev_form, and the reported figures there (__r, __r_py)."""
-    first = (F.coalesce("prev_adsh", F.lit(0)) == 0) | F.coalesce(F.col("prev_form").startswith("10-K"), F.lit(False))
+    """Both quarterly figures from _first (__first; null without any link) and the reported figures of the previous filing (__r, __r_py)."""
+    first = F.coalesce("__first", F.lit(True))
     new = {}
     for now, whole, before in (("quarterly_figure", "reported_figure", "__r"), ("quarterly_figure_py", "reported_figure_py", "__r_py")):
         made = F.when(first, F.col(whole)).otherwise(F.col(whole) - F.col(before))
@@ -33,13 +33,18 @@ def _quarterly(keep_existing: bool) -> dict[str, Column]:
     return new
 
 
+def _first() -> Column:
+    """Whether there is no previous filing or an annual one."""
+    return (F.coalesce("prev_adsh", F.lit(0)) == 0) | F.coalesce(F.col("prev_form").startswith("10-K"), F.lit(False))
+
+
 def _annual() -> Column:
-    """The annual figure from the form (__form), the last annual report's figure (__k) and the figure a year earlier."""
-    return F.when(F.col("__form").startswith("10-K"), F.col("reported_figure")).when(~F.col("is_instant"), F.col("reported_figure") + F.col("__k") - F.col("reported_figure_py"))
+    """The annual figure from __is_annual, the last annual report's figure (__k) and the figure a year earlier."""
+    return F.when(F.col("__is_annual"), F.col("reported_figure")).when(~F.col("is_instant"), F.col("reported_figure") + F.col("__k") - F.col("reported_figure_py"))
 
 
 def _forms(sub: DataFrame) -> DataFrame:
-    return sub.groupBy("adsh").agg(F.max("form").alias("__form"))
+    return sub.groupBy("adsh").agg(F.max("form").startswith("10-K").alias("__is_annual"))
 
 
 def fill_quarterly(figures: DataFrame, sub: DataFrame, *, keep_existing: bool = True, check: bool = True, links: DataFrame | None = None) -> DataFrame:
@@ -47,7 +52,8 @@ def fill_quarterly(figures: DataFrame, sub: DataFrame, *, keep_existing: bool =
     require_columns(figures, _FIGURES, "figures")
     if check:
         assert_known(figures, sub)
-    rows = lookup_by_link(figures, prev_filing_link(sub) if links is None else links.select("adsh", "prev_adsh", "prev_form"), "prev_adsh", {"reported_figure": "__r", "reported_figure_py": "__r_py"})
+    link = (prev_filing_link(sub) if links is None else links).select("adsh", "prev_adsh", _first().alias("__first"))
+    rows = lookup_by_links(figures, link, {"prev_adsh": {"reported_figure": "__r", "reported_figure_py": "__r_py"}}, keep=["__first"])
     return rows.withColumns(_quarterly(keep_existing)).select(*figures.columns)
 
 
@@ -55,7 +61,7 @@ def fill_prior_year(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL,
     """Missing prior-year figures from the filing a year earlier."""
     require_columns(figures, _FIGURES, "figures")
     link = prior_year_link(sub, tol_days=tol_days, match_form_family=match_form_family) if links is None else links.select("adsh", "adsh_py", "py_diff_days")
-    rows = lookup_by_link(figures, link, "adsh_py", {"reported_figure": "__r", "quarterly_figure": "__q"})
+    rows = lookup_by_links(figures, link, {"adsh_py": {"reported_figure": "__r", "quarterly_figure": "__q"}}, keep=[])
     return rows.withColumns({"reported_figure_py": F.coalesce("reported_figure_py", "__r"), "quarterly_figure_py": F.coalesce("quarterly_figure_py", "__q")}).select(*figures.columns)
 
 
@@ -63,7 +69,7 @@ def annual_current(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL,
     """annual_figure: the reported one of annual reports; of other durations reported + last annual - reported a year earlier; null for other instants."""
     require_columns(figures, _FIGURES, "figures")
     link = prev_10k_link(sub, tol_days=tol_days) if links is None else links.select("adsh", "prev_10k_adsh", "prev_10k_diff_days")
-    rows = lookup_by_link(figures, link.join(_forms(sub), "adsh", "left"), "prev_10k_adsh", {"reported_figure": "__k"})
+    rows = lookup_by_links(figures, link.join(_forms(sub), "adsh", "left"), {"prev_10k_adsh": {"reported_figure": "__k"}}, keep=["__is_annual"])
     return rows.withColumn("annual_figure", _annual()).select(*figures.columns, "annual_figure")
 
 
@@ -71,7 +77,7 @@ def annual_prior_year(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TO
     """annual_figure_py: the annual figure of the filing a year earlier."""
     require_columns(figures, ["adsh", "tag", "annual_figure"], "figures")
     link = prior_year_link(sub, tol_days=tol_days, match_form_family=match_form_family) if links is None else links.select("adsh", "adsh_py", "py_diff_days")
-    return lookup_by_link(figures, link, "adsh_py", {"annual_figure": "annual_figure_py"}).select(*figures.columns, "annual_figure_py")
+    return lookup_by_links(figures, link, {"adsh_py": {"annual_figure": "annual_figure_py"}}, keep=[]).select(*figures.columns, "annual_figure_py")
 
 
 def derive_figures(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True, keep_existing: bool = True, check: bool = True, links: DataFrame | None = None) -> DataFrame:
@@ -84,13 +90,12 @@ def derive_figures(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL,
     if check:
         assert_known(figures, sub)
     links = all_links(sub, tol_days=tol_days, match_form_family=match_form_family) if links is None else links
-    linked = figures.join(links.join(_forms(sub), "adsh", "left").select("adsh", "prev_adsh", "prev_form", "adsh_py", "prev_10k_adsh", "__form"), "adsh", "left")
-    given = unique_figures(figures, ["reported_figure", "reported_figure_py"])
-    for link, columns in (("prev_adsh", {"reported_figure": "__r", "reported_figure_py": "__r_py"}), ("adsh_py", {"reported_figure": "__last"}), ("prev_10k_adsh", {"reported_figure": "__k"})):
-        linked = follow_link(linked, given, link, columns)
-    rows = linked.withColumns(_quarterly(keep_existing)).withColumn("reported_figure_py", F.coalesce("reported_figure_py", "__last"))
-    rows = cut(rows.withColumn("annual_figure", _annual()).select(*figures.columns, "annual_figure", "adsh_py"))
-    out = follow_link(rows, rows.select("adsh", "tag", "quarterly_figure", "annual_figure"), "adsh_py", {"quarterly_figure": "__q", "annual_figure": "annual_figure_py"})
+    linked = links.join(_forms(sub), "adsh", "left").select("adsh", "prev_adsh", _first().alias("__first"), "adsh_py", "prev_10k_adsh", "__is_annual")
+    given = {"prev_adsh": {"reported_figure": "__r", "reported_figure_py": "__r_py"}, "adsh_py": {"reported_figure": "__last"}, "prev_10k_adsh": {"reported_figure": "__k"}}
+    rows = lookup_by_links(figures, linked, given, keep=["__first", "__is_annual"])
+    rows = rows.withColumns(_quarterly(keep_existing)).withColumn("reported_figure_py", F.coalesce("reported_figure_py", "__last"))
+    rows = cut(rows.withColumn("annual_figure", _annual()).select(*figures.columns, "annual_figure"))
+    out = lookup_by_links(rows, links.select("adsh", "adsh_py"), {"adsh_py": {"quarterly_figure": "__q", "annual_figure": "annual_figure_py"}}, keep=[])
     return out.withColumn("quarterly_figure_py", F.coalesce("quarterly_figure_py", "__q")).select(*figures.columns, "annual_figure", "annual_figure_py")
 
 

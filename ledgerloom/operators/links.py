@@ -6,7 +6,7 @@ costs its filings and not its pairs. Links have one row per filing, whatever num
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,24 +78,42 @@ def all_links(sub: DataFrame, *, tol_days: int = POLICY.prior_year_tolerance_day
     return prev_10k_link(sub, tol_days=tol_days).join(py, "adsh").join(prev_filing_link(sub), "adsh")
 
 
-def unique_figures(figures: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """(adsh, tag) and `columns` of figures; a run fails with the (adsh, tag) that has several rows. Needs the shuffle of a join on (adsh, tag) and no other."""
-    one = figures.where("adsh is not null and tag is not null").groupBy("adsh", "tag").agg(F.count("*").alias("__n"), *[F.first(c).alias(c) for c in columns])
-    what = F.concat(F.lit("several figures of filing "), F.col("adsh").cast("string"), F.lit(" and tag "), F.col("tag").cast("string"))
-    return one.select("adsh", "tag", *[F.when(F.col("__n") > 1, F.raise_error(what)).otherwise(F.col(c)).alias(c) for c in columns])
+def linked_or_own(link_col: str) -> Column:
+    """The linked filing; for a row without a link an id of its own that no filing has, so that such rows don't meet in one task."""
+    return F.when(F.coalesce(link_col, F.lit(0)) == 0, -1 - F.abs(F.coalesce("adsh", F.lit(0)))).otherwise(F.col(link_col))
 
 
-def follow_link(rows: DataFrame, figures: DataFrame, link_col: str, columns: dict[str, str]) -> DataFrame:
-    """Rows with values of the same tag in the filing that `link_col` names; figures have one row per (adsh, tag).
+def lookup_by_links(figures: DataFrame, links: DataFrame, wanted: dict[str, dict[str, str]], *, keep: Sequence[str] | None = None) -> DataFrame:
+    """Figures with columns of their links (those in `keep`, else all) and values of the same tag in the linked filings: wanted maps a link to {figures column: new name}.
 
-    Rows without a link look for an id of their own that no filing has, so that they don't meet in one task.
+    Every figure is sent once to its own place and once to each filing that links to its filing, so the figures are shuffled
+    twice (by filing, then by filing and tag) for any number of links. (adsh, tag) must be unique, or a run fails; links
+    have one row per filing.
     """
-    target = F.when(F.coalesce(link_col, F.lit(0)) == 0, -1 - F.abs(F.coalesce("adsh", F.lit(0)))).otherwise(F.col(link_col))
-    there = figures.select(F.col("adsh").alias("__at"), F.col("tag").alias("__tag"), *[F.col(c).alias(n) for c, n in columns.items()])
-    rows = rows.withColumn("__to", target)
-    return rows.join(there, (rows["__to"] == there["__at"]) & (rows["tag"] == there["__tag"]), "left").drop("__to", "__at", "__tag")
+    names, extra = list(wanted), [c for c in (links.columns if keep is None else keep) if c != "adsh"]
+    asks = [links.where(F.col("adsh").isNotNull() & (F.coalesce(c, F.lit(0)) != 0)).select(F.col(c).alias("adsh"), F.struct(F.col("adsh").alias("to"), F.lit(k).alias("kind")).alias("__ask")) for k, c in enumerate(names, 1)]
+    both = links
+    for ask in asks:
+        both = both.unionByName(ask, allowMissingColumns=True)
+    filings = both.where("adsh is not null").groupBy("adsh").agg(*[F.first(c, ignorenulls=True).alias(c) for c in extra], F.collect_list("__ask").alias("__asks"))
+    solo = F.when(F.col("adsh").isNull() | F.col("tag").isNull(), F.monotonically_increasing_id())
+    own = F.array(F.struct(F.col("adsh").alias("to"), F.lit(0).alias("kind")))
+    # rows without a filing or a tag are nobody's and stay apart
+    places = F.when(F.col("__asks").isNull() | F.col("tag").isNull(), own).otherwise(F.concat(own, F.col("__asks")))
+    sent = figures.join(filings, "adsh", "left").withColumn("__solo", solo).withColumn("__place", F.explode(places))
+    kept = [c for c in (*figures.columns, *extra) if c not in ("adsh", "tag")]
+    values = sorted({c for columns in wanted.values() for c in columns})
+    sent = sent.select(
+        F.col("__place.to").alias("adsh"), "tag", "__solo", F.col("__place.kind").alias("__kind"),
+        *[F.when(F.col("__place.kind") == 0, F.col(c)).alias(c) for c in kept], *[F.when(F.col("__place.kind") != 0, F.col(c)).alias(f"__value_{c}") for c in values],
+    )
+    found = [F.first(F.when(F.col("__kind") == k, F.col(f"__value_{c}")), ignorenulls=True).alias(n) for k, name in enumerate(names, 1) for c, n in wanted[name].items()]
+    rows = sent.groupBy("adsh", "tag", "__solo").agg(F.count_if(F.col("__kind") == 0).alias("__n"), *[F.first(c, ignorenulls=True).alias(c) for c in kept], *found).where("__n > 0")
+    what = F.concat(F.lit("several figures of filing "), F.col("adsh").cast("string"), F.lit(" and tag "), F.col("tag").cast("string"))
+    rows = rows.withColumn("tag", F.when(F.col("__n") > 1, F.raise_error(what)).otherwise(F.col("tag")))
+    return rows.select(*figures.columns, *extra, *[n for columns in wanted.values() for n in columns.values()])
 
 
 def lookup_by_link(figures: DataFrame, link: DataFrame, link_col: str, columns: dict[str, str]) -> DataFrame:
     """Figures with values of the same tag in the linked filing: columns maps a figures column to its new name. (adsh, tag) must be unique, or a run fails."""
-    return follow_link(figures.join(link, "adsh", "left"), unique_figures(figures, columns), link_col, columns)
+    return lookup_by_links(figures, link, {link_col: columns})

@@ -43,13 +43,14 @@ def pivot_figures(figures: DataFrame, sub: DataFrame, *, tags: list[str] | None
         return sub_metadata_join(some.groupBy("adsh").agg(F.map_from_entries(F.collect_list(F.struct("tag", values))).alias("figures")), sub)
     if tags is None:
         tags = sorted(r["tag"] for r in figures.select("tag").distinct().collect() if r["tag"] is not None)
-    wide = figures.groupBy("adsh").pivot("tag", tags).agg(*[F.first(c).alias(c) for c in SUFFIXES]) if tags else figures.select("adsh").distinct()
+    # one shuffle for both aggregations of a pivot
+    wide = figures.repartition("adsh").groupBy("adsh").pivot("tag", tags).agg(*[F.first(c).alias(c) for c in SUFFIXES]) if tags else figures.select("adsh").distinct()
     return sub_metadata_join(wide.withColumnsRenamed({f"{t}_{c}": f"{t}{s}" for t in tags for c, s in SUFFIXES.items()}), sub)
 
 
 def transform_and_pivot_figures(figures: DataFrame, sub: DataFrame, *, tol_days: int = POLICY.prior_year_tolerance_days, match_form_family: bool = True, tags: list[str] | None = None, as_map: bool = False) -> DataFrame:
     """Quarterly, prior-year and annual figures of the frequent tags, one row per filing. Of several rows of a filing the highest version counts."""
-    sub = cut(one_row_per_filing(sub))
+    sub, figures = cut(one_row_per_filing(sub)), cut(figures)
     links = cut(all_links(sub, tol_days=tol_days, match_form_family=match_form_family))
-    rows = derive_figures(cut(remove_infrequent_tags(figures)), sub, links=links)
+    rows = derive_figures(remove_infrequent_tags(figures), sub, links=links)
     return pivot_figures(rows, impute_intervals(sub, links=links), tags=tags, as_map=as_map)

@@ -424,3 +424,14 @@ def test_windows_by_either_way(spark):
     want = ranges.unionByName(windows.align_prior_year_ranges(f, windows.best_end_per_filing(f, sub, years_back=1), ranges))
     got = windows.infer_reporting_windows(f, sub)
     assert got.dtypes == want.dtypes and rows(got) == rows(want) and got.where("enum = 4").count() > 3
+
+
+# ---- shuffles
+
+
+def test_lookups_join_once_and_keep_rows_without_a_tag(spark):
+    figs = spark.createDataFrame([(1, "A", 1.0), (2, "A", 2.0), (2, "B", 3.0), (2, None, 4.0), (2, None, 5.0), (None, "A", 6.0)], "adsh long, tag string, v double")
+    link = spark.createDataFrame([(1, 0), (2, 1)], "adsh long, prev_adsh long")
+    got = links.lookup_by_link(figs, link, "prev_adsh", {"v": "before"})
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([(1, "A", 1.0, 0, None), (2, "A", 2.0, 1, 1.0), (2, "B", 3.0, 1, None), (2, None, 4.0, 1, None), (2, None, 5.0, 1, None), (None, "A", 6.0, None, None)], key=str)
