@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import POLICY, require_columns
 from .checkpoints import cut
-from .links import all_links, lookup_by_links, prev_10k_link, prev_filing_link, prior_year_link
+from .links import all_links, linked_or_own, lookup_by_links, prev_10k_link, prev_filing_link, prior_year_link
 
 _FIGURES = ("adsh", "tag", "reported_figure", "quarterly_figure", "reported_figure_py", "quarterly_figure_py", "is_instant")
 _TOL = POLICY.prior_year_tolerance_days
@@ -102,14 +102,19 @@ def derive_figures(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL,
 def impute_intervals(sub: DataFrame, *, tol_days: int = _TOL, match_form_family: bool = True, links: DataFrame | None = None) -> DataFrame:
     """Submissions with annual and quarterly intervals, current and prior year, instead of the four reported anchors."""
     require_columns(sub, ["adsh", "cik", "form", "start_rep", "end_rep", "start_rep_py", "end_rep_py", "start_q", "end_q", "start_q_py", "end_q_py", "is_amended"], "submissions")
-    of = lambda df, name, **cols: df.select(F.col("adsh").alias(name), *[F.col(c).alias(n) for n, c in cols.items()])
     rows = sub.withColumns({"end_a": F.col("end_rep"), "end_a_py": F.col("end_rep_py"), "end_q": F.coalesce("end_q", "end_rep"), "end_q_py": F.coalesce("end_q_py", "end_rep_py")})
     rows = rows.join((all_links(sub, tol_days=tol_days, match_form_family=match_form_family) if links is None else links).select("adsh", "prev_10k_adsh", "adsh_py", "prev_adsh"), "adsh")
-    rows = rows.join(of(sub, "prev_10k_adsh", __start_k="start_rep"), "prev_10k_adsh", "left").join(of(sub, "adsh_py", __start_py="start_rep"), "adsh_py", "left")
-    rows = rows.join(of(rows, "prev_adsh", __prev_q="end_q", __prev_rep="end_rep"), "prev_adsh", "left")
+
+    def follow(rows: DataFrame, there: DataFrame, link_col: str, **columns: str) -> DataFrame:
+        there = there.select(F.col("adsh").alias("__to"), *[F.col(c).alias(n) for n, c in columns.items()])
+        return rows.withColumn("__to", linked_or_own(link_col)).join(there, "__to", "left").drop("__to")
+
+    rows = follow(rows, sub, "prev_10k_adsh", __start_k="start_rep")
+    rows = follow(rows, sub, "adsh_py", __start_py="start_rep")
+    rows = follow(rows, rows, "prev_adsh", __prev_q="end_q", __prev_rep="end_rep")
     made = F.when(F.col("prev_adsh") == 0, F.col("start_rep")).otherwise(F.date_add(F.coalesce("__prev_q", "__prev_rep"), 1))
-    rows = rows.withColumns({"start_a": F.when(F.col("form").startswith("10-K"), F.col("start_rep")).otherwise(F.col("__start_k")), "start_a_py": F.col("__start_py"), "start_q": F.coalesce("start_q", made)})
-    rows = rows.join(of(rows, "adsh_py", __sq="start_q", __eq="end_q"), "adsh_py", "left")
+    rows = cut(rows.withColumns({"start_a": F.when(F.col("form").startswith("10-K"), F.col("start_rep")).otherwise(F.col("__start_k")), "start_a_py": F.col("__start_py"), "start_q": F.coalesce("start_q", made)}))
+    rows = follow(rows, rows, "adsh_py", __sq="start_q", __eq="end_q")
     rows = rows.withColumns({"start_q_py": F.coalesce("start_q_py", "__sq"), "end_q_py": F.coalesce("end_q_py", "__eq")})
     kept = [c for c in sub.columns if c not in ("start_rep", "end_rep", "start_rep_py", "end_rep_py")]
     return rows.select(*kept, "start_a", "end_a", "start_a_py", "end_a_py")

@@ -435,3 +435,11 @@ def test_lookups_join_once_and_keep_rows_without_a_tag(spark):
     got = links.lookup_by_link(figs, link, "prev_adsh", {"v": "before"})
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
     assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([(1, "A", 1.0, 0, None), (2, "A", 2.0, 1, 1.0), (2, "B", 3.0, 1, None), (2, None, 4.0, 1, None), (2, None, 5.0, 1, None), (None, "A", 6.0, None, None)], key=str)
+
+
+def test_intervals_never_meet_at_the_filings_without_links(spark):
+    day = "date'2020-03-31'"
+    sub = spark.sql(f"select id adsh, id cik, '10-Q' form, {day} start_rep, {day} end_rep, {day} start_rep_py, {day} end_rep_py, {day} start_q, {day} end_q, {day} start_q_py, {day} end_q_py, false is_amended from range(1, 5)")
+    found = spark.sql("select id adsh, 0L prev_10k_adsh, 0L adsh_py, 0L prev_adsh from range(1, 5)")
+    plan = derive.impute_intervals(sub, links=found)._jdf.queryExecution().analyzed().toString()
+    assert "Join UsingJoin" not in plan and plan.count("__to#") > 0 and derive.impute_intervals(sub, links=found).count() == 4
