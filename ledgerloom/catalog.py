@@ -274,7 +274,7 @@ def enrich_submissions(spark, sf_dir):
 def base_figures(spark, sf_dir):
     """Without the outlier loop, which SQL can't express; build_base_figures has it."""
     facts, sub = adapter.facts(spark, sf_dir), adapter.submissions(spark, sf_dir)
-    rows = clean.remove_huge_values(clean.drop_contradictions(amendments.merge_amendments(clean.normalize_fact_types(facts), sub)))
+    rows = clean.remove_huge_values(clean.drop_contradictions(amendments.merge_amendments(cut(clean.normalize_fact_types(facts)), sub)))
     return figures.figures_from_clean(rows, sub)[0]
 
 

@@ -113,4 +113,5 @@ def merge_amendments(facts: DataFrame, sub: DataFrame) -> DataFrame:
         if more.isEmpty():
             break
         out = cut(out.unionByName(more))
-    return out.dropDuplicates([*KEY, "value"])
+    # by filing, so that what follows by filing and tag needs no other shuffle
+    return out.repartition("adsh").dropDuplicates([*KEY, "value"])

@@ -105,7 +105,11 @@ def facts_in_windows(facts: DataFrame, windows: DataFrame) -> DataFrame:
 def compute_period_values(facts: DataFrame, sub: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(adsh, tag, value1..value4) of tags that have a fact in window 1, and the submissions with their windows."""
     require_columns(facts, ["adsh", "tag", "start", "end", "value"], "facts")
-    wide = facts_in_windows(facts, windows).groupBy("adsh", "tag").agg(F.count_if(F.col("enum") == 1).alias("anchor"), *_by_enum({f"value{k}": k for k in (1, 2, 3, 4)}, "value"))
+    both = {f"{c}{k}": (c, k) for k in (1, 2, 3, 4) for c in ("start", "end")}
+    ends = windows.groupBy("adsh").agg(*[F.max(F.when(F.col("enum") == k, F.col(c))).alias(f"__{n}") for n, (c, k) in both.items()])
+    inside = lambda k: (F.col("start") == F.col(f"__start{k}")) & (F.col("end") == F.col(f"__end{k}"))
+    # one row of windows a filing: facts stay where their filing is
+    wide = facts.join(ends, "adsh").groupBy("adsh", "tag").agg(F.count_if(inside(1)).alias("anchor"), *[F.max(F.when(inside(k), F.col("value"))).alias(f"value{k}") for k in (1, 2, 3, 4)])
     return wide.where("anchor > 0").drop("anchor"), enrich_sub_with_windows(sub, windows)
 
 

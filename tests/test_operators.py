@@ -443,3 +443,11 @@ def test_intervals_never_meet_at_the_filings_without_links(spark):
     found = spark.sql("select id adsh, 0L prev_10k_adsh, 0L adsh_py, 0L prev_adsh from range(1, 5)")
     plan = derive.impute_intervals(sub, links=found)._jdf.queryExecution().analyzed().toString()
     assert "Join UsingJoin" not in plan and plan.count("__to#") > 0 and derive.impute_intervals(sub, links=found).count() == 4
+
+
+def test_contradictions_need_no_shuffle_after_merging(spark):
+    facts = spark.sql("select id adsh, 'A' tag, date'2020-01-01' start, date'2020-03-31' end, 1.0D value from range(4)")
+    sub = spark.sql("select id adsh, 0L amendment_adsh, timestamp_ntz'2020-05-01 00:00:00' accepted from range(4)")
+    rows = clean.drop_contradictions(amendments.merge_amendments(facts, sub))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ENSURE_REQUIREMENTS" not in plan.split("REPARTITION_BY_COL")[0] and rows.count() == 4
