@@ -13,8 +13,13 @@ of D rule out nearly all pairs; a prefix filter over the elements that several c
 those that are left: classes are told apart by levels of cost, so that a prefix is as short as the level of the other
 side allows, and pairs that meet must still have enough elements behind the place of meeting and in their bit
 signatures. Their overlap in D, which gives their similarity exactly, decides. Near copies of the head cost their number
-and not their pairs. Among those that are just too far from the head, pairs that share a rare element are still looked
-at; nearly none of them is kept.
+and not their pairs.
+
+A class just too far from the head may be similar to hundreds of the head's near copies, and one such link is enough. So
+before that join each such class is compared, by signatures, with TURNS[0] others of its head, drawn by a hash, then with
+TURNS[1], and so on; verified links join components after each turn, and pairs inside one are not looked at again. A class
+with many links is joined early on, so what the last join, which leaves out no pair, still finds are classes with few
+links or none. Of the pairs of those that share a rare element, all are compared and nearly none is kept.
 
 Of the pairs at exactly the threshold 0.8, about 1 in 2,000 meets in no table; nearly all others meet.
 
@@ -28,6 +33,7 @@ whatever their names, are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,8 @@ from ._base import WordHashes, mix64, utf8, written
 BANDS, ROWS = 8, 2
 #: 64-bit words of the signature of the elements of D that a class shares with others; a power of two.
 WORDS = 8
+#: Classes of a large group that those too far from its head are compared with, turn by turn, before all are.
+TURNS = (64, 512, 4096)
 #: Ids or classes up to this number are broadcast (16 MB); more are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 
@@ -148,8 +156,8 @@ def _differences(percent: int):
     return run
 
 
-def _past_the_star(apart: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """(x, y) components that hold similar sets of one head, although no link to a head joins them.
+def _past_the_star(apart: DataFrame, parts: DataFrame, percent: int) -> DataFrame | None:
+    """(comp, whole): components that similar sets of one head join, although no link to a head does, and what they make together; None if there are none.
 
     Tables by head are written before they are joined, so that Spark can split the join at a head of many classes.
     """
@@ -168,32 +176,65 @@ def _past_the_star(apart: DataFrame, parts: DataFrame, percent: int) -> DataFram
     signed = [f"s{i}" for i in range(WORDS)]
     counts = shared.groupBy("head", "cid").agg(F.max("rank").cast("long").alias("u"), *signature)
     stats = loose.drop("d").join(counts, ["head", "cid"])
-    stats = written(stats.select("head", "cid", (F.col("comp") != F.col("head_comp")).alias("stray"), "comp", "u", *signed, (far * F.col("nd") - near * F.col("n")).alias("cost"), (near * F.col("n") - far * (F.col("nd") - 2 * F.col("u"))).alias("room")), "stats")
-    bounds = written(stats.groupBy("head").agg(F.max("room").alias("most"), F.min("cost").alias("least")), "bounds")
+    stats = written(stats.select("head", "cid", "comp", "head_comp", "u", *signed, (far * F.col("nd") - near * F.col("n")).alias("cost"), (near * F.col("n") - far * (F.col("nd") - 2 * F.col("u"))).alias("room")), "stats")
+    bounds = written(stats.groupBy("head").agg(F.max("room").alias("most"), F.min("cost").alias("least"), F.count("*").alias("size")), "bounds")
     level = F.floor(F.log2(1 + (F.col("cost") - F.col("least")) / (2 * far))).cast("int")
     known = written(stats.join(bounds, "head").where("cost <= most and least <= room").withColumn("level", level).drop("most", "least"), "known")
+    cost = F.col("cost_x") + F.col("cost_y")
+    # each bit of the signatures that differs is an element of one set only
+    differ = sum((F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in signed), F.lit(0))
+    enough = F.expr("comp_x <> comp_y and cost_x <= room_y and cost_y <= room_x") & (far * (F.col("u_x") + F.col("u_y") - differ) >= cost)
+    apart_by = F.size("d_x") + F.size("d_y") - 2 * F.size(F.array_intersect("d_x", "d_y"))
+
+    def named(rows: DataFrame, k: str, *more: str) -> DataFrame:
+        own = (c for c in rows.columns if c not in ("head", "cid", "e", *more))
+        return rows.select("head", F.col("cid").alias(k), *(c for c in ("e", *more) if c in rows.columns), *(F.col(c).alias(f"{c}_{k}") for c in own))
+
+    def verified(met: DataFrame, name: str) -> DataFrame:
+        """(x, y) components of the similar ones of the pairs met."""
+        met = written(met.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.min("head").alias("head")), name)
+        ids = written(met.select("head", F.col("x").alias("cid")).union(met.select("head", "y")).distinct(), "named")
+        few = members.select("head", "cid", "comp", "n", "d").join(_small(ids), ["head", "cid"], "left_semi")
+        pairs = met.join(named(few, "x"), ["head", "x"]).join(named(few, "y"), ["head", "y"])
+        links = pairs.where(far * apart_by <= near * (F.col("n_x") + F.col("n_y"))).select(F.least("comp_x", "comp_y").alias("x"), F.greatest("comp_x", "comp_y").alias("y"))
+        return written(links.distinct(), "more")
+
+    found, whole = [], None
+    for last, size in zip((0, *TURNS), TURNS, strict=False):
+        large = known.where(F.col("size") > size)
+        if large.isEmpty():
+            break
+        place = F.pmod(F.xxhash64("cid"), F.col("size"))
+        links = verified(named(large.where("comp <> head_comp"), "x").join(named(large.where((place >= last) & (place < size)), "y"), "head").where(enough), f"candidates_{size}")
+        if not links.isEmpty():
+            found.append(links)
+            whole = _joined(found)
+            known = written(_relabelled(_relabelled(known, "comp", whole), "head_comp", whole).select(*known.columns), "known")
+
     # two sets that share k elements meet within the first size - k + 1 of each in any common order: rare elements first; k is the least that a level asks for
     first = F.col("rank") <= F.col("u") - F.greatest(F.lit(1), F.ceil((F.col("cost") + F.col("least")) / (2 * far))) + 1
 
     def placed(rows: DataFrame, partners: DataFrame, k: str, own: str, theirs: str) -> DataFrame:
-        levels = partners.groupBy("head", F.col("level").alias("theirs")).agg(F.max("room").alias("most"), F.min("cost").alias("least"))
-        met = rows.join(levels, "head").where("cost <= most and least <= room").join(shared, ["head", "cid"]).where(first)
-        named = [F.col(c).alias(f"{c}_{k}") for c in ("stray", "comp", "u", "rank", "cost", "room", *signed)]
-        return written(met.select("head", "e", F.col("level").alias(own), F.col("theirs").alias(theirs), F.col("cid").alias(k), *named), "placed")
+        levels = partners.groupBy("head", F.col("level").alias(theirs)).agg(F.max("room").alias("most"), F.min("cost").alias("least"))
+        met = rows.withColumnRenamed("level", own).join(levels, "head").where("cost <= most and least <= room").join(shared, ["head", "cid"]).where(first)
+        return written(named(met.drop("most", "least", "size"), k, own, theirs), "placed")
 
-    strays = known.where("stray")
+    strays = known.where("comp <> head_comp")
     both = placed(strays, known, "x", "a", "b").join(placed(known, strays, "y", "b", "a"), ["head", "e", "a", "b"])
-    cost = F.col("cost_x") + F.col("cost_y")
-    # what is left from the place of meeting on must do, and so must what the signatures allow: each bit that differs is an element of one set only
+    # what is left from the place of meeting on must do, too
     rest = F.least(F.col("u_x") - F.col("rank_x"), F.col("u_y") - F.col("rank_y")) + 1
-    differ = sum((F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in signed), F.lit(0))
-    enough = (2 * far * rest >= cost) & (far * (F.col("u_x") + F.col("u_y") - differ) >= cost)
-    met = both.where("comp_x <> comp_y and cost_x <= room_y and cost_y <= room_x and (not stray_y or x < y)").where(enough)
-    met = written(met.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.min("head").alias("head")), "candidates")
-    side = lambda k: members.select("head", F.col("cid").alias(k), F.col("comp").alias(f"c_{k}"), F.col("n").alias(f"n_{k}"), F.col("d").alias(f"d_{k}"))
-    pairs = met.join(side("x"), ["head", "x"]).join(side("y"), ["head", "y"])
-    apart_by = F.size("d_x") + F.size("d_y") - 2 * F.size(F.array_intersect("d_x", "d_y"))
-    return pairs.where(far * apart_by <= near * (F.col("n_x") + F.col("n_y"))).select(F.least("c_x", "c_y").alias("x"), F.greatest("c_x", "c_y").alias("y")).distinct()
+    links = verified(both.where(enough & (2 * far * rest >= cost) & F.expr("comp_y = head_comp_y or x < y")), "candidates")
+    return whole if links.isEmpty() else _joined([*found, links])
+
+
+def _joined(links: list[DataFrame]) -> DataFrame:
+    """(comp, whole) of the components in tables of (x, y), marked for broadcasting if small."""
+    joined = components(reduce(DataFrame.unionByName, links)).select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
+    return _small(written(joined, "whole"))
+
+
+def _relabelled(rows: DataFrame, name: str, whole: DataFrame) -> DataFrame:
+    return rows.join(whole.withColumnRenamed("comp", name), name, "left").withColumn(name, F.coalesce("whole", name)).drop("whole")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -254,11 +295,10 @@ def linked_classes(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingl
     both = pairs.join(sets.select(F.col("cid").alias("head"), F.col("shingles").alias("set_head")), "head").join(sets, "cid").select("head", "cid", "shared", "set_head", "shingles")
     apart = written(both.mapInArrow(_differences(percent), "head long, cid long, shared boolean, n long, nd long, linked boolean, d array<long>"), "apart")
     parts = written(components(apart.where("linked").select(F.col("head").alias("x"), F.col("cid").alias("y"))), "parts")
-    more = written(_past_the_star(apart, parts, percent), "more")
-    if not more.isEmpty():
-        joined = components(more).select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
-        every = parts.unionByName(more.select(F.col("x").alias("node")).union(more.select("y")).distinct().join(parts, "node", "left_anti").withColumn("comp", F.col("node")))
-        parts = written(every.join(joined, "comp", "left").select("node", F.coalesce("whole", "comp").alias("comp")), "parts")
+    whole = _past_the_star(apart, parts, percent)
+    if whole is not None:
+        every = parts.unionByName(whole.select(F.col("comp").alias("node"), "comp").join(parts, "node", "left_anti"))
+        parts = written(_relabelled(every, "comp", whole).select("node", "comp"), "parts")
     return parts
 
 

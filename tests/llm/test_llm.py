@@ -557,6 +557,35 @@ def test_near_copies_just_too_far_from_the_head(spark, monkeypatch):
     assert len({r["component_id"] for r in got}) > 10 and kept["candidates"].count() < 500
 
 
+def test_classes_similar_to_many_near_copies_of_a_head(spark, monkeypatch):
+    """Too far from the head, but similar to about every seventh of its near copies: all components, and pairs verified in proportion to the classes."""
+    rng = np.random.default_rng(11)
+    differ = lambda n: sorted(int(7 * b + e) for b in rng.choice(12, n, replace=False) for e in range(7))
+    sets = {i: differ(4) for i in range(1, 801)} | {i: differ(5) for i in range(801, 1001)} | {i: differ(10) for i in range(1001, 1021)}
+    apart = [(0, i, True, 147, len(d), i < 801, d) for i, d in sets.items()]
+    parts = spark.createDataFrame([(i, 0) for i in range(801)], "node long, comp long")
+    bits = {i: sum(1 << e for e in d) for i, d in sets.items()}
+    comp = {i: 0 if i < 801 else i for i in sets}
+    for x in range(801, 1021):
+        for y in range(1, x):
+            if 180 * (bits[x] ^ bits[y]).bit_count() <= 20 * 294 and comp[x] != comp[y]:
+                low, high = sorted((comp[x], comp[y]))
+                comp = {i: low if c == high else c for i, c in comp.items()}
+    met, plain = [], near_dup.written
+
+    def counted(df, name):
+        table = plain(df, name)
+        met.append(table.count() if name.startswith("candidates") else 0)
+        return table
+
+    monkeypatch.setattr(near_dup, "written", counted)
+    apart = spark.createDataFrame(apart, "head long, cid long, shared boolean, n long, nd long, linked boolean, d array<long>")
+    joined = near_dup._past_the_star(apart, parts, 80)
+    assert 0 < sum(met) < 6 * len(sets), sum(met)
+    whole = {r["comp"]: r["whole"] for r in joined.collect()}
+    assert {i: whole.get(0 if i < 801 else i, i) for i in sets if i > 800} == {i: c for i, c in comp.items() if i > 800}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101)]
     got = {r["node"]: r["comp"] for r in near_dup.components(spark.createDataFrame(edges, "x long, y long")).collect()}
