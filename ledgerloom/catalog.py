@@ -367,13 +367,13 @@ def fill_quarterly(spark, sf_dir):
 
 def _linked(spark, sf_dir):
     sub = adapter.sub_windows(spark, sf_dir)
-    return cut(adapter.link_figures(spark, sf_dir)), sub, cut(links.all_links(sub))
+    return adapter.link_figures(spark, sf_dir), sub, cut(links.all_links(sub))
 
 
 def _through_prior(spark, sf_dir):
-    """Figures, cut, with quarterly and prior-year figures filled; submissions; links."""
+    """Figures at their companies with quarterly and prior-year figures filled; submissions; links."""
     rows, sub, found = _linked(spark, sf_dir)
-    rows = cut(derive.fill_quarterly(rows, sub, check=False, links=found))
+    rows = derive.fill_quarterly(derive.gather_figures(rows, found), sub, check=False, links=found)
     return derive.fill_prior_year(rows, sub, links=found), sub, found
 
 
@@ -385,7 +385,7 @@ def fill_prior_year(spark, sf_dir):
 @_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + " SELECT adsh, tag, round(annual_figure, 2) AS annual_figure FROM fa")
 def annual_current(spark, sf_dir):
     rows, sub, found = _through_prior(spark, sf_dir)
-    return _rounded(derive.annual_current(cut(rows), sub, links=found).select("adsh", "tag", "annual_figure"))
+    return _rounded(derive.annual_current(rows, sub, links=found).select("adsh", "tag", "annual_figure"))
 
 
 @_query(_with(SUB, LINKED, FIGURES, QUARTERLY, PRIOR, ANNUAL) + " SELECT adsh, tag, round(annual_figure_py, 2) AS annual_figure_py FROM fb")
@@ -398,7 +398,7 @@ def annual_prior_year(spark, sf_dir):
 def annual_prior_year_step(spark, sf_dir):
     """The same by the four functions, one after another."""
     rows, sub, found = _through_prior(spark, sf_dir)
-    rows = cut(derive.annual_current(cut(rows), sub, links=found))
+    rows = derive.annual_current(rows, sub, links=found)
     return _rounded(derive.annual_prior_year(rows, sub, links=found).select("adsh", "tag", "annual_figure_py"))
 
 

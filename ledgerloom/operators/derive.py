@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import POLICY, require_columns
 from .checkpoints import cut
-from .links import all_links, linked_or_own, lookup_by_links, prev_10k_link, prev_filing_link, prior_year_link
+from .links import all_links, gathered, linked_or_own, lookup_by_links, prev_10k_link, prev_filing_link, prior_year_link
 
 _FIGURES = ("adsh", "tag", "reported_figure", "quarterly_figure", "reported_figure_py", "quarterly_figure_py", "is_instant")
 _TOL = POLICY.prior_year_tolerance_days
@@ -47,6 +47,18 @@ def _forms(sub: DataFrame) -> DataFrame:
     return sub.groupBy("adsh").agg(F.max("form").startswith("10-K").alias("__is_annual"))
 
 
+def gather_figures(figures: DataFrame, links: DataFrame) -> DataFrame:
+    """Figures at their companies (links.gathered), so that the four functions, one after another, shuffle them no more; pass the same links (links.all_links) to each.
+
+    A filing of several companies may link to another place, which sees derived figures only after a shuffle; if there is one,
+    the figures come back as they are, and each function shuffles them for itself.
+    """
+    if not links.where("shared").isEmpty():
+        return figures
+    linked = links.select("adsh", "cik", "prev_adsh", "adsh_py", "prev_10k_adsh", _first().alias("__first"), F.col("form").startswith("10-K").alias("__is_annual"))
+    return gathered(figures, linked, ["prev_adsh", "adsh_py", "prev_10k_adsh"], keep=["__first", "__is_annual"])
+
+
 def fill_quarterly(figures: DataFrame, sub: DataFrame, *, keep_existing: bool = True, check: bool = True, links: DataFrame | None = None) -> DataFrame:
     """Quarterly figures of durations: the reported one if there is no earlier filing of the same start or that is annual, else the difference. Instants stay."""
     require_columns(figures, _FIGURES, "figures")
@@ -84,17 +96,19 @@ def derive_figures(figures: DataFrame, sub: DataFrame, *, tol_days: int = _TOL,
     """fill_quarterly, fill_prior_year, annual_current and annual_prior_year, with two rounds of look-ups instead of four.
 
     What is looked up in the figures as they came (the previous filing's, last year's and the last annual report's reported figures) is
-    looked up in one round; what is derived itself (last year's quarterly and annual figures) in a second one, after a cut.
+    looked up in one round; what is derived itself (last year's quarterly and annual figures) in a second one, which shuffles nothing more.
     """
     require_columns(figures, _FIGURES, "figures")
     if check:
         assert_known(figures, sub)
-    links = all_links(sub, tol_days=tol_days, match_form_family=match_form_family) if links is None else links
-    linked = links.join(_forms(sub), "adsh", "left").select("adsh", "prev_adsh", _first().alias("__first"), "adsh_py", "prev_10k_adsh", "__is_annual")
+    links = cut(all_links(sub, tol_days=tol_days, match_form_family=match_form_family)) if links is None else links
+    rows = gather_figures(figures, links)
+    linked = links.select("adsh", "prev_adsh", _first().alias("__first"), "adsh_py", "prev_10k_adsh", F.col("form").startswith("10-K").alias("__is_annual"))
     given = {"prev_adsh": {"reported_figure": "__r", "reported_figure_py": "__r_py"}, "adsh_py": {"reported_figure": "__last"}, "prev_10k_adsh": {"reported_figure": "__k"}}
-    rows = lookup_by_links(figures, linked, given, keep=["__first", "__is_annual"])
+    at_hand = rows.columns
+    rows = lookup_by_links(rows, linked, given, keep=["__first", "__is_annual"])
     rows = rows.withColumns(_quarterly(keep_existing)).withColumn("reported_figure_py", F.coalesce("reported_figure_py", "__last"))
-    rows = cut(rows.withColumn("annual_figure", _annual()).select(*figures.columns, "annual_figure"))
+    rows = rows.withColumn("annual_figure", _annual()).select(*at_hand, "annual_figure")
     out = lookup_by_links(rows, links.select("adsh", "adsh_py"), {"adsh_py": {"quarterly_figure": "__q", "annual_figure": "annual_figure_py"}}, keep=[])
     return out.withColumn("quarterly_figure_py", F.coalesce("quarterly_figure_py", "__q")).select(*figures.columns, "annual_figure", "annual_figure_py")
 

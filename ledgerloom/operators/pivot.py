@@ -42,6 +42,7 @@ def pivot_figures(figures: DataFrame, sub: DataFrame, *, tags: list[str] | None
         some = figures if tags is None else figures.where(F.col("tag").isin(*tags))
         return sub_metadata_join(some.groupBy("adsh").agg(F.map_from_entries(F.collect_list(F.struct("tag", values))).alias("figures")), sub)
     if tags is None:
+        figures = cut(figures.select("adsh", "tag", *SUFFIXES))
         tags = sorted(r["tag"] for r in figures.select("tag").distinct().collect() if r["tag"] is not None)
     # one shuffle for both aggregations of a pivot
     wide = figures.repartition("adsh").groupBy("adsh").pivot("tag", tags).agg(*[F.first(c).alias(c) for c in SUFFIXES]) if tags else figures.select("adsh").distinct()

@@ -39,10 +39,11 @@ def sub_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One figure per filing and part type: the sum of prices; py columns where the line's number is even."""
+    """One figure per filing and part type: the sum of prices; py columns where the line's number is even. Dealt by filing, as the links are that figures meet next."""
     price = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
-    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).groupBy((F.col("l_orderkey") + 1).alias("adsh"), F.col("p_type").alias("tag"))
-    out = rows.agg(price.alias("reported_figure"), F.max(F.col("l_linenumber")).alias("k"))
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.select((F.col("l_orderkey") + 1).alias("adsh"), F.col("p_type").alias("tag"), "l_extendedprice", "l_linenumber").repartition("adsh")
+    out = rows.groupBy("adsh", "tag").agg(price.alias("reported_figure"), F.max(F.col("l_linenumber")).alias("k"))
     odd = lambda m: F.when(F.col("k") % m == 0, F.col("reported_figure"))
     return out.select("adsh", "tag", "reported_figure", odd(3).alias("quarterly_figure"), odd(2).alias("reported_figure_py"), odd(4).alias("quarterly_figure_py"), F.lit(False).alias("is_computed"), (F.col("k") == 7).alias("is_instant"))
 

@@ -437,6 +437,53 @@ def test_lookups_join_once_and_keep_rows_without_a_tag(spark):
     assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([(1, "A", 1.0, 0, None), (2, "A", 2.0, 1, 1.0), (2, "B", 3.0, 1, None), (2, None, 4.0, 1, None), (2, None, 5.0, 1, None), (None, "A", 6.0, None, None)], key=str)
 
 
+def test_lookups_find_figures_at_other_places(spark):
+    """Links of any filing to any other, whatever company each is dealt to, against a dictionary; one filing has no links row of its own."""
+    import random
+
+    rnd = random.Random(8)
+    data = [(a, t, float(100 * a + ord(t))) for a in range(1, 40) for t in "ABC" if rnd.random() < 0.7]
+    found = [(a, rnd.choice([0, None, *range(1, 40)]), rnd.choice([0, 7, *range(1, 40)]), rnd.choice([None, 1, 2, 3])) for a in range(1, 39)]
+    figs_, sub = spark.createDataFrame(data, "adsh long, tag string, v double"), spark.createDataFrame(found, "adsh long, p long, q long, cik long")
+    had, to = {(a, t): v for a, t, v in data}, {a: (p, q) for a, p, q, _ in found}
+    want = sorted((a, t, v, *[had.get((x, t)) for x in to.get(a, (0, 0))]) for a, t, v in data)
+    for link in (sub, sub.drop("cik")):
+        got = links.lookup_by_links(figs_, link, {"p": {"v": "vp"}, "q": {"v": "vq"}}, keep=[])
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_gathered_figures_are_shuffled_no_more(spark):
+    """The four functions one after another, and derive_figures, add no shuffle to the two of gathered figures, and derive the same."""
+    figures, sub = spark.createDataFrame([(a, t, 10.0 * a + ord(t), None, None, None, False, False) for a in range(1, 9) for t in "AB"], FIG), many_quarters(spark)
+    found = links.all_links(sub).localCheckpoint()
+    gathered = derive.gather_figures(figures, found)
+    step = derive.fill_prior_year(derive.fill_quarterly(gathered, sub, check=False, links=found), sub, links=found)
+    step = derive.annual_prior_year(derive.annual_current(step, sub, links=found), sub, links=found)
+    both = derive.derive_figures(figures, sub, check=False, links=found)
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges(step) == exchanges(both) == exchanges(gathered) > 0
+    plain = derive.fill_prior_year(derive.fill_quarterly(figures, sub), sub)
+    plain = derive.annual_prior_year(derive.annual_current(plain, sub), sub)
+    assert rows(step, *plain.columns) == rows(plain) == rows(both, *plain.columns) and plain.where("annual_figure_py is not null").count() == 2
+
+
+def many_quarters(spark, *more):
+    ends = ["2021-03-31", "2021-06-30", "2021-09-30", "2021-12-31", "2022-03-31", "2022-06-30", "2022-09-30", "2022-12-31"]
+    return links_sub(spark, *[(k, 1, "10-K" if e.endswith("12-31") else "10-Q", f"{e[:4]}-01-01", e, False) for k, e in enumerate(ends, 1)], *more)
+
+
+def test_filings_of_several_companies_are_derived_alike(spark):
+    """Filing 5 is company 2's, too, and its last year's filing is that one's: figures are not dealt by company then."""
+    figures = spark.createDataFrame([(a, "A", 10.0 * a, None, None, None, False, False) for a in (*range(1, 9), 20, 21)], FIG)
+    sub = many_quarters(spark, (5, 2, "10-Q", "2022-01-01", "2022-03-31", False), (20, 2, "10-Q", "2021-01-01", "2021-03-31", False), (21, 3, "10-K", "2021-01-01", "2021-12-31", False))
+    found = links.all_links(sub).localCheckpoint()
+    assert {r["adsh"]: r["shared"] for r in found.collect()}[5] and derive.gather_figures(figures, found).columns == figures.columns
+    plain = derive.fill_prior_year(derive.fill_quarterly(figures, sub), sub)
+    plain = derive.annual_prior_year(derive.annual_current(plain, sub), sub)
+    both = derive.derive_figures(figures, sub)
+    assert rows(both, *plain.columns) == rows(plain) and {r["adsh"]: r["reported_figure_py"] for r in both.collect()}[5] == 200.0
+
+
 def test_intervals_never_meet_at_the_filings_without_links(spark):
     day = "date'2020-03-31'"
     sub = spark.sql(f"select id adsh, id cik, '10-Q' form, {day} start_rep, {day} end_rep, {day} start_rep_py, {day} end_rep_py, {day} start_q, {day} end_q, {day} start_q_py, {day} end_q_py, false is_amended from range(1, 5)")
