@@ -938,7 +938,7 @@ def check_all(spark, sf_dir):
 def check_pivot_values(spark, sf_dir):
     """Cells of the wide table that are not as expected: those of even filings are looked for with another value."""
     rows, sub, found = _linked(spark, sf_dir)
-    rows = cut(derive.derive_figures(rows, sub, check=False, links=found))
+    rows = cut(derive.derive_figures(rows, sub, check=False, links=found).select("adsh", "tag", *pivot.SUFFIXES))
     wide = _rounded(pivot.pivot_figures(rows, sub.select("adsh"), tags=list(TYPES)))
     value = F.round("annual_figure", 2)
     cells = rows.where("annual_figure is not null").select("adsh", F.concat("tag", F.lit("_a")).alias("column"), F.when(F.col("adsh") % 2 == 0, value + 1).otherwise(value).alias("value"))

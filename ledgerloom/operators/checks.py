@@ -75,13 +75,17 @@ def check_golden_rows(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def missing_pivot_cells(wide: DataFrame, cells: DataFrame) -> DataFrame:
-    """The rows of cells (adsh, column, value) that the wide table doesn't hold; null matches null. A column that the table doesn't have holds nothing."""
+    """The rows of cells (adsh, column, value) that the wide table doesn't hold; null matches null. A column that the table doesn't have holds nothing.
+
+    Cells meet the wide rows of their filing, which are never turned into a row for each cell.
+    """
     names = [c for c in wide.columns if c != "adsh" and dict(wide.dtypes)[c] == "double"]
     if not names:
         return cells
-    wanted = cells.select(F.col("adsh").alias("__a"), F.col("column").alias("__c"), F.col("value").alias("__v")).distinct()
-    held = wide.join(wanted.select(F.col("__a").alias("adsh")).distinct(), "adsh", "left_semi").unpivot("adsh", names, "column", "value")
-    return wanted.join(held, (F.col("__a") == F.col("adsh")) & (F.col("__c") == F.col("column")) & F.col("__v").eqNullSafe(F.col("value")), "left_anti").toDF("adsh", "column", "value")
+    wanted = cells.select(F.col("adsh").alias("__a"), F.col("column").alias("__c"), F.col("value").alias("__v")).repartition("__a").distinct()
+    held = F.create_map(*[x for c in names for x in (F.lit(c), F.col(c))])[F.col("__c")]
+    same = (F.col("__a") == F.col("adsh")) & F.col("__c").isin(*names) & F.col("__v").eqNullSafe(held)
+    return wanted.join(wide.select("adsh", *names), same, "left_anti").toDF("adsh", "column", "value")
 
 
 def check_pivot_values(wide: DataFrame, cells: Sequence[tuple[int, str, float]]) -> list[str]:

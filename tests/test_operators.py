@@ -484,6 +484,16 @@ def test_filings_of_several_companies_are_derived_alike(spark):
     assert rows(both, *plain.columns) == rows(plain) and {r["adsh"]: r["reported_figure_py"] for r in both.collect()}[5] == 200.0
 
 
+def test_cells_are_looked_for_without_a_row_for_each(spark):
+    wide = spark.createDataFrame([(1, 1.0, None, "x"), (2, float("nan"), 0.0, "x"), (2, 5.0, None, "x"), (None, 1.0, 1.0, "x")], "adsh long, A_q double, A_a double, form string")
+    held = [(1, "A_q", 1.0), (1, "A_a", None), (2, "A_q", float("nan")), (2, "A_q", 5.0), (2, "A_a", -0.0), (2, "A_a", None)]
+    lost = [(1, "A_q", None), (1, "A_q", 2.0), (1, "B_q", None), (1, "form", None), (1, None, 1.0), (2, "A_a", 5.0), (3, "A_q", None), (None, "A_q", 1.0)]
+    cells = spark.createDataFrame(held + lost + lost[:2], "adsh long, column string, value double")
+    got = checks.missing_pivot_cells(wide, cells)
+    assert rows(got) == sorted(lost, key=str) and rows(checks.missing_pivot_cells(wide.select("adsh", "form"), cells.limit(1))) == held[:1]
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_intervals_never_meet_at_the_filings_without_links(spark):
     day = "date'2020-03-31'"
     sub = spark.sql(f"select id adsh, id cik, '10-Q' form, {day} start_rep, {day} end_rep, {day} start_rep_py, {day} end_rep_py, {day} start_q, {day} end_q, {day} start_q_py, {day} end_q_py, false is_amended from range(1, 5)")
