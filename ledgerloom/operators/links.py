@@ -152,19 +152,16 @@ def look_up(rows: DataFrame, wanted: dict[str, dict[str, str]]) -> DataFrame:
     here = F.array(spot(F.col("adsh"), F.when(F.col("__own"), 0).otherwise(-1)))
     asked = lambda link, kind: F.transform(f"__by_{link}", lambda to: spot(to, F.lit(kind)))
     asks = [asked(c, k) for k, c in enumerate(wanted, 1)]
-    sent = rows.withColumn("__ask", F.explode(F.concat(here, *asks)))
-    kept = [c for c in rows.columns if c not in ("__place", "tag", "adsh", "__solo")]
-    values = sorted({c for columns in wanted.values() for c in columns})
-    kind = F.col("__ask.kind")
-    sent = sent.select(
-        "__place", "tag", F.col("__ask.to").alias("adsh"), "__solo", kind.alias("__kind"),
-        *[F.when(kind == 0, F.col(c)).alias(c) for c in kept], *[F.when(kind > 0, F.col(c)).alias(f"__value_{c}") for c in values],
-    )
-    found = [F.first(F.when(F.col("__kind") == k, F.col(f"__value_{c}")), ignorenulls=True).alias(n) for k, columns in enumerate(wanted.values(), 1) for c, n in columns.items()]
-    out = sent.groupBy("__place", "tag", "adsh", "__solo").agg(F.count_if(F.col("__kind") == 0).alias("__n"), *[F.first(c, ignorenulls=True).alias(c) for c in kept], *found)
+    kind, new = F.col("__ask.kind"), [n for columns in wanted.values() for n in columns.values()]
+    # a figure that is sent to others leaves its own lists behind
+    kept = [F.when(kind == 0, F.col(c)).alias(c) if c.startswith("__by_") else F.col(c) for c in rows.columns if c != "adsh"]
+    sent = rows.withColumn("__ask", F.explode(F.concat(here, *asks))).select(F.col("__ask.to").alias("adsh"), kind.alias("__kind"), *kept)
+    met = Window.partitionBy("__place", "tag", "adsh", "__solo")
+    found = {n: F.first(F.when(F.col("__kind") == k, F.col(c)), ignorenulls=True).over(met) for k, columns in enumerate(wanted.values(), 1) for c, n in columns.items()}
+    out = sent.select("*", F.count_if(F.col("__kind") == 0).over(met).alias("__n"), *[c.alias(n) for n, c in found.items()])
     what = F.concat(F.lit("several figures of filing "), F.col("adsh").cast("string"), F.lit(" and tag "), F.col("tag").cast("string"))
-    out = out.where(F.when(F.col("__n") > 1, F.raise_error(what).cast("boolean")).otherwise(F.col("__n") == 1))
-    return out.select(*rows.columns, *[n for columns in wanted.values() for n in columns.values()])
+    out = out.where(F.when(F.col("__n") > 1, F.raise_error(what).cast("boolean")).otherwise(F.col("__kind") == 0))
+    return out.select(*rows.columns, *new)
 
 
 def lookup_by_links(figures: DataFrame, links: DataFrame, wanted: dict[str, dict[str, str]], *, keep: Sequence[str] | None = None) -> DataFrame:
