@@ -128,6 +128,14 @@ def test_scale_outliers_are_put_right_and_stay_so(spark, factor, back):
     assert n == 0 and rows(again, "adsh", "value") == rows(fixed, "adsh", "value")
 
 
+def test_corrected_neighbours_bring_out_more_outliers(spark):
+    """Each value but the first is too large and near the one before only, so every round puts one right."""
+    ends = [*[f"20{y}-06-30" for y in range(10, 18)], "2022-01-01", "2022-04-11", "2022-07-20", "2022-10-28"]
+    f = facts(spark, *[(i, "Cash", e, e, 1000.0 * (1000 if i > 8 else 1)) for i, e in enumerate(ends)])
+    fixed, n = clean.correct_scale_outliers(f, spark.createDataFrame([(i, 1) for i in range(12)], "adsh long, cik long"))
+    assert (n, n.rounds, n.settled) == (3, 3, True) and {v for (v,) in rows(fixed, "value")} == {1000.0}
+
+
 def test_single_row_is_no_outlier(spark):
     f = facts(spark, (1, "A", "2023-01-01", "2023-03-31", 1.0))
     fixed, n = clean.correct_scale_outliers(f, spark.createDataFrame([(1, 1)], "adsh long, cik long"))
